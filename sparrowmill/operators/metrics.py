@@ -99,11 +99,13 @@ def binary_metrics(pred: Column, truth: Column) -> list[Column]:
     ]
 
 
-def histogram(df: DataFrame, value: Column, lo: float, hi: float, bins: int, by=()) -> DataFrame:
-    """Counts in equal bins over [lo, hi]; the last bin is closed on the right."""
-    width = (hi - lo) / bins
+def histogram(df: DataFrame, value: Column, bins: int, lo=None, hi=None, by=()) -> DataFrame:
+    """Counts in equal bins over [lo, hi], by default the range of the data; the last bin is closed on the right."""
+    lo = df.agg(F.min(value).cast("double")).scalar() if lo is None else F.lit(float(lo))
+    hi = df.agg(F.max(value).cast("double")).scalar() if hi is None else F.lit(float(hi))
     inside = df.filter((value >= lo) & (value <= hi))
-    bin_no = F.least(F.floor((value - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
+    width = (hi - lo) / F.lit(float(bins))
+    bin_no = F.least(F.floor(F.coalesce(F.try_divide(value - lo, width), F.lit(0.0))), F.lit(bins - 1)).cast("bigint")
     return inside.groupBy(*by, bin_no.alias("bin")).agg(F.count(ONE).alias("n"))
 
 

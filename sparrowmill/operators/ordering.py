@@ -94,19 +94,24 @@ _KINDS = {
 def running(df: DataFrame, keys, order, outputs: dict, rows: int = BLOCK_ROWS) -> DataFrame:
     """Running aggregates per key: `outputs` maps a new column to (kind, column).
 
+    Kinds are count, sum, product and max, including the row itself; with the suffix _before they
+    leave it out and are null on the first row of a key.
+
     Each block is scanned on its own; what earlier blocks of the same key add is carried over. Only
     the first key of a block can have a carry, so the carry table has at most one row per block.
     """
     numbered = number_rows(df, *keys, *order, name="_pos")
     numbered = numbered.withColumn("_block", F.floor(F.col("_pos") / rows))
-    scan = Window.partitionBy("_block", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    scan = Window.partitionBy("_block", *keys).orderBy("_pos")
+    frame = lambda kind: scan.rowsBetween(Window.unboundedPreceding, -1 if kind.endswith("_before") else 0)
+    base = {n: (kind.removesuffix("_before"), col) for n, (kind, col) in outputs.items()}
     local = numbered.select(
-        "*", *[_KINDS[kind][0](col).over(scan).alias(f"_l_{n}") for n, (kind, col) in outputs.items()]
+        "*", *[_KINDS[base[n][0]][0](col).over(frame(kind)).alias(f"_l_{n}") for n, (kind, col) in outputs.items()]
     )
-    carry = _carry(numbered, keys, rows, outputs)
+    carry = _carry(numbered, keys, rows, base)
     joined = local.join(carry, (F.col("_block") == F.col("_cb")) & (F.col("_pos") <= F.col("_upto")), "left")
     result = []
-    for n, (kind, _) in outputs.items():
+    for n, (kind, _) in base.items():
         mine, earlier = F.col(f"_l_{n}"), F.col(f"_c_{n}")
         merged = F.when(earlier.isNull(), mine).when(mine.isNull(), earlier)
         result.append(merged.otherwise(_KINDS[kind][1](mine, earlier)).alias(n))

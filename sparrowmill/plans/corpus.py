@@ -266,7 +266,7 @@ def j13(spark, sf):
 @query("J14_length_hist", f"""
 with {PAIRS}, l as (select 'source' as side, len({WORDS.format(c='source')}) as n from pairs
  union all select 'target', len({WORDS.format(c='target')}) from pairs)
-select side, cast(least(floor(n / 50.0), 9) as bigint) as bin, count(*) as n from l where n <= 500 group by all
+select side, cast(least(floor((n - (select min(n) from l)) / (((select max(n) from l) - (select min(n) from l)) / 10.0::double)), 9) as bigint) as bin, count(*) as n from l group by all
 """)
 def j14(spark, sf):
     p = turn_pairs(spark, sf)
@@ -274,7 +274,7 @@ def j14(spark, sf):
         F.struct(F.lit("source").alias("side"), F.size(tx.words(F.col("source"))).alias("n")),
         F.struct(F.lit("target").alias("side"), F.size(tx.words(F.col("target"))).alias("n")),
     )).alias("s")).select("s.side", "s.n")
-    return mx.histogram(both, F.col("n"), 0, 500, 10, by=["side"])
+    return mx.histogram(both, F.col("n"), 10, by=["side"])
 
 
 _PAIR_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]")
