@@ -229,3 +229,26 @@ def kfold_line_errors(folds: DataFrame, x: Column, y: Column, fold: str = "fold"
     return spark.createDataFrame(
         out, "fold bigint, slope double, intercept double, train_rmse double, valid_rmse double"
     )
+
+
+def throughput(df: DataFrame, by, samples: Column, size: Column, seconds: Column, order: Column) -> DataFrame:
+    """Samples, bytes, seconds, samples per second, MB (2**20 bytes) per second, seconds of the first row."""
+    out = df.groupBy(*by).agg(
+        F.sum(samples).alias("samples"), F.sum(size).alias("bytes"), F.sum(seconds).alias("seconds"),
+        F.min_by(seconds, order).alias("first_seconds"),
+    )
+    return out.withColumns({
+        "per_second": ratio(F.col("samples"), F.col("seconds")),
+        "mb_per_second": ratio(F.col("bytes"), F.lit(1048576.0) * F.col("seconds")),
+    })
+
+
+# fixed values: samples per second above which a reader gets the grade
+GRADES = ((1000, "excellent"), (500, "good"), (200, "fair"))
+
+
+def grade(speed: Column) -> Column:
+    out = F.lit("slow")
+    for limit, name in reversed(GRADES):
+        out = F.when(speed > limit, F.lit(name)).otherwise(out)
+    return out
