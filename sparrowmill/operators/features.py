@@ -45,10 +45,10 @@ def batch_norm(df: DataFrame, vec: str, gamma: float, beta: float, eps: float) -
     cells = long.groupBy("i").agg(F.avg("x").alias("m"), F.var_pop("x").alias("v"))
     scale = F.sqrt(F.col("v") + F.lit(eps)).alias("s")
     table = cells.agg(F.array_sort(F.collect_list(F.struct("i", "m", scale)))).scalar()
-    norm = let(table, lambda t: F.transform(
+    norm = let(F.col("_t"), lambda t: F.transform(
         vec, lambda x, i: (x - F.get(t, i)["m"]) / F.get(t, i)["s"] * F.lit(gamma) + F.lit(beta)
     ))
-    return df.withColumn(vec, norm)
+    return df.withColumn("_t", table).withColumn(vec, norm).drop("_t")
 
 
 def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:

@@ -78,21 +78,21 @@ def f06(spark, sf):
 @query("F07_ema", """
 with d as (select user_id, date_part('day', ts) as day, avg(value) as mean, var_pop(value) as var from events group by all),
 r as (select *, row_number() over (partition by user_id order by day) as k from d)
-select a.user_id, cast(a.day as int) as day, round(sum(pow(0.6666666666666666::double, a.k - b.k) * (1 - 0.6666666666666666::double) * b.mean), 6) as moving_mean, round(sum(pow(0.6666666666666666::double, a.k - b.k) * (1 - 0.6666666666666666::double) * b.var), 5) as moving_var
+select a.user_id, cast(a.day as int) as day, round(sum(pow(0.876543211::double, a.k - b.k) * (1 - 0.876543211::double) * b.mean), 6) as moving_mean, round(sum(pow(0.876543211::double, a.k - b.k) * (1 - 0.876543211::double) * b.var), 5) as moving_var
 from r a join r b on a.user_id = b.user_id and b.k <= a.k group by a.user_id, a.day
 """)
 def f07(spark, sf):
     d = events(spark, sf).groupBy("user_id", F.day("ts").alias("day")).agg(F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
-    m = op.moving_statistics(d, KEY, ["day"], ["mean", "var"], 2 / 3)
+    m = op.moving_statistics(d, KEY, ["day"], ["mean", "var"], 0.876543211)
     return m.select("user_id", "day", F.round("moving_mean", 6).alias("moving_mean"), F.round("moving_var", 5).alias("moving_var"))
 
 
 @query("F08_velocity", f"""
 with r as (select event_id, user_id, value, row_number() over {W} as k from events)
-select a.event_id, a.user_id, round(sum(pow(0.5, a.k - b.k) * (1 / 3.0::double) * b.value), 7) as velocity from r a join r b on a.user_id = b.user_id and b.k <= a.k group by all
+select a.event_id, a.user_id, round(sum(pow(0.5, a.k - b.k) * 0.123456789::double * b.value), 7) as velocity from r a join r b on a.user_id = b.user_id and b.k <= a.k group by all
 """)
 def f08(spark, sf):
-    v = op.velocity(events(spark, sf), KEY, ORDER, "value", 0.5, 1 / 3)
+    v = op.velocity(events(spark, sf), KEY, ORDER, "value", 0.5, 0.123456789)
     return v.select("event_id", "user_id", F.round("velocity", 7).alias("velocity"))
 
 
