@@ -46,14 +46,21 @@ def snake_case(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, "[^a-zA-Z0-9]+", "_"), F.lit("_")))
 
 
+def two_decimals(x: Column) -> Column:
+    """Two decimals, rounded by the exact binary value as C and Python do (format_string rounds the shortest decimal)."""
+    return F.translate(F.format_number(x, 2), ",", "")
+
+
+# fixed values: decimal size units
+SIZE_UNITS = ((1e12, "TB"), (1e9, "GB"), (1e6, "MB"))
+
+
 def human_size(size: Column) -> Column:
     """Decimal KB, MB, GB or TB with two decimals."""
-    steps = [(1e12, "TB"), (1e9, "GB"), (1e6, "MB")]
-    out = F.lit(None).cast("string")
-    for unit, tag in reversed(steps):
-        out = F.when(size >= unit, F.format_string(f"%.2f {tag}", size / F.lit(unit))).otherwise(
-            out if tag != "MB" else F.format_string("%.2f KB", size / F.lit(1e3))
-        )
+    show = lambda unit, tag: F.concat(two_decimals(size / F.lit(unit)), F.lit(f" {tag}"))
+    out = show(1e3, "KB")
+    for unit, tag in reversed(SIZE_UNITS):
+        out = F.when(size >= unit, show(unit, tag)).otherwise(out)
     return out
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparrowmill.functions.rand import portable_rand
+from sparrowmill.functions.text import two_decimals
 from sparrowmill.operators.ordering import number_rows, position_in_key
 
 MAX_PIVOT = 1000
@@ -59,7 +60,7 @@ def sample_text(df: DataFrame, column: str) -> Column:
     """A value as shown in a profile: text cut at 50, arrays at 5 items, floats with 2 decimals."""
     kind = df.schema[column].dataType
     value = F.col(column)
-    number = lambda x: F.format_string("%.2f", x.cast("double"))
+    number = lambda x: two_decimals(x.cast("double"))
     if isinstance(kind, T.StringType):
         return F.when(F.length(value) > 50, F.concat(F.left(value, F.lit(50)), F.lit("..."))).otherwise(value)
     if isinstance(kind, (T.FloatType, T.DoubleType)):

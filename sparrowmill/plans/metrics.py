@@ -257,8 +257,8 @@ _L2 = "sqrt(list_sum(list_transform(v, lambda y: y * y)))"
 
 
 @query("E26_clip_norm", f"""
-with {E} select vec_id, {list6(f'list_transform(v, lambda x: x * least(1.0, 0.9 / {_L2}))')} as by_row,
- {list6('list_transform(v, lambda x: x * least(1.0, 10.0 / (select sqrt(sum(list_sum(list_transform(v, lambda y: y * y)))) from e)))')} as by_all from e
+with {E}, w as (select sqrt(sum(list_sum(list_transform(v, lambda y: y * y)))) as w from e)
+select vec_id, {list6(f'list_transform(v, lambda x: x * least(1.0, 0.9 / {_L2}))')} as by_row, {list6('list_transform(v, lambda x: x * least(1.0, 10.0 / w))')} as by_all from e, w
 """)
 def e26(spark, sf):
     e = emb(spark, sf)

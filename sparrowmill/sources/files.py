@@ -12,10 +12,11 @@ from sparrowmill.session import scratch_path, shared_root
 __all__ = ["scratch_path", "shared_root"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path holds any file, asked of the file source itself."""
+def _exists(spark: SparkSession, path: str, pattern: str = "*") -> bool:
+    """Whether the path holds a file of the given name pattern, asked of the file source itself."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").isEmpty()
+        return not files.load(path).select("path").isEmpty()
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return False
@@ -23,20 +24,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_split(spark: SparkSession, root: str, split: str, transform=None) -> DataFrame:
-    """Rows of `<split>-*.parquet` under root/data, or root when there is no data folder.
+    """Rows of one split below root/data, or below root when there is no data folder.
 
-    The shard name is in the column `shard`. A split without files is an error. `transform` is a
-    function DataFrame -> DataFrame applied on read.
+    A split is the folder `split=<split>` or the files `<split>-*.parquet`. The shard name is in the
+    column `shard`. A split without files is an error. `transform` is a function
+    DataFrame -> DataFrame applied on read.
     """
     root = root.rstrip("/")
     base = f"{root}/data" if _exists(spark, f"{root}/data") else root
-    reader = spark.read.option("pathGlobFilter", f"{split}-*.parquet")
-    try:
-        df = reader.parquet(base)
-    except Exception as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(f"no files of split {split!r} in {base}") from None
-        raise
+    if _exists(spark, f"{base}/split={split}"):
+        df = spark.read.parquet(f"{base}/split={split}")
+    elif _exists(spark, base, f"{split}-*.parquet"):
+        df = spark.read.option("pathGlobFilter", f"{split}-*.parquet").parquet(base)
+    else:
+        raise FileNotFoundError(f"no files of split {split!r} in {base}")
     df = df.withColumn("shard", F.col("_metadata.file_name"))
     return df.transform(transform) if transform else df
 
@@ -91,7 +92,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Files are split between tasks, so line numbers come from byte-ordered ids, not from one task.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), "value", F.col("_metadata.file_block_start").alias("_block"))
+    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = lines.select(
+        F.col("_metadata.file_name").alias("file"), "value", F.col("_metadata.file_block_start").alias("_block")
+    )
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
     numbered = number_rows(placed, "file", "_block", "_at", name="_i")
     first = numbered.groupBy("file").agg(F.min("_i").alias("_first"))
@@ -163,3 +167,19 @@ def write_shards(df: DataFrame, path: str, order, rows_per_shard: int, split: st
     placed = rows.withColumn("shard_id", F.floor(F.col("source_index") / rows_per_shard))
     placed = placed.repartition("shard_id").sortWithinPartitions("shard_id", "source_index")
     placed.write.mode("errorifexists").partitionBy("shard_id").parquet(f"{path}/data/split={split}")
+
+
+def write_split(df: DataFrame, root: str, split: str) -> None:
+    """Write the shards of a split to the folder root/data/split=<split>."""
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/data/split={split}")
+
+
+def write_lines(df: DataFrame, order, value: str, path: str) -> None:
+    """Text files that hold the rows' lines in order: earlier rows in earlier files."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed.select(value).write.mode("errorifexists").option("lineSep", "\n").text(path)
+
+
+def lines_across_files(lines: DataFrame) -> DataFrame:
+    """Number the lines of all files as one text, files in name order."""
+    return number_rows(lines.withColumnRenamed("line_no", "_l"), "file", "_l", name="line_no").drop("_l")
