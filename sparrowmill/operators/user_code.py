@@ -33,15 +33,14 @@ def map_rows(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
-def filter_rows(df: DataFrame, fn: Callable, *columns: str) -> DataFrame:
-    """Keep rows where fn(series, ...) is true; fn sees whole Arrow batches."""
-    import pandas as pd
+def filter_rows(df: DataFrame, fn: Callable) -> DataFrame:
+    """Keep rows where fn(pandas frame) is true; fn sees whole Arrow batches."""
 
-    @F.pandas_udf("boolean")
-    def keep(*cols: pd.Series) -> pd.Series:
-        return fn(*cols)
+    def run(batches):
+        for pdf in batches:
+            yield pdf[fn(pdf)]
 
-    return df.filter(keep(*columns))
+    return df.mapInPandas(run, df.schema)
 
 
 def metric(df: DataFrame, by, cells, fn: Callable, name: str = "metric") -> DataFrame:

@@ -29,7 +29,7 @@ def o01_rows(spark, sf):
 @query("O02_filter_rows", "select doc_id, lang from documents where text like 'A%' or n_chars > 5000")
 def o02(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang", "text", "n_chars")
-    return op.filter_rows(d, lambda t, n: t.str.startswith("A") | (n > 5000), "text", "n_chars").select("doc_id", "lang")
+    return op.filter_rows(d, lambda p: p.text.str.startswith("A") | (p.n_chars > 5000)).select("doc_id", "lang")
 
 
 @query("O03_user_metric", f"""

@@ -10,33 +10,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.operators.ordering import running_linear
-from sparrowmill.session import scratch_path
 
 
-def event_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     """Files of one folder as a stream, ts as a timestamp that can carry a watermark."""
-    raw = (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
-    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+
 
+def run_batches(stream: DataFrame, mode: str, handle, home: str):
+    """Process what has arrived since the last run with the same home folder.
 
-def run_batches(stream: DataFrame, mode: str, handle, label: str):
-    """Run the stream over what is there, one call of handle(df, batch_id) per micro-batch."""
-    state = scratch_path(stream.sparkSession, f"{label}-state")
+    handle(df, batch_id) is called once per micro-batch; batch numbers go on from run to run.
+    """
     job = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", state)
+        stream.writeStream.outputMode(mode).option("checkpointLocation", f"{home}/progress")
         .trigger(availableNow=True).foreachBatch(handle).start()
     )
     job.awaitTermination()
     return job
 
 
-def collect_batches(stream: DataFrame, mode: str, label: str) -> DataFrame:
-    """All rows the stream emits, with the number of their micro-batch in batch_id."""
-    out = scratch_path(stream.sparkSession, label)
-    run_batches(stream, mode, lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"), label)
+def collect_batches(stream: DataFrame, mode: str, home: str) -> DataFrame:
+    """All rows the stream has emitted, with the number of their micro-batch in batch_id."""
+    out = f"{home}/out"
+    run_batches(stream, mode, lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"), home)
     return stream.sparkSession.read.parquet(out)
 
 
@@ -46,10 +46,10 @@ def last_batch(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("batch_id") == top).drop("batch_id")
 
 
-def ingest(stream: DataFrame, required: list[str], label: str = "ingest") -> tuple[DataFrame, DataFrame]:
+def ingest(stream: DataFrame, required: list[str], home: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad): rows with every required field, and the others with the names of what they lack."""
     spark = stream.sparkSession
-    good, bad = scratch_path(spark, f"{label}-good"), scratch_path(spark, f"{label}-bad")
+    good, bad = f"{home}/good", f"{home}/bad"
 
     def split(df, i):
         lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
@@ -57,7 +57,7 @@ def ingest(stream: DataFrame, required: list[str], label: str = "ingest") -> tup
         marked.filter(F.size("lacking") == 0).drop("lacking").write.mode("overwrite").parquet(f"{good}/batch_id={i}")
         marked.filter(F.size("lacking") > 0).write.mode("overwrite").parquet(f"{bad}/batch_id={i}")
 
-    run_batches(stream, "append", split, label)
+    run_batches(stream, "append", split, home)
     return spark.read.parquet(good), spark.read.parquet(bad)
 
 
@@ -78,15 +78,15 @@ def running_accuracy(stream: DataFrame, key: str, hit: Column) -> DataFrame:
     return sums.withColumn("accuracy", F.col("hits") / F.col("n"))
 
 
-def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momentum: float, label: str = "ema") -> DataFrame:
+def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momentum: float, home: str) -> DataFrame:
     """(key, n, moving): the exponential mean per key after all micro-batches.
 
     A micro-batch is folded from zero in blocks, however large one key is. The stored state enters by
     one multiplication with momentum ** rows, so the state table has one row per key and version.
-    Rows are ordered inside a micro-batch; files have to arrive in time order.
+    Rows are ordered inside a micro-batch; a later micro-batch has to hold later rows.
     """
     spark = stream.sparkSession
-    states = scratch_path(spark, f"{label}-versions")
+    states = f"{home}/states"
     schema = f"{key} {dict(stream.dtypes)[key]}, n bigint, moving double"
 
     def advance(df, i):
@@ -99,19 +99,19 @@ def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momen
         new = both.select(key, grown.alias("n"), (carried + F.coalesce("_s", F.lit(0.0))).alias("moving"))
         new.write.mode("overwrite").parquet(f"{states}/version={i}")
 
-    run_batches(stream, "append", advance, label)
+    run_batches(stream, "append", advance, home)
     return last_batch(spark.read.parquet(states).withColumnRenamed("version", "batch_id"))
 
 
-def late_rows(stream: DataFrame, every: str, late: str, label: str = "late") -> tuple[DataFrame, int]:
-    """(closed windows, dropped): append-mode window counts and how many late rows the watermark dropped.
+def late_rows(stream: DataFrame, every: str, late: str, home: str) -> tuple[DataFrame, int]:
+    """(window counts, dropped): rows kept per window so far, and late rows the watermark dropped in this run.
 
     The rows are deduplicated by event_id within the watermark first, so drops are counted per row and
     not per partial aggregate.
     """
-    out = scratch_path(stream.sparkSession, label)
+    out = f"{home}/out"
     unique = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-    job = run_batches(unique, "append", lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"), label)
+    job = run_batches(unique, "append", lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"), home)
     dropped = sum(op.numRowsDroppedByWatermark for p in job.recentProgress for op in p.stateOperators)
     kept = stream.sparkSession.read.parquet(out)
     return kept.groupBy(F.window("ts", every)).agg(F.count("*").alias("n")).select("window.start", "n"), dropped
