@@ -3,8 +3,7 @@
 from importlib import import_module
 
 GROUPS = (
-    "sources profile relational joins metrics series sampling sets scalars corpus features boxes augment "
-    "streams user_code"
+    "sources profile relational metrics series sampling sets scalars corpus features boxes augment streams user_code"
 ).split()
 
 
