@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from sparrowmill.functions.arrays import let, pad
 from sparrowmill.functions.rand import portable_rand
 from sparrowmill.operators.ordering import number_rows
+from sparrowmill.session import materialize
 
 HOT_KEYS = 1000
+MAP_SIDE_ROWS = 1_000_000
+MAP_SIDE_BYTES = 64 << 20
 
 
 def explode_tokens(df: DataFrame, tokens: Column, keep=("doc_id",), name: str = "token") -> DataFrame:
@@ -40,24 +43,39 @@ def most_common(counts: DataFrame, k: int, item: str = "gram") -> DataFrame:
 
 
 def build_vocab(df: DataFrame, tokens: Column, min_freq: int = 1, specials=("<unk>",)) -> DataFrame:
-    """Vocabulary (token, id, freq): specials first, then by falling frequency and rising token."""
+    """Stored vocabulary (token, id, freq): specials first, then by falling frequency and rising token."""
     counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     kept = counts.filter((F.col("freq") >= min_freq) & ~F.col("token").isin(*specials))
     ranked = number_rows(kept, F.desc("freq"), F.asc("token"), name="id", start=len(specials))
     head = df.sparkSession.createDataFrame(
         [(t, None, i) for i, t in enumerate(specials)], "token string, freq bigint, id bigint"
     )
-    return head.unionByName(ranked).select("token", "id", "freq")
+    return materialize(head.unionByName(ranked).select("token", "id", "freq"))
 
 
-def lookup(rows: DataFrame, dim: DataFrame, key: str, value: str, freq: str, spread: Column) -> DataFrame:
+def fits_in_tasks(dim: DataFrame, key: str, limit: int = MAP_SIDE_ROWS, max_bytes: int = MAP_SIDE_BYTES) -> bool:
+    """Whether a stored dimension is small enough to be sent to every task."""
+    size = dim.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))).first()
+    return size[0] <= limit and size[1] <= max_bytes
+
+
+def lookup(
+    rows: DataFrame, dim: DataFrame, key: str, value: str, freq: str, spread: Column, stored: bool = False,
+    limit: int = MAP_SIDE_ROWS,
+) -> DataFrame:
     """Left join of rows to a dimension whose keys may be very unequal in frequency.
 
-    Keys that make up at least one part in HOT_KEYS of the dimension's total frequency are at most
-    HOT_KEYS many, so they are broadcast. The remaining rows meet the other keys in an ordinary join;
-    rows already served get a key that matches nothing and differs by `spread`, so they do not pile up.
+    The dimension is stored and measured; a small one is broadcast. Of a larger one, the keys that make
+    up at least one part in HOT_KEYS of the total frequency are at most HOT_KEYS many and are broadcast.
+    The remaining rows meet the other keys in an ordinary join; rows already served get a key that
+    matches nothing and differs by `spread`, so they do not pile up.
     """
+    dim = dim if stored else materialize(dim.select(key, value, freq))
+    small = fits_in_tasks(dim, key, limit)
     dim = dim.select(F.col(key).alias("_k"), F.col(value).alias("_v"), F.col(freq).alias("_f"))
+    if small:
+        out = rows.join(F.broadcast(dim), F.col(key) == F.col("_k"), "left")
+        return out.select(*rows.columns, F.col("_v").alias(value))
     dim = dim.filter(F.col("_k").isNotNull())
     share = dim.agg((F.sum("_f") / HOT_KEYS).alias("s")).scalar()
     is_hot = F.coalesce(F.col("_f") >= share, F.lit(False))
@@ -72,30 +90,70 @@ def lookup(rows: DataFrame, dim: DataFrame, key: str, value: str, freq: str, spr
     return out.select(*rows.columns, F.coalesce("_hv", "_cv").alias(value))
 
 
-def encode_tokens(long: DataFrame, vocab: DataFrame, unk: int = 0, doc: str = "doc_id") -> DataFrame:
+def encode_tokens(
+    long: DataFrame, vocab: DataFrame, unk: int = 0, doc: str = "doc_id", limit: int = MAP_SIDE_ROWS
+) -> DataFrame:
     """Token ids in long form; tokens outside the vocabulary get the unknown id."""
-    found = lookup(long, vocab, "token", "id", "freq", F.xxhash64(doc, "pos"))
+    found = lookup(long, vocab, "token", "id", "freq", F.xxhash64(doc, "pos"), stored=True, limit=limit)
     return found.withColumn("id", F.coalesce("id", F.lit(unk).cast("bigint")))
 
 
-def encode_rows(df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0) -> DataFrame:
-    """(key, ids): the ids of a row's tokens in order. Rows without a token get an empty array."""
+def encode_rows(
+    df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0, limit: int = MAP_SIDE_ROWS
+) -> DataFrame:
+    """(key, ids): the ids of a row's tokens in order. Rows without a token get an empty array.
+
+    A vocabulary of at most `limit` entries goes to every task and nothing is shuffled. A larger one
+    is joined to the tokens in long form.
+    """
+    if fits_in_tasks(vocab, "token", limit):
+        return _map_arrays(df.select(key, tokens.alias("tokens")), vocab, key, "token", "id", unk)
     long = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    coded = encode_tokens(long, vocab, unk, doc=key)
+    coded = encode_tokens(long, vocab, unk, key, limit)
     pair = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
     arrays = coded.groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
     return arrays.select(key, F.transform("_p", lambda p: p["id"]).alias("ids"))
 
 
-def decode_rows(coded: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
+def decode_rows(coded: DataFrame, vocab: DataFrame, key: str, limit: int = MAP_SIDE_ROWS) -> DataFrame:
     """(key, tokens): the inverse of encode_rows."""
+    if fits_in_tasks(vocab, "token", limit):
+        return _map_arrays(coded.select(key, "ids"), vocab, key, "id", "token", None)
     long = coded.select(key, F.posexplode("ids").alias("pos", "id")).withColumn("id", F.col("id").cast("string"))
     dim = vocab.withColumn("id", F.col("id").cast("string")).withColumn("freq", F.coalesce("freq", F.lit(0)))
-    named = lookup(long, dim, "id", "token", "freq", F.xxhash64(key, "pos"))
+    named = lookup(long, dim, "id", "token", "freq", F.xxhash64(key, "pos"), stored=True, limit=limit)
     arrays = named.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_p"))
     return arrays.select(key, F.transform("_p", lambda p: p["token"]).alias("tokens"))
 
 
+def _map_arrays(df: DataFrame, vocab: DataFrame, key: str, source: str, target: str, default) -> DataFrame:
+    """Replace the elements of the array column of (key, array) by the vocabulary, in Arrow batches."""
+    import pyarrow as pa
+
+    rows = vocab.select(source, target).toArrow().combine_chunks()
+    table = df.sparkSession.sparkContext.broadcast((rows[source].combine_chunks(), rows[target].combine_chunks()))
+    out = "ids" if target == "id" else "tokens"
+    kinds = dict(vocab.dtypes)
+
+    def translate(batches):
+        import pyarrow.compute as pc
+
+        keys, values = table.value
+        for batch in batches:
+            arrays = batch.column(1)
+            at = pc.index_in(arrays.flatten().cast(keys.type), value_set=keys)
+            found = values.take(at)
+            if default is not None:
+                found = pc.fill_null(found, pa.scalar(default, values.type))
+            lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+            offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets, found)], names=[key, out]
+            )
+
+    return df.mapInArrow(translate, f"`{key}` {dict(df.dtypes)[key]}, `{out}` array<{kinds[target]}>")
+
+
 def extend_vocab(vocab: DataFrame, new_tokens: list[str]) -> DataFrame:
     """Append tokens that are not there yet, in the given order, after the highest id."""
     spark = vocab.sparkSession
@@ -119,16 +177,19 @@ def unigram_probabilities(counts: DataFrame, eps: float = 0.0) -> DataFrame:
     )
 
 
-def bigram_probabilities(bigrams: DataFrame, unigrams: DataFrame, eps: float) -> DataFrame:
+def bigram_probabilities(
+    bigrams: DataFrame, unigrams: DataFrame, eps: float, limit: int = MAP_SIDE_ROWS
+) -> DataFrame:
     """(w1, w2, n, p, p_smooth) with p = n(w1,w2)/n(w1) and the back-off (n(w1,w2)+eps*p(w2))/(n(w1)+eps)."""
+    unigrams = materialize(unigrams)  # one row per distinct word, used three times
     total = unigrams.agg(F.sum("n")).scalar()
     first = unigrams.select(F.col("gram").alias("w1"), F.col("n").alias("n1"), F.col("n").alias("f"))
     second = unigrams.select(F.col("gram").alias("w2"), F.col("n").alias("n2"), F.col("n").alias("f"))
     pairs = bigrams.select(
         F.split("gram", " ")[0].alias("w1"), F.split("gram", " ")[1].alias("w2"), F.col("n"), F.col("gram")
     )
-    pairs = lookup(pairs, first, "w1", "n1", "f", F.xxhash64("gram"))
-    pairs = lookup(pairs, second, "w2", "n2", "f", F.xxhash64("gram"))
+    pairs = lookup(pairs, first, "w1", "n1", "f", F.xxhash64("gram"), stored=True, limit=limit)
+    pairs = lookup(pairs, second, "w2", "n2", "f", F.xxhash64("gram"), stored=True, limit=limit)
     back_off = F.col("n2") / total
     return pairs.select(
         "gram", "w1", "w2", "n",

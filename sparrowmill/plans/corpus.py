@@ -6,6 +6,7 @@ from sparrowmill.functions import text as tx
 from sparrowmill.operators import corpus as op
 from sparrowmill.operators import metrics as mx
 from sparrowmill.plans.registry import query, rand_sql
+from sparrowmill.session import materialize, spread
 from sparrowmill.tables import table
 
 WORDS = "list_filter(string_split(lower(regexp_replace({c}, '[^A-Za-z]+', ' ', 'g')), ' '), lambda w_: w_ <> '')"
@@ -54,7 +55,7 @@ def side_sql(side: str, specials: int, min_freq: int, unk: int) -> str:
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 def doc_words():
@@ -326,8 +327,10 @@ select source, doc_id, len, round(score, 6) as score, cast(rank as int) as rank
 """)
 def j17(spark, sf):
     d = docs(spark, sf)
-    by_doc = op.ngram_counts(d, doc_words(), 2, by=["doc_id"])
-    scores = op.sequence_scores(by_doc, bigram_model(spark, sf)).join(d.select("doc_id", "source"), "doc_id")
+    by_doc = materialize(op.ngram_counts(d, doc_words(), 2, by=["doc_id"]))
+    pairs = by_doc.groupBy("gram").agg(F.sum("n").alias("n"))
+    model = op.bigram_probabilities(pairs, op.ngram_counts(d, doc_words(), 1), 2.0)
+    scores = op.sequence_scores(by_doc, model).join(d.select("doc_id", "source"), "doc_id")
     top = op.top_per_group(scores, ["source"], [F.desc(F.round("score", 8)), "doc_id"], 3)
     return top.select("source", "doc_id", "len", F.round("score", 6).alias("score"), "rank")
 

@@ -12,6 +12,7 @@ from sparrowmill.operators.augment import schedule
 from sparrowmill.plans.corpus import IDS, joined_sql
 from sparrowmill.plans.fixtures import BOXES_SQL, IOU_SQL, SCHEDULE_SQL, STEP_SQL, boxes, step_of
 from sparrowmill.plans.registry import list6, query
+from sparrowmill.session import spread
 from sparrowmill.tables import table
 
 
@@ -132,7 +133,7 @@ select coalesce(id, 0) as id, count(*) as n, count(distinct token) as tokens, ca
 from tok left join v2 using (token) group by all
 """)
 def d05(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     words = tx.words(F.col("text"))
     coded = cp.encode_tokens(cp.explode_tokens(d, words), cp.build_vocab(d, words, 5))
     per_token = coded.groupBy("id", "token").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))

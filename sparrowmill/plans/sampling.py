@@ -8,6 +8,7 @@ from sparrowmill.operators import corpus as cp
 from sparrowmill.operators import sampling as op
 from sparrowmill.plans.corpus import UNI
 from sparrowmill.plans.registry import list6, query, rand_sql
+from sparrowmill.session import spread
 from sparrowmill.tables import table
 
 
@@ -94,7 +95,7 @@ def g10(spark, sf):
 
 @query("G11_most_common", f"with {UNI} select token as gram, n from uni order by n desc, token limit 10")
 def g11(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return cp.most_common(cp.ngram_counts(d, tx.words(F.col("text")), 1), 10)
 
 

@@ -9,6 +9,7 @@ from sparrowmill.operators import series as op
 from sparrowmill.operators.sampling import batches
 from sparrowmill.plans.corpus import BI, UNI
 from sparrowmill.plans.registry import query
+from sparrowmill.session import spread
 from sparrowmill.tables import table
 
 KEY, ORDER = ["user_id"], ["ts", "event_id"]
@@ -180,7 +181,7 @@ def f15(spark, sf):
 with {UNI}, r as (select token as gram, n, row_number() over (order by n desc, token) as rank from uni) select gram, n, rank, round(ln(rank), 9) as log_rank, round(ln(n), 9) as log_n from r
 """)
 def f16(spark, sf):
-    z = op.rank_frequency(cp.ngram_counts(table(spark, sf, "documents"), tx.words(F.col("text")), 1))
+    z = op.rank_frequency(cp.ngram_counts(spread(table(spark, sf, "documents")), tx.words(F.col("text")), 1))
     return z.select("gram", "n", "rank", F.round("log_rank", 9).alias("log_rank"), F.round("log_n", 9).alias("log_n"))
 
 
@@ -191,7 +192,7 @@ r as (select k, ln(n) as y, ln(row_number() over (partition by k order by n desc
 select k, round(-regr_slope(y, x), 8) as exponent, count(*) as n_items from r group by k
 """)
 def f17(spark, sf):
-    d, w = table(spark, sf, "documents"), tx.words(F.col("text"))
+    d, w = spread(table(spark, sf, "documents")), tx.words(F.col("text"))
     parts = [op.zipf_exponent(op.rank_frequency(cp.ngram_counts(d, w, k))).withColumn("k", F.lit(k)) for k in (1, 2, 3)]
     both = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return both.select("k", F.round("exponent", 8).alias("exponent"), "n_items")

@@ -47,12 +47,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the reliable checkpoint folder and read them from there.
+    """Write the rows as Parquet to the shared folder and read them from there.
 
-    Row order inside a partition and the partition layout survive, also when executors are lost.
+    Cuts the lineage: what follows reads a fixed result, also when executors are lost, and only the
+    columns it needs.
     """
-    spark = df.sparkSession
-    root = shared_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table scan that arrives in fewer partitions than there are cores.
+
+    Text work is bound by the processor, and a small file is one task. A scan with enough partitions,
+    as on any large table, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(2 * cores)
