@@ -155,8 +155,8 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, discrete, arrays, atol: floa
 
 def same_order(a: DataFrame, b: DataFrame, order_a, order_b, key: str) -> DataFrame:
     """One row: positions at which the two sides hold different keys."""
-    left = number_rows(a.select(key, *order_a), *order_a, name="_i").select("_i", F.col(key).alias("_a"))
-    right = number_rows(b.select(key, *order_b), *order_b, name="_i").select("_i", F.col(key).alias("_b"))
+    left = number_rows(a.select(*dict.fromkeys([key, *order_a])), *order_a, name="_i").select("_i", F.col(key).alias("_a"))
+    right = number_rows(b.select(*dict.fromkeys([key, *order_b])), *order_b, name="_i").select("_i", F.col(key).alias("_b"))
     moved = F.sum(F.when(F.col("_a").eqNullSafe(F.col("_b")), 0).otherwise(1))
     return left.join(right, "_i", "full").agg(moved.alias("moved"))
 

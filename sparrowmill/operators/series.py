@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.arrays import dot
-from sparrowmill.operators.corpus import top_per_group
+from sparrowmill.operators.corpus import lookup, top_per_group
 from sparrowmill.operators.ordering import (
     BLOCK_ROWS, in_blocks, number_rows, own_rows, position_in_key, running, running_linear, shifted,
 )
@@ -64,14 +64,18 @@ def correlate(df: DataFrame, keys, order, value: str, kernel, rows: int = BLOCK_
 def block_pool(df: DataFrame, keys, order, value: str, size: int, stride: int, padding: int = 0) -> DataFrame:
     """Strided pooling with padding: per output cell the max and the mean (padding counts 0 in the mean)."""
     placed = position_in_key(df, keys, order, "_p")
-    lengths = df.groupBy(*keys).agg((F.floor((F.count("*") + 2 * padding - size) / stride) + 1).alias("_cells"))
+    whole = F.to_json(F.struct(*keys))
+    cells = (F.floor((F.col("_n") + 2 * padding - size) / stride) + 1).alias("_cells")
+    lengths = df.groupBy(whole.alias("_key")).agg(F.count("*").alias("_n")).select("_key", cells, "_n")
     at = F.col("_p") - 1 + padding
     first = F.greatest(F.ceil((at - size + 1) / stride), F.lit(0)).cast("bigint")
     last = F.floor(at / stride).cast("bigint")
-    cells = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-    spread = placed.select(*keys, value, F.explode(cells).alias("cell"))
+    hit = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    spread = placed.select(*keys, value, F.explode(hit).alias("cell"))
     pooled = spread.groupBy(*keys, "cell").agg(F.max(value).alias("pool_max"), (F.sum(value) / size).alias("pool_avg"))
-    return pooled.join(lengths, list(keys)).filter(F.col("cell") < F.col("_cells")).drop("_cells")
+    # the series length decides which cells are complete; a long series must not load one join task
+    sized = lookup(pooled.withColumn("_key", whole), lengths, "_key", "_cells", "_n", F.xxhash64("_key", "cell"))
+    return sized.filter(F.col("cell") < F.col("_cells")).drop("_cells", "_key")
 
 
 def time_split(df: DataFrame, order, n: int) -> DataFrame:

@@ -49,7 +49,7 @@ def verify_checksums(df: DataFrame, manifest: DataFrame, key: str, content: str)
 def assemble(columns: dict[str, tuple[DataFrame, list]]) -> DataFrame:
     """Rows from parallel columns by position: each frame holds one value column and an order."""
     parts = [
-        number_rows(df.select(F.col(name), *order), *order, name="source_index").select("source_index", name)
+        number_rows(df.select(*dict.fromkeys([name, *order])), *order, name="source_index").select("source_index", name)
         for name, (df, order) in columns.items()
     ]
     return reduce(lambda a, b: a.join(b, "source_index"), parts)
