@@ -102,10 +102,12 @@ def running(df: DataFrame, keys, order, outputs: dict, rows: int = BLOCK_ROWS) -
     """
     numbered = number_rows(df, *keys, *order, name="_pos")
     numbered = numbered.withColumn("_block", F.floor(F.col("_pos") / rows))
+    # one shuffle by block serves the windows and the join with the carry
+    placed = numbered.repartition("_block")
     scan = Window.partitionBy("_block", *keys).orderBy("_pos")
     frame = lambda kind: scan.rowsBetween(Window.unboundedPreceding, -1 if kind.endswith("_before") else 0)
     base = {n: (kind.removesuffix("_before"), col) for n, (kind, col) in outputs.items()}
-    local = numbered.select(
+    local = placed.select(
         "*", *[_KINDS[base[n][0]][0](col).over(frame(kind)).alias(f"_l_{n}") for n, (kind, col) in outputs.items()]
     )
     carry = _carry(numbered, keys, rows, base)
@@ -144,51 +146,64 @@ def position_in_key(df: DataFrame, keys, order, name: str = "pos", rows: int = B
 
 
 def running_linear(
-    df: DataFrame, keys, order, value: str, decay: float, gain: float, name: str, rows: int = BLOCK_ROWS
+    df: DataFrame, keys, order, outputs: dict[str, str], decay: float, gain: float, rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Per key the recurrence s = decay * s + gain * value, starting at 0.
 
-    A block is folded from zero inside a task. The state that enters a block adds decay**k times
-    itself to the k-th row, so blocks are independent until the short fold over block ends.
+    `outputs` maps a new column to its value column. A block is folded from zero inside a task. The
+    state that enters a block adds decay**k times itself to the k-th row, so blocks are independent
+    until the short fold over block ends.
     """
     numbered = number_rows(df, *keys, *order, name="_pos")
     numbered = numbered.withColumn("_block", F.floor(F.col("_pos") / rows))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema.fields)
+    names = list(outputs)
+
+    def fields(schema):
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
     def fold(pdf):
         pdf = pdf.sort_values("_pos")
         held = pdf[list(keys)].astype(object).where(pdf[list(keys)].notna(), None)
-        heads = (held.values[1:] != held.values[:-1]).any(axis=1).tolist()
-        state, step, states, steps = 0.0, 0, [], []
-        for head, x in zip([True, *heads], pdf[value].tolist()):
-            if head:
-                state, step = 0.0, 0
-            state = decay * state + gain * x
-            step += 1
-            states.append(state)
+        heads = [True, *(held.values[1:] != held.values[:-1]).any(axis=1).tolist()]
+        step, steps = 0, []
+        for head in heads:
+            step = 1 if head else step + 1
             steps.append(step)
-        return pdf.assign(_s=states, _k=steps)
-
-    local = numbered.groupBy("_block").applyInPandas(fold, f"{fields}, `_s` double, `_k` bigint")
+        added = {"_k": steps}
+        for name, value in outputs.items():
+            state, states = 0.0, []
+            for head, x in zip(heads, pdf[value].tolist()):
+                state = (0.0 if head else decay * state) + gain * x
+                states.append(state)
+            added[f"_s_{name}"] = states
+        return pdf.assign(**added)
+
+    made = ", ".join(f"`_s_{n}` double" for n in names)
+    local = numbered.groupBy("_block").applyInPandas(fold, f"{fields(numbered.schema)}, `_k` bigint, {made}")
     local = materialize(local)
     ends = local.groupBy("_block", *keys).agg(
-        F.min("_pos").alias("_from"), F.max("_pos").alias("_upto"),
-        F.max_by("_s", "_pos").alias("_end"), F.max("_k").alias("_len"),
+        F.min("_pos").alias("_from"), F.max("_pos").alias("_upto"), F.max("_k").alias("_len"),
+        *[F.max_by(f"_s_{n}", "_pos").alias(f"_e_{n}") for n in names],
     )
     edges = ends.filter((F.col("_from") % rows == 0) | (F.col("_upto") % rows == rows - 1))
     groups = list(keys) or [F.lit(0).alias("_all")]
 
     def chain(pdf):
         pdf = pdf.sort_values("_block")
-        state, enter = 0.0, []
-        for end, length in zip(pdf["_end"].tolist(), pdf["_len"].tolist()):
-            enter.append(state)
-            state = end + decay ** length * state
-        return pdf.assign(_enter=enter)[["_block", "_upto", "_enter"]].rename(columns={"_block": "_cb"})
-
-    carry = edges.groupBy(*groups).applyInPandas(chain, "_cb bigint, _upto bigint, _enter double")
-    joined = local.join(
-        carry.filter("_enter <> 0"), (F.col("_block") == F.col("_cb")) & (local["_pos"] <= carry["_upto"]), "left"
-    )
-    total = F.col("_s") + F.coalesce(F.pow(F.lit(decay), "_k") * F.col("_enter"), F.lit(0.0))
-    return joined.select(*df.columns, total.alias(name))
+        out = pdf[["_block", "_upto"]].rename(columns={"_block": "_cb"})
+        for n in names:
+            state, enter = 0.0, []
+            for end, length in zip(pdf[f"_e_{n}"].tolist(), pdf["_len"].tolist()):
+                enter.append(state)
+                state = end + decay ** length * state
+            out[f"_c_{n}"] = enter
+        return out
+
+    entering = ", ".join(f"`_c_{n}` double" for n in names)
+    carry = edges.groupBy(*groups).applyInPandas(chain, f"_cb bigint, _upto bigint, {entering}")
+    # at most two rows per block; stored, so that Spark knows the size when it picks the join
+    carry = materialize(carry.filter(" or ".join(f"`_c_{n}` <> 0" for n in names)))
+    joined = local.join(carry, (F.col("_block") == F.col("_cb")) & (local["_pos"] <= carry["_upto"]), "left")
+    grown = F.pow(F.lit(decay), "_k")
+    result = [(F.col(f"_s_{n}") + F.coalesce(grown * F.col(f"_c_{n}"), F.lit(0.0))).alias(n) for n in names]
+    return joined.select(*df.columns, *result)

@@ -96,14 +96,12 @@ def cumulative_product(df: DataFrame, keys, order, value: Column, rows: int = BL
 
 def moving_statistics(df: DataFrame, keys, order, columns, momentum: float, rows: int = BLOCK_ROWS) -> DataFrame:
     """m = momentum * m + (1 - momentum) * x for each column, starting at 0."""
-    for c in columns:
-        df = running_linear(df, keys, order, c, momentum, 1 - momentum, f"moving_{c}", rows)
-    return df
+    return running_linear(df, keys, order, {f"moving_{c}": c for c in columns}, momentum, 1 - momentum, rows)
 
 
 def velocity(df: DataFrame, keys, order, value: str, gamma: float, rate: float, rows: int = BLOCK_ROWS) -> DataFrame:
     """v = gamma * v + rate * x, starting at 0."""
-    return running_linear(df, keys, order, value, gamma, rate, "velocity", rows)
+    return running_linear(df, keys, order, {"velocity": value}, gamma, rate, rows)
 
 
 def recursive_forecast(df: DataFrame, keys, recent_first, value: str, coeff, steps: int) -> DataFrame:

@@ -90,7 +90,7 @@ def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momen
     schema = f"{key} {dict(stream.dtypes)[key]}, n bigint, moving double"
 
     def advance(df, i):
-        folded = running_linear(df.select(key, *order, value), [key], order, value, momentum, 1 - momentum, "_s")
+        folded = running_linear(df.select(key, *order, value), [key], order, {"_s": value}, momentum, 1 - momentum)
         batch = folded.groupBy(key).agg(F.count("*").alias("_n"), F.max_by("_s", F.struct(*order)).alias("_s"))
         old = spark.read.schema(schema).parquet(f"{states}/version={i - 1}") if i else spark.createDataFrame([], schema)
         both = old.join(batch, key, "full")

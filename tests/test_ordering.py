@@ -63,7 +63,7 @@ def test_running_without_key(frame, data):
 
 
 def test_running_linear(frame, data):
-    got, want = ordered(running_linear(frame, ["k"], ["t"], "v", 0.9, 0.1, "m", rows=ROWS), data)
+    got, want = ordered(running_linear(frame, ["k"], ["t"], {"m": "v"}, 0.9, 0.1, rows=ROWS), data)
     expect, last, state = [], None, 0.0
     for k, v in zip(want.k, want.v):
         state = 0.9 * (state if k == last else 0.0) + 0.1 * v
