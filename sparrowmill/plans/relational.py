@@ -30,11 +30,11 @@ def c02(spark, sf):
     return table(spark, sf, "documents").filter(keep).select("doc_id", "lang", "n_chars")
 
 
-@query("C03_map_column", "select doc_id, md5('My sentence: ' || text) as digest, 'My sentence: ' || lang as tag from documents")
+@query("C03_map_column", "select doc_id, md5('text is ' || text) as digest, 'text is ' || lang as tag from documents")
 def c03(spark, sf):
     d = table(spark, sf, "documents")
-    mapped = d.withColumn("text", F.concat(F.lit("My sentence: "), "text"))
-    return mapped.select("doc_id", F.md5("text").alias("digest"), F.concat(F.lit("My sentence: "), "lang").alias("tag"))
+    mapped = d.withColumn("text", F.concat(F.lit("text is "), "text"))
+    return mapped.select("doc_id", F.md5("text").alias("digest"), F.concat(F.lit("text is "), "lang").alias("tag"))
 
 
 @query("C04_take_rows", """

@@ -20,10 +20,10 @@ def o01(spark, sf):
     return op.map_batches(d, fn, "doc_id bigint, lang string, half double, len bigint")
 
 
-@query("O01_map_rows", "select doc_id, 'My sentence: ' || lang as tag from documents")
+@query("O01_map_rows", "select doc_id, 'text is ' || lang as tag from documents")
 def o01_rows(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang")
-    return op.map_rows(d, lambda r: {"doc_id": r["doc_id"], "tag": "My sentence: " + r["lang"]}, "doc_id bigint, tag string")
+    return op.map_rows(d, lambda r: {"doc_id": r["doc_id"], "tag": "text is " + r["lang"]}, "doc_id bigint, tag string")
 
 
 @query("O02_filter_rows", "select doc_id, lang from documents where text like 'A%' or n_chars > 5000")

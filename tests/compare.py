@@ -15,6 +15,10 @@ import duckdb
 from sparrowmill.tables import TABLES
 
 
+# Spark type name: SQL type name
+KINDS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -67,9 +71,9 @@ def compare(spark, con, fn, sql, sf_dir):
     bad = [(x, y) for x, y in zip(a, b) if x != y]
     if bad:
         return len(got), f"{len(bad)} of {len(a)} rows differ, e.g. {str(bad[0][0])[:300]} vs {str(bad[0][1])[:300]}"
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    types = {f.name: KINDS.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema.fields}
     for name, d in zip(want_cols, cur.description):
-        if "HUGEINT" in str(d[1]).upper() or ("DECIMAL" in str(d[1]).upper() and "decimal" not in types[name]):
+        if str(d[1]) != types[name]:
             return len(got), f"type of {name}: {d[1]} vs {types[name]}"
     return len(got), None
 
