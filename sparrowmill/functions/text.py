@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # fixed values: no-break space and narrow no-break space
-NO_BREAK_SPACES = "  "
+NO_BREAK_SPACES = "\u00a0\u202f"
 
 
 def clean_line(text: Column) -> Column:

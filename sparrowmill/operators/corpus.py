@@ -178,7 +178,7 @@ def unigram_probabilities(counts: DataFrame, eps: float = 0.0) -> DataFrame:
 
 
 def bigram_probabilities(
-    bigrams: DataFrame, unigrams: DataFrame, eps: float, limit: int = MAP_SIDE_ROWS
+    bigrams: DataFrame, unigrams: DataFrame, eps: float, limit: int = MAP_SIDE_ROWS, keep=()
 ) -> DataFrame:
     """(w1, w2, n, p, p_smooth) with p = n(w1,w2)/n(w1) and the back-off (n(w1,w2)+eps*p(w2))/(n(w1)+eps)."""
     unigrams = materialize(unigrams)  # one row per distinct word, used three times
@@ -186,18 +186,38 @@ def bigram_probabilities(
     first = unigrams.select(F.col("gram").alias("w1"), F.col("n").alias("n1"), F.col("n").alias("f"))
     second = unigrams.select(F.col("gram").alias("w2"), F.col("n").alias("n2"), F.col("n").alias("f"))
     pairs = bigrams.select(
-        F.split("gram", " ")[0].alias("w1"), F.split("gram", " ")[1].alias("w2"), F.col("n"), F.col("gram")
+        F.split("gram", " ")[0].alias("w1"), F.split("gram", " ")[1].alias("w2"), F.col("n"), F.col("gram"), *keep
     )
     pairs = lookup(pairs, first, "w1", "n1", "f", F.xxhash64("gram"), stored=True, limit=limit)
     pairs = lookup(pairs, second, "w2", "n2", "f", F.xxhash64("gram"), stored=True, limit=limit)
     back_off = F.col("n2") / total
     return pairs.select(
-        "gram", "w1", "w2", "n",
+        "gram", "w1", "w2", "n", *keep,
         (F.col("n") / F.col("n1")).alias("p"),
         ((F.col("n") + F.lit(eps) * back_off) / (F.col("n1") + F.lit(eps))).alias("p_smooth"),
     )
 
 
+def perplexity(df: DataFrame, tokens: Column, by: str, eps: float, max_groups: int = 1000) -> DataFrame:
+    """(by, n, perplexity): exp of the mean negative log-likelihood per bigram under the smoothed model.
+
+    Bigrams are counted per group once. With few groups (checked) the counts of a bigram stay in one
+    row, at most one per group, while its probability is found; with many they are joined.
+    """
+    counts = materialize(ngram_counts(df, tokens, 2, by=[by]))
+    unigrams = ngram_counts(df, tokens, 1)
+    if counts.select(by).distinct().limit(max_groups + 1).count() <= max_groups:
+        parts = F.collect_list(F.struct(by, F.col("n").alias("_c"))).alias("_parts")
+        pairs = counts.groupBy("gram").agg(F.sum("n").alias("n"), parts)
+        scored = bigram_probabilities(pairs, unigrams, eps, keep=["_parts"]).select("p_smooth", F.inline("_parts"))
+    else:
+        pairs = counts.groupBy("gram").agg(F.sum("n").alias("n"))
+        model = bigram_probabilities(pairs, unigrams, eps).select("gram", "p_smooth")
+        scored = counts.withColumnRenamed("n", "_c").join(model, "gram")
+    loss = -F.sum(F.col("_c") * F.log("p_smooth")) / F.sum("_c")
+    return scored.groupBy(by).agg(F.sum("_c").alias("n"), F.exp(loss).alias("perplexity"))
+
+
 def random_windows(coded: DataFrame, key: str, steps: int, batch_size: int, seed: int) -> DataFrame:
     """Input and target windows at a random offset, shuffled, in full batches.
 

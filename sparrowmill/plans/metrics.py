@@ -15,7 +15,7 @@ from sparrowmill.operators.sampling import contiguous_folds
 from sparrowmill.plans.corpus import MODEL, WORDS
 from sparrowmill.plans.fixtures import LOGITS_SQL, PRICE_SQL, RULE_SQL, logits, price, rule
 from sparrowmill.plans.registry import list6, query
-from sparrowmill.session import materialize, spread
+from sparrowmill.session import spread
 from sparrowmill.tables import TABLES, table
 
 E = "e as (select vec_id, label, cast(embedding as double[]) as v from embeddings)"
@@ -179,14 +179,8 @@ def e16(spark, sf):
 with {MODEL} select p.lang, count(*) as n, round(exp(-sum(ln(m.p_smooth)) / count(*)), 6) as perplexity from pairs p join model m on p.w1 = m.w1 and p.w2 = m.w2 group by p.lang
 """)
 def e17(spark, sf):
-    d, w = spread(table(spark, sf, "documents")), tx.words(F.col("text"))
-    counts = materialize(cp.ngram_counts(d, w, 2, by=["lang"]))
-    pairs = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-    model = cp.bigram_probabilities(pairs, cp.ngram_counts(d, w, 1), 2.0)
-    scored = counts.join(model.select("gram", "p_smooth"), "gram")
-    return scored.groupBy("lang").agg(
-        F.sum("n").alias("n"), r(F.exp(-F.sum(F.col("n") * F.log("p_smooth")) / F.sum("n")), 6, "perplexity")
-    )
+    p = cp.perplexity(spread(table(spark, sf, "documents")), tx.words(F.col("text")), "lang", 2.0)
+    return p.select("lang", "n", r("perplexity", 6, "perplexity"))
 
 
 @query("E18_label_score", f"""

@@ -126,6 +126,10 @@ def test_text_functions(spark):
     assert (r.e, r.f, r.g, r.h, r.i) == ("68.20 GB", "1.50 KB", "val", "part", "1500.00 TB")
 
 
+def test_no_break_spaces_become_spaces(spark):
+    assert one(spark, v=tx.space_punctuation(F.lit("Oui\u202f!\u00a0non,"))).v == "oui ! non ,"
+
+
 def test_decode_replaces_invalid_bytes(spark):
     df = spark.createDataFrame([(bytearray(b"ab\xffc"),)], "raw binary")
     assert df.select(tx.decode_utf8(F.col("raw"))).first()[0] == "ab�c"

@@ -12,10 +12,14 @@ from sparrowmill.operators import corpus as cp
 from sparrowmill.operators import metrics as mx
 from sparrowmill.operators import profile as pf
 from sparrowmill.operators import vectors as vx
+from sparrowmill.plans import load_all
 from sparrowmill.session import scratch_path
 from sparrowmill.sources import files as fs
 
 
+load_all()
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rng = np.random.default_rng(1)
@@ -51,6 +55,30 @@ def test_bigram_model_by_join_equals_broadcast(docs):
     assert a == b and len(a) > 10
 
 
+def test_perplexity_by_join_equals_packed(docs):
+    grouped = docs.withColumn("lang", (F.col("doc_id") % 3).cast("string"))
+    w = tx.words(F.col("text"))
+    a, b = ({r.lang: (r.n, round(r.perplexity, 9)) for r in cp.perplexity(grouped, w, "lang", 1.0, m).collect()} for m in (10, 1))
+    assert a == b and len(a) == 3
+
+
+def test_softmax_fit_beats_the_majority(spark):
+    from sparrowmill.plans.registry import QUERIES
+
+    row = QUERIES["E30_softmax_fit"](spark, "/root/testdata/sf0.001").first()
+    assert row.accuracy > row.majority
+
+
+def test_normal_solve(spark):
+    from sparrowmill.functions.scalars import normal_solve
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 2))
+    rows = [(float(a), float(b), float(2 * a - 3.4 * b + 4.2)) for a, b in x]
+    got = {r.term: r.weight for r in normal_solve(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "y").collect()}
+    assert got == pytest.approx({"bias": 4.2, "a": 2.0, "b": -3.4})
+
+
 def make_boxes(seed, n, crowd):
     rng = np.random.default_rng(seed)
     rows = []
