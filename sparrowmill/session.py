@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int = 8, app: str = "sparrowmill") -> SparkSession:
+def local_session(cores: int = 8, app: str = "sparrowmill", partitions: int | None = None) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own session."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.shuffle.partitions", str(partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

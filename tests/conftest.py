@@ -5,4 +5,4 @@ from sparrowmill.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    yield local_session(8, "tests")
+    yield local_session(8, "tests", partitions=3)
