@@ -12,6 +12,7 @@ from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.language_id import identify
 from sparrowmill.llm.mixing import mix_sources
 from sparrowmill.llm.piece_bpe import encode_documents
+from sparrowmill.llm.ppm import score_corpus
 from sparrowmill.llm.sharding import shard_documents
 from sparrowmill.llm.text import id_remainder, words_in
 from sparrowmill.llm.toxicity import score_toxicity
@@ -78,6 +79,13 @@ def dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op6_ppm")
+def partial_matching(spark, sf_dir):
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    scored = score_corpus(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op7_piece_bpe")
 def piece_bpe(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
