@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.language_id import identify
 from sparrowmill.llm.mixing import mix_sources
+from sparrowmill.llm.ngram_join import ngram_components
 from sparrowmill.llm.piece_bpe import encode_documents
 from sparrowmill.llm.ppm import score_corpus
 from sparrowmill.llm.sharding import shard_documents
@@ -135,3 +136,28 @@ def mixing(spark, sf_dir):
     weighted = documents.join(quality_weight(table(spark, sf_dir, "labels")), "doc_id", "left")
     mixed = mix_sources(weighted, F.col("size"), F.col("weight"))
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken"))
+
+
+@query("op9_ngram_join", """
+    with recursive w as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') as w from documents
+    ), g as (
+        select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from w where len(w) > 0)
+    ), n as (select doc_id, count(*) as n from g group by doc_id),
+    often as (select g from g group by g having count(*) > 1),
+    o as (
+        select x.doc_id as a, y.doc_id as b, count(*) as o
+        from (select * from g semi join often using (g)) x join (select * from g semi join often using (g)) y on x.g = y.g and x.doc_id <> y.doc_id
+        group by x.doc_id, y.doc_id
+    ), l as (
+        select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 80 * (x.n + y.n - o)
+    ), r as (
+        select doc_id as a, doc_id as c from documents union select r.a, l.b from r join l on l.a = r.c
+    )
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id
+    from documents d left join n using (doc_id) left join (select a, min(c) as c from r group by a) m on m.a = d.doc_id
+""")
+def ngram_join(spark, sf_dir):
+    return ngram_components(table(spark, sf_dir, "documents"))
