@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.mixing import mix_sources
+from sparrowmill.llm.ngram_join import ngram_components
 from sparrowmill.llm.piece_bpe import encode_documents
-from sparrowmill.llm.queries import quality_weight, toxic_scores
+from sparrowmill.llm.queries import quality_weight, toxic_labels
 from sparrowmill.llm.text import words_in
+from sparrowmill.llm.toxicity import without_toxic
 from sparrowmill.session import scratch_path
 from sparrowmill.tables import table
 
@@ -24,7 +26,7 @@ def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half."""
-    return kept(docs, toxic_scores(docs, table(spark, sf_dir, "labels")).filter("predicted = 0").select("doc_id"))
+    return without_toxic(docs, toxic_labels(table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,6 +34,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept(docs, exact_dedup(docs).filter("kept").select("doc_id"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group that links of similar texts form."""
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return kept(docs, ngram_components(docs).filter(first).select("doc_id"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     weights = quality_weight(table(spark, sf_dir, "labels"))
@@ -49,6 +57,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("mixing", mix),
     ("encoding", encode),
 ]

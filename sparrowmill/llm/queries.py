@@ -39,9 +39,9 @@ def quality_weight(labels: DataFrame) -> DataFrame:
     return best.select("doc_id", F.when(F.col("quality") > 0, 2.0).otherwise(0.5).alias("weight"))
 
 
-def toxic_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores of all documents, learned from the labels of the rows that are not held out."""
-    return score_toxicity(documents, labels.filter(id_remainder(F.col("doc_id"), 5) != 0).select("doc_id", "toxic"))
+def toxic_labels(labels: DataFrame) -> DataFrame:
+    """Labels of the rows that are not held out."""
+    return labels.filter(id_remainder(F.col("doc_id"), 5) != 0).select("doc_id", "toxic")
 
 
 @query("op1_language_id")
@@ -63,7 +63,7 @@ def sharding(spark, sf_dir):
 def toxicity(spark, sf_dir):
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = id_remainder(F.col("doc_id"), 5) == 0
-    return toxic_scores(documents, labels).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return score_toxicity(documents, toxic_labels(labels)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 @query("op5_exact_dedup", """

@@ -156,6 +156,11 @@ def training_rows(
     return [flat[a:b] for a, b in zip(edges, edges[1:])], rows.column("label").to_numpy()
 
 
+def _model(df, labels, key, text, label, limit, buckets, factors):
+    rows, wanted = training_rows(df, labels, key, text, label, limit, buckets)
+    return df.sparkSession.sparkContext.broadcast(fit(rows, wanted, buckets, factors))
+
+
 def score_toxicity(
     df: DataFrame,
     labels: DataFrame,
@@ -174,18 +179,16 @@ def score_toxicity(
 
     Terms are the distinct words in lower case without signs at their edges. Null and empty texts, and
     texts without a learned term, have the score of the bias. Without labels every score is small and
-    constant. Repeated rows get equal results; a null id is only scored. An empty table gives an empty
-    result.
+    constant. Repeated rows get equal results; a null id is only scored. Extra columns are ignored; an
+    empty table gives an empty result.
     """
-    rows, wanted = training_rows(df, labels, key, text, label, limit, buckets)
-    model = df.sparkSession.sparkContext.broadcast(fit(rows, wanted, buckets, factors))
+    model = _model(df, labels, key, text, label, limit, buckets, factors)
 
     def score(batches):
         known = _Buckets(buckets)
         for batch in batches:
             for part, texts in text_slices(batch):
-                flat, starts = term_buckets(texts, known)
-                scores = model.value.score(flat, starts) if len(texts) else np.zeros(0)
+                scores = model.value.score(*term_buckets(texts, known)) if len(texts) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32))],
                     ["doc_id", "score", "predicted"],
@@ -194,3 +197,26 @@ def score_toxicity(
     kind = df.select(F.col(key)).schema[0].dataType.simpleString()
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(score, f"doc_id {kind}, score double, predicted int")
+
+
+def without_toxic(
+    df: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    limit: int = TRAIN_ROWS,
+    buckets: int = BUCKETS,
+    factors: int = FACTORS,
+) -> DataFrame:
+    """The rows of `df`, all columns, that score_toxicity does not predict as toxic; no shuffle."""
+    model = _model(df, labels, key, text, label, limit, buckets, factors)
+
+    def keep(batches):
+        known = _Buckets(buckets)
+        for batch in batches:
+            for part, texts in text_slices(batch, text):
+                if len(texts):
+                    yield part.filter(pa.array(model.value.score(*term_buckets(texts, known)) < 0.5))
+
+    return df.mapInArrow(keep, df.schema)
