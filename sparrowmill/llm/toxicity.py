@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,24 +19,31 @@ FACTORS = 8
 TRAIN_ROWS = 16_000
 #: Terms in fewer training texts than this are left out: they can only be learned by heart.
 MIN_TEXTS = 8
-EPOCHS = 12
+#: Terms whose number of toxic texts is within so many standard deviations of chance are left out.
+DEVIATION = 3.0
+EPOCHS = 20
 BATCH = 128
-RATE = 0.08
+RATE = 0.1
 DECAY = 2e-4
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\…«»¿¡"
 
 
+#: Besides a word its first letters are terms, so that endings never met before do not hide a stem.
+BEGINNINGS = (4, 5)
+
+
 class _Buckets(dict):
-    """Bucket of a word as it stands in a lower-cased text; signs at its edges do not count."""
+    """Term buckets of a word as it stands in a lower-cased text; signs at its edges do not count."""
 
     def __init__(self, buckets: int):
         super().__init__()
         self.buckets = buckets
 
-    def __missing__(self, word: str) -> int:
-        term = word.strip(_EDGES).encode()
-        bucket = self[word] = zlib.crc32(term) % self.buckets if term else -1
-        return bucket
+    def __missing__(self, word: str) -> tuple:
+        term = word.strip(_EDGES)
+        parts = [term, *(f"{term[:n]}*" for n in BEGINNINGS if len(term) > n)] if term else []
+        found = self[word] = tuple(zlib.crc32(t.encode()) % self.buckets for t in parts)
+        return found
 
 
 def term_buckets(texts: list, known: _Buckets) -> tuple[np.ndarray, np.ndarray]:
@@ -43,13 +51,12 @@ def term_buckets(texts: list, known: _Buckets) -> tuple[np.ndarray, np.ndarray]:
 
     A text without terms has one entry, bucket -1.
     """
-    if len(known) > 300_000:
+    if len(known) > 200_000:
         known.clear()
     rows = []
     for text in texts:
         words = set((text or "").lower().split())
-        row = np.unique(np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words)))
-        row = row[row >= 0]
+        row = np.array(sorted(set(chain.from_iterable(map(known.__getitem__, words)))), dtype=np.int64)
         rows.append(row if len(row) else np.array([-1]))
     starts = np.cumsum([0, *map(len, rows)])[:-1]
     return np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64), starts
@@ -77,6 +84,19 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margin(buckets, starts), -30, 30)))
 
 
+def _telling(rows: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
+    """Terms worth learning: in enough texts, and more or less often with label 1 than chance explains."""
+    flat = np.concatenate(rows)
+    of = np.repeat(labels, [len(r) for r in rows])[flat >= 0]
+    flat = flat[flat >= 0]
+    texts = np.bincount(flat, minlength=buckets).astype(float)
+    toxic = np.bincount(flat, weights=of, minlength=buckets)
+    share = labels.mean()
+    expected = texts * share
+    spread = np.sqrt(np.maximum(expected * (1 - share) * (1 - texts / len(rows)), 1e-9))
+    return (texts >= min(MIN_TEXTS, max(1, len(rows) // 50))) & (np.abs(toxic - expected) >= DEVIATION * spread)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS, seed: int = 5) -> Machine:
     """Fit by AdaGrad on the log loss, in batches in seeded random order, with weight decay."""
     rng = np.random.default_rng(seed)
@@ -88,8 +108,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, fact
     )
     if not len(rows):
         return machine
-    texts = np.bincount(np.concatenate(rows)[np.concatenate(rows) >= 0], minlength=buckets)
-    kept = texts >= min(MIN_TEXTS, max(1, len(rows) // 50))
+    kept = _telling(rows, labels, buckets)
     rows = [r[(r >= 0) & kept[r]] for r in rows]
     rows = [r if len(r) else np.array([buckets]) for r in rows]
     machine.factor[:-1][kept] = rng.normal(0, 0.02, (int(kept.sum()), factors))
@@ -177,7 +196,7 @@ def score_toxicity(
     The machine is fitted on the driver on at most `limit` of those texts, broadcast (buckets x
     (factors + 1) x 4 bytes) and applied in numpy to whole texts. Nothing but the sample leaves the tasks.
 
-    Terms are the distinct words in lower case without signs at their edges. Null and empty texts, and
+    Terms are the distinct words in lower case without signs at their edges, and their beginnings. Null and empty texts, and
     texts without a learned term, have the score of the bias. Without labels every score is small and
     constant. Repeated rows get equal results; a null id is only scored. Extra columns are ignored; an
     empty table gives an empty result.
