@@ -19,8 +19,8 @@ WORDS = 5
 PARTS = (4, 5)
 #: Bytes of text whose n-grams make one fragment of the first pass (about 4 million n-grams).
 FRAGMENT_BYTES = 24_000_000
-#: Fragments of the overlap counts: the n-gram order is cut by its upper bits.
-OVERLAP_BITS = 3
+#: Fragments in which the overlap of a pair is counted: quarters of the order, by the upper bits of the hash.
+OVERLAP_FRAGMENTS = ((0,), (1,), (2, 3))
 #: Rounds in which the documents of an n-gram are compared with one of them only.
 STAR_ROUNDS = 2
 #: Slots of the bit map that tells the second pass which rows to cut up again (4 MB at most).
@@ -171,13 +171,30 @@ def _describe(width: int, wanted, kind: str):
 
 
 def _linked(pairs: DataFrame, pieces: DataFrame, parts) -> DataFrame:
-    """Those pairs (a, b, size_a, size_b) that link: overlaps are counted by fragment and added up."""
-    of_a = pieces.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("_ga"))
-    of_b = pieces.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("_gb"))
-    overlap = F.sum(F.size(F.array_intersect("_ga", "_gb"))).alias("_shared")
-    summed = pairs.join(of_a, "a").join(of_b, ["b", "fragment"]).groupBy("a", "b", "size_a", "size_b").agg(overlap)
-    union = F.col("size_a") + F.col("size_b") - F.col("_shared")
-    return summed.filter(F.col("_shared") * parts[1] >= union * parts[0]).select("a", "b")
+    """Those pairs (a, b, size_a, size_b) that link.
+
+    The overlap is counted fragment by fragment and added up. A pair goes on to the next fragment only if
+    it would link with all that the smaller rest still allows; after the last that is the overlap itself.
+    """
+    p, q = parts
+    pairs = pairs.withColumns({"had": F.lit(0), "seen_a": F.lit(0), "seen_b": F.lit(0)})
+    for i in range(len(OVERLAP_FRAGMENTS)):
+        of_a = pieces.select(F.col("node").alias("a"), F.col(f"grams{i}").alias("_ga"))
+        of_b = pieces.select(F.col("node").alias("b"), F.col(f"grams{i}").alias("_gb"))
+        pairs = pairs.join(of_a, "a").join(of_b, "b").select(
+            "a", "b", "size_a", "size_b",
+            (F.col("had") + F.size(F.array_intersect("_ga", "_gb"))).alias("had"),
+            (F.col("seen_a") + F.size("_ga")).alias("seen_a"),
+            (F.col("seen_b") + F.size("_gb")).alias("seen_b"),
+        )
+        most = F.col("had") + F.least(F.col("size_a") - F.col("seen_a"), F.col("size_b") - F.col("seen_b"))
+        pairs = pairs.filter(most * (p + q) >= (F.col("size_a") + F.col("size_b")) * p)
+    return pairs.select("a", "b")
+
+
+def _prefix(size: str, parts) -> Column:
+    """size - ceil(p / q * size) + 1"""
+    return F.floor(F.col(size) * (parts[1] - parts[0]) / parts[1]).cast("int") + 1
 
 
 def _pair(x: str, y: str, parts) -> tuple[list[Column], Column]:
@@ -198,21 +215,15 @@ def link_components(nodes: DataFrame, parts=PARTS, star_rounds: int = STAR_ROUND
     form a bucket. In the first rounds a bucket compares all its nodes with one of them, chosen by a
     hash, so a bucket of g nodes makes g pairs. What is linked then is one component, and pairs
     within a component need no comparison. The last round compares every pair of a bucket whose two
-    nodes are still in different components and whose sizes and positions allow a link, so no link
-    between components is missed.
+    nodes are still in different components and whose sizes and number of shared prefix n-grams allow a
+    link, so no link between components is missed.
     """
     p, q = parts
-    prefix = (F.col("size") * (q - p) / q).cast("int") + 1
     first = materialize(
-        nodes.select("node", "size", F.posexplode(F.slice("grams", F.lit(1), prefix)).alias("at", "gram"))
-    )
-    cut = F.transform(
-        F.sequence(F.lit(0), F.lit((1 << OVERLAP_BITS) - 1)),
-        lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 64 - OVERLAP_BITS) == f),
-    )
-    pieces = materialize(
-        nodes.select("node", F.posexplode(cut).alias("fragment", "grams")).filter(F.size("grams") > 0)
+        nodes.select("node", "size", F.explode(F.slice("grams", F.lit(1), _prefix("size", parts))).alias("gram"))
     )
+    quarter = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 62).isin(*f))
+    pieces = materialize(nodes.select("node", *[quarter(f).alias(f"grams{i}") for i, f in enumerate(OVERLAP_FRAGMENTS)]))
     links = None
     for round_ in range(star_rounds + 1):
         if links is None:
@@ -220,7 +231,7 @@ def link_components(nodes: DataFrame, parts=PARTS, star_rounds: int = STAR_ROUND
         else:
             roots = components(links)
             placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        me = F.struct(F.xxhash64(F.lit(round_), "node").alias("h"), "node", "size", "at", "root")
+        me = F.struct(F.xxhash64(F.lit(round_), "node").alias("h"), "node", "size", "root")
         placed = placed.select("gram", "root", me.alias("x"))
         buckets = placed.groupBy("gram").agg(
             F.min("x").alias("y"), F.min("root").alias("_low"), F.max("root").alias("_high")
@@ -231,9 +242,14 @@ def link_components(nodes: DataFrame, parts=PARTS, star_rounds: int = STAR_ROUND
             open_ = placed.join(buckets.select("gram"), "gram", "left_semi")
             met = open_.join(open_.select("gram", F.col("x").alias("y")), "gram").filter("x.node < y.node")
         columns, sizes = _pair("x", "y", parts)
-        room = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
-        enough = room * (p + q) >= (F.col("x.size") + F.col("y.size")) * p
-        pairs = met.filter("x.root <> y.root").filter(sizes & enough).select(*columns).distinct()
+        pairs = met.filter("x.root <> y.root").filter(sizes).select(*columns)
+        if round_ < star_rounds:
+            pairs = pairs.distinct()
+        else:
+            # all n-grams that the two prefixes share were met: they and what is behind a prefix must do
+            most = F.col("shared") + F.greatest(F.col("size_a") - _prefix("size_a", parts), F.col("size_b") - _prefix("size_b", parts))
+            pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared"))
+            pairs = pairs.filter(most * (p + q) >= (F.col("size_a") + F.col("size_b")) * p).drop("shared")
         found = materialize(_linked(pairs, pieces, parts))
         links = found if links is None else links.union(found)
     return components(links)
