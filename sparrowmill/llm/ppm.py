@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -21,14 +22,14 @@ ORDER = 5
 NODE_SHARE = 5e-7
 #: What each byte seen in a context gives up for those not seen there.
 DISCOUNT = 0.5
-#: Words with this share of all tokens (at most 1 / WORD_SHARE) are counted in the tasks that score;
-#: all rarer words are joined with their counts.
-WORD_SHARE = 4e-6
-#: Code lengths a task remembers at most, 12 bytes each.
-REMEMBERED = 2_000_000
+#: Words with this share of all tokens (at most 1 / WORD_SHARE, 16 bytes each) are looked up in the
+#: tasks that score; all rarer words are joined with their counts.
+WORD_SHARE = 2e-7
+#: Code lengths a task remembers at most, 16 bytes each.
+REMEMBERED = 1_000_000
 SYMBOLS = 256
 END = b"\n"
-_SLICE = 1 << 23
+_SLICE = 1 << 21
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -98,16 +99,16 @@ def count_corpus(df: DataFrame, text: str, order: int = ORDER) -> DataFrame:
                 keys.append(key)
                 counts.append(n.astype(np.int64))
                 held += len(key)
-                if held > 4_000_000:
+                if held > 1_500_000:
                     key, n = _tally(keys, counts)
                     keys, counts, held = [key], [n], len(key)
-                    if held > 2_000_000:
+                    if held > 1_000_000:
                         yield rows(0, key, n)
                         keys, counts, held = [], [], 0
                 for d in docs:
                     words.update(d)
                 ends += len(docs)
-                if len(words) > 500_000:
+                if len(words) > 200_000:
                     yield rows(1, [word_id(w) for w in words], list(words.values()))
                     words.clear()
         key, n = _tally(keys, counts)
@@ -201,9 +202,8 @@ class Trie:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known, self.cost = unique, cost
             else:
-                both = np.concatenate([self.known, new])
-                order = np.argsort(both, kind="stable")
-                self.known, self.cost = both[order], np.concatenate([self.cost, made])[order]
+                place_of = np.searchsorted(self.known, new)
+                self.known, self.cost = np.insert(self.known, place_of, new), np.insert(self.cost, place_of, made)
         return cost[place]
 
     def walk(self, packed: np.ndarray) -> np.ndarray:
@@ -298,33 +298,41 @@ def score_corpus(
     seen, kinds = n_words + ends, distinct + (1 if ends else 0)
     least = max(1.0, word_share * seen)
     often = words.filter(F.col("n") >= F.lit(least)).toArrow()
-    common = spark.sparkContext.broadcast(dict(zip(often.column("key").to_pylist(), often.column("n").to_pylist())))
+    by_id = np.argsort(often.column("key").to_numpy())
+    common = spark.sparkContext.broadcast((often.column("key").to_numpy()[by_id], often.column("n").to_numpy()[by_id]))
 
     def score(batches):
-        model, count_of = trie.value, common.value
+        model, (common_ids, common_counts) = trie.value, common.value
         model.known, model.cost = np.zeros(0, dtype=np.uint64), np.zeros(0)
-        ids: dict[bytes, int] = {}
+        seen_words: dict[bytes, tuple[int, float]] = {}
+
+        def meet(word: bytes) -> tuple[int, float]:
+            """Hash and log10(count + 1) of a word; 0 if it is not common."""
+            i = word_id(word)
+            at = int(np.searchsorted(common_ids, i))
+            there = at < len(common_ids) and common_ids[at] == i
+            return i, math.log10(int(common_counts[at]) + 1) if there else 0.0
+
         for batch in batches:
             for part, texts in text_slices(batch, chars=_SLICE):
                 docs = [tokens(t) for t in texts]
                 packed, sizes = contexts(docs, order)
                 scores = np.add.reduceat(model.look_up(packed), np.cumsum(sizes) - sizes) if len(docs) else np.zeros(0)
                 logs, known, rare, times = [], [], [], []
-                if len(ids) > 300_000:
-                    ids.clear()
+                if len(seen_words) > 200_000:
+                    seen_words.clear()
                 for d in docs:
-                    of_doc, met, cold, often_ = np.log10(ends + 1), int(ends > 0), [], []
+                    of_doc, met, cold, often_ = math.log10(ends + 1), int(ends > 0), [], []
                     for w, n in Counter(d).items():
-                        i = ids.get(w)
-                        if i is None:
-                            i = ids[w] = word_id(w)
-                        c = count_of.get(i)
-                        if c is None:
-                            cold.append(i)
-                            often_.append(n)
-                        else:
-                            of_doc += n * np.log10(c + 1)
+                        found = seen_words.get(w)
+                        if found is None:
+                            found = seen_words[w] = meet(w)
+                        if found[1]:
+                            of_doc += n * found[1]
                             met += n
+                        else:
+                            cold.append(found[0])
+                            often_.append(n)
                     logs.append(of_doc)
                     known.append(met)
                     rare.append(cold)
