@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.exact_dedup import exact_dedup
+from sparrowmill.llm.hamming_search import nearest
 from sparrowmill.llm.language_id import identify
 from sparrowmill.llm.mixing import mix_sources
 from sparrowmill.llm.ngram_join import ngram_components
@@ -161,3 +162,8 @@ def mixing(spark, sf_dir):
 """)
 def ngram_join(spark, sf_dir):
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query("op2_hamming_search")
+def hamming_search(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
