@@ -19,10 +19,15 @@ WORDS = 5
 PARTS = (4, 5)
 #: Bytes of text whose n-grams make one fragment of the first pass (about 4 million n-grams).
 FRAGMENT_BYTES = 24_000_000
+#: Fragments of the first pass at least.
+FRAGMENTS = 32
 #: Fragments in which the overlap of a pair is counted: quarters of the order, by the upper bits of the hash.
 OVERLAP_FRAGMENTS = ((0,), (1,), (2, 3))
-#: Rounds in which the documents of an n-gram are compared with one of them only.
-STAR_ROUNDS = 2
+#: Rounds in which the documents of an n-gram are compared with one of them only: how many documents are
+#: drawn for that from a group that shares many n-grams.
+STAR_HUBS = (4, 8)
+#: Bits of the parity map of a set.
+PARITY_BITS = 512
 #: Slots of the bit map that tells the second pass which rows to cut up again (4 MB at most).
 SLOTS = 1 << 25
 _SLICE = 1 << 22
@@ -148,6 +153,13 @@ def _bit_map(ids: DataFrame) -> bytes:
     return bits.tobytes()
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of n-grams falls on i. Bits that differ in two sets need an
+    n-gram that only one has, so there are at least as many of those."""
+    odd = np.bincount((grams % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _describe(width: int, wanted, kind: str):
     """Set size and name of every text, and the n-grams of those whose slot is in the bit map."""
 
@@ -159,15 +171,23 @@ def _describe(width: int, wanted, kind: str):
                 slot = part.column("slot").to_numpy() - 1
                 asked = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
                 grams = [s.view(np.int64) if w and len(s) else None for s, w in zip(sets, asked)]
+                marks = [parity(s) if w and len(s) else None for s, w in zip(sets, asked)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) for s in sets], pa.binary()), pa.array(grams, pa.list_(pa.int64())),
+                        pa.array(marks, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "grams"],
+                    ["doc_id", "n_shingles", "set_key", "grams", "parity"],
                 )
 
-    return describe, f"doc_id {kind}, n_shingles bigint, set_key binary, grams array<bigint>"
+    return describe, f"doc_id {kind}, n_shingles bigint, set_key binary, grams array<bigint>, parity array<bigint>"
+
+
+def _parity_allows(x: Column, y: Column, sizes: Column, parts) -> Column:
+    """Whether two sets of this size together can differ in so few n-grams that they link."""
+    words = [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(PARITY_BITS // 64)]
+    return sum(words[1:], words[0]) * (parts[0] + parts[1]) <= sizes * (parts[1] - parts[0])
 
 
 def _linked(pairs: DataFrame, pieces: DataFrame, parts) -> DataFrame:
@@ -177,6 +197,10 @@ def _linked(pairs: DataFrame, pieces: DataFrame, parts) -> DataFrame:
     it would link with all that the smaller rest still allows; after the last that is the overlap itself.
     """
     p, q = parts
+    of_a = pieces.select(F.col("node").alias("a"), F.col("parity").alias("_pa"))
+    of_b = pieces.select(F.col("node").alias("b"), F.col("parity").alias("_pb"))
+    pairs = pairs.join(of_a, "a").join(of_b, "b")
+    pairs = pairs.filter(_parity_allows(F.col("_pa"), F.col("_pb"), F.col("size_a") + F.col("size_b"), parts)).drop("_pa", "_pb")
     pairs = pairs.withColumns({"had": F.lit(0), "seen_a": F.lit(0), "seen_b": F.lit(0)})
     for i in range(len(OVERLAP_FRAGMENTS)):
         of_a = pieces.select(F.col("node").alias("a"), F.col(f"grams{i}").alias("_ga"))
@@ -207,43 +231,51 @@ def _pair(x: str, y: str, parts) -> tuple[list[Column], Column]:
     return chosen, sizes
 
 
-def link_components(nodes: DataFrame, parts=PARTS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(node, root) of all nodes with a link; `nodes` has one row per set: node, size, grams in order.
+def link_components(nodes: DataFrame, parts=PARTS, hubs=STAR_HUBS) -> DataFrame:
+    """(node, root) of all nodes with a link; `nodes` has one row per set: node, size,
+    grams in order, parity.
 
     Sets that link share an n-gram among the first of each: with a similarity of p / q, the first
     size - ceil(p / q * size) + 1 in one global order (prefix filter). Nodes that share such an n-gram
-    form a bucket. In the first rounds a bucket compares all its nodes with one of them, chosen by a
-    hash, so a bucket of g nodes makes g pairs. What is linked then is one component, and pairs
-    within a component need no comparison. The last round compares every pair of a bucket whose two
-    nodes are still in different components and whose sizes and number of shared prefix n-grams allow a
-    link, so no link between components is missed.
+    form a bucket. In the first rounds a bucket compares all its nodes with one of them, drawn by a hash
+    of the node and of the n-gram's class, so a bucket of g nodes makes g pairs, and buckets of the same
+    nodes make as many as there are classes. What is linked then is one component, and pairs within a
+    component need no comparison. The last round compares every pair of a bucket whose two
+    nodes are still in different components and whose sizes, parity maps and number of shared prefix
+    n-grams allow a link, so no link between components is missed.
     """
     p, q = parts
     first = materialize(
         nodes.select("node", "size", F.explode(F.slice("grams", F.lit(1), _prefix("size", parts))).alias("gram"))
     )
     quarter = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 62).isin(*f))
-    pieces = materialize(nodes.select("node", *[quarter(f).alias(f"grams{i}") for i, f in enumerate(OVERLAP_FRAGMENTS)]))
+    pieces = materialize(nodes.select("node", "parity", *[quarter(f).alias(f"grams{i}") for i, f in enumerate(OVERLAP_FRAGMENTS)]))
     links = None
-    for round_ in range(star_rounds + 1):
+    for round_, classes in enumerate([*hubs, None]):
         if links is None:
             placed = first.withColumn("root", F.col("node"))
         else:
             roots = components(links)
             placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        me = F.struct(F.xxhash64(F.lit(round_), "node").alias("h"), "node", "size", "root")
+        drawn = F.xxhash64(F.lit(round_), F.pmod("gram", F.lit(classes or 1)), "node")
+        me = F.struct(drawn.alias("h"), "node", "size", "root")
         placed = placed.select("gram", "root", me.alias("x"))
         buckets = placed.groupBy("gram").agg(
             F.min("x").alias("y"), F.min("root").alias("_low"), F.max("root").alias("_high")
         ).filter("_low < _high")
-        if round_ < star_rounds:
+        if classes:
             met = placed.join(buckets.select("gram", "y"), "gram")
         else:
             open_ = placed.join(buckets.select("gram"), "gram", "left_semi")
-            met = open_.join(open_.select("gram", F.col("x").alias("y")), "gram").filter("x.node < y.node")
+            marked = open_.join(pieces.select("node", "parity"), F.col("x.node") == F.col("node")).drop("node")
+            x = marked.select("gram", "x", F.col("parity").alias("_px"))
+            y = marked.select(F.col("gram").alias("_gram"), F.col("x").alias("y"), F.col("parity").alias("_py"))
+            both = F.col("x.size") + F.col("y.size")
+            met = x.join(y, (F.col("gram") == F.col("_gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+                         & _pair("x", "y", parts)[1] & _parity_allows(F.col("_px"), F.col("_py"), both, parts))
         columns, sizes = _pair("x", "y", parts)
         pairs = met.filter("x.root <> y.root").filter(sizes).select(*columns)
-        if round_ < star_rounds:
+        if classes:
             pairs = pairs.distinct()
         else:
             # all n-grams that the two prefixes share were met: they and what is behind a prefix must do
@@ -277,7 +309,7 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
     kind = df.select(F.col(key)).schema[0].dataType.simpleString()
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    fragments = 1 + volume // FRAGMENT_BYTES
+    fragments = max(FRAGMENTS, 1 + volume // FRAGMENT_BYTES)
     known = rows.filter("doc_id is not null and text is not null")
     postings = known.mapInArrow(
         _postings(width, fragments), "fragment int, ids binary, keys binary, sizes binary, counts binary, grams binary"
@@ -293,9 +325,10 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
     docs = materialize(rows.withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(describe, made))
     sets = materialize(
         docs.filter("set_key is not null and doc_id is not null").groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("grams", ignorenulls=True).alias("grams"))
+        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("grams", ignorenulls=True).alias("grams"),
+             F.first("parity", ignorenulls=True).alias("parity"))
     )
-    roots = link_components(sets.filter("grams is not null").select("node", "size", "grams"), parts)
+    roots = link_components(sets.filter("grams is not null").select("node", "size", "grams", "parity"), parts)
     named = sets.select("set_key", "node").join(roots, "node", "left").select("set_key", F.coalesce("root", "node").alias("_root"))
     joined = docs.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id")).alias("component_id")

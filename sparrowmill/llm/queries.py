@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.hamming_search import nearest
 from sparrowmill.llm.language_id import identify
+from sparrowmill.llm.line_dedup import dedup_lines
 from sparrowmill.llm.mixing import mix_sources
 from sparrowmill.llm.ngram_join import ngram_components
 from sparrowmill.llm.piece_bpe import encode_documents
@@ -167,3 +168,9 @@ def ngram_join(spark, sf_dir):
 @query("op2_hamming_search")
 def hamming_search(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op10_line_dedup")
+def line_dedup(spark, sf_dir):
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.md5(F.array_join("kept", ",").cast("binary")).alias("kept_md5"))
