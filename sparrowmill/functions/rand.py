@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 def portable_rand(*keys, seed: int = 0) -> Column:
     """Uniform number in [0, 1) from the md5 of the keys and the seed.
 
-    The first eight hex digits are read as an integer, so another engine can compute the same number.
+    The first 13 hex digits (52 bits) are read as an integer, so another engine can compute the same number
+    and ties stay rare in tables of any size.
     """
     text = F.concat_ws(":", *[F.col(k) if isinstance(k, str) else k for k in keys], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(4503599627370496.0)
 
 
 def portable_normal(*keys, seed: int = 0) -> Column:

@@ -53,9 +53,10 @@ def build_vocab(df: DataFrame, tokens: Column, min_freq: int = 1, specials=("<un
     return materialize(head.unionByName(ranked).select("token", "id", "freq"))
 
 
-def fits_in_tasks(dim: DataFrame, key: str, limit: int = MAP_SIDE_ROWS, max_bytes: int = MAP_SIDE_BYTES) -> bool:
-    """Whether a stored dimension is small enough to be sent to every task."""
-    size = dim.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))).first()
+def fits_in_tasks(dim: DataFrame, columns, limit: int = MAP_SIDE_ROWS, max_bytes: int = MAP_SIDE_BYTES) -> bool:
+    """Whether these columns of a stored dimension are small enough to be sent to every task."""
+    wide = [F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)) for c in columns]
+    size = dim.agg(F.count("*"), sum(wide[1:], wide[0])).first()
     return size[0] <= limit and size[1] <= max_bytes
 
 
@@ -71,7 +72,7 @@ def lookup(
     matches nothing and differs by `spread`, so they do not pile up.
     """
     dim = dim if stored else materialize(dim.select(key, value, freq))
-    small = fits_in_tasks(dim, key, limit)
+    small = fits_in_tasks(dim, [key, value], limit)
     dim = dim.select(F.col(key).alias("_k"), F.col(value).alias("_v"), F.col(freq).alias("_f"))
     if small:
         out = rows.join(F.broadcast(dim), F.col(key) == F.col("_k"), "left")
@@ -101,29 +102,36 @@ def encode_tokens(
 def encode_rows(
     df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0, limit: int = MAP_SIDE_ROWS
 ) -> DataFrame:
-    """(key, ids): the ids of a row's tokens in order. Rows without a token get an empty array.
+    """(key, ids): the ids of a row's tokens in order, one row per input row, also if keys repeat.
+
+    Rows without a token get an empty array.
 
     A vocabulary of at most `limit` entries goes to every task and nothing is shuffled. A larger one
     is joined to the tokens in long form.
     """
-    if fits_in_tasks(vocab, "token", limit):
+    if fits_in_tasks(vocab, ["token", "id"], limit):
         return _map_arrays(df.select(key, tokens.alias("tokens")), vocab, key, "token", "id", unk)
-    long = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    coded = encode_tokens(long, vocab, unk, key, limit)
-    pair = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    arrays = coded.groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
-    return arrays.select(key, F.transform("_p", lambda p: p["id"]).alias("ids"))
+    long = df.select(key, tokens.alias("_t")).withColumn("_row", F.monotonically_increasing_id())
+    long = long.select(key, "_row", F.posexplode_outer("_t").alias("pos", "token"))
+    return _gathered(encode_tokens(long, vocab, unk, "_row", limit), key, "id", "ids")
+
+
+def _gathered(long: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Arrays of the values of each row in order of `pos`; a row without one has an empty array."""
+    pair = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
+    arrays = long.groupBy("_row", key).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
+    return arrays.select(key, F.transform("_p", lambda p: p[value]).alias(name))
 
 
 def decode_rows(coded: DataFrame, vocab: DataFrame, key: str, limit: int = MAP_SIDE_ROWS) -> DataFrame:
-    """(key, tokens): the inverse of encode_rows."""
-    if fits_in_tasks(vocab, "token", limit):
+    """(key, tokens): the inverse of encode_rows, one row per input row."""
+    if fits_in_tasks(vocab, ["token", "id"], limit):
         return _map_arrays(coded.select(key, "ids"), vocab, key, "id", "token", None)
-    long = coded.select(key, F.posexplode("ids").alias("pos", "id")).withColumn("id", F.col("id").cast("string"))
+    long = coded.select(key, "ids").withColumn("_row", F.monotonically_increasing_id())
+    long = long.select(key, "_row", F.posexplode_outer("ids").alias("pos", "id")).withColumn("id", F.col("id").cast("string"))
     dim = vocab.withColumn("id", F.col("id").cast("string")).withColumn("freq", F.coalesce("freq", F.lit(0)))
-    named = lookup(long, dim, "id", "token", "freq", F.xxhash64(key, "pos"), stored=True, limit=limit)
-    arrays = named.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_p"))
-    return arrays.select(key, F.transform("_p", lambda p: p["token"]).alias("tokens"))
+    named = lookup(long, dim, "id", "token", "freq", F.xxhash64("_row", "pos"), stored=True, limit=limit)
+    return _gathered(named, key, "token", "tokens")
 
 
 def _map_arrays(df: DataFrame, vocab: DataFrame, key: str, source: str, target: str, default) -> DataFrame:

@@ -109,11 +109,11 @@ def histogram(df: DataFrame, value: Column, bins: int, lo=None, hi=None, by=())
     return inside.groupBy(*by, bin_no.alias("bin")).agg(F.count(ONE).alias("n"))
 
 
-def pair_products(df: DataFrame, vec: Column, by=()) -> DataFrame:
-    """Per (i, j), i <= j: count, sums of x_i, x_j and x_i * x_j over the rows.
+def pair_products(df: DataFrame, vec: Column, by=(), origin=None) -> DataFrame:
+    """Per (i, j), i <= j: count, sums of x_i, x_j and x_i * x_j over the rows, of x - origin if given.
 
-    A batch of vectors becomes one d x d product inside the task, so a partition emits d*(d+1)/2 rows
-    however many vectors it holds.
+    A partition adds up its vectors in one d x d product per group and emits d*(d+1)/2 rows for each
+    group it has met, however many vectors it holds.
     """
     keys = list(by)
     src = df.select(*keys, vec.cast("array<double>").alias("_v"))
@@ -122,26 +122,36 @@ def pair_products(df: DataFrame, vec: Column, by=()) -> DataFrame:
     def products(batches):
         import pandas as pd
 
+        held = {}
         for pdf in batches:
-            groups = pdf.groupby(keys, sort=False) if keys else [((), pdf)]
+            groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)] if len(pdf) else []
             for key, part in groups:
                 m = np.stack(part["_v"].to_numpy())
-                i, j = np.triu_indices(m.shape[1])
-                s, p = m.sum(axis=0), m.T @ m
-                out = pd.DataFrame({"i": i, "j": j, "n": len(m), "si": s[i], "sj": s[j], "sij": p[i, j]})
-                for k, v in reversed(list(zip(keys, key))):
-                    out.insert(0, k, v)
-                yield out
+                m = m if origin is None else m - origin
+                added = (len(m), m.sum(axis=0), m.T @ m)
+                held[key] = tuple(a + b for a, b in zip(held[key], added)) if key in held else added
+        for key, (n, s, p) in held.items():
+            i, j = np.triu_indices(len(s))
+            out = pd.DataFrame({"i": i, "j": j, "n": n, "si": s[i], "sj": s[j], "sij": p[i, j]})
+            for k, v in reversed(list(zip(keys, key))):
+                out.insert(0, k, v)
+            yield out
 
     part = src.mapInPandas(products, f"{head}i bigint, j bigint, n bigint, si double, sj double, sij double")
     return part.groupBy(*keys, "i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
 
 
 def covariance(df: DataFrame, vec: Column, by=()) -> DataFrame:
-    """Sample covariance (ddof 1) and the two means, for i <= j."""
-    p = pair_products(df, vec, by)
+    """Sample covariance (ddof 1) and the two means, for i <= j.
+
+    Sums are taken about one of the vectors, so values far from 0 keep their digits.
+    """
+    one = df.select(vec.cast("array<double>").alias("v")).filter("v is not null").first()
+    origin = np.array(one["v"]) if one else np.zeros(1)
+    p = pair_products(df, vec, by, origin)
+    at = lambda i: F.get(F.array(*[F.lit(float(x)) for x in origin]), F.col(i).cast("int"))
     return p.select(
-        *by, "i", "j", (F.col("si") / F.col("n")).alias("mean_i"), (F.col("sj") / F.col("n")).alias("mean_j"),
+        *by, "i", "j", (at("i") + F.col("si") / F.col("n")).alias("mean_i"), (at("j") + F.col("sj") / F.col("n")).alias("mean_j"),
         ((F.col("sij") - F.col("si") * F.col("sj") / F.col("n")) / (F.col("n") - 1)).alias("cov"),
     )
 

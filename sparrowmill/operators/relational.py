@@ -46,15 +46,15 @@ def complement(df: DataFrame, fold: DataFrame, key: str) -> DataFrame:
 
 
 def hstack(a: DataFrame, b: DataFrame, order_a, order_b) -> DataFrame:
-    """Columns of both frames side by side, row by position."""
+    """Columns of both frames side by side, row by position; the shorter one is filled up with nulls."""
     left = number_rows(a, *order_a, name="source_index")
     right = number_rows(b, *order_b, name="source_index")
-    return left.join(right, "source_index")
+    return left.join(right, "source_index", "full")
 
 
 def gather(df: DataFrame, steps: DataFrame, on: str = "t") -> DataFrame:
-    """Per row the coefficients of its step. The schedule has a fixed number of steps."""
-    return df.join(F.broadcast(steps), on)
+    """Per row the coefficients of its step."""
+    return df.join(steps, on)
 
 
 def union_rows(a: DataFrame, b: DataFrame) -> DataFrame:

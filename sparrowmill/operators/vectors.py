@@ -36,7 +36,7 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, vec: str, k: int, metri
     """Exact k nearest rows for each query (query_id, vec): (query_id, key, score, rank).
 
     A batch of rows is one matrix product with the queries and leaves at most the batch's k best (and
-    their ties) per query. Queries travel to the tasks in groups of at most MAX_QUERIES; a longer
+    their ties) per query. Rows whose score is undefined (a zero vector, no number) take no part. Queries travel to the tasks in groups of at most MAX_QUERIES; a longer
     query table takes several passes.
     """
     if metric not in ("cosine", "l2"):
@@ -68,14 +68,16 @@ def _scan_batches(ids, mat, key, k, metric):
             x = np.stack(pdf["_v"].to_numpy())
             if metric == "cosine":
                 norms = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(mat, axis=1)[None, :]
-                score = (x @ mat.T) / norms
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    score = (x @ mat.T) / norms
                 sort_by = -score.round(9)
             else:
                 square = (x * x).sum(1)[:, None] + (mat * mat).sum(1)[None, :] - 2 * x @ mat.T
                 score = np.sqrt(np.clip(square, 0, None))
                 sort_by = score.round(9)
+            sort_by = np.where(np.isfinite(sort_by), sort_by, np.inf)
             kth = np.partition(sort_by, min(k, len(x)) - 1, axis=0)[min(k, len(x)) - 1]
-            row, col = np.nonzero(sort_by <= kth[None, :])
+            row, col = np.nonzero((sort_by <= kth[None, :]) & np.isfinite(sort_by))
             yield pd.DataFrame({
                 "query_id": [ids[c] for c in col], key: pdf[key].to_numpy()[row], "score": score[row, col],
             })

@@ -204,6 +204,7 @@ def j10(spark, sf):
     return w.select("doc_id", "step", "strip", joined(F.col("x")).alias("x"), joined(F.col("y")).alias("y"))
 
 
+# fixed values: the special tokens of a sentence pair, in the order of their ids
 SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
 
 
@@ -278,6 +279,7 @@ def j14(spark, sf):
     return mx.histogram(both, F.col("n"), 10, by=["side"])
 
 
+# fixed values: the special tokens of a joined pair, in the order of their ids
 _PAIR_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]")
 
 
@@ -310,13 +312,13 @@ def j15(spark, sf):
 
 @query("J16_add_tokens", f"""
 with {VOC}, v as (select token, id from voc union all select '<unk>', 0),
-new as (select unnest(['moonlight', 'the', 'hope', '[EOS]']) as token, unnest([0, 1, 2, 3]) as o),
+new as (select unnest(['granite', 'the', 'ferry', '[TURN]']) as token, unnest([0, 1, 2, 3]) as o),
 fresh as (select token, o from new where token not in (select token from v))
 select token, cast(id as bigint) as id from v
 union all select token, cast((select max(id) from v) + row_number() over (order by o) as bigint) from fresh
 """)
 def j16(spark, sf):
-    return op.extend_vocab(doc_vocab(spark, sf), ["moonlight", "the", "hope", "[EOS]"]).select("token", "id")
+    return op.extend_vocab(doc_vocab(spark, sf), ["granite", "the", "ferry", "[TURN]"]).select("token", "id")
 
 
 @query("J17_seq_score", f"""

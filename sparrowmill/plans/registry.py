@@ -30,7 +30,7 @@ def list6(expr: str) -> str:
 def rand_sql(*keys: str, seed) -> str:
     """SQL twin of portable_rand."""
     text = ", ".join(keys)
-    return f"(('0x' || substr(md5(concat_ws(':', {text}, '{seed}')), 1, 8))::bigint / 4294967296.0)"
+    return f"(('0x' || substr(md5(concat_ws(':', {text}, '{seed}')), 1, 13))::bigint / 4503599627370496.0)"
 
 
 def normal_sql(*keys: str, seed) -> str:

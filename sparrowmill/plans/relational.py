@@ -196,11 +196,12 @@ def d08_nearest(spark, sf):
 
 @query("D09_hstack", """
 with a as (select row_number() over (order by c_custkey) - 1 as source_index, c_name from customer),
-b as (select row_number() over (order by c_acctbal, c_custkey) - 1 as source_index, c_acctbal from customer)
-select a.source_index, c_name, c_acctbal from a join b using (source_index)
+b as (select row_number() over (order by c_acctbal, c_custkey) - 1 as source_index, c_acctbal from customer where c_acctbal > 0)
+select source_index, c_name, c_acctbal from a full join b using (source_index)
 """)
 def d09(spark, sf):
     c = table(spark, sf, "customer")
-    left, right = c.select("c_custkey", "c_name"), c.select(F.col("c_custkey").alias("k"), "c_acctbal")
+    left = c.select("c_custkey", "c_name")
+    right = c.filter("c_acctbal > 0").select(F.col("c_custkey").alias("k"), "c_acctbal")
     both = op.hstack(left, right, ["c_custkey"], ["c_acctbal", "k"])
     return both.select("source_index", "c_name", "c_acctbal")

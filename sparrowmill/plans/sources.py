@@ -34,9 +34,12 @@ def a02(spark, sf):
 _NAMES_SQL = "n as (select case doc_id % 4 when 0 then 'train' when 1 then 'validation' when 2 then 'eval' else source end || '-' || doc_id || '.parquet' as name from documents)"
 
 
+_ALIASES_SQL = " ".join(f"when '{a}' then '{b}'" for a, b in tx.SPLIT_ALIASES.items())
+
+
 @query("A03_normalize_split", f"""
-with {_NAMES_SQL}, m as (select name, regexp_extract(name, '^(all|train|validation|val|test|dev|training|eval)-[0-9]+', 1) as p from n)
-select name, case p when '' then replace(name, '.parquet', '') when 'validation' then 'val' when 'training' then 'train' when 'eval' then 'test' else p end as split from m
+with {_NAMES_SQL}, m as (select name, regexp_extract(name, '^({'|'.join(tx.SPLIT_PREFIXES)})-[0-9]+', 1) as p from n)
+select name, case p when '' then replace(name, '.parquet', '') {_ALIASES_SQL} else p end as split from m
 """)
 def a03(spark, sf):
     k = F.col("doc_id") % 4
@@ -211,7 +214,7 @@ def a15_pages(spark, sf):
 
 @query("A16_assemble", """
 with e as (select label, row_number() over (order by vec_id) - 1 as source_index from embeddings), l as (select quality, row_number() over (order by doc_id) - 1 as source_index from labels),
-c as (select c_name, row_number() over (order by c_custkey) - 1 as source_index from customer) select source_index, label, quality, c_name from e join l using (source_index) join c using (source_index)
+c as (select c_name, row_number() over (order by c_custkey) - 1 as source_index from customer) select source_index, label, quality, c_name from e full join l using (source_index) full join c using (source_index)
 """)
 def a16(spark, sf):
     t = lambda n: table(spark, sf, n)

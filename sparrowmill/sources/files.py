@@ -90,16 +90,16 @@ def read_matrix(spark: SparkSession, path: str, ncols: int, sep: str = "\t") ->
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value): the lines of each text file, numbered from 0.
 
-    Files are split between tasks, so line numbers come from byte-ordered ids, not from one task.
+    Files are told apart by their path; `file` is the name. Files are split between tasks, so line numbers come from byte-ordered ids, not from one task.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     lines = lines.select(
-        F.col("_metadata.file_name").alias("file"), "value", F.col("_metadata.file_block_start").alias("_block")
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"), "value", F.col("_metadata.file_block_start").alias("_block")
     )
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
-    numbered = number_rows(placed, "file", "_block", "_at", name="_i")
-    first = numbered.groupBy("file").agg(F.min("_i").alias("_first"))
-    return numbered.join(first, "file").select("file", (F.col("_i") - F.col("_first")).alias("line_no"), "value")
+    numbered = number_rows(placed, "_path", "_block", "_at", name="_i")
+    first = numbered.groupBy("_path").agg(F.min("_i").alias("_first"))
+    return numbered.join(first, "_path").select("file", (F.col("_i") - F.col("_first")).alias("line_no"), "value")
 
 
 def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -47,12 +47,15 @@ def verify_checksums(df: DataFrame, manifest: DataFrame, key: str, content: str)
 
 
 def assemble(columns: dict[str, tuple[DataFrame, list]]) -> DataFrame:
-    """Rows from parallel columns by position: each frame holds one value column and an order."""
+    """Rows from parallel columns by position: each frame holds one value column and an order.
+
+    A column that ends early is null from there on; no row of a longer one is lost.
+    """
     parts = [
         number_rows(df.select(*dict.fromkeys([name, *order])), *order, name="source_index").select("source_index", name)
         for name, (df, order) in columns.items()
     ]
-    return reduce(lambda a, b: a.join(b, "source_index"), parts)
+    return reduce(lambda a, b: a.join(b, "source_index", "full"), parts)
 
 
 def group_by_length(fields: DataFrame) -> DataFrame:

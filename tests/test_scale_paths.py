@@ -33,8 +33,8 @@ def test_encode_and_decode_by_join_equal_map_side(docs):
     small = {r.doc_id: r.ids for r in cp.encode_rows(docs, w, vocab, "doc_id").collect()}
     large = {r.doc_id: r.ids for r in cp.encode_rows(docs, w, vocab, "doc_id", limit=0).collect()}
     assert small == large and len(small) == 60
-    coded = cp.encode_rows(docs, w, vocab, "doc_id").filter(F.size("ids") > 0)
-    text = {r.doc_id: r.text.split() for r in docs.collect() if r.text}
+    coded = cp.encode_rows(docs, w, vocab, "doc_id")
+    text = {r.doc_id: (r.text or "").split() for r in docs.collect()}
     for limit in (0, 10**6):
         assert {r.doc_id: r.tokens for r in cp.decode_rows(coded, vocab, "doc_id", limit).collect()} == text
 
@@ -230,3 +230,52 @@ def test_reconcile_sees_every_difference(spark):
     b = spark.createDataFrame([(1, 1, [1.0, 2.0 + 1e-8]), (2, 5, [1.0, 2.1]), (4, 3, [0.0, 0.0])], "k int, d int, v array<double>")
     r = pf.reconcile(a, b, "k", ["d"], ["v"]).first()
     assert (r.rows_a, r.rows_b, r.only_a, r.only_b, r.discrete_diff, r.array_diff) == (3, 3, 1, 1, 1, 1)
+
+
+def test_repeated_keys_stay_rows_of_their_own(docs):
+    w = tx.words(F.col("text"))
+    vocab = cp.build_vocab(docs, w)
+    twice = docs.union(docs).withColumn("doc_id", F.lit(1))
+    made = [sorted(map(tuple, (r.ids or [] for r in cp.encode_rows(twice, w, vocab, "doc_id", limit=n).collect()))) for n in (0, 10**6)]
+    assert made[0] == made[1] and len(made[0]) == 120
+    coded = cp.encode_rows(twice, w, vocab, "doc_id")
+    assert cp.decode_rows(coded, vocab, "doc_id", 0).count() == 120
+
+
+def test_zero_vectors_take_no_part(spark):
+    from sparrowmill.operators.vectors import nearest
+
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0, 1.0])], "id bigint, v array<double>")
+    queries = spark.createDataFrame([(7, [1.0, 0.1])], "query_id bigint, vec array<double>")
+    assert [r.id for r in nearest(rows, queries, "id", "v", 5).orderBy("rank").collect()] == [1, 3]
+
+
+def test_columns_of_unequal_length_lose_no_row(spark):
+    from sparrowmill.operators.relational import hstack
+    from sparrowmill.sources.manifest import assemble
+
+    a, b = spark.range(3).toDF("a"), spark.range(1).toDF("b")
+    assert hstack(a, b, ["a"], ["b"]).count() == 3 and hstack(b, a, ["b"], ["a"]).count() == 3
+    assert assemble({"a": (a, ["a"]), "b": (b, ["b"])}).filter("b is null").count() == 2
+
+
+def test_files_with_one_name_are_two_files(spark, tmp_path):
+    from sparrowmill.sources.files import read_lines
+
+    for d, text in (("d=1", "a\nb\n"), ("d=2", "c\nd\n")):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "part-0.txt").write_text(text)
+    got = sorted((r.value, r.line_no) for r in read_lines(spark, str(tmp_path)).collect())
+    assert got == [("a", 0), ("b", 1), ("c", 0), ("d", 1)]
+
+
+def test_covariance_far_from_zero(spark):
+    import numpy as np
+
+    from sparrowmill.operators.metrics import covariance
+
+    x = 1e8 + np.random.default_rng(0).normal(size=(2000, 2)) * [3.0, 2.0]
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>")
+    want = np.cov((x - 1e8).T)
+    for r in covariance(df, F.col("v")).collect():
+        assert abs(r["cov"] - want[r["i"], r["j"]]) < 1e-6 and abs(r["mean_i"] - x[:, r["i"]].mean()) < 1e-6
