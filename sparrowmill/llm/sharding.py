@@ -16,19 +16,24 @@ BINS = 2048
 SALTS = 8
 
 FACTS = "bytes words rows".split()
+#: The law is about bytes, so they weigh more than words and rows.
+WEIGHTS = np.array([2.0, 1.0, 1.0])
+#: A group is split into pieces of at most this part of a shard.
+PIECE = 4
 
 
 def place(demands: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each unit: largest units first, each where demand times residual capacity is highest.
 
-    A shard's capacity is an equal share of every dimension, so demands and residuals are in shares.
+    A shard's capacity is an equal share of every dimension, so demands and residuals are in shares;
+    dimensions are weighted.
     """
     total = np.maximum(demands.sum(axis=0), 1)
     shares = demands / total
     residual = np.full((shards, demands.shape[1]), 1.0 / shards)
     placed = np.zeros(len(demands), dtype=np.int64)
     for unit in np.argsort(-shares.max(axis=1), kind="stable"):
-        shard = int(np.argmax(residual @ shares[unit]))
+        shard = int(np.argmax(residual @ (WEIGHTS * shares[unit])))
         placed[unit] = shard
         residual[shard] -= shares[unit]
     return placed
@@ -39,8 +44,9 @@ def shard_documents(
 ) -> DataFrame:
     """One row per input row: doc_id, size, words, text_crc32, shard, slot.
 
-    Bytes, words and rows are balanced together. Equal texts form a group and go to one shard; only a
-    group larger than a shard is split, by id, into as many pieces as it fills shards. Large groups are
+    Bytes, words and rows are balanced together, bytes before the others. Equal texts form a group and
+    go to one shard; only a group that fills more than a fourth of a shard is split, by id, into pieces
+    of that size. Large groups are
     placed one by one, the many small ones in `bins` bins of about equal size, so the driver sees a
     bounded table of sums however large the input is. Slots count from 0 in each shard without gaps:
     they are numbered inside units, whose offsets come from the same table.
@@ -64,7 +70,7 @@ def shard_documents(
     whole = {f: max(totals[f] or 0, 1) for f in FACTS}
     share = F.greatest(*[F.col(f) / F.lit(float(whole[f])) for f in FACTS])
     groups = facts.groupBy("_digest").agg(*sums).filter(share >= 1.0 / bins)
-    pieces = F.ceil(share * shards).cast("int").alias("_pieces")
+    pieces = F.ceil(share * shards * PIECE).cast("int").alias("_pieces")
     large, first = [], bins
     for digest, n in sorted((bytes(r[0]), r[1]) for r in groups.select("_digest", pieces).collect()):
         large.append((bytearray(digest), first, n))
