@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparrowmill.llm.bitmaps import perhaps_in, slot_maps
 from sparrowmill.session import materialize
 
 #: Lines within so many insertions, deletions and replacements of characters are copies.
 EDITS = 2
 #: Shorter lines are copies only if they are equal.
 MIN_CHARS = 20
+#: Letters whose counts are compared before two lines are.
+LETTERS = "etaoinsrhldcumpg"
 
 
 def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -89,6 +92,25 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.size(b) == 0, F.size(a) <= edits).otherwise(banded)
 
 
+def letter_counts(line: Column) -> list[Column]:
+    """Counts of the letters of LETTERS, modulo 256, eight to a number."""
+    count = lambda c: (F.char_length(line) - F.char_length(F.replace(line, F.lit(c)))).cast("bigint") % 256
+    packed = []
+    for at in range(0, len(LETTERS), 8):
+        parts = [F.shiftleft(count(c), 8 * i) for i, c in enumerate(LETTERS[at:at + 8])]
+        packed.append(sum(parts[1:], parts[0]).alias(f"letters{at // 8}"))
+    return packed
+
+
+def _letters_allow(x: str, y: str, edits: int) -> Column:
+    """Whether the letter counts of two lines differ by at most two per edit."""
+    total = F.lit(0)
+    for at in range(len(LETTERS)):
+        a, b = (F.shiftrightunsigned(F.col(f"{side}.letters{at // 8}"), 8 * (at % 8)).bitwiseAND(F.lit(255)) for side in (x, y))
+        total = total + F.least((a - b).bitwiseAND(F.lit(255)), (b - a).bitwiseAND(F.lit(255)))
+    return total <= 2 * edits
+
+
 def _verified(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     """`later` of the pairs (earlier, later) of line numbers whose lines are within the edits."""
     chars = lambda c: F.slice(F.split(c, ""), F.lit(1), F.char_length(c))
@@ -103,35 +125,48 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """`id` of the lines that have an earlier one within `edits` edits.
 
     `lines` has one row per distinct line: id, at (comparable, earlier is smaller), line. A key is met by
-    lines that have it in the index and lines that probe it; two lines within the edits meet in one. In the first
-    round all lines of a key are compared with its earliest line only. In the second round those not yet
-    found are compared with every earlier line they meet. So a key of g lines makes pairs for the
-    lines that stay, not for all g * g.
+    lines that have it in the index and lines that probe it; two lines within the edits meet in one. Keys of
+    one line are left out first, by a bit map of the others. In the first round all lines of a key are
+    compared with its earliest line only. In the second round those not yet found are compared with
+    every earlier line they meet, as far as the letters of the two allow. So a key of g lines makes pairs
+    for the lines that stay, not for all g * g.
     """
-    length = F.char_length("line")
-    keys = lines.select("id", "at", F.explode(segment_keys(F.col("line"), length, edits)).alias("k"))
+    keys = lines.select("id", "at", F.explode(segment_keys(F.col("line"), F.char_length("line"), edits)).alias("k"))
     keys = keys.select(F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"), "id", "at")
     me = F.struct("at", "id")
-    met = (
+    met = materialize(
         keys.groupBy("key")
         .agg(F.min(me).alias("first"), F.min(F.when(F.col("indexed"), me)).alias("held"), F.min("id").alias("low"), F.max("id").alias("high"))
         .filter("held is not null and low <> high").select("key", "first", "held")
     )
-    # keys with one line only are most of them: what is left is stored
-    meeting = materialize(keys.join(met, "key").select("key", "indexed", "id", "at", "first", "held"))
+    live = perhaps_in(keys, "key", slot_maps(F.col("key"), met))
+    meeting = materialize(live.join(met, "key").select("key", "indexed", "id", "at", "first", "held"))
+    texts = materialize(
+        perhaps_in(lines, "id", slot_maps(F.col("id"), meeting)).select("id", "line", *letter_counts(F.col("line")))
+    )
     # a line in the index meets every line of the key, one that only probes meets those in the index
     hub = F.when(F.col("indexed"), F.col("first")).otherwise(F.col("held"))
     pair = lambda x, y: [
         F.when(x.getField("at") < y.getField("at"), x.getField("id")).otherwise(y.getField("id")).alias("earlier"),
         F.when(x.getField("at") < y.getField("at"), y.getField("id")).otherwise(x.getField("id")).alias("later"),
     ]
+    counts = [c for c in texts.columns if c.startswith("letters")]
+    some = texts.select("id", *counts)
     star = meeting.filter(F.col("id") != hub["id"]).select(*pair(me, hub)).distinct()
-    found = materialize(_verified(star, lines, edits))
-    left = meeting.join(found, "id", "left_anti").select("key", "indexed", "id", "at").alias("x")
-    all_ = meeting.select("key", "indexed", "id", "at").alias("y")
-    open_ = left.join(all_, (F.col("x.key") == F.col("y.key")) & (F.col("y.at") < F.col("x.at")) & (F.col("x.indexed") | F.col("y.indexed")))
-    rest = open_.select(F.col("y.id").alias("earlier"), F.col("x.id").alias("later")).distinct().join(star, ["earlier", "later"], "left_anti")
-    return found.union(materialize(_verified(rest, lines, edits)))
+    star = _allowed(star, some, edits)
+    found = materialize(_verified(star, texts, edits))
+    marked = meeting.select("key", "indexed", "id", "at").join(some, "id")
+    x, y = marked.join(found, "id", "left_anti").alias("x"), marked.alias("y")
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("y.at") < F.col("x.at")) & (F.col("x.indexed") | F.col("y.indexed"))
+    rest = x.join(y, meet & _letters_allow("x", "y", edits)).select(F.col("y.id").alias("earlier"), F.col("x.id").alias("later")).distinct()
+    return found.union(materialize(_verified(rest.join(star, ["earlier", "later"], "left_anti"), texts, edits)))
+
+
+def _allowed(pairs: DataFrame, counts: DataFrame, edits: int) -> DataFrame:
+    """Pairs (earlier, later) whose letters allow the edits."""
+    x, y = counts.alias("x"), counts.alias("y")
+    both = pairs.join(x, F.col("earlier") == F.col("x.id")).join(y, F.col("later") == F.col("y.id"))
+    return both.filter(_letters_allow("x", "y", edits)).select("earlier", "later")
 
 
 def dedup_lines(
