@@ -26,9 +26,14 @@ def a01(spark, sf):
     return fs.read_split(spark, root, "train").select("doc_id", "lang", "n_chars", F.md5("text").alias("digest"))
 
 
-@query("A02_shard_inventory")
+@query("A02_shard_inventory", """
+with s as (select lang as split, count(distinct doc_id % 4) as num_shards from documents group by lang)
+select split, num_shards, true as has_bytes from s union all select 'total', cast(sum(num_shards) as bigint), true from s
+""")
 def a02(spark, sf):
-    return fs.shard_inventory(spark, sf)
+    root = scratch_path(spark, "inventory")
+    fs.write_named_shards(table(spark, sf, "documents"), root, F.col("lang"), F.col("doc_id") % 4)
+    return fs.shard_inventory(spark, root).select("split", "num_shards", (F.col("total_size") > 0).alias("has_bytes"))
 
 
 _NAMES_SQL = "n as (select case doc_id % 4 when 0 then 'train' when 1 then 'validation' when 2 then 'eval' else source end || '-' || doc_id || '.parquet' as name from documents)"
@@ -191,10 +196,17 @@ def a14(spark, sf):
     return mf.bundle_manifest(d, "source", "doc_id", F.col("n_chars"), 20000).select("source", "doc_id", "size", "bundle")
 
 
-@query("A14_bundle_files")
+@query("A14_bundle_files", """
+with f as (select source as folder, doc_id % 5 as name, cast(sum(octet_length(encode(text)) + 1) as bigint) as size from documents group by all),
+b as (select *, coalesce(sum(size) over (partition by folder order by name rows between unbounded preceding and 1 preceding), 0) as before from f)
+select folder, cast(name as varchar) as name, size, cast(before // 16384 as bigint) as bundle from b
+""")
 def a14_files(spark, sf):
-    files = fs.file_listing(spark, sf)
-    return mf.bundle_manifest(files, "folder", "name", F.col("length"), 1 << 20).select("folder", "name", "size", "modified", "bundle")
+    root = scratch_path(spark, "bundle")
+    fs.write_named_shards(table(spark, sf, "documents"), root, F.col("source"), F.col("doc_id") % 5, text="text")
+    part = lambda n: F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias("folder" if n == "split" else "name")
+    files = fs.file_listing(spark, root).select(part("split"), part("shard"), "length")
+    return mf.bundle_manifest(files, "folder", "name", F.col("length"), 1 << 14).select("folder", "name", "size", "bundle")
 
 
 @query("A15_verify_checksums", """

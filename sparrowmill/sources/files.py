@@ -53,9 +53,14 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def shard_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Shards and bytes per split, and a row `total` for all."""
+    """Shards and bytes per split, and a row `total` for all.
+
+    The split is that of a folder `split=<name>`, or else of the file name.
+    """
     files = file_listing(spark, root).filter(F.col("name").endswith(".parquet"))
-    per = files.groupBy(split_name(F.col("name")).alias("split")).agg(
+    folder = F.regexp_extract("path", "/split=([^/]+)/", 1)
+    split = F.when(folder == "", split_name(F.col("name"))).otherwise(folder)
+    per = files.groupBy(split.alias("split")).agg(
         F.count("*").alias("num_shards"), F.sum("length").alias("total_size")
     )
     whole = per.agg(F.sum("num_shards").alias("num_shards"), F.sum("total_size").alias("total_size"))
@@ -174,6 +179,16 @@ def write_split(df: DataFrame, root: str, split: str) -> None:
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/data/split={split}")
 
 
+def write_named_shards(df: DataFrame, root: str, split: Column, shard: Column, text: str | None = None) -> None:
+    """One file per split and shard, root/split=<split>/shard=<shard>/; Parquet, or the lines of a text column."""
+    rows = df.withColumn("split", split).withColumn("shard", shard).repartition("split", "shard")
+    if text is None:
+        rows.write.mode("errorifexists").partitionBy("split", "shard").parquet(root)
+    else:
+        lines = rows.select("split", "shard", F.coalesce(F.col(text), F.lit("")).alias("value"))
+        lines.write.mode("errorifexists").option("lineSep", "\n").partitionBy("split", "shard").text(root)
+
+
 def write_lines(df: DataFrame, order, value: str, path: str) -> None:
     """Text files that hold the rows' lines in order: earlier rows in earlier files."""
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
