@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.llm.text import text_slices
+from sparrowmill.session import materialize
 
 BUCKETS = 1 << 17
 LENGTHS = (1, 2, 3)
@@ -127,7 +128,7 @@ def identify(
     learned. Ties go to the first language in order. Repeated rows get equal results. Extra columns
     are ignored; an empty table gives an empty result.
     """
-    counts = count_grams(df.filter(train), text, lang, buckets, lengths)
+    counts = materialize(count_grams(df.filter(train), text, lang, buckets, lengths))
     langs, priors, matrix = fit(counts, buckets)
     model = df.sparkSession.sparkContext.broadcast((langs, priors, matrix))
 
