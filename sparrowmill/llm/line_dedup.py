@@ -133,13 +133,14 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     keys = lines.select("id", "at", F.explode(segment_keys(F.col("line"), F.char_length("line"), edits)).alias("k"))
     keys = keys.select(F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"), "id", "at")
-    me = F.struct("at", "id")
-    met = materialize(
-        keys.groupBy("key")
-        .agg(F.min(me).alias("first"), F.min(F.when(F.col("indexed"), me)).alias("held"), F.min("id").alias("low"), F.max("id").alias("high"))
-        .filter("held is not null and low <> high").select("key", "first", "held")
+    # narrow rows first: most keys have one line only
+    shared = materialize(
+        keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("indexed").alias("held"))
+        .filter("held and low <> high").select("key")
     )
-    live = perhaps_in(keys, "key", slot_maps(F.col("key"), met))
+    live = materialize(perhaps_in(keys, "key", slot_maps(F.col("key"), shared)).join(shared, "key", "left_semi"))
+    me = F.struct("at", "id")
+    met = live.groupBy("key").agg(F.min(me).alias("first"), F.min(F.when(F.col("indexed"), me)).alias("held"))
     meeting = materialize(live.join(met, "key").select("key", "indexed", "id", "at", "first", "held"))
     texts = materialize(
         perhaps_in(lines, "id", slot_maps(F.col("id"), meeting)).select("id", "line", *letter_counts(F.col("line")))
