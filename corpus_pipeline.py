@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparrowmill.llm.bitmaps import without
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.mixing import mix_sources
 from sparrowmill.llm.ngram_join import ngram_components
@@ -19,11 +20,6 @@ from sparrowmill.tables import table
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is in `ids`; a null id matches a null id."""
-    return docs.join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half."""
     return without_toxic(docs, toxic_labels(table(spark, sf_dir, "labels")))
@@ -31,13 +27,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of equal texts."""
-    return kept(docs, exact_dedup(docs).filter("kept").select("doc_id"))
+    return without(docs, "doc_id", exact_dedup(docs).filter("not kept").select("doc_id"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group that links of similar texts form."""
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return kept(docs, ngram_components(docs).filter(first).select("doc_id"))
+    return without(docs, "doc_id", ngram_components(docs).filter("doc_id <> component_id").select("doc_id"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparrowmill.session import materialize
+
 #: Slots that keys are hashed to; the maps have SLOTS / 8 bytes (4 MB) at most.
 SLOTS = 1 << 25
 
@@ -13,6 +15,13 @@ def slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
 
 
+def _bit(key: Column, bits: str) -> Column:
+    """Bit of the slot of a key in the map of its part."""
+    at = F.bitmap_bit_position(slot(key))
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2
+
+
 def slot_maps(keys: Column, df: DataFrame) -> DataFrame:
     """(part, bits): the slots of all keys of `df`, one row per 32,768 slots."""
     slots = df.select(slot(keys).alias("s"))
@@ -23,8 +32,19 @@ def slot_maps(keys: Column, df: DataFrame) -> DataFrame:
 def perhaps_in(df: DataFrame, key: str, maps: DataFrame) -> DataFrame:
     """The rows of `df` whose key has a slot in the maps: all that are meant, and few others while the
     keys are fewer than the slots. The maps are broadcast; their size has a bound."""
-    at = F.bitmap_bit_position(slot(F.col(key)))
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2
     both = df.join(F.broadcast(maps), F.bitmap_bucket_number(slot(F.col(key))) == F.col("part"))
-    return both.filter(bit == 1).drop("part", "bits")
+    return both.filter(_bit(F.col(key), "bits") == 1).drop("part", "bits")
+
+
+def without(df: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows of `df`, all columns, whose key is not in the one column of `dropped`.
+
+    Rows whose slot no dropped key has pass where they are read; only the others are shuffled to be
+    compared. Rows with a null key stay.
+    """
+    gone = dropped.toDF("_gone").filter("_gone is not null")
+    maps = materialize(slot_maps(F.col("_gone"), gone).select(F.col("part").alias("_part"), F.col("bits").alias("_bits")))
+    marked = df.join(F.broadcast(maps), F.bitmap_bucket_number(slot(F.col(key))) == F.col("_part"), "left")
+    asked = F.coalesce(_bit(F.col(key), "_bits") == 1, F.lit(False))
+    perhaps = marked.filter(asked).join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return marked.filter(~asked).select(*df.columns).unionByName(perhaps.select(*df.columns))
