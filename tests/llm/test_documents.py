@@ -352,8 +352,8 @@ def brute_lines(rows, edits, min_chars):
     return out
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_line_dedup(spark, edits):
+@pytest.mark.parametrize("edits,bit_parallel", [(1, True), (2, True), (2, False)])
+def test_line_dedup(spark, edits, bit_parallel):
     rng = random.Random(5)
     stems = ["".join(rng.choice("abcdefgh é") for _ in range(30)) for _ in range(6)]
     rows = []
@@ -367,7 +367,7 @@ def test_line_dedup(spark, edits):
             lines.append("".join(line))
         rows.append((i, "\n".join(lines + rng.choice([[], ["short"], [""], ["  "]]))))
     rows += [(50, None), (51, ""), (None, stems[0]), (52, LONG)]
-    got = {r.doc_id: (r.n_lines, r.n_near, list(r.kept)) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), edits=edits).collect()}
+    got = {r.doc_id: (r.n_lines, r.n_near, list(r.kept)) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), edits=edits, bit_parallel=bit_parallel).collect()}
     assert got == brute_lines(rows, edits, line_dedup.MIN_CHARS)
 
 
