@@ -17,16 +17,19 @@ from sparrowmill.session import materialize
 
 #: Bytes of context.
 ORDER = 5
-#: A context with its next byte is a node of the trie if it makes up this share of all bytes learned
-#: from. So a level has at most 1 / NODE_SHARE nodes, whatever the size of the corpus.
+#: Contexts with their next byte that make up this share of all bytes (at most 1 / NODE_SHARE, 16 bytes
+#: each) have their code length looked up in the tasks that score; all rarer ones are joined with theirs.
 NODE_SHARE = 5e-7
+#: Levels of the trie up to this context length are sent to all tasks that compute code lengths: at most
+#: 256 ** (BASE + 1) nodes. Longer contexts meet where the last BASE + 1 bytes of the context are equal.
+BASE = 1
+#: Distinct contexts with their next byte that one task computes code lengths for, about.
+CONTEXTS_PER_BUCKET = 50_000
 #: What each byte seen in a context gives up for those not seen there.
 DISCOUNT = 0.5
 #: Words with this share of all tokens (at most 1 / WORD_SHARE, 16 bytes each) are looked up in the
 #: tasks that score; all rarer words are joined with their counts.
 WORD_SHARE = 2e-7
-#: Code lengths a task remembers at most, 16 bytes each.
-REMEMBERED = 1_000_000
 SYMBOLS = 256
 END = b"\n"
 _SLICE = 1 << 21
@@ -73,15 +76,15 @@ def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], (np.add.reduceat(n, first) if len(first) else n)
 
 
-def count_corpus(df: DataFrame, text: str, order: int = ORDER) -> DataFrame:
-    """(kind, key, n) over all rows: kind 0 counts contexts with their next byte, kind 1 words by hash.
+def count_corpus(df: DataFrame, text: str, train: Column, order: int = ORDER) -> DataFrame:
+    """(kind, key, n) over all rows: contexts with their next byte, kind 0 in the training rows and kind 3 in
+    the others, and of the training rows kind 1 words by hash, kind 2 (key 0) the ends of documents.
 
-    A task adds up what it has read and hands on sums. Under kind 1 the ends of documents are key 0 of
-    kind 2, as every document has one.
+    A task adds up what it has read and hands on sums.
     """
 
     def count(batches):
-        keys, counts, held = [], [], 0
+        held = {0: ([], []), 3: ([], [])}
         words: Counter = Counter()
         ends = 0
 
@@ -92,31 +95,38 @@ def count_corpus(df: DataFrame, text: str, order: int = ORDER) -> DataFrame:
             )
 
         for batch in batches:
-            for _, texts in text_slices(batch, chars=_SLICE):
-                docs = [tokens(t) for t in texts]
-                packed, _ = contexts(docs, order)
-                key, n = np.unique(packed, return_counts=True)
-                keys.append(key)
-                counts.append(n.astype(np.int64))
-                held += len(key)
-                if held > 1_500_000:
-                    key, n = _tally(keys, counts)
-                    keys, counts, held = [key], [n], len(key)
-                    if held > 1_000_000:
-                        yield rows(0, key, n)
-                        keys, counts, held = [], [], 0
-                for d in docs:
+            for part, texts in text_slices(batch, chars=_SLICE):
+                learn = part.column("train").to_pylist()
+                docs = {0: [], 3: []}
+                for t, yes in zip(texts, learn):
+                    docs[0 if yes else 3].append(tokens(t))
+                for kind, (keys, counts) in held.items():
+                    if not docs[kind]:
+                        continue
+                    packed, _ = contexts(docs[kind], order)
+                    key, n = np.unique(packed, return_counts=True)
+                    keys.append(key)
+                    counts.append(n.astype(np.int64))
+                    if sum(map(len, keys)) > 1_500_000:
+                        key, n = _tally(keys, counts)
+                        keys[:], counts[:] = [key], [n]
+                        if len(key) > 1_000_000:
+                            yield rows(kind, key, n)
+                            keys.clear()
+                            counts.clear()
+                for d in docs[0]:
                     words.update(d)
-                ends += len(docs)
+                ends += len(docs[0])
                 if len(words) > 200_000:
                     yield rows(1, [word_id(w) for w in words], list(words.values()))
                     words.clear()
-        key, n = _tally(keys, counts)
-        yield rows(0, key, n)
+        for kind, (keys, counts) in held.items():
+            yield rows(kind, *_tally(keys, counts))
         yield rows(1, [word_id(w) for w in words], list(words.values()))
-        yield rows(2, [0], [ends])
+        yield rows(2, [0] if ends else [], [ends] if ends else [])
 
-    counted = df.select(F.col(text).alias("text")).mapInArrow(count, "kind int, key bigint, n bigint")
+    marked = df.select(F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    counted = marked.mapInArrow(count, "kind int, key bigint, n bigint")
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -152,59 +162,39 @@ def _log10(x: np.ndarray) -> np.ndarray:
 class Trie:
     """Code lengths of bytes after their contexts.
 
-    The longest context that is a node is tried first. A byte seen there has the probability
-    (count - DISCOUNT) / total. Else the model escapes to the context one byte shorter, with what was
-    pruned and what the seen bytes gave up: (pruned + DISCOUNT * distinct) / total. There the bytes of
-    the longer context are excluded from all counts, as they would have been coded before. After the
-    empty context all bytes not seen there are equally likely.
+    The longest context that was met is tried first. A byte seen there has the probability
+    (count - DISCOUNT) / total. Else the model escapes to the context one byte shorter, with what the
+    seen bytes gave up: DISCOUNT * distinct / total. There the bytes of the longer context are excluded
+    from all counts, as they would have been coded before. After the empty context all bytes not seen
+    there are equally likely.
     """
 
-    def __init__(self, pairs: list[tuple[np.ndarray, np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]]):
-        """By length of context: (context and byte, count) of the nodes and (context, count) with all its bytes."""
+    def __init__(self, pairs: list[tuple[np.ndarray, np.ndarray]]):
+        """By length of context: (context and byte, count), sorted; for each context that is in it all its bytes."""
         self.levels: list[Level] = []
-        for k, ((pair, count), (context, total)) in enumerate(zip(pairs, totals)):
-            at = _find(context, pair >> np.uint64(8))
+        below_total = below_distinct = np.zeros(0)
+        for k, (pair, count) in enumerate(pairs):
+            context, at = np.unique(pair >> np.uint64(8), return_inverse=True)
             distinct = np.bincount(at, minlength=len(context)).astype(float)
-            seen = np.bincount(at, weights=count, minlength=len(context))
+            total = np.bincount(at, weights=count, minlength=len(context))
             next_base = next_escape = np.zeros(0)
             if k:
-                below, (below_context, below_total) = self.levels[k - 1], totals[k - 1]
+                below = self.levels[k - 1]
                 mask = np.uint64((1 << (8 * k)) - 1)
                 shorter = _find(below.pair, pair & mask)
                 excluded = np.bincount(at, weights=below.count[shorter], minlength=len(context))
-                parent = _find(below_context, context & (mask >> np.uint64(8)))
+                parent = _find(below.context, context & (mask >> np.uint64(8)))
                 left_total = below_total[parent] - excluded
-                left_distinct = self._distinct[parent] - distinct
+                left_distinct = below_distinct[parent] - distinct
                 next_base = _log10(left_total)
-                pruned = below_total[parent] - self._seen[parent]
-                escape = np.where(left_distinct > 0, (pruned + DISCOUNT * left_distinct) / np.maximum(left_total, 1), 1.0)
+                escape = np.where(left_distinct > 0, DISCOUNT * left_distinct / np.maximum(left_total, 1), 1.0)
                 next_escape = _log10(np.minimum(escape, 1.0))
-            self._distinct, self._seen = distinct, seen
+            below_total, below_distinct = total, distinct
             self.levels.append(Level(
-                context, pair, count.astype(float), _log10(total),
-                _log10((total - seen + DISCOUNT * distinct) / np.maximum(total, 1)),
+                context, pair, count.astype(float), _log10(total), _log10(DISCOUNT * distinct / np.maximum(total, 1)),
                 next_base, next_escape,
             ))
         self.last = -float(np.log10(max(SYMBOLS - len(pairs[0][0]), 1)))
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.cost = np.zeros(0)
-
-    def look_up(self, packed: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte after its context; results are remembered."""
-        unique, place = np.unique(packed, return_inverse=True)
-        at = _find(self.known, unique)
-        cost = np.zeros(len(unique))
-        cost[at >= 0] = self.cost[at[at >= 0]]
-        new = unique[at < 0]
-        if len(new):
-            made = self.walk(new)
-            cost[at < 0] = made
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, self.cost = unique, cost
-            else:
-                place_of = np.searchsorted(self.known, new)
-                self.known, self.cost = np.insert(self.known, place_of, new), np.insert(self.cost, place_of, made)
-        return cost[place]
 
     def walk(self, packed: np.ndarray) -> np.ndarray:
         cost = np.zeros(len(packed))
@@ -233,36 +223,64 @@ class Trie:
         return cost
 
 
-def build_trie(counts: DataFrame, order: int = ORDER, share: float = NODE_SHARE) -> Trie:
-    """Trie from the stored counts of kind 0; the driver sees at most 2 / share rows per level."""
+def _levels(key: np.ndarray, n: np.ndarray, lengths: range) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Counts of contexts and bytes, summed for each of these lengths of context."""
+    return [_tally([key & np.uint64((1 << (8 * (k + 1))) - 1)], [n]) for k in lengths]
+
+
+def code_lengths(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(key, cost, met): log10 probability of every context and byte counted in any row, and how often it was met.
+
+    Shorter contexts and all bytes after them follow from the counts of the longest ones. What contexts of
+    more than BASE bytes need is found where their last BASE + 1 bytes are equal, so such groups are dealt
+    out in buckets, and a bucket builds its own part of the trie. The shorter levels are broadcast.
+    """
     spark = counts.sparkSession
-    top = counts.filter("kind = 0").select("key", "n")
-    total = top.agg(F.sum("n")).first()[0] or 0
-    least = max(1.0, share * total)
-
-    def held(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        rows = df.filter(F.col("n") >= F.lit(least)).toArrow()
-        key, n = rows.column("key").to_numpy().astype(np.uint64), rows.column("n").to_numpy().astype(float)
-        by = np.argsort(key)
-        return key[by], n[by]
-
-    pairs, totals = [], []
-    for k in range(order + 1):
-        mask = (1 << (8 * (k + 1))) - 1
-        level = top.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        pairs.append(held(level))
-        if k == 0:
-            totals.append((np.zeros(1, dtype=np.uint64), np.array([float(total)])))
-            continue
-        # a context is met as often as its bytes are followed by anything
-        total_of = top.groupBy(F.shiftright(F.col("key").bitwiseAND(F.lit(mask)), 8).alias("key")).agg(F.sum("n").alias("n"))
-        context, n = held(total_of)
-        used = np.isin(context, pairs[k][0] >> np.uint64(8))
-        totals.append((context[used], n[used]))
-    if not total:
-        pairs = [(np.zeros(0, dtype=np.uint64), np.zeros(0))] * (order + 1)
-        totals = [(np.zeros(0, dtype=np.uint64), np.zeros(0))] * (order + 1)
-    return Trie(pairs, totals)
+    top = counts.filter("kind in (0, 3)").select("kind", "key", "n")
+    low = min(order, BASE)
+    short = top.filter("kind = 0").groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (low + 1))) - 1)).alias("key"))
+    short = short.agg(F.sum("n").alias("n")).toArrow()
+    base = spark.sparkContext.broadcast(
+        _levels(short.column("key").to_numpy().astype(np.uint64), short.column("n").to_numpy(), range(low + 1))
+    )
+
+    def bucket(table: pa.Table) -> pa.Table:
+        key, n = table.column("key").to_numpy().astype(np.uint64), table.column("n").to_numpy()
+        learned = table.column("kind").to_numpy() == 0
+        trie = Trie(base.value + _levels(key[learned], n[learned], range(low + 1, order + 1)))
+        wanted, met = _tally([key], [n])
+        return pa.table({"key": wanted.astype(np.int64), "cost": trie.walk(wanted), "met": met.astype(np.int64)})
+
+    buckets = top.count() // CONTEXTS_PER_BUCKET + 1
+    group = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * (BASE + 1))) - 1))
+    dealt = top.groupBy(F.pmod(F.xxhash64(group), F.lit(buckets)).alias("bucket"))
+    return dealt.applyInArrow(bucket, "key bigint, cost double, met bigint")
+
+
+def _least(met: DataFrame, most: float) -> float:
+    """A bound that at most `most` of the numbers in the column `met` reach: a power of two."""
+    sizes = met.groupBy(F.floor(F.log2("met")).alias("power")).count().collect()  # at most 63 rows
+    reached, least = 0, 2.0 ** 63
+    for power, n in sorted(((r[0], r[1]) for r in sizes), reverse=True):
+        reached += n
+        if reached > most:
+            break
+        least = 2.0 ** power
+    return least
+
+
+def _per_document(unique: np.ndarray, place: np.ndarray, wanted: np.ndarray, sizes: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
+    """Per document its distinct numbers among the wanted ones, and how often it has each.
+
+    `place` has for each byte of the documents, `sizes` bytes each, the position of its number in `unique`.
+    """
+    there = wanted[place]
+    doc = np.repeat(np.arange(len(sizes)), sizes)[there]
+    both, times = np.unique(doc * max(len(unique), 1) + place[there], return_counts=True)
+    doc, at = both // max(len(unique), 1), both % max(len(unique), 1)
+    cut = pa.array(np.searchsorted(doc, np.arange(len(sizes) + 1)).astype(np.int32))
+    keys = pa.array(unique[at].astype(np.int64))
+    return pa.ListArray.from_arrays(cut, keys), pa.ListArray.from_arrays(cut, pa.array(times.astype(np.int32)))
 
 
 def score_corpus(
@@ -280,18 +298,22 @@ def score_corpus(
     probability of the tokens by add-one counts of the training rows, `score` that of the same words,
     byte by byte, by the trie (class Trie) learned from the same rows.
 
-    Counts cover all bytes and words of the training rows. The trie keeps nodes by their share of the
-    corpus, not by number, so it is small at any size and is broadcast: at most 2 / node_share entries
-    per level. Words by share likewise; rarer words of a text are counted per row and joined with the
-    counts, in one shuffle. Counts and row results are stored in the shared folder.
+    Counts cover all bytes and words of the training rows, and every counted context takes part. Each
+    distinct context and byte of any row gets its code length once (code_lengths). The most frequent ones,
+    at most 1 / node_share, are broadcast; the others are counted per row and joined with their code
+    lengths. Words by share likewise: rarer words of a text are counted per row and joined with the
+    counts. Counts, code lengths and row results are stored in the shared folder.
 
     Null and empty texts are one end. Repeated rows, also with one id, get results of their own. If
     nothing is learned, bytes are equally likely. Extra columns are ignored; an empty table gives an
     empty result.
     """
     spark = df.sparkSession
-    counts = materialize(count_corpus(df.filter(train), text, order))
-    trie = spark.sparkContext.broadcast(build_trie(counts, order, node_share))
+    counts = materialize(count_corpus(df, text, train, order))
+    lengths = materialize(code_lengths(counts, order))
+    bar = F.lit(_least(lengths, 1 / node_share))
+    usual = lengths.filter(F.col("met") >= bar).select("key", "cost").toArrow().sort_by("key")
+    near = spark.sparkContext.broadcast((usual.column("key").to_numpy().astype(np.uint64), usual.column("cost").to_numpy()))
     words = counts.filter("kind = 1")
     ends = counts.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
     n_words, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -302,8 +324,7 @@ def score_corpus(
     common = spark.sparkContext.broadcast((often.column("key").to_numpy()[by_id], often.column("n").to_numpy()[by_id]))
 
     def score(batches):
-        model, (common_ids, common_counts) = trie.value, common.value
-        model.known, model.cost = np.zeros(0, dtype=np.uint64), np.zeros(0)
+        (usual_keys, usual_costs), (common_ids, common_counts) = near.value, common.value
         seen_words: dict[bytes, tuple[int, float]] = {}
 
         def meet(word: bytes) -> tuple[int, float]:
@@ -317,7 +338,11 @@ def score_corpus(
             for part, texts in text_slices(batch, chars=_SLICE):
                 docs = [tokens(t) for t in texts]
                 packed, sizes = contexts(docs, order)
-                scores = np.add.reduceat(model.look_up(packed), np.cumsum(sizes) - sizes) if len(docs) else np.zeros(0)
+                unique, place = np.unique(packed, return_inverse=True)
+                at = _find(usual_keys, unique)
+                cost = np.where(at >= 0, usual_costs[at], 0.0) if len(usual_costs) else np.zeros(len(unique))
+                scores = np.add.reduceat(cost[place], np.cumsum(sizes) - sizes) if len(docs) else np.zeros(0)
+                far, far_times = _per_document(unique, place, at < 0, sizes)
                 logs, known, rare, times = [], [], [], []
                 if len(seen_words) > 200_000:
                     seen_words.clear()
@@ -341,20 +366,25 @@ def score_corpus(
                     [
                         part.column("doc_id"), pa.array([len(d) + 1 for d in docs], pa.int64()), pa.array(known, pa.int64()),
                         pa.array(logs, pa.float64()), pa.array(scores, pa.float64()),
-                        pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())),
+                        pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), far, far_times,
                     ],
-                    ["doc_id", "n_tokens", "known", "logs", "score", "rare", "times"],
+                    ["doc_id", "n_tokens", "known", "logs", "score", "rare", "times", "far", "far_times"],
                 )
 
     kind = df.select(F.col(key)).schema[0].dataType.simpleString()
-    made = "n_tokens bigint, known bigint, logs double, score double, rare array<bigint>, times array<int>"
+    made = "n_tokens bigint, known bigint, logs double, score double, rare array<bigint>, times array<int>, far array<bigint>, far_times array<int>"
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(score, f"doc_id {kind}, {made}")
     rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()))
     rare = rows.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("_row", "w.rare", "w.times")
-    found = (
-        rare.join(words.filter(F.col("n") < F.lit(least)).select("key", "n"), F.col("rare") == F.col("key"))
-        .groupBy("_row")
-        .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
+    far = rows.select("_row", F.explode(F.arrays_zip("far", "far_times")).alias("w")).select("_row", "w.far", "w.far_times")
+    of_words = rare.join(words.filter(F.col("n") < F.lit(least)).select("key", "n"), F.col("rare") == F.col("key")).select(
+        "_row", F.col("times").cast("bigint").alias("more"), (F.col("times") * F.log10(F.col("n") + 1)).alias("logs"), F.lit(0.0).alias("score")
+    )
+    of_contexts = far.join(lengths.filter(F.col("met") < bar).select("key", "cost"), F.col("far") == F.col("key")).select(
+        "_row", F.lit(0).cast("bigint").alias("more"), F.lit(0.0).alias("logs"), (F.col("far_times") * F.col("cost")).alias("score")
+    )
+    found = of_words.unionByName(of_contexts).groupBy("_row").agg(
+        F.sum("more").alias("more"), F.sum("logs").alias("more_logs"), F.sum("score").alias("more_score")
     )
     size = F.log10(F.lit(float(seen + kinds + 1)))
     zero = F.lit(0)
@@ -363,5 +393,5 @@ def score_corpus(
         (F.col("known") + F.coalesce("more", zero)).alias("n_known"),
         F.lit(seen).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * size).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

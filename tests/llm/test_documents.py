@@ -324,6 +324,19 @@ def test_trie_by_definition(spark, share):
         assert math.isclose(got[i], brute_walk(t.encode() + b"\n", history, 3, least), rel_tol=1e-9)
 
 
+def test_every_counted_context_takes_part(spark):
+    """Also with so few broadcast contexts that nearly all are joined, and with training rows that are few."""
+    rng = random.Random(8)
+    docs = [" ".join(rng.choice(["the", "cat", "dog", "zebra", "É", "sat"]) + rng.choice(["", "s", "x"]) for _ in range(rng.randint(0, 12))) for _ in range(30)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id int, text string").repartition(4)
+    bodies = [b" ".join(ppm.tokens(t)) + b"\n" for t in docs]
+    for order, learned in ((5, 20), (1, 3)):
+        want = [brute_walk(b, bodies[:learned], order, 1) for b in bodies]
+        for share in (0.3, 5e-7):
+            got = {r.doc_id: r.score for r in ppm.score_corpus(df, F.col("doc_id") < learned, order=order, node_share=share).collect()}
+            assert all(math.isclose(got[i], w, rel_tol=1e-9) for i, w in enumerate(want))
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
