@@ -19,7 +19,8 @@ FACTORS = 8
 TRAIN_ROWS = 16_000
 #: Terms in fewer training texts than this are left out: they can only be learned by heart.
 MIN_TEXTS = 8
-#: Terms whose number of toxic texts is within so many standard deviations of chance are left out.
+#: Terms whose number of toxic texts is within so many standard deviations of chance, alone and together
+#: with each term that is not, are left out.
 DEVIATION = 3.0
 EPOCHS = 20
 BATCH = 128
@@ -85,16 +86,49 @@ class Machine:
 
 
 def _telling(rows: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
-    """Terms worth learning: in enough texts, and more or less often with label 1 than chance explains."""
+    """Terms worth learning: in enough texts, and more or less often with label 1 than chance explains.
+
+    Chance is asked alone, and in the texts of each term that tells alone: a term that tells only together
+    with another one stays, whatever it says alone. As these are very many questions, the bound
+    grows with their number.
+    """
     flat = np.concatenate(rows)
-    of = np.repeat(labels, [len(r) for r in rows])[flat >= 0]
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[flat >= 0]
     flat = flat[flat >= 0]
-    texts = np.bincount(flat, minlength=buckets).astype(float)
-    toxic = np.bincount(flat, weights=of, minlength=buckets)
-    share = labels.mean()
-    expected = texts * share
-    spread = np.sqrt(np.maximum(expected * (1 - share) * (1 - texts / len(rows)), 1e-9))
-    return (texts >= min(MIN_TEXTS, max(1, len(rows) // 50))) & (np.abs(toxic - expected) >= DEVIATION * spread)
+    texts = np.bincount(flat, minlength=buckets)
+    often = np.flatnonzero(texts >= min(MIN_TEXTS, max(1, len(rows) // 50)))
+    place = np.full(buckets, -1)
+    place[often] = np.arange(len(often))
+    term = place[flat]
+    row, term = row[term >= 0], term[term >= 0]
+    starts = np.searchsorted(row, np.arange(len(rows) + 1))
+
+    def apart(term: np.ndarray, label: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """How many standard deviations each term's number of toxic texts is away from chance."""
+        met = np.bincount(term, minlength=len(often)).astype(float)
+        share = among.mean()
+        spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(among)), 1e-9))
+        off = np.abs(np.bincount(term, weights=label, minlength=len(often)) - met * share) / spread
+        return np.where((met >= MIN_TEXTS) & (len(among) - met >= 1), off, 0.0)
+
+    met, share = texts[often].astype(float), labels.mean()
+    spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(rows)), 1e-9))
+    alone = np.abs(np.bincount(term, weights=labels[row], minlength=len(often)) - met * share) >= DEVIATION * spread
+    telling = np.flatnonzero(alone)
+    bound = max(DEVIATION, float(np.sqrt(2 * np.log(max(1, len(telling) * len(often))))))
+    by_term = np.argsort(term, kind="stable")
+    edges = np.searchsorted(term[by_term], np.arange(len(often) + 1))
+    together = np.zeros(len(often), dtype=bool)
+    for t in telling:
+        mine = row[by_term[edges[t]:edges[t + 1]]]
+        among = labels[mine]
+        if among.min() == among.max():
+            continue
+        others = np.concatenate([term[starts[r]:starts[r + 1]] for r in mine])
+        together |= apart(others, np.repeat(among, starts[mine + 1] - starts[mine]), among) >= bound
+    kept = np.zeros(buckets, dtype=bool)
+    kept[often[alone | together]] = True
+    return kept
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS, seed: int = 5) -> Machine:

@@ -203,6 +203,24 @@ def test_toxicity_learns_pairs():
     assert pair > 0.5
 
 
+def test_toxicity_learns_a_term_that_tells_only_in_pairs():
+    """A frequent group mention without a signal of its own; the insult is toxic only next to it."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(6000):
+        insult, group, other = rng.random() < 0.02, rng.random() < 0.31, rng.random() < 0.1
+        rows.append(np.array(sorted({*(rng.integers(10, 400, 12)), *[t for t, there in ((1, insult), (2, group), (3, other)) if there]})))
+        labels.append(float(other or (insult and group)))
+    labels = np.array(labels)
+    met = np.array([2 in r for r in rows])
+    chance = met.sum() * labels.mean()
+    assert abs(labels[met].sum() - chance) < toxicity.DEVIATION * math.sqrt(chance * (1 - labels.mean()) * (1 - met.mean()))
+    machine = toxicity.fit(rows, labels, buckets=400)
+    assert float(machine.factor[1] @ machine.factor[2]) > 0.5
+    pair, insult, group = (float(machine.score(np.array(t), np.array([0]))[0]) for t in ([1, 2], [1], [2]))
+    assert pair > 0.5 > insult and group < 0.5
+
+
 def brute_components(rows, width=5):
     sets = {}
     for i, t, *_ in rows:
