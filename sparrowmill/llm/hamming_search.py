@@ -232,8 +232,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
     parts, in blocks, so a vector that fills a third of the table is many tasks. A task keeps k rows
     per query.
 
-    Rows with a null id and vectors that are null, zero, not finite somewhere or not as long as the
-    longest one take no part. A query is not its own candidate, nor are rows with its id; other rows
+    Vectors are compared with those of their own length; each length that a query has is a search of its own.
+    Rows with a null id and vectors that are null, zero or not finite somewhere take no part. A query is not its own candidate, nor are rows with its id; other rows
     with one id are rows of their own. Ties go to the smaller id. With fewer than k candidates all are
     returned. An empty table gives an empty result. Extra columns are ignored.
     """
@@ -241,10 +241,20 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
     rows = df.filter(F.col(key).isNotNull() & usable(F.col(vector)))
     rows = rows.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("is_query"))
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    long, length = rows.agg(F.max(F.size("vector")), F.sqrt(F.max(square))).first()
-    if long is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    rows = rows.filter(F.size("vector") == long)
+    asked = (
+        rows.groupBy(F.size("vector").alias("size")).agg(F.sqrt(F.max(square)), F.max("is_query").alias("asked"))
+        .filter("asked").orderBy("size").collect()  # a row per length of vector
+    )
+    found = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    for n, (size, longest, _) in enumerate(asked):
+        of_size = _nearest_of_length(rows.filter(F.size("vector") == size), longest, k)
+        found = found.unionByName(of_size) if n else of_size
+    return found
+
+
+def _nearest_of_length(rows: DataFrame, length: float, k: int) -> DataFrame:
+    """The result of `nearest` among vectors of one number of components; `length` is that of the longest."""
+    spark = rows.sparkSession
     sample = rows.orderBy(F.xxhash64(F.lit("sample"), "vec_id")).limit(SAMPLE).select("vector").toArrow()
     sample = _matrix(sample.column("vector")) / length
     rest = np.sqrt(np.maximum(0.0, 1.0 - (sample * sample).sum(axis=1)))

@@ -44,6 +44,21 @@ def test_nearest_with_ties_and_repeated_vectors(spark):
     assert hamming_search.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_nearest_searches_each_length(spark):
+    """One stray longer vector takes nothing away, and shorter ones have neighbours of their own."""
+    rng = np.random.default_rng(6)
+    of = {8: range(0, 60), 3: range(100, 125), 9: range(201, 202)}
+    rows = [(i, [float(x) for x in rng.normal(size=d)]) for d, ids in of.items() for i in ids]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in hamming_search.nearest(df, F.col("vec_id") % 20 == 0, k=100).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = {}
+    for ids in of.values():
+        want |= brute([(i, np.array(v)) for i, v in rows if i in ids], 100)
+    assert got == want and len(want) == 5
+
+
 def test_substring_radii_cover_the_radius():
     rng = np.random.default_rng(1)
     for radius in (0, 3, 9, 27, 64):
