@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,33 +15,67 @@ from sparrowmill.llm.piece_bpe import encode_documents
 from sparrowmill.llm.queries import quality_weight, toxic_labels
 from sparrowmill.llm.text import words_in
 from sparrowmill.llm.toxicity import without_toxic
-from sparrowmill.session import scratch_path
+from sparrowmill.session import materialize, scratch_path
 from sparrowmill.tables import table
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Rows of one file have numbers below this power of two.
+_FILE_ROWS = 40
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with `_row`, a unique number of each row: the number of its stored file and its place in there.
+
+    Rows of files as they were read, perhaps filtered, have it where they lie; others are written first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    try:
+        placed = docs.select("*", *place)
+    except AnalysisException:
+        placed = materialize(docs).select("*", *place)
+    files = sorted(r[0] for r in placed.select("_file").distinct().collect())
+    known = docs.sparkSession.createDataFrame([(f, n) for n, f in enumerate(files)], "_file string, _n bigint")
+    row = F.shiftleft(F.col("_n"), _FILE_ROWS) + F.col("_at")
+    return placed.join(F.broadcast(known), "_file").select(*docs.columns, row.alias("_row"))  # one row per file
+
+
+def _place():
+    """Order of the rows of a group: by id, null last, and then by row."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half."""
     return without_toxic(docs, toxic_labels(table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of equal texts."""
-    return without(docs, "doc_id", exact_dedup(docs).filter("not kept").select("doc_id"))
+    """The first row of each group of equal texts, whatever ids the rows have."""
+    rows = numbered(docs)
+    judged = exact_dedup(rows.withColumn("_place", _place()), key="_place")
+    return without(rows, "_row", judged.filter("not kept").select("doc_id._row")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group that links of similar texts form."""
-    return without(docs, "doc_id", ngram_components(docs).filter("doc_id <> component_id").select("doc_id"))
+    """The first row of each group that links of similar texts form, whatever ids the rows have."""
+    rows = numbered(docs)
+    found = materialize(ngram_components(rows, key="_row").select(F.col("doc_id").alias("_row"), "component_id"))
+    groups = found.filter("_row <> component_id").select("component_id").distinct()
+    members = materialize(found.join(groups, "component_id", "left_semi").join(rows.select("_row", "doc_id"), "_row"))
+    first = members.groupBy("component_id").agg(F.min(_place()).alias("_first"))
+    gone = members.join(first, "component_id").filter(F.col("_row") != F.col("_first._row")).select("_row")
+    return without(rows, "_row", gone).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Rows as often as the mix takes them."""
+    rows = numbered(docs)
     weights = quality_weight(table(spark, sf_dir, "labels"))
-    sized = docs.select("doc_id", "source", words_in(F.col("text")).alias("size")).join(weights, "doc_id", "left")
-    copies = mix_sources(sized, F.col("size"), F.col("weight")).filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+    sized = rows.select("doc_id", "_row", "source", words_in(F.col("text")).alias("size")).join(weights, "doc_id", "left")
+    copies = mix_sources(sized, F.col("size"), F.col("weight"), row="_row").filter("copies > 0").select("_row", "copies")
+    taken = rows.join(copies, "_row")
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
 
 

@@ -54,6 +54,7 @@ def mix_sources(
     epochs: int = EPOCHS,
     seed: int = 17,
     blocks: int = BLOCKS,
+    row: str | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, copies, taken.
 
@@ -69,8 +70,11 @@ def mix_sources(
 
     Null or negative size counts as 0, a weight that is null, NaN or not above 0 as 1. A null source is
     a source. Draws depend on id and seed only, so reruns agree, and repeated ids share their draw;
-    ties go to the smaller id. An empty table gives an empty result.
+    ties go to the smaller id. With `row`, a column of unique row ids, they go on to the smaller of these,
+    and the result has that column as well. An empty table gives an empty result.
     """
+    own = [row] if row else []
+    tie = ["_key", "doc_id", *own]
     clean = F.when((weight > 0) & ~F.isnan(weight), weight).otherwise(F.lit(1.0)).cast("double")
     drawn = materialize(
         df.select(
@@ -78,7 +82,7 @@ def mix_sources(
             F.col(source).alias("source"),
             F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("bigint").alias("size"),
             (-F.log(uniform(F.col(key), seed)) / clean).alias("_key"),
-            clean.alias("_weight"),
+            clean.alias("_weight"), *own,
         )
     )
     usual = F.coalesce(drawn.select(F.avg("_weight")).scalar(), F.lit(1.0))
@@ -102,32 +106,32 @@ def mix_sources(
         .agg(F.max_by(F.struct("_block", "_before", "_rest"), "_block").alias("_end"))
         .select("_source", F.col("_end._block").alias("_last"), F.col("_end._before").alias("_before"), F.col("_end._rest").alias("_rest"))
     )
-    inside = Window.partitionBy("source").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source").orderBy(*tie).rowsBetween(Window.unboundedPreceding, -1)
     reach = (
         drawn.join(ends, same & (F.col("_block") == F.col("_last")))
         .withColumn("_sum", F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("_before") + F.col("size"))
         .filter(F.col("_sum") <= F.col("_rest"))
         .groupBy("_source")
-        .agg(F.max(F.struct("_key", "doc_id")).alias("_reach"), F.max("_sum").alias("_filled"))
+        .agg(F.max(F.struct(*tie)).alias("_reach"), F.max("_sum").alias("_filled"))
     )
     rule = materialize(_beside(_beside(targets, ends.select("_source", "_last", "_before")), reach))
     chosen = F.coalesce(
         (F.col("_block") < F.col("_last"))
-        | ((F.col("_block") == F.col("_last")) & (F.struct("_key", "doc_id") <= F.col("_reach"))),
+        | ((F.col("_block") == F.col("_last")) & (F.struct(*tie) <= F.col("_reach"))),
         F.lit(False),
     )
     free = F.col("_rest") - F.coalesce("_filled", "_before", F.lit(0))
     off = F.abs(free - F.col("size"))
     fitting = (
         drawn.join(rule, same).filter(~chosen & (off < free))
-        .groupBy("_source").agg(F.min(F.struct(off.alias("off"), "_key", "doc_id")).alias("_fit"))
-        .select("_source", F.struct("_fit._key", "_fit.doc_id").alias("_fit"))
+        .groupBy("_source").agg(F.min(F.struct(off.alias("off"), *tie)).alias("_fit"))
+        .select("_source", F.struct(*[f"_fit.{c}" for c in tie]).alias("_fit"))
     )
     rule = materialize(_beside(rule, fitting))
-    chosen = chosen | F.coalesce(F.struct("_key", "doc_id") == F.col("_fit"), F.lit(False))
+    chosen = chosen | F.coalesce(F.struct(*tie) == F.col("_fit"), F.lit(False))
     copies = F.col("_whole") + F.when(chosen, F.lit(1)).otherwise(F.lit(0))
     return drawn.join(rule, same).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *own
     )
 
 

@@ -91,3 +91,28 @@ def test_stages(spark, tmp_path):
             assert len(after) == len({" ".join((texts[i] or "").replace("\t", " ").split(" ")) for i in before})
         if name == "encoding":
             assert sorted(after) == sorted(before)
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: a row goes or stays for its own text."""
+    base = " ".join(f"tok{i}" for i in range(60))
+    near = base.replace("tok30", "other")
+    rows = [(5, base), (None, base), (None, base), (7, base), (7, "a text of its own"), (9, "twice the same"), (9, "twice the same"),
+            (None, "only null"), (None, "only null"), (8, near), (None, near), (8, "another text"), (None, None), (3, "")]
+    rows += [(None, f"more text {i}") for i in range(30)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t, "s" if n % 3 else None) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, source string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    texts = lambda df: sorted((str(r.doc_id), r.text or "") for r in df.collect())
+    firsts = {}
+    for i, t in rows:
+        firsts.setdefault(t or "", []).append((i is None, i or 0))
+    want = sorted((str(None if none else i), t) for t, (none, i) in ((t, min(ids)) for t, ids in firsts.items()))
+    once = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert texts(once) == want
+    once.write.parquet(str(tmp_path / "once"))
+    once = spark.read.parquet(str(tmp_path / "once"))
+    assert texts(corpus_pipeline.drop_near_copies(spark, once, SF)) == [x for x in want if x[1] != near]
+    mixed = corpus_pipeline.mix(spark, docs, SF).groupBy("doc_id", "text").count().collect()
+    there = {(i, t): sum(1 for x in rows if x == (i, t)) for i, t in rows}
+    assert mixed and all(r["count"] <= 3 * there[r.doc_id, r.text] for r in mixed)
