@@ -14,6 +14,7 @@ from sparrowmill.llm.language_id import identify
 from sparrowmill.llm.line_dedup import dedup_lines
 from sparrowmill.llm.mixing import mix_sources
 from sparrowmill.llm.ngram_join import ngram_components
+from sparrowmill.llm.packing import pack_documents
 from sparrowmill.llm.piece_bpe import encode_documents
 from sparrowmill.llm.ppm import score_corpus
 from sparrowmill.llm.sharding import shard_documents
@@ -174,3 +175,8 @@ def hamming_search(spark, sf_dir):
 def line_dedup(spark, sf_dir):
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_exact", "n_near", F.md5(F.array_join("kept", ",").cast("binary")).alias("kept_md5"))
+
+
+@query("op11_packing")
+def packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), longest=2048, end_id=1)
