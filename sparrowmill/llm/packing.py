@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 
 import pyarrow as pa
@@ -14,43 +17,82 @@ from sparrowmill.session import materialize
 
 ID_BYTES = 4  # ids are little-endian unsigned 32-bit numbers
 
-#: What a worker remembers of words met before; beyond it starts anew.
-CACHED_WORDS = 1 << 19
-CACHED_WORD_BYTES = 64
+#: What a worker remembers of words and of parts of texts met before; a full memory starts anew.
+REMEMBERED, REMEMBERED_BYTES = 3 << 18, 64
+
+# The steps of the vocabulary for which words may be cut into parts here.
+CUT_LIKE = {
+    "normalizers": ["NFC", "Replace", "Lowercase"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "pretokenizers": ["Split", "ByteLevel"],
+}
+
+#: White space and characters that every normal form leaves alone: printable ASCII, Latin letters, common signs.
+PLAIN = re.compile(r"[ \t-\r!-~À-ÖØ-öø-įı-ɏ‐-‧]*")
+#: The pattern above for lower-cased plain text.
+PART = re.compile(r"[^\t-\r -@[-`{-~‐-‧]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@[-`{-~‐-‧]+")
+
+
+class Memory(dict):
+    """What `make` gives for a key, remembered for short keys."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = value
+        return value
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Words:
-    """Ids of whole texts from ids of their words.
+    """Ids of whole texts from ids of their parts.
 
-    No pre-token of these vocabularies reaches over ASCII white space, and the normalizer changes no
-    character because of one on the other side of it; so the ids of a text are those of its words, one
-    after the other. Each word is encoded by the library, once while it is remembered.
+    A plain text falls into the parts of the vocabulary's pattern here, and each part goes to the library's merges.
+    In any other text the words go through the whole library: no pre-token of these vocabularies reaches
+    over ASCII white space, and the normalizer changes no character because of one on the other side of
+    it, so the ids of a text are those of its words, one after the other.
     """
 
     def __init__(self, model: bytes):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model.decode())
-        self.known: dict[bytes, bytes] = {}
-
-    def _packed(self, words: list[bytes]) -> list[bytes]:
-        found = [self.library.encode(w.decode(), add_special_tokens=False).ids for w in words]
-        return [b"".join(i.to_bytes(ID_BYTES, "little") for i in ids) for ids in found]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of each text."""
-        split = [t.split() for t in texts]
-        met = set().union(*split)
-        new = [w for w in met if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, list(met)
-        fresh = dict(zip(new, self._packed(new)))
-        long = {w: ids for w, ids in fresh.items() if len(w) > CACHED_WORD_BYTES}
-        self.known.update((w, ids) for w, ids in fresh.items() if w not in long)
-        known = self.known
-        if long:
-            return [b"".join([long[w] if w in long else known[w] for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+        self.merges = self.library.model
+        steps = json.loads(model)
+        found = {
+            "normalizers": [n["type"] for n in (steps["normalizer"] or {}).get("normalizers", [])],
+            "pattern": next((p["pattern"].get("Regex") for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", []) if "pattern" in p), None),
+            "pretokenizers": [p["type"] for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])],
+        }
+        self.plain = found == CUT_LIKE
+        self.added = [t["content"] for t in steps["added_tokens"]]
+        # bytes as printable characters: themselves, or the next free character from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in shown]
+        self.letters = {b: 256 + n for n, b in enumerate(others)}
+        self.words, self.parts = Memory(self._word), Memory(self._part)
+
+    def _word(self, word: bytes) -> bytes:
+        return packed(self.library.encode(word.decode(), add_special_tokens=False).ids)
+
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return packed([t.id for t in self.merges.tokenize(part)])
+
+    def encode(self, text: str) -> bytes:
+        """Packed ids of a text."""
+        if self.plain and PLAIN.fullmatch(text) and not any(a in text for a in self.added):
+            return b"".join(map(self.parts.__getitem__, PART.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
 
 _CODERS: dict[int, Words] = {}
@@ -101,11 +143,11 @@ def pack_documents(
         for batch in batches:
             for run, texts in text_slices(batch):
                 rows, columns, ids = [], [[] for _ in names], []
-                for row, packed in enumerate(words.encode([(t or "").encode() for t in texts])):
-                    packed += end
-                    tokens, start = len(packed) // ID_BYTES, 0
+                for row, text in enumerate(texts):
+                    encoded = words.encode(text or "") + end
+                    tokens, start = len(encoded) // ID_BYTES, 0
                     for length in binary_lengths(tokens, longest):
-                        piece = packed[start * ID_BYTES:(start + length) * ID_BYTES]
+                        piece = encoded[start * ID_BYTES:(start + length) * ID_BYTES]
                         at = met.get(length, 0)
                         met[length] = at + 1
                         rows.append(row)
