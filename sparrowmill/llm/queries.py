@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sparrowmill.llm.exact_dedup import exact_dedup
 from sparrowmill.llm.hamming_search import nearest
+from sparrowmill.llm.hard_negatives import mine
 from sparrowmill.llm.language_id import identify
 from sparrowmill.llm.line_dedup import dedup_lines
 from sparrowmill.llm.mixing import mix_sources
@@ -17,6 +18,7 @@ from sparrowmill.llm.ngram_join import ngram_components
 from sparrowmill.llm.packing import pack_documents
 from sparrowmill.llm.piece_bpe import encode_documents
 from sparrowmill.llm.ppm import score_corpus
+from sparrowmill.llm.repair import damaged, repair
 from sparrowmill.llm.sharding import shard_documents
 from sparrowmill.llm.text import id_remainder, words_in
 from sparrowmill.llm.toxicity import score_toxicity
@@ -180,3 +182,92 @@ def line_dedup(spark, sf_dir):
 @query("op11_packing")
 def packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), longest=2048, end_id=1)
+
+
+@query("op12_conversation_repair", """
+    with recursive t as (
+        select list(v order by i) as t from (
+            select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as v
+            from range(256) as r(i)
+        )
+    ), c as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(4294967295, list_reduce(
+            list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+                lambda ch: cast(unicode(ch) as bigint)),
+            lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1]), 4294967295)) % 20 as kind
+        from conversations cross join t
+    ), d as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+            case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as again
+        from c where kind <> 0
+    ), o as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i, left(role, 1) as ini from d
+    ), f as (
+        select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+            when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+            when regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+            ini || lead(ini) over (partition by conv_id order by i) as pair
+        from o
+    ), ins(q, n, p) as (values (0, 0, 0), (0, 1, 2), (0, 2, 3), (1, 0, 1), (1, 1, 2), (1, 2, 3), (2, 0, 2), (2, 1, 3), (2, 2, 2), (3, 0, 3), (3, 1, 2), (3, 2, 3)),
+    op(p, e, ini, cost, z) as (values (0, 'D', '', 4, 0), (1, 'D', '', 4, 1), (2, 'D', '', 4, 2), (3, 'D', '', 4, 3),
+        (0, 'K', 's', 0, 1), (0, 'K', 'u', 0, 2), (1, 'K', 'u', 0, 2), (2, 'K', 'a', 0, 3), (3, 'K', 'u', 0, 2),
+        (0, 'R', '', 3, 2), (1, 'R', '', 3, 2), (2, 'R', '', 3, 3), (3, 'R', '', 3, 2)),
+    p as (
+        select conv_id, cast(0 as bigint) as i, 0 as q, {'c': 0, 'e': ''} as m from c group by conv_id
+        union all
+        select f.conv_id, f.i, op.z, min({'c': m.c + 3 * n + cost + case when e <> 'D' and fault = 'truncated' then 3 else 0 end, 'e': m.e || repeat('I', n) || e})
+        from p join f on p.conv_id is not distinct from f.conv_id and f.i = p.i + 1 join ins using (q) join op on op.p = ins.p
+        where e = 'D' or fault in ('', 'truncated') and (e = 'R' or op.ini = f.ini)
+        group by f.conv_id, f.i, op.z
+    ), ends(q, n) as (values (0, 0), (1, 2), (2, 1), (3, 0)),
+    last as (
+        select conv_id, min({'c': m.c + 3 * n, 'e': m.e || repeat('I', n)}) as m from p join ends using (q)
+        where i = (select count(*) from f where f.conv_id is not distinct from p.conv_id) group by conv_id
+    ), e as (
+        select conv_id, len(replace(m.e, 'D', '')) % 2 as alone, unnest(string_split(m.e, '')) as e, generate_subscripts(string_split(m.e, ''), 1) as j
+        from last where m.e <> ''
+    ), w as (
+        select *, sum(cast(e <> 'I' as int)) over (partition by conv_id order by j) as i,
+            sum(cast(e <> 'D' as int)) over (partition by conv_id order by j) - 1 as k from e
+    ), r as (
+        select w.conv_id, string_agg(case when e = 'K' then f.role when (k - alone) % 2 = 0 then 'user' else 'assistant' end
+            || ':' || case when e = 'I' then '' else f.text end, chr(10) order by j) as repaired
+        from w left join f on w.conv_id is not distinct from f.conv_id and w.i = f.i where e <> 'D' group by w.conv_id
+    ), g as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+            count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+            count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+        from f group by conv_id
+    )
+    select last.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+        coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(m.c as bigint) as cost, m.e as audit,
+        sha256(coalesce(repaired, '')) as repaired_sha256
+    from last left join g on last.conv_id is not distinct from g.conv_id left join r on last.conv_id is not distinct from r.conv_id
+""")
+def conversation_repair(spark, sf_dir):
+    return repair(damaged(table(spark, sf_dir, "conversations")), there=F.col("there"))
+
+
+@query("op13_hard_negatives", """
+    with r as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+        from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (
+        select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+        from r a join r b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 100 = 0
+    ), p as (
+        select anchor_id, id as positive_id, score as positive_score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+    )
+    select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as int) as rank,
+        id as negative_id, positive_score, score as negative_score
+    from s join p using (anchor_id)
+    where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+    qualify rank <= 10
+""")
+def hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows, F.col("vec_id") % 100 == 0, label=label)
