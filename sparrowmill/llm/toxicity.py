@@ -26,6 +26,7 @@ EPOCHS = 20
 BATCH = 128
 RATE = 0.1
 DECAY = 2e-4
+_TEXTS_AT_ONCE = 1024
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\…«»¿¡"
 
 
@@ -92,40 +93,42 @@ def _telling(rows: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.nda
     with another one stays, whatever it says alone. As these are very many questions, the bound
     grows with their number.
     """
-    flat = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[flat >= 0]
-    flat = flat[flat >= 0]
-    texts = np.bincount(flat, minlength=buckets)
+    flat = np.concatenate(rows).astype(np.int32, copy=False)
+    texts = np.bincount(flat[flat >= 0], minlength=buckets)
     often = np.flatnonzero(texts >= min(MIN_TEXTS, max(1, len(rows) // 50)))
-    place = np.full(buckets, -1)
+    place = np.full(buckets + 1, -1, dtype=np.int32)  # the last one for texts without terms, bucket -1
     place[often] = np.arange(len(often))
     term = place[flat]
-    row, term = row[term >= 0], term[term >= 0]
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[term >= 0]
+    term = term[term >= 0]
+    del flat
     starts = np.searchsorted(row, np.arange(len(rows) + 1))
-
-    def apart(term: np.ndarray, label: np.ndarray, among: np.ndarray) -> np.ndarray:
-        """How many standard deviations each term's number of toxic texts is away from chance."""
-        met = np.bincount(term, minlength=len(often)).astype(float)
-        share = among.mean()
-        spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(among)), 1e-9))
-        off = np.abs(np.bincount(term, weights=label, minlength=len(often)) - met * share) / spread
-        return np.where((met >= MIN_TEXTS) & (len(among) - met >= 1), off, 0.0)
-
-    met, share = texts[often].astype(float), labels.mean()
-    spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(rows)), 1e-9))
-    alone = np.abs(np.bincount(term, weights=labels[row], minlength=len(often)) - met * share) >= DEVIATION * spread
+    toxic = labels > 0
+
+    def counted(mine: np.ndarray) -> np.ndarray:
+        """In how many of these texts each term is, a block of texts at a time."""
+        total = np.zeros(len(often), dtype=np.int64)
+        for at in range(0, len(mine), _TEXTS_AT_ONCE):
+            total += np.bincount(np.concatenate([term[starts[r]:starts[r + 1]] for r in mine[at:at + _TEXTS_AT_ONCE]]), minlength=len(often))
+        return total
+
+    def apart(mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each term is met in these texts, and how many standard deviations its toxic ones are from chance."""
+        met, share = counted(mine).astype(float), toxic[mine].mean()
+        spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(mine)), 1e-9))
+        return met, np.abs(counted(mine[toxic[mine]]) - met * share) / spread
+
+    alone = apart(np.arange(len(rows)))[1] >= DEVIATION
     telling = np.flatnonzero(alone)
     bound = max(DEVIATION, float(np.sqrt(2 * np.log(max(1, len(telling) * len(often))))))
-    by_term = np.argsort(term, kind="stable")
-    edges = np.searchsorted(term[by_term], np.arange(len(often) + 1))
+    by_term = np.argsort(term, kind="stable").astype(np.int32)
+    edges = np.searchsorted(term, np.arange(len(often) + 1), sorter=by_term)
     together = np.zeros(len(often), dtype=bool)
     for t in telling:
         mine = row[by_term[edges[t]:edges[t + 1]]]
-        among = labels[mine]
-        if among.min() == among.max():
-            continue
-        others = np.concatenate([term[starts[r]:starts[r + 1]] for r in mine])
-        together |= apart(others, np.repeat(among, starts[mine + 1] - starts[mine]), among) >= bound
+        if toxic[mine].any() and not toxic[mine].all():
+            met, off = apart(mine)
+            together |= (met >= MIN_TEXTS) & (len(mine) - met >= 1) & (off >= bound)
     kept = np.zeros(buckets, dtype=bool)
     kept[often[alone | together]] = True
     return kept
@@ -178,13 +181,14 @@ def training_rows(
 ) -> tuple[list[np.ndarray], np.ndarray]:
     """Term buckets and labels of at most `limit` labelled rows of `df`."""
     spark = df.sparkSession
-    marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias("label"))
-    chosen = marked.orderBy(F.xxhash64(F.lit("toxic"), key), key).limit(limit).toPandas()
+    given = labels.select(F.col(key).alias("doc_id"), F.col(label).alias("label"))
+    marked = given.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = marked.orderBy(F.xxhash64(F.lit("toxic"), "doc_id"), "doc_id").limit(limit).toPandas()
     if chosen.empty:
         return [], np.zeros(0)
     kind = df.schema[key].dataType.simpleString()
     chosen = spark.createDataFrame(
-        [(k, float(v)) for k, v in zip(chosen[key].tolist(), chosen["label"].tolist())], f"{key} {kind}, label double"
+        [(k, float(v)) for k, v in zip(chosen["doc_id"].tolist(), chosen["label"].tolist())], f"doc_id {kind}, label double"
     )
 
     def terms(batches):
@@ -196,17 +200,18 @@ def training_rows(
                 rows = pa.ListArray.from_arrays(cut, pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), rows], ["doc_id", "label", "terms"])
 
+    known = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     rows = (
-        df.join(F.broadcast(chosen), key)  # at most `limit` rows
-        .select(F.col(key).alias("doc_id"), "label", F.col(text).alias("text"))
+        known.join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
         .mapInArrow(terms, f"doc_id {kind}, label double, terms array<int>")
         .toArrow()
         .sort_by("doc_id")
     )
     lists = rows.column("terms").combine_chunks()
-    edges = lists.offsets.to_numpy()
-    flat = lists.values.to_numpy().astype(np.int64)
-    return [flat[a:b] for a, b in zip(edges, edges[1:])], rows.column("label").to_numpy()
+    edges, flat, wanted = lists.offsets.to_numpy(), lists.values.to_numpy(), rows.column("label").to_numpy()
+    del rows, lists
+    # views of one array of 32-bit numbers: the sample is held once
+    return [flat[a:b] for a, b in zip(edges, edges[1:])], wanted
 
 
 def _model(df, labels, key, text, label, limit, buckets, factors):
