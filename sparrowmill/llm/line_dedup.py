@@ -141,7 +141,9 @@ def near_lines(lines: DataFrame, edits: int = EDITS, bit_parallel: bool = False)
         keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("indexed").alias("held"))
         .filter("held and low <> high").select("key")
     )
-    live = materialize(perhaps_in(keys, "key", slot_maps(F.col("key"), shared)).join(shared, "key", "left_semi"))
+    # stored in between: the optimizer would move the semi join below the bit map, and shuffle all keys again
+    perhaps = materialize(perhaps_in(keys, "key", slot_maps(F.col("key"), shared)))
+    live = materialize(perhaps.join(shared, "key", "left_semi"))
     me = F.struct("at", "id")
     met = live.groupBy("key").agg(F.min(me).alias("first"), F.min(F.when(F.col("indexed"), me)).alias("held"))
     meeting = materialize(live.join(met, "key").select("key", "indexed", "id", "at", "first", "held"))
