@@ -20,7 +20,10 @@ PARTS = (4, 5)
 #: Bytes of text whose n-grams make one fragment of the first pass (about 4 million n-grams).
 FRAGMENT_BYTES = 24_000_000
 #: Fragments of the first pass at least.
-FRAGMENTS = 32
+FRAGMENTS = 8
+#: N-grams in at least so many documents come last in the order, the more documents the later; at most
+#: FREQUENT_GRAMS of them, those in the most documents (9 bytes each, sent to all tasks).
+FREQUENT, FREQUENT_GRAMS = 16, 1 << 20
 #: Fragments in which the overlap of a pair is counted: quarters of the order, by the upper bits of the hash.
 OVERLAP_FRAGMENTS = ((0,), (1,), (2, 3))
 #: Rounds in which the documents of an n-gram are compared with one of them only: how many documents are
@@ -77,6 +80,10 @@ def _short_key(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+def _fragment(grams: np.ndarray, fragments: int) -> np.ndarray:
+    return (((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
+
+
 def _postings(width: int, fragments: int):
     """Batches of documents to one row per fragment: ids, set names, set sizes, counts and 32-bit n-grams."""
 
@@ -93,7 +100,7 @@ def _postings(width: int, fragments: int):
                 keys = np.array([_short_key(set_key(sets[d])) for d in held], dtype=np.int64)
                 flat = np.concatenate([sets[d] for d in held])
                 of = np.repeat(np.arange(len(held)), sizes)
-                fragment = (((flat >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
+                fragment = _fragment(flat, fragments)
                 order = np.argsort(fragment, kind="stable")
                 flat, of = flat[order].astype(np.uint32), of[order]
                 edges = np.searchsorted(fragment[order], np.arange(fragments + 1))
@@ -115,7 +122,10 @@ def _postings(width: int, fragments: int):
 
 
 def _shared_in_fragment(table: pa.Table) -> pa.Table:
-    """For each document how many of its n-grams of this fragment are in a different set as well."""
+    """For each document how many of its n-grams of this fragment are in a different set as well.
+
+    Besides, with `gram` (fragment and 32 bits) and without a document, the n-grams of FREQUENT documents or more.
+    """
 
     def column(name, kind):
         return np.concatenate([np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()])
@@ -131,12 +141,39 @@ def _shared_in_fragment(table: pa.Table) -> pa.Table:
     runs = np.diff(np.append(starts, len(grams)))
     total = np.bincount(owner[np.repeat(shared, runs)], minlength=len(ids))
     some = total > 0
+    often = shared & (runs >= FREQUENT)
+    gram = table.column("fragment")[0].as_py() << 32 | grams[starts[often]].astype(np.int64)
+    docs, far = int(some.sum()), len(gram)
+    both = lambda values, kind: pa.chunked_array([pa.array(values, kind), pa.nulls(far, kind)])
     return pa.table({
-        "doc_id": pa.array(ids[some], pa.int64()), "key": pa.array(keys[some], pa.int64()),
-        "size": pa.array(sizes[some], pa.int32()), "shared": pa.array(total[some], pa.int64()),
+        "doc_id": both(ids[some], pa.int64()), "key": both(keys[some], pa.int64()), "size": both(sizes[some], pa.int32()),
+        "shared": pa.chunked_array([pa.array(total[some], pa.int64()), pa.array(runs[often], pa.int64())]),
+        "gram": pa.chunked_array([pa.nulls(docs, pa.int64()), pa.array(gram, pa.int64())]),
     })
 
 
+def _frequent(shared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of the most documents, sorted, and the power of two of their documents; FREQUENT_GRAMS at most."""
+    found = shared.filter("gram is not null").select("gram", F.floor(F.log2("shared")).cast("int").alias("power"))
+    reached, least = 0, 64
+    for power, n in sorted(((r[0], r[1]) for r in found.groupBy("power").count().collect()), reverse=True):  # at most 63 rows
+        reached += n
+        if reached > FREQUENT_GRAMS:
+            break
+        least = power
+    held = found.filter(F.col("power") >= least).toArrow().sort_by("gram")
+    return held.column("gram").to_numpy(), held.column("power").to_numpy().astype(np.int8)
+
+
+def _in_order(grams: np.ndarray, fragments: int, often: np.ndarray, power: np.ndarray) -> np.ndarray:
+    """The n-grams of a set in the global order: rare ones by hash, then frequent ones by power and hash."""
+    if not len(often) or not len(grams):
+        return grams
+    name = _fragment(grams, fragments) << 32 | (grams & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    at = np.minimum(np.searchsorted(often, name), len(often) - 1)
+    return grams[np.lexsort((grams, np.where(often[at] == name, power[at], 0)))]
+
+
 def _slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SLOTS)) + 1
 
@@ -160,17 +197,18 @@ def parity(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _describe(width: int, wanted, kind: str):
-    """Set size and name of every text, and the n-grams of those whose slot is in the bit map."""
+def _describe(width: int, wanted, fragments: int, frequent, kind: str):
+    """Set size and name of every text, and the n-grams, in the global order, of those whose slot is in the bit map."""
 
     def describe(batches):
         shingler, bits = Shingler(width), np.frombuffer(wanted.value, dtype=np.uint8)
+        often, power = frequent.value
         for batch in batches:
             for part, texts in text_slices(batch, chars=_SLICE):
                 sets = shingler.sets(texts)
                 slot = part.column("slot").to_numpy() - 1
                 asked = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
-                grams = [s.view(np.int64) if w and len(s) else None for s, w in zip(sets, asked)]
+                grams = [_in_order(s, fragments, often, power).view(np.int64) if w and len(s) else None for s, w in zip(sets, asked)]
                 marks = [parity(s) if w and len(s) else None for s, w in zip(sets, asked)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -294,9 +332,10 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
     lower case), or all words as one n-gram if there are fewer. Two texts link when
     q * intersection >= p * union; `component_id` is the smallest id that links reach, its own included.
 
-    N-grams are 64-bit hashes and their global order is that of the hashes. A first pass cuts this order
+    N-grams are 64-bit hashes. A first pass cuts the order of the hashes
     into fragments and counts in each, apart from the others, how many n-grams of a document also occur
-    in a different set. The sum over the fragments is the most it can share with any other, so only
+    in a different set, and which n-grams are in many documents: those come last in the global order, so
+    that documents meet by their rare ones. The sum over the fragments is the most it can share with any other, so only
     documents with p / q of their n-grams shared can link; equal sets are one. The second pass
     gives size and name of every set and the n-grams of those few. Pairs among them are found as
     link_components says; their overlaps are again counted by fragment and summed per pair.
@@ -314,14 +353,17 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
     postings = known.mapInArrow(
         _postings(width, fragments), "fragment int, ids binary, keys binary, sizes binary, counts binary, grams binary"
     )
-    shared = postings.groupBy("fragment").applyInArrow(_shared_in_fragment, "doc_id bigint, key bigint, size int, shared bigint")
+    shared = materialize(
+        postings.groupBy("fragment").applyInArrow(_shared_in_fragment, "doc_id bigint, key bigint, size int, shared bigint, gram bigint")
+    )
     can_link = (
-        shared.groupBy("doc_id", "key", "size").agg(F.sum("shared").alias("shared"))
+        shared.filter("gram is null").groupBy("doc_id", "key", "size").agg(F.sum("shared").alias("shared"))
         .filter(F.col("shared") * parts[1] >= F.col("size") * parts[0])
         .groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     )
     wanted = spark.sparkContext.broadcast(_bit_map(can_link))
-    describe, made = _describe(width, wanted, kind)
+    frequent = spark.sparkContext.broadcast(_frequent(shared))
+    describe, made = _describe(width, wanted, fragments, frequent, kind)
     docs = materialize(rows.withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(describe, made))
     sets = materialize(
         docs.filter("set_key is not null and doc_id is not null").groupBy("set_key")
