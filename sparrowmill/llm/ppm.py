@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -32,7 +34,7 @@ DISCOUNT = 0.5
 WORD_SHARE = 2e-7
 SYMBOLS = 256
 END = b"\n"
-_SLICE = 1 << 21
+_SLICE = 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -40,9 +42,9 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def word_id(word: bytes) -> int:
-    """64-bit hash of a word as a signed number."""
-    return int(np.int64(np.uint64(xxhash.xxh64_intdigest(word))))
+def word_ids(words) -> np.ndarray:
+    """64-bit hashes of words as signed numbers."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
 def contexts(docs: list[list[bytes]], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -104,9 +106,9 @@ def count_corpus(df: DataFrame, text: str, train: Column, order: int = ORDER) ->
                     if not docs[kind]:
                         continue
                     packed, _ = contexts(docs[kind], order)
-                    key, n = np.unique(packed, return_counts=True)
+                    place, key = pd.factorize(packed)
                     keys.append(key)
-                    counts.append(n.astype(np.int64))
+                    counts.append(np.bincount(place, minlength=len(key)))
                     if sum(map(len, keys)) > 1_500_000:
                         key, n = _tally(keys, counts)
                         keys[:], counts[:] = [key], [n]
@@ -118,11 +120,11 @@ def count_corpus(df: DataFrame, text: str, train: Column, order: int = ORDER) ->
                     words.update(d)
                 ends += len(docs[0])
                 if len(words) > 200_000:
-                    yield rows(1, [word_id(w) for w in words], list(words.values()))
+                    yield rows(1, word_ids(words), list(words.values()))
                     words.clear()
         for kind, (keys, counts) in held.items():
             yield rows(kind, *_tally(keys, counts))
-        yield rows(1, [word_id(w) for w in words], list(words.values()))
+        yield rows(1, word_ids(words), list(words.values()))
         yield rows(2, [0] if ends else [], [ends] if ends else [])
 
     marked = df.select(F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
@@ -269,6 +271,34 @@ def _least(met: DataFrame, most: float) -> float:
     return least
 
 
+class Vocabulary(dict):
+    """Words met in a task, numbered, with their hashes and log10(count + 1); 0 if a word is not common."""
+
+    def __init__(self, common_ids: np.ndarray, common_counts: np.ndarray):
+        super().__init__()
+        self.common_ids, self.common_counts = common_ids, common_counts
+        self.logs, self.ids = np.zeros(0), np.zeros(0, dtype=np.int64)
+        self.new: list[int] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(xxhash.xxh64_intdigest(word))
+        number = self[word] = len(self)
+        return number
+
+    def places(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of each word of the documents, one after the other; logs and hashes by number."""
+        if len(self) > 200_000:
+            self.clear()
+            self.logs, self.ids = self.logs[:0], self.ids[:0]
+        words = np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), dtype=np.int64, count=sum(map(len, docs)))
+        if self.new:
+            ids = np.array(self.new, dtype=np.uint64).view(np.int64)
+            at = _find(self.common_ids, ids)
+            logs = np.log10(self.common_counts[at] + 1.0) * (at >= 0) if len(self.common_ids) else np.zeros(len(ids))
+            self.ids, self.logs, self.new = np.concatenate([self.ids, ids]), np.concatenate([self.logs, logs]), []
+        return words, self.logs, self.ids
+
+
 def _per_document(unique: np.ndarray, place: np.ndarray, wanted: np.ndarray, sizes: np.ndarray) -> tuple[pa.ListArray, pa.ListArray]:
     """Per document its distinct numbers among the wanted ones, and how often it has each.
 
@@ -324,49 +354,28 @@ def score_corpus(
     common = spark.sparkContext.broadcast((often.column("key").to_numpy()[by_id], often.column("n").to_numpy()[by_id]))
 
     def score(batches):
-        (usual_keys, usual_costs), (common_ids, common_counts) = near.value, common.value
-        seen_words: dict[bytes, tuple[int, float]] = {}
-
-        def meet(word: bytes) -> tuple[int, float]:
-            """Hash and log10(count + 1) of a word; 0 if it is not common."""
-            i = word_id(word)
-            at = int(np.searchsorted(common_ids, i))
-            there = at < len(common_ids) and common_ids[at] == i
-            return i, math.log10(int(common_counts[at]) + 1) if there else 0.0
-
+        (usual_keys, usual_costs), common_words = near.value, common.value
+        known_words = Vocabulary(*common_words)
         for batch in batches:
             for part, texts in text_slices(batch, chars=_SLICE):
                 docs = [tokens(t) for t in texts]
                 packed, sizes = contexts(docs, order)
-                unique, place = np.unique(packed, return_inverse=True)
+                place, unique = pd.factorize(packed)
                 at = _find(usual_keys, unique)
                 cost = np.where(at >= 0, usual_costs[at], 0.0) if len(usual_costs) else np.zeros(len(unique))
                 scores = np.add.reduceat(cost[place], np.cumsum(sizes) - sizes) if len(docs) else np.zeros(0)
                 far, far_times = _per_document(unique, place, at < 0, sizes)
-                logs, known, rare, times = [], [], [], []
-                if len(seen_words) > 200_000:
-                    seen_words.clear()
-                for d in docs:
-                    of_doc, met, cold, often_ = math.log10(ends + 1), int(ends > 0), [], []
-                    for w, n in Counter(d).items():
-                        found = seen_words.get(w)
-                        if found is None:
-                            found = seen_words[w] = meet(w)
-                        if found[1]:
-                            of_doc += n * found[1]
-                            met += n
-                        else:
-                            cold.append(found[0])
-                            often_.append(n)
-                    logs.append(of_doc)
-                    known.append(met)
-                    rare.append(cold)
-                    times.append(often_)
+                word, logs, ids = known_words.places(docs)
+                lengths = np.array([len(d) for d in docs], dtype=np.int64)
+                doc = np.repeat(np.arange(len(docs)), lengths)
+                met = logs > 0
+                of_docs = math.log10(ends + 1) + np.bincount(doc, weights=logs[word], minlength=len(docs))
+                known = int(ends > 0) + np.bincount(doc, weights=met[word], minlength=len(docs)).astype(np.int64)
+                rare, times = _per_document(ids, word, ~met, lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array([len(d) + 1 for d in docs], pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(logs, pa.float64()), pa.array(scores, pa.float64()),
-                        pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), far, far_times,
+                        part.column("doc_id"), pa.array(lengths + 1, pa.int64()), pa.array(known, pa.int64()),
+                        pa.array(of_docs, pa.float64()), pa.array(scores, pa.float64()), rare, times, far, far_times,
                     ],
                     ["doc_id", "n_tokens", "known", "logs", "score", "rare", "times", "far", "far_times"],
                 )
