@@ -20,9 +20,9 @@ PARTS = (4, 5)
 #: Bytes of text whose n-grams make one fragment of the first pass (about 4 million n-grams).
 FRAGMENT_BYTES = 24_000_000
 #: Fragments of the first pass at least.
-FRAGMENTS = 8
+FRAGMENTS = 32
 #: N-grams in at least so many documents come last in the order, the more documents the later; at most
-#: FREQUENT_GRAMS of them, those in the most documents (9 bytes each, sent to all tasks).
+#: FREQUENT_GRAMS of them (9 bytes each, sent to all tasks), of each fragment those in the most documents.
 FREQUENT, FREQUENT_GRAMS = 16, 1 << 20
 #: Fragments in which the overlap of a pair is counted: quarters of the order, by the upper bits of the hash.
 OVERLAP_FRAGMENTS = ((0,), (1,), (2, 3))
@@ -121,47 +121,45 @@ def _postings(width: int, fragments: int):
     return cut
 
 
-def _shared_in_fragment(table: pa.Table) -> pa.Table:
-    """For each document how many of its n-grams of this fragment are in a different set as well.
-
-    Besides, with `gram` (fragment and 32 bits) and without a document, the n-grams of FREQUENT documents or more.
-    """
-
-    def column(name, kind):
-        return np.concatenate([np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()])
-
-    ids, keys, sizes, counts = (column(n, k) for n, k in (("ids", "i8"), ("keys", "i8"), ("sizes", "i4"), ("counts", "i4")))
-    grams = column("grams", "u4")
-    owner = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
-    order = np.argsort(grams, kind="stable")
-    grams, owner = grams[order], owner[order]
-    starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-    key = keys[owner]
-    shared = np.minimum.reduceat(key, starts) != np.maximum.reduceat(key, starts)
-    runs = np.diff(np.append(starts, len(grams)))
-    total = np.bincount(owner[np.repeat(shared, runs)], minlength=len(ids))
-    some = total > 0
-    often = shared & (runs >= FREQUENT)
-    gram = table.column("fragment")[0].as_py() << 32 | grams[starts[often]].astype(np.int64)
-    docs, far = int(some.sum()), len(gram)
-    both = lambda values, kind: pa.chunked_array([pa.array(values, kind), pa.nulls(far, kind)])
-    return pa.table({
-        "doc_id": both(ids[some], pa.int64()), "key": both(keys[some], pa.int64()), "size": both(sizes[some], pa.int32()),
-        "shared": pa.chunked_array([pa.array(total[some], pa.int64()), pa.array(runs[often], pa.int64())]),
-        "gram": pa.chunked_array([pa.nulls(docs, pa.int64()), pa.array(gram, pa.int64())]),
-    })
+def _shared_in_fragment(most: int):
+    def shared(table: pa.Table) -> pa.Table:
+        """For each document how many of its n-grams of this fragment are in a different set as well.
+
+        Besides, with `gram` (fragment and 32 bits) and without a document, n-grams of FREQUENT documents or more,
+        the `most` frequent ones.
+        """
+
+        def column(name, kind):
+            return np.concatenate([np.frombuffer(b, dtype=kind) for b in table.column(name).to_pylist()])
+
+        ids, keys, sizes, counts = (column(n, k) for n, k in (("ids", "i8"), ("keys", "i8"), ("sizes", "i4"), ("counts", "i4")))
+        grams = column("grams", "u4")
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+        order = np.argsort(grams, kind="stable")
+        grams, owner = grams[order], owner[order]
+        starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        key = keys[owner]
+        elsewhere = np.minimum.reduceat(key, starts) != np.maximum.reduceat(key, starts)
+        runs = np.diff(np.append(starts, len(grams)))
+        total = np.bincount(owner[np.repeat(elsewhere, runs)], minlength=len(ids))
+        some = total > 0
+        often = np.flatnonzero(elsewhere & (runs >= FREQUENT))
+        often = often[np.argsort(-runs[often], kind="stable")[:most]]
+        gram = table.column("fragment")[0].as_py() << 32 | grams[starts[often]].astype(np.int64)
+        both = lambda values, kind: pa.chunked_array([pa.array(values, kind), pa.nulls(len(gram), kind)])
+        return pa.table({
+            "doc_id": both(ids[some], pa.int64()), "key": both(keys[some], pa.int64()), "size": both(sizes[some], pa.int32()),
+            "shared": pa.chunked_array([pa.array(total[some], pa.int64()), pa.array(runs[often], pa.int64())]),
+            "gram": pa.chunked_array([pa.nulls(int(some.sum()), pa.int64()), pa.array(gram, pa.int64())]),
+        })
+
+    return shared
 
 
 def _frequent(shared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of the most documents, sorted, and the power of two of their documents; FREQUENT_GRAMS at most."""
+    """The frequent n-grams, sorted, and the power of two of their documents; FREQUENT_GRAMS at most."""
     found = shared.filter("gram is not null").select("gram", F.floor(F.log2("shared")).cast("int").alias("power"))
-    reached, least = 0, 64
-    for power, n in sorted(((r[0], r[1]) for r in found.groupBy("power").count().collect()), reverse=True):  # at most 63 rows
-        reached += n
-        if reached > FREQUENT_GRAMS:
-            break
-        least = power
-    held = found.filter(F.col("power") >= least).toArrow().sort_by("gram")
+    held = found.toArrow().sort_by("gram")
     return held.column("gram").to_numpy(), held.column("power").to_numpy().astype(np.int8)
 
 
@@ -354,7 +352,7 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
         _postings(width, fragments), "fragment int, ids binary, keys binary, sizes binary, counts binary, grams binary"
     )
     shared = materialize(
-        postings.groupBy("fragment").applyInArrow(_shared_in_fragment, "doc_id bigint, key bigint, size int, shared bigint, gram bigint")
+        postings.groupBy("fragment").applyInArrow(_shared_in_fragment(FREQUENT_GRAMS // fragments + 1), "doc_id bigint, key bigint, size int, shared bigint, gram bigint")
     )
     can_link = (
         shared.filter("gram is null").groupBy("doc_id", "key", "size").agg(F.sum("shared").alias("shared"))
