@@ -25,8 +25,8 @@ def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
     return F.lit(1) + base * i + longer_before, size
 
 
-def segment_keys(line: Column, length: Column, edits: int) -> Column:
-    """Array of (key, indexed, probes) of a line.
+def segment_keys(line: Column, length: Column, edits: int, own_only: bool = False) -> Column:
+    """Array of (key, indexed) of a line, or only of its own segments.
 
     Within `edits` edits of a line that is `shorter` characters shorter, one of its edits + 1 segments is
     left as it was. The part of this line that equals it starts at most as many characters away as edits
@@ -34,10 +34,10 @@ def segment_keys(line: Column, length: Column, edits: int) -> Column:
     characters. Those of the line's own segments are in the index, and are probes as well.
     """
     keys = []
-    for shorter in range(edits + 1):
+    for shorter in range(1 if own_only else edits + 1):
         for i in range(edits + 1):
             start, size = _segment(length - shorter, i, edits)
-            for off in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
+            for off in [0] if own_only else range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
                 own = shorter == 0 and off == 0
                 at = start + off
                 fits = (at >= 1) & (at + size - 1 <= length)
@@ -125,8 +125,8 @@ def near_lines(lines: DataFrame, edits: int = EDITS, bit_parallel: bool = False)
     """`id` of the lines that have an earlier one within `edits` edits.
 
     `lines` has one row per distinct line: id, at (comparable, earlier is smaller), line, length. A key is met by
-    lines that have it in the index and lines that probe it; two lines within the edits meet in one. Keys of
-    one line are left out first, by a bit map of the others. In the first round all lines of a key are
+    lines that have it in the index and lines that probe it; two lines within the edits meet in one. Probes of
+    nothing and keys of one line are left out first, by bit maps of the others. In the first round all lines of a key are
     compared with its earliest line only. In the second round those not yet found are compared with
     every earlier line they meet, as far as the letters of the two allow. So a key of g lines makes pairs
     for the lines that stay, not for all g * g.
@@ -134,16 +134,18 @@ def near_lines(lines: DataFrame, edits: int = EDITS, bit_parallel: bool = False)
     Two lines are compared by Spark's banded levenshtein, or with `bit_parallel` by `within`, to the same
     result: its steps are higher-order functions, and took about 1 ms a pair.
     """
-    keys = lines.select("id", "at", F.explode(segment_keys(F.col("line"), F.col("length"), edits)).alias("k"))
-    keys = keys.select(F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"), "id", "at")
-    # narrow rows first: most keys have one line only
+    cut = lambda own: lines.select("id", F.explode(segment_keys(F.col("line"), F.col("length"), edits, own)).alias("k")).select(
+        F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"), "id"
+    )
+    # a probe that no line has in the index goes before anything is stored
+    keys = materialize(perhaps_in(cut(False), "key", materialize(slot_maps(F.col("key"), cut(True)))))
     shared = materialize(
         keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.max("indexed").alias("held"))
         .filter("held and low <> high").select("key")
     )
     # stored in between: the optimizer would move the semi join below the bit map, and shuffle all keys again
     perhaps = materialize(perhaps_in(keys, "key", slot_maps(F.col("key"), shared)))
-    live = materialize(perhaps.join(shared, "key", "left_semi"))
+    live = materialize(perhaps.join(shared, "key", "left_semi").join(lines.select("id", "at"), "id"))
     me = F.struct("at", "id")
     met = live.groupBy("key").agg(F.min(me).alias("first"), F.min(F.when(F.col("indexed"), me)).alias("held"))
     meeting = materialize(live.join(met, "key").select("key", "indexed", "id", "at", "first", "held"))
