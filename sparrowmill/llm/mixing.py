@@ -60,13 +60,14 @@ def mix_sources(
 
     A source first takes all its documents as often as its target holds its size (complete epochs).
     The rest of the target is a weighted sample without replacement: keys -ln(u) / weight are sorted
-    within the source, sizes are summed along them, and a document is in while the sum is within the
-    rest. What is then still free goes to the one document left over whose size comes nearest to it, if
-    that brings the source nearer to its target.
+    within the source, and along them a document is in if it fits in what is left of the rest; one that
+    does not fit is passed over. What is then still free goes to the one document left over whose size comes
+    nearest to it, if that brings the source nearer to its target. So one very long document costs a source
+    nothing while smaller ones are left.
 
-    The keys of a source are cut into `blocks` ranges. Sums per range show in which one the rest ends;
-    only that range is sorted. The outcome is one threshold per source, joined back to the rows, so a
-    source with a third of all rows is never in one task.
+    The keys of a source are cut into `blocks` ranges. Sums per range show in which one a run of documents
+    ends; only that range is sorted. The outcome is a few runs per source (see _filled), joined back to the
+    rows, so a source with a third of all rows is never in one task.
 
     Null or negative size counts as 0, a weight that is null, NaN or not above 0 as 1. A null source is
     a source. Draws depend on id and seed only, so reruns agree, and repeated ids share their draw;
@@ -96,34 +97,12 @@ def mix_sources(
         .withColumnRenamed("source", "_source")
     )
     same = F.col("source").eqNullSafe(F.col("_source"))
-    along = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (
-        drawn.groupBy("source", "_block").agg(F.sum("size").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(along), F.lit(0)))
-        .join(targets, same)
-        .filter(F.col("_before") <= F.col("_rest"))
-        .groupBy("_source")
-        .agg(F.max_by(F.struct("_block", "_before", "_rest"), "_block").alias("_end"))
-        .select("_source", F.col("_end._block").alias("_last"), F.col("_end._before").alias("_before"), F.col("_end._rest").alias("_rest"))
-    )
-    inside = Window.partitionBy("source").orderBy(*tie).rowsBetween(Window.unboundedPreceding, -1)
-    reach = (
-        drawn.join(ends, same & (F.col("_block") == F.col("_last")))
-        .withColumn("_sum", F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("_before") + F.col("size"))
-        .filter(F.col("_sum") <= F.col("_rest"))
-        .groupBy("_source")
-        .agg(F.max(F.struct(*tie)).alias("_reach"), F.max("_sum").alias("_filled"))
-    )
-    rule = materialize(_beside(_beside(targets, ends.select("_source", "_last", "_before")), reach))
-    chosen = F.coalesce(
-        (F.col("_block") < F.col("_last"))
-        | ((F.col("_block") == F.col("_last")) & (F.struct(*tie) <= F.col("_reach"))),
-        F.lit(False),
-    )
-    free = F.col("_rest") - F.coalesce("_filled", "_before", F.lit(0))
-    off = F.abs(free - F.col("size"))
+    pos = F.struct("_block", *tie)
+    rule = materialize(_filled(drawn, targets, pos, tie))
+    chosen = F.exists(F.coalesce("_runs", F.array().cast(rule.schema["_runs"].dataType)), lambda r: _in_run(pos, r))
+    off = F.abs(F.col("_left") - F.col("size"))
     fitting = (
-        drawn.join(rule, same).filter(~chosen & (off < free))
+        drawn.join(rule, same).filter(~chosen & (off < F.col("_left")))
         .groupBy("_source").agg(F.min(F.struct(off.alias("off"), *tie)).alias("_fit"))
         .select("_source", F.struct(*[f"_fit.{c}" for c in tie]).alias("_fit"))
     )
@@ -135,6 +114,59 @@ def mix_sources(
     )
 
 
+def _in_run(pos: Column, run: Column) -> Column:
+    """Whether a document at this place is taken in the run: those from `lo` to `hi` that its beginning had room for."""
+    after = run["lo"].isNull() | (pos > run["lo"])
+    return after & (pos <= run["hi"]) & (F.col("size") <= run["room"])
+
+
+def _filled(drawn: DataFrame, targets: DataFrame, pos: Column, tie: list[str]) -> DataFrame:
+    """`targets` with `_left`, what is free of the rest, and `_runs` of what is taken along the keys.
+
+    A run takes the documents of a source that fit in what is left at its beginning, one after the other, up to the
+    first that does not fit any more, or to the end of the room. That one and all larger ones are passed over, and the next run goes on
+    behind it. Each run ends with less room than a document it had room for, so there are few.
+    """
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    along = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source").orderBy(*tie).rowsBetween(Window.unboundedPreceding, 0)
+    place = drawn.select(pos.alias("p")).schema["p"].dataType
+    state, runs = targets.select("_source", F.col("_rest").alias("_left"), F.lit(None).cast(place).alias("_from")), None
+    while True:
+        open_ = drawn.join(state, same).filter((F.col("_left") > 0) & (F.col("size") <= F.col("_left")) & (F.col("_from").isNull() | (pos > F.col("_from"))))
+        ends = (
+            open_.groupBy("source", "_block").agg(F.sum("size").alias("_size"), F.first("_left").alias("_room"))
+            .withColumn("_before", F.coalesce(F.sum("_size").over(along), F.lit(0)))
+            .filter(F.col("_before") < F.col("_room"))
+            .groupBy("source").agg(F.max_by(F.struct("_block", "_before"), "_block").alias("_end"))
+            .select(F.col("source").alias("_s"), F.col("_end._block").alias("_last"), F.col("_end._before").alias("_before"))
+        )
+        ends = materialize(ends)
+        if ends.isEmpty():
+            break
+        reach = (
+            open_.join(ends, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_last")))
+            .withColumn("_sum", F.sum("size").over(inside) + F.col("_before"))
+            .filter((F.col("_sum") <= F.col("_left")) & (F.col("_sum") - F.col("size") < F.col("_left")))
+            .groupBy("source").agg(F.max(F.struct(*tie)).alias("_reach"), F.max("_sum").alias("_sum"))
+            .withColumnRenamed("source", "_r")
+        )
+        step = ends.join(reach, F.col("_s").eqNullSafe(F.col("_r")), "left").select(
+            "_s", F.struct(F.col("_last").alias("_block"), *[F.col(f"_reach.{c}").alias(c) for c in tie]).cast(place).alias("_hi"),
+            F.coalesce("_sum", "_before").alias("_sum"),
+        )
+        step = materialize(state.join(step, F.col("_source").eqNullSafe(F.col("_s"))).select("_source", "_from", "_hi", "_left", "_sum"))
+        run = step.select("_source", "_sum", F.struct(F.col("_from").alias("lo"), F.col("_hi").alias("hi"), F.col("_left").alias("room")).alias("run"))
+        runs = run if runs is None else runs.unionByName(run)
+        state = step.select("_source", (F.col("_left") - F.col("_sum")).alias("_left"), F.col("_hi").alias("_from"))
+    if runs is None:
+        kind = f"array<struct<lo:{place.simpleString()},hi:{place.simpleString()},room:double>>"
+        return targets.withColumnRenamed("_rest", "_left").withColumn("_runs", F.lit(None).cast(kind))
+    taken = runs.groupBy("_source").agg(F.collect_list("run").alias("_runs"), F.sum("_sum").alias("_taken"))
+    left = F.col("_rest") - F.coalesce("_taken", F.lit(0))
+    return _beside(targets, taken).withColumn("_left", left).drop("_rest", "_taken")
+
+
 def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join of two tables with one row per `_source`, which may be null."""
     right = right.withColumnRenamed("_source", "_s")

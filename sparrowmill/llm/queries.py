@@ -98,7 +98,7 @@ def piece_bpe(spark, sf_dir):
 
 
 @query("op8_mixing", """
-    with w as (
+    with recursive w as (
         select doc_id, case when max(quality) > 0 then 2.0 else 0.5 end as weight
         from labels where doc_id is not null and quality is not null group by doc_id
     ), d as (
@@ -121,14 +121,16 @@ def piece_bpe(spark, sf_dir):
     ), u as (
         select doc_id, d.source, size, cast(source_size as bigint) as source_size, target, k,
             case when source_size > 0 then floor(target / source_size) else 0 end as whole,
-            sum(size) over (partition by d.source order by k, doc_id rows between unbounded preceding and current row) as upto
+            row_number() over (partition by d.source order by k, doc_id) as rn
         from d join t on d.source is not distinct from t.source
-    ), v as (
-        select *, target - whole * source_size as rest, upto <= target - whole * source_size as chosen from u
+    ), p as (
+        select source, cast(0 as bigint) as rn, any_value(target - whole * source_size) as room, false as chosen from u group by source
+        union all
+        select u.source, u.rn, case when size <= room and room > 0 then room - size else room end, size <= room and room > 0
+        from p join u on u.source is not distinct from p.source and u.rn = p.rn + 1
     ), g as (
-        select *, rest - coalesce(max(case when chosen then upto end) over (partition by source), 0) as free from v
-    ), f as (
-        select *, not chosen and abs(free - size) < free and 1 = row_number() over (
+        select u.*, p.chosen, min(p.room) over (partition by u.source) as free from u join p on u.source is not distinct from p.source and u.rn = p.rn
+    ), f as (        select *, not chosen and abs(free - size) < free and 1 = row_number() over (
             partition by source, chosen, abs(free - size) < free order by abs(free - size), k, doc_id) as fits
         from g
     )

@@ -107,6 +107,37 @@ def test_mixing(odd, empty):
     assert mixing.mix_sources(empty, F.lit(1), F.lit(1.0)).count() == 0
 
 
+@pytest.mark.parametrize("share,rest", [(0.3, 0.5), (0.3, 0.25), (0.6, 0.25)])
+def test_mixing_passes_over_a_very_long_document(spark, share, rest):
+    """One document holds a large share of its source; the source still meets its target within a small document."""
+    long = round(1000 * share / (1 - share))
+    rows = [(i, "a", 1) for i in range(1000)] + [(1000, "a", long), (1001, "b", round((1000 + long) * (8 * rest - 1)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint").repartition(4)
+    for seed in range(2):
+        got = mixing.mix_sources(df, F.col("n"), F.lit(1.0), ratios=(1.0, 7.0), seed=seed).filter("source = 'a'")
+        row = got.agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).first()
+        assert abs(row.taken - row.target) <= 1 and row.most <= 3
+
+
+def test_mixing_is_the_greedy_pass_along_the_keys(spark):
+    rng = random.Random(11)
+    rows = [(i, "ab"[i % 2], rng.choice([0, 1, 2, 3, 50, 400, 3000])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint").repartition(5)
+    got = mixing.mix_sources(df, F.col("n"), F.lit(1.0), blocks=4).collect()
+    key = lambda i: -math.log((int(hashlib.md5(f"{i}:17".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52)
+    for source in "ab":
+        mine = sorted((r for r in got if r.source == source), key=lambda r: (key(r.doc_id), r.doc_id))
+        whole = math.floor(mine[0].target / mine[0].source_size)
+        left, want = mine[0].target - whole * mine[0].source_size, {}
+        for r in mine:
+            want[r.doc_id] = whole + int(r.size <= left and left > 0)
+            left -= r.size * (want[r.doc_id] - whole)
+        best = min(((abs(left - r.size), key(r.doc_id), r.doc_id) for r in mine if want[r.doc_id] == whole and abs(left - r.size) < left), default=None)
+        if best:
+            want[best[2]] += 1
+        assert {r.doc_id: r.copies for r in mine} == want
+
+
 def test_mixing_meets_targets_and_prefers_heavy_weights(spark):
     df = spark.range(6000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") < 4000, "big").when(F.col("id") < 5900, "mid").otherwise("small").alias("source"),
