@@ -17,9 +17,10 @@ SAMPLE = 20_000
 PROBES = 200
 #: Share of those neighbours that the radius must reach.
 REACH = 0.96
-#: Index rows and query rows of one task; larger buckets are split.
-ROWS_PER_TASK = 20_000
-QUERIES_PER_TASK = 4_096
+#: Index rows of one task: the index in about PIECES pieces, within these bounds; larger buckets are split.
+ROWS_PER_TASK, PIECES, MOST_ROWS_PER_TASK = 20_000, 4096, 400_000
+#: Queries that meet a piece at a time.
+QUERIES_AT_ONCE = 1024
 #: The index is cut by substring and by this many upper bits of it.
 HIGH_BITS = 2
 _WIDTH = BITS // SUBSTRINGS
@@ -135,47 +136,78 @@ def substring_radii(radius: int, substrings: int = SUBSTRINGS) -> list[int]:
     return [whole if j <= more else whole - 1 for j in range(substrings)]
 
 
-def _search_bucket(radius: int, k: int):
-    limits = substring_radii(radius)
+class _Bucket:
+    """The codes and vectors of one piece of a bucket of the index of one substring."""
+
+    def __init__(self, part: int, rows: pa.Table):
+        self.part, self.ids, self.x = part, rows.column("id").to_numpy(), _matrix(rows.column("vector"))
+        self.code = rows.column("code").to_numpy().view(np.uint64)
+        self.values, self.of = np.unique(_substring(self.code, part), return_inverse=True)
 
-    def search(key, index: pa.Table, queries: pa.Table) -> pa.Table:
-        """Best k per query among the codes of one bucket of the index of one substring.
+    def search(self, queries: pa.RecordBatch, radius: int, limits: list[int], k: int) -> pa.Table:
+        """Best k per query among the codes of the bucket.
 
         A code is met if its substring is within the substring's radius and the whole code within the
         radius. A pair met through an earlier substring is left to that one.
         """
-        j = key[0].as_py()
-        if not index.num_rows or not queries.num_rows:
-            return _rows([], [], [])
-        ids, code = index.column("vec_id").to_numpy(), index.column("code").to_numpy().view(np.uint64)
-        x, qv = _matrix(index.column("vector")), _matrix(queries.column("vector"))
-        qid, qcode = queries.column("query_id").to_numpy(), queries.column("query_code").to_numpy().view(np.uint64)
-        mask = np.uint64((1 << _WIDTH) - 1)
-        part = lambda c, i: (c >> np.uint64(i * _WIDTH)) & mask
-        values, of = np.unique(part(code, j), return_inverse=True)
+        qv, qid = _matrix(queries.column("vector")), queries.column("id").to_numpy()
+        qcode = queries.column("code").to_numpy().view(np.uint64)
         out = []
         for at in range(0, len(qid), 64):
             q = qcode[at:at + 64]
-            near = np.bitwise_count(part(q, j)[:, None] ^ values[None, :]) <= limits[j]
-            query, row = np.nonzero(near[:, of])
-            differ = q[query] ^ code[row]
+            near = np.bitwise_count(_substring(q, self.part)[:, None] ^ self.values[None, :]) <= limits[self.part]
+            query, row = np.nonzero(near[:, self.of])
+            differ = q[query] ^ self.code[row]
             keep = np.bitwise_count(differ) <= radius
-            for i in range(j):
-                keep &= np.bitwise_count(part(differ, i)).astype(np.int64) > limits[i]
-            keep &= qid[at + query] != ids[row]
+            for i in range(self.part):
+                keep &= np.bitwise_count(_substring(differ, i)).astype(np.int64) > limits[i]
+            keep &= qid[at + query] != self.ids[row]
             query, row = query[keep], row[keep]
             score = np.empty(len(query))
             for a in range(0, len(query), 16_384):
-                score[a:a + 16_384] = np.einsum("ij,ij->i", qv[at + query[a:a + 16_384]], x[row[a:a + 16_384]])
-            best = _best(query, ids[row], score, k)
-            out.append((qid[at + query[best]], ids[row[best]], score[best]))
+                score[a:a + 16_384] = np.einsum("ij,ij->i", qv[at + query[a:a + 16_384]], self.x[row[a:a + 16_384]])
+            best = _best(query, self.ids[row], score, k)
+            out.append((qid[at + query[best]], self.ids[row[best]], score[best]))
         return _rows(*(np.concatenate(c) for c in zip(*out)))
 
+
+def _substring(code: np.ndarray, part: int) -> np.ndarray:
+    return (code >> np.uint64(part * _WIDTH)) & np.uint64((1 << _WIDTH) - 1)
+
+
+def _stream(radius: int, k: int):
+    """Pieces of the index, each followed by its queries: one piece is held, queries stream against it."""
+    limits = substring_radii(radius)
+
+    def search(batches):
+        piece, waiting, held = None, [], None
+        for batch in batches:
+            names = [batch.column(c).to_numpy() for c in ("part", "high", "salt", "kind")]
+            cuts = (np.flatnonzero(np.any([np.diff(n) != 0 for n in names], axis=0)) + 1).tolist()
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if start == end:
+                    continue
+                run, (*now, kind) = batch.slice(start, end - start), (int(n[start]) for n in names)
+                if now != piece:
+                    piece, waiting, held = now, [], None
+                if kind == 0:
+                    waiting.append(run)
+                    continue
+                if waiting:
+                    held, waiting = _Bucket(piece[0], pa.Table.from_batches(waiting)), []
+                if held is not None:
+                    for at in range(0, run.num_rows, QUERIES_AT_ONCE):
+                        yield from held.search(run.slice(at, QUERIES_AT_ONCE), radius, limits, k).to_batches()
+
     return search
 
 
-def _search(coded: DataFrame, queries: DataFrame, n_queries: int, radius: int, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the best k of each query within the radius."""
+def _search(coded: DataFrame, queries: DataFrame, radius: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best k of each query within the radius.
+
+    Each row of the index is shuffled once per substring, to one piece of its bucket; a query goes to every piece of the
+    buckets it probes. Pieces grow with the table, up to what a task holds, so that a query meets few of them.
+    """
     limits = substring_radii(radius)
     sub = lambda code, j: F.shiftright(code, j * _WIDTH).bitwiseAND(F.lit((1 << _WIDTH) - 1))
     upper = lambda code: F.transform(
@@ -186,37 +218,35 @@ def _search(coded: DataFrame, queries: DataFrame, n_queries: int, radius: int, k
     )
     index = coded.select("vec_id", "vector", "code", F.posexplode(upper("code")).alias("part", "high"))
     sizes = {(r[0], r[1]): r[2] for r in index.groupBy("part", "high").count().collect()}  # SUBSTRINGS * 2 ** HIGH_BITS rows
-    salts = {key: -(-n // ROWS_PER_TASK) for key, n in sizes.items()}
-    blocks = max(1, -(-n_queries // QUERIES_PER_TASK))
+    total = sum(sizes.values())
+    per_task = min(max(ROWS_PER_TASK, total // PIECES), MOST_ROWS_PER_TASK)
+    salts = {key: -(-n // per_task) for key, n in sizes.items()}
     split = F.lit(1)
     for (j, h), n in salts.items():
         if n > 1:
             split = F.when((F.col("part") == j) & (F.col("high") == h), n).otherwise(split)
     index = index.select(
-        "part", "high", F.pmod(F.xxhash64("vec_id"), split).cast("int").alias("salt"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "vector", "code",
+        "part", "high", F.pmod(F.xxhash64("vec_id"), split).cast("int").alias("salt"), F.lit(0).alias("kind"),
+        F.col("vec_id").alias("id"), "vector", "code",
     )
     targets = F.array(*[
         F.struct(F.lit(j).alias("part"), F.lit(h).alias("high"), F.lit(n).alias("n")) for (j, h), n in sorted(salts.items())
     ])
     asked = (
-        queries.select(
-            F.col("vec_id").alias("query_id"), "vector", "query_code", F.col("query_code").alias("qc"),
-            F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode(targets).alias("to"),
-        )
-        .withColumn("mine", F.element_at(upper("qc"), F.col("to.part") + 1))
+        queries.select("vec_id", "vector", F.col("query_code").alias("code"), F.explode(targets).alias("to"))
+        .withColumn("mine", F.element_at(upper("code"), F.col("to.part") + 1))
         .withColumn("limit", F.element_at(F.array(*[F.lit(r) for r in limits]), F.col("to.part") + 1))
         .filter(F.bit_count(F.col("mine").bitwiseXOR(F.col("to.high"))) <= F.col("limit"))
         .select(
             F.col("to.part").alias("part"), F.col("to.high").alias("high"),
-            F.explode(F.sequence(F.lit(0), F.col("to.n") - 1)).alias("salt"), "block", "query_id", "vector", "query_code",
+            F.explode(F.sequence(F.lit(0), F.col("to.n") - 1)).alias("salt"), F.lit(1).alias("kind"),
+            F.col("vec_id").alias("id"), "vector", "code",
         )
     )
-    keys = ["part", "high", "salt", "block"]
-    met = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
-        _search_bucket(radius, k), "query_id bigint, vec_id bigint, score double"
-    )
-    return _top(met, k).select("query_id", "vec_id", "score")
+    piece = ["part", "high", "salt"]
+    met = index.unionByName(asked).repartition(max(1, sum(salts.values())), *piece).sortWithinPartitions(*piece, "kind")
+    found = met.mapInArrow(_stream(radius, k), "query_id bigint, vec_id bigint, score double")
+    return _top(found, k).select("query_id", "vec_id", "score")
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -228,9 +258,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", v
     by their vectors. The radius is measured, see _radius. Queries that met fewer than k rows
     go again with the radius of all bits, which meets every row.
 
-    An index bucket and its queries make one task; large buckets are split by id and queries go to all
-    parts, in blocks, so a vector that fills a third of the table is many tasks. A task keeps k rows
-    per query.
+    A piece of an index bucket is held by one task, and its queries are streamed against it; large buckets
+    are split by id and queries go to all pieces, so a vector that fills a third of the table is many
+    tasks. A task keeps k rows per query and piece.
 
     Vectors are compared with those of their own length; each length that a query has is a search of its own.
     Rows with a null id and vectors that are null, zero or not finite somewhere take no part. A query is not its own candidate, nor are rows with its id; other rows
@@ -275,12 +305,10 @@ def _nearest_of_length(rows: DataFrame, length: float, k: int) -> DataFrame:
         rows.mapInArrow(encode, "vec_id bigint, vector array<double>, is_query boolean, code bigint, query_code bigint")
     )
     queries = coded.filter("is_query").select("vec_id", "vector", "query_code")
-    n_queries = queries.count()
-    found = materialize(_search(coded, queries, n_queries, _radius(coded, queries, k), k))
+    found = materialize(_search(coded, queries, _radius(coded, queries, k), k))
     full = found.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
     short = materialize(queries.join(full, "vec_id", "left_anti"))
-    n_short = short.count()
-    if n_short:
-        again = _search(coded, short, n_short, BITS, k)
+    if not short.isEmpty():
+        again = _search(coded, short, BITS, k)
         found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
     return _top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
