@@ -26,24 +26,32 @@ _FILE_ROWS = 40
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with `_row`, a unique number of each row: the number of its stored file and its place in there.
+    """(_doc, _row): each row of `docs` as one struct, whatever its columns are called, and a unique number of it.
 
-    Rows of files as they were read, perhaps filtered, have it where they lie; others are written first.
+    The number is that of the stored file and the place in there. It is taken where the rows lie; if that does not
+    tell all rows apart, as behind an explode, or is not known, they are written first. The names of the
+    files, a millionth of their bytes, pass through the driver.
     """
-    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
-    try:
-        placed = docs.select("*", *place)
-    except AnalysisException:
-        placed = materialize(docs).select("*", *place)
+    placed = _places(docs)
+    if placed is None or placed.count() != placed.select("_file", "_at").distinct().count():
+        placed = _places(materialize(docs))
     files = sorted(r[0] for r in placed.select("_file").distinct().collect())
     known = docs.sparkSession.createDataFrame([(f, n) for n, f in enumerate(files)], "_file string, _n bigint")
     row = F.shiftleft(F.col("_n"), _FILE_ROWS) + F.col("_at")
-    return placed.join(F.broadcast(known), "_file").select(*docs.columns, row.alias("_row"))  # one row per file
+    return placed.join(F.broadcast(known), "_file").select("_doc", row.alias("_row"))  # one row per file
+
+
+def _places(docs: DataFrame) -> DataFrame | None:
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    try:
+        return docs.select(F.struct("*").alias("_doc"), *place)
+    except AnalysisException:
+        return None
 
 
-def _place():
+def _order():
     """Order of the rows of a group: by id, null last, and then by row."""
-    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    return F.struct(F.col("_doc.doc_id").isNull().alias("no_id"), F.col("_doc.doc_id").alias("doc_id"), "_row")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,29 +62,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each group of equal texts, whatever ids the rows have."""
     rows = numbered(docs)
-    judged = exact_dedup(rows.withColumn("_place", _place()), key="_place")
-    return without(rows, "_row", judged.filter("not kept").select("doc_id._row")).select(*docs.columns)
+    judged = exact_dedup(rows.select(_order().alias("place"), "_doc.text"), key="place")
+    return without(rows, "_row", judged.filter("not kept").select("doc_id._row")).select("_doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each group that links of similar texts form, whatever ids the rows have."""
     rows = numbered(docs)
-    found = materialize(ngram_components(rows, key="_row").select(F.col("doc_id").alias("_row"), "component_id"))
+    found = ngram_components(rows.select("_row", "_doc.text"), key="_row")
+    found = materialize(found.select(F.col("doc_id").alias("_row"), "component_id"))
     groups = found.filter("_row <> component_id").select("component_id").distinct()
-    members = materialize(found.join(groups, "component_id", "left_semi").join(rows.select("_row", "doc_id"), "_row"))
-    first = members.groupBy("component_id").agg(F.min(_place()).alias("_first"))
+    members = materialize(found.join(groups, "component_id", "left_semi").join(rows.select("_row", _order().alias("_place")), "_row"))
+    first = members.groupBy("component_id").agg(F.min("_place").alias("_first"))
     gone = members.join(first, "component_id").filter(F.col("_row") != F.col("_first._row")).select("_row")
-    return without(rows, "_row", gone).select(*docs.columns)
+    return without(rows, "_row", gone).select("_doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them."""
     rows = numbered(docs)
     weights = quality_weight(table(spark, sf_dir, "labels"))
-    sized = rows.select("doc_id", "_row", "source", words_in(F.col("text")).alias("size")).join(weights, "doc_id", "left")
+    sized = rows.select("_doc.doc_id", "_row", "_doc.source", words_in(F.col("_doc.text")).alias("size")).join(weights, "doc_id", "left")
     copies = mix_sources(sized, F.col("size"), F.col("weight"), row="_row").filter("copies > 0").select("_row", "copies")
     taken = rows.join(copies, "_row")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
