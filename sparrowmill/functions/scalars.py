@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.arrays import let, total
+from sparrowmill.operators.metrics import co_moments
+from sparrowmill.operators.ordering import number_rows
 
 # fixed values: customary per-channel mean and deviation of image data
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 
-MAX_MAP = 100_000
+#: Values of one map.
+MAP_PAGE = 10_000
 
 
 def probability_margin(p: Column) -> Column:
@@ -66,28 +69,35 @@ def hour_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMddHH")
 
 
-def vocab_map(df: DataFrame, col: str, limit: int = MAX_MAP) -> DataFrame:
-    """One row with a map value -> index (sorted order). Meant for small code sets; larger ones are refused."""
-    values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    if values.limit(limit + 1).count() > limit:
-        raise ValueError(f"more than {limit} values; use a dimension table")
-    ordered = values.agg(F.array_sort(F.collect_list(col)).alias("v"))
-    pairs = F.transform("v", lambda x, i: F.struct(x, i))
-    return ordered.select(F.map_from_entries(pairs).alias("vocab"))
+def vocab_pages(df: DataFrame, col: str, page: int = MAP_PAGE) -> DataFrame:
+    """(page, vocab): maps value -> index in sorted order, `page` values each; the number of values has no bound."""
+    values = number_rows(df.select(F.col(col).alias("v")).filter("v is not null").distinct(), "v", name="i")
+    pairs = values.groupBy(F.floor(F.col("i") / page).alias("page")).agg(F.array_sort(F.collect_list(F.struct("v", "i"))).alias("_p"))
+    return pairs.select("page", F.map_from_entries(F.transform("_p", lambda p: F.struct(p["v"], p["i"].cast("int")))).alias("vocab"))
+
+
+def vocab_map(df: DataFrame, col: str) -> DataFrame:
+    """One row with a map value -> index (sorted order): the first page, for small code sets."""
+    first = vocab_pages(df, col).filter("page = 0").select("vocab")
+    none = F.create_map().cast(first.schema["vocab"].dataType)
+    return first.agg(F.coalesce(F.first("vocab"), none).alias("vocab"))
 
 
 def normal_solve(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Least squares by the normal equations: the sums of products on executors, the small solve here."""
-    cols = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    y = F.col(target).cast("double")
-    n = len(cols)
-    sums = [F.sum(cols[i] * cols[j]).alias(f"a{i}_{j}") for i in range(n) for j in range(i, n)]
-    row = df.agg(*sums, *[F.sum(c * y).alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    a = np.zeros((n, n))
-    for i in range(n):
-        for j in range(i, n):
-            a[i, j] = a[j, i] = row[f"a{i}_{j}"]
-    w = np.linalg.solve(a, np.array([row[f"b{i}"] for i in range(n)]))
-    return df.sparkSession.createDataFrame(
-        [(t, float(v)) for t, v in zip(["bias", *features], w)], "term string, weight double"
-    )
+    """Least squares with a bias: centred products on executors, the small scaled solve here.
+
+    Rows with a null take no part. Features that depend on each other share their weight (least norm).
+    """
+    names = [*features, target]
+    whole = df.filter(" and ".join(f"`{c}` is not null" for c in names))
+    cells = co_moments(whole, F.array(*[F.col(c).cast("double") for c in names])).collect()  # one per pair of columns
+    n = len(names)
+    mean, c = np.zeros(n), np.zeros((n, n))
+    for r in cells:
+        mean[r["i"]], mean[r["j"]] = r["mean_i"], r["mean_j"]
+        c[r["i"], r["j"]] = c[r["j"], r["i"]] = r["c"]
+    scale = np.sqrt(np.where(np.diag(c) > 0, np.diag(c), 1.0))
+    c = c / scale[:, None] / scale[None, :]
+    w = np.linalg.lstsq(c[:-1, :-1], c[:-1, -1], rcond=1e-12)[0] * scale[-1] / scale[:-1]
+    bias = mean[-1] - w @ mean[:-1]
+    return df.sparkSession.createDataFrame([(t, float(v)) for t, v in zip(["bias", *features], [bias, *w])], "term string, weight double")

@@ -42,9 +42,21 @@ def most_common(counts: DataFrame, k: int, item: str = "gram") -> DataFrame:
     return counts.orderBy(F.desc("n"), item).limit(k)
 
 
+def token_totals(df: DataFrame, tokens: Column) -> DataFrame:
+    """(token, n, pos_sum): how often each token occurs and the sum of its positions; combined before the shuffle."""
+    long = df.select(F.posexplode(tokens).alias("pos", "token"))
+    return long.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("pos").alias("pos_sum"))
+
+
 def build_vocab(df: DataFrame, tokens: Column, min_freq: int = 1, specials=("<unk>",)) -> DataFrame:
     """Stored vocabulary (token, id, freq): specials first, then by falling frequency and rising token."""
     counts = df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    return vocab_of(counts, min_freq, specials)
+
+
+def vocab_of(counts: DataFrame, min_freq: int = 1, specials=("<unk>",)) -> DataFrame:
+    """The vocabulary of counted tokens (token, freq)."""
+    df = counts
     kept = counts.filter((F.col("freq") >= min_freq) & ~F.col("token").isin(*specials))
     ranked = number_rows(kept, F.desc("freq"), F.asc("token"), name="id", start=len(specials))
     head = df.sparkSession.createDataFrame(
@@ -99,6 +111,12 @@ def encode_tokens(
     return found.withColumn("id", F.coalesce("id", F.lit(unk).cast("bigint")))
 
 
+def encode_totals(totals: DataFrame, vocab: DataFrame, unk: int = 0) -> DataFrame:
+    """Token totals with the id of each token: distinct tokens are joined, so no frequent one is a hot key."""
+    ids = vocab.select("token", "id")
+    return totals.join(ids, "token", "left").withColumn("id", F.coalesce("id", F.lit(unk).cast("bigint")))
+
+
 def encode_rows(
     df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0, limit: int = MAP_SIDE_ROWS
 ) -> DataFrame:
@@ -206,57 +224,64 @@ def bigram_probabilities(
     )
 
 
-def perplexity(df: DataFrame, tokens: Column, by: str, eps: float, max_groups: int = 1000) -> DataFrame:
+def perplexity(df: DataFrame, tokens: Column, by: str, eps: float, limit: int = MAP_SIDE_ROWS) -> DataFrame:
     """(by, n, perplexity): exp of the mean negative log-likelihood per bigram under the smoothed model.
 
-    Bigrams are counted per group once. With few groups (checked) the counts of a bigram stay in one
-    row, at most one per group, while its probability is found; with many they are joined.
+    The texts are read once, for the counts of words and bigrams per group. Each distinct bigram gets its
+    probability once and meets its counts by a join on the bigram, whatever the number of groups: a
+    frequent bigram has one row per group there, not one per occurrence.
     """
-    counts = materialize(ngram_counts(df, tokens, 2, by=[by]))
-    unigrams = ngram_counts(df, tokens, 1)
-    if counts.select(by).distinct().limit(max_groups + 1).count() <= max_groups:
-        parts = F.collect_list(F.struct(by, F.col("n").alias("_c"))).alias("_parts")
-        pairs = counts.groupBy("gram").agg(F.sum("n").alias("n"), parts)
-        scored = bigram_probabilities(pairs, unigrams, eps, keep=["_parts"]).select("p_smooth", F.inline("_parts"))
-    else:
-        pairs = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-        model = bigram_probabilities(pairs, unigrams, eps).select("gram", "p_smooth")
-        scored = counts.withColumnRenamed("n", "_c").join(model, "gram")
+    pair = lambda t: F.concat(
+        F.transform(t, lambda w: F.struct(F.lit(1).alias("k"), w.alias("gram"))),
+        F.transform(ngram_array(t, 2), lambda g: F.struct(F.lit(2).alias("k"), g.alias("gram"))),
+    )
+    grams = df.select(F.col(by).alias("_by"), F.explode(let(tokens, pair)).alias("_g")).select("_by", "_g.k", "_g.gram")
+    counts = materialize(grams.groupBy("_by", "k", "gram").agg(F.count(F.lit(1)).alias("_c")))
+    whole = lambda k: counts.filter(F.col("k") == k).groupBy("gram").agg(F.sum("_c").alias("n"))
+    model = bigram_probabilities(whole(2), whole(1), eps, limit).select("gram", "p_smooth")
+    scored = counts.filter("k = 2").join(model, "gram")
     loss = -F.sum(F.col("_c") * F.log("p_smooth")) / F.sum("_c")
-    return scored.groupBy(by).agg(F.sum("_c").alias("n"), F.exp(loss).alias("perplexity"))
+    return scored.groupBy(F.col("_by").alias(by)).agg(F.sum("_c").alias("n"), F.exp(loss).alias("perplexity"))
 
 
 def random_windows(coded: DataFrame, key: str, steps: int, batch_size: int, seed: int) -> DataFrame:
     """Input and target windows at a random offset, shuffled, in full batches.
 
-    Per row: drop a seeded offset below `steps`, keep ((L - 1) div steps) - 1 windows, y shifted by one.
+    Per row: drop a seeded offset below `steps`, keep ((L - 1) div steps) - 1 windows, y shifted by one. Windows are
+    cut inside the row, so a row of any length is copied once.
     """
     offset = F.floor(portable_rand(key, seed=seed) * steps).cast("int")
     rest = coded.withColumn("_off", offset).withColumn("_n", F.floor((F.size("ids") - F.col("_off") - 1) / steps) - 1)
     starts = F.sequence(F.lit(0), F.col("_n").cast("int") - 1)
-    cut = rest.filter("_n > 0").select(key, "ids", "_off", F.explode(starts).alias("win"))
-    at = F.col("_off") + F.col("win") * steps
-    cut = cut.select(
-        key, "win", F.slice("ids", at + 1, steps).alias("x"), F.slice("ids", at + 2, steps).alias("y")
-    )
+    window = lambda w: F.struct(w.alias("win"), *_shifted_pair(F.col("_off") + w * steps, steps))
+    cut = rest.filter("_n > 0").select(key, F.explode(F.transform(starts, window)).alias("_w")).select(key, "_w.*")
     mixed = number_rows(cut, portable_rand(key, "win", seed=f"{seed}w"), key, "win", name="_i")
     placed = mixed.withColumn("batch", F.floor(F.col("_i") / batch_size)).withColumn("slot", F.col("_i") % batch_size)
     total = mixed.agg(F.floor(F.count(F.lit(1)) / batch_size)).scalar()
     return placed.filter(F.col("batch") < total).drop("_i")
 
 
+def _shifted_pair(at: Column, steps: int) -> list[Column]:
+    """Input x of `steps` ids from position `at` (from 0) and target y one position later."""
+    return [F.slice("ids", at + 1, steps).alias("x"), F.slice("ids", at + 2, steps).alias("y")]
+
+
 def strip_windows(coded: DataFrame, key: str, steps: int, batch_size: int, seed: int) -> DataFrame:
-    """Windows of adjacent batches: the row is cut into batch_size strips that advance in parallel."""
+    """Windows of adjacent batches: the row is cut into batch_size strips that advance in parallel.
+
+    Windows are cut inside the row, so a row of any length is copied once.
+    """
     offset = F.floor(portable_rand(key, seed=seed) * steps).cast("int")
     width = F.floor((F.size("ids") - offset) / batch_size).cast("int")
     sized = coded.withColumn("_off", offset).withColumn("_w", width)
     sized = sized.withColumn("_e", F.floor((F.col("_w") - 1) / steps).cast("int")).filter("_e > 0")
-    grid = sized.select(key, "ids", "_off", "_w", F.explode(F.sequence(F.lit(0), F.col("_e") - 1)).alias("step"))
-    grid = grid.select("*", F.explode(F.sequence(F.lit(0), F.lit(batch_size - 1))).alias("strip"))
-    at = F.col("_off") + F.col("strip") * F.col("_w") + F.col("step") * steps
-    return grid.select(
-        key, "step", "strip", F.slice("ids", at + 1, steps).alias("x"), F.slice("ids", at + 2, steps).alias("y")
-    )
+    numbers = F.sequence(F.lit(0), F.col("_e") * batch_size - 1)
+
+    def window(i):
+        step, strip = F.floor(i / batch_size).cast("int"), (i % batch_size).cast("int")
+        return F.struct(step.alias("step"), strip.alias("strip"), *_shifted_pair(F.col("_off") + strip * F.col("_w") + step * steps, steps))
+
+    return sized.select(key, F.explode(F.transform(numbers, window)).alias("_c")).select(key, "_c.*")
 
 
 def padded(ids: Column, max_len: int, pad_id: int = 0, bos: int | None = None, eos: int | None = None) -> Column:
@@ -312,6 +337,21 @@ def encode_pair(a: Column, b: Column, max_len: int, cls: int, sep: int, pad_id:
     }
 
 
+def encode_single(a: Column, max_len: int, cls: int, sep: int, pad_id: int = 0) -> dict[str, Column]:
+    """Encoding of one sentence: cls a sep, a cut to fit, then filled to max_len; all token types are 0."""
+    keep = F.least(F.size(a), F.lit(max_len - 2))
+    one = lambda v: F.array(F.lit(v).cast("bigint"))
+    spots = F.sequence(F.lit(0), F.lit(max_len - 1))
+    flags = lambda test: let(keep, lambda n: F.transform(spots, lambda i: test(i, n).cast("int")))
+    return {
+        "input_ids": pad(F.concat(one(cls), F.slice(a, F.lit(1), keep), one(sep)), max_len, F.lit(pad_id).cast("bigint")),
+        "token_type_ids": F.array_repeat(F.lit(0), max_len),
+        "attention_mask": flags(lambda i, n: i < n + 2),
+        "special_tokens_mask": flags(lambda i, n: (i == 0) | (i >= n + 1)),
+        "length": keep + 2,
+    }
+
+
 def sequence_scores(bigrams_by_doc: DataFrame, model: DataFrame, alpha: float = 0.75) -> DataFrame:
     """Per document sum(ln p) / L**alpha over its bigrams. Input (doc_id, gram, n)."""
     dim = model.select("gram", "p_smooth", F.col("n").alias("f"))

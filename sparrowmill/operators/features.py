@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from sparrowmill.functions.arrays import let
 from sparrowmill.functions.rand import portable_normal
+from sparrowmill.operators.corpus import lookup
+from sparrowmill.operators.ordering import number_rows
+from sparrowmill.session import materialize
 
 MAX_CATEGORIES = 1000
 
@@ -55,7 +58,7 @@ def categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list:
     """Distinct non-null values in order; more than `limit` is an error."""
     rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
+        raise ValueError(f"{column} has more than {limit} values, too many columns; use sparse_dummies")
     return sorted(r[0] for r in rows)
 
 
@@ -71,6 +74,45 @@ def get_dummies(df: DataFrame, columns, dummy_na: bool = True, values: dict | No
     return out.drop(*columns)
 
 
+def dummy_index(df: DataFrame, columns, dummy_na: bool = True) -> DataFrame:
+    """Stored (column, value, index): the 0/1 features of the columns, one after the other, values in order.
+
+    With dummy_na each column ends with a feature for null (value null). The number of values has no bound.
+    """
+    pair = [F.struct(F.lit(n).alias("at"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for n, c in enumerate(columns)]
+    found = df.select(F.explode(F.array(*pair)).alias("p")).select("p.*").distinct()
+    known = found.filter("value is not null")
+    if dummy_na:
+        nulls = df.sparkSession.createDataFrame([(n, c, None) for n, c in enumerate(columns)], "at int, column string, value string")
+        known = known.unionByName(nulls)
+    return materialize(number_rows(known, "at", F.col("value").asc_nulls_last(), name="index").select("column", "value", "index"))
+
+
+def sparse_dummies(df: DataFrame, columns, index: DataFrame, key: str) -> DataFrame:
+    """`df` without the columns, with `features`: the sorted numbers of the features that are 1 in the row.
+
+    A row with a value that is not in the index has none for that column. `key` tells rows apart. Values are
+    counted first and numbered once per distinct value of a column; frequent ones are broadcast.
+    """
+    out, made = df, []
+    for n, c in enumerate(columns):
+        counts = df.groupBy(F.col(c).cast("string").alias("_v")).agg(F.count("*").alias("_n"))
+        mine = index.filter(F.col("column") == c).select(F.col("value").alias("_w"), F.col("index").alias(f"_f{n}"))
+        dim = counts.join(mine, F.col("_v").eqNullSafe(F.col("_w"))).select(F.coalesce(F.concat(F.lit("="), "_v"), F.lit("")).alias("_value"), f"_f{n}", "_n")
+        out = out.withColumn("_value", F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")))
+        out = lookup(out, dim, "_value", f"_f{n}", "_n", F.xxhash64(key)).drop("_value")
+        made.append(f"_f{n}")
+    return out.withColumn("features", F.array_sort(F.array_compact(F.array(*made)))).drop(*made, *columns)
+
+
+def fit_transform_union_sparse(train: DataFrame, test: DataFrame, numeric, categorical, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """fit_transform_union with sparse features for any number of values: (train, test, index of the features)."""
+    both = train.withColumn("_src", F.lit(0)).unionByName(test.withColumn("_src", F.lit(1)), allowMissingColumns=True)
+    index = dummy_index(both, categorical)
+    ready = sparse_dummies(standardize(both, numeric, 1), categorical, index, key)
+    return ready.filter("_src = 0").drop("_src"), ready.filter("_src = 1").drop("_src"), index
+
+
 def fit_transform_union(train: DataFrame, test: DataFrame, numeric, categorical) -> tuple[DataFrame, DataFrame]:
     """Standardise and expand on the union of both tables, then part them again."""
     both = train.withColumn("_src", F.lit(0)).unionByName(test.withColumn("_src", F.lit(1)), allowMissingColumns=True)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparrowmill.functions.arrays import dot, let, total
@@ -109,57 +110,77 @@ def histogram(df: DataFrame, value: Column, bins: int, lo=None, hi=None, by=())
     return inside.groupBy(*by, bin_no.alias("bin")).agg(F.count(ONE).alias("n"))
 
 
-def pair_products(df: DataFrame, vec: Column, by=(), origin=None) -> DataFrame:
-    """Per (i, j), i <= j: count, sums of x_i, x_j and x_i * x_j over the rows, of x - origin if given.
+#: Numbers a worker holds in matrices of groups before it hands them on.
+HELD_NUMBERS = 1 << 23
 
-    A partition adds up its vectors in one d x d product per group and emits d*(d+1)/2 rows for each
-    group it has met, however many vectors it holds.
+
+def _merged(one, two):
+    """Count, means and centred products of two sets of rows together."""
+    (n, mean, m), (k, other, p) = one, two
+    apart = other - mean
+    return n + k, mean + apart * (k / (n + k)), m + p + np.outer(apart, apart) * (n * k / (n + k))
+
+
+def co_moments(df: DataFrame, vec: Column, by=(), held: int = HELD_NUMBERS) -> DataFrame:
+    """Per group and (i, j), i <= j: n, mean_i, mean_j and c, the sum of (x_i - mean_i) * (x_j - mean_j).
+
+    A task turns each Arrow batch of a group into a count, a mean vector and a centred d x d product and merges
+    it pairwise with what it holds of the group, so nothing is ever summed about a point far from the
+    data. Beyond `held` numbers it hands its groups on and starts anew. The states of all tasks meet cell by
+    cell: means first, then each state's product about the mean of all.
+
+    Rows with a null vector take no part; vectors of different lengths do not mix.
     """
     keys = list(by)
-    src = df.select(*keys, vec.cast("array<double>").alias("_v"))
+    src = df.select(*keys, vec.cast("array<double>").alias("_v")).filter("_v is not null").withColumn("_d", F.size("_v"))
     head = "".join(f"`{k}` {src.schema[k].dataType.simpleString()}, " for k in keys)
 
-    def products(batches):
-        import pandas as pd
+    def states(batches):
+        found, numbers = {}, 0
+
+        def cells():
+            for key, (n, mean, m) in found.items():
+                i, j = np.triu_indices(len(mean))
+                out = pd.DataFrame({"i": i, "j": j, "_n": n, "_mi": mean[i], "_mj": mean[j], "_c": m[i, j]})
+                for at, k in enumerate(keys):
+                    name = None if key[at] != key[at] else key[at]
+                    out.insert(at, k, pd.Series([name] * len(out), dtype=object))
+                yield out
 
-        held = {}
         for pdf in batches:
-            groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)] if len(pdf) else []
-            for key, part in groups:
-                m = np.stack(part["_v"].to_numpy())
-                m = m if origin is None else m - origin
-                added = (len(m), m.sum(axis=0), m.T @ m)
-                held[key] = tuple(a + b for a, b in zip(held[key], added)) if key in held else added
-        for key, (n, s, p) in held.items():
-            i, j = np.triu_indices(len(s))
-            out = pd.DataFrame({"i": i, "j": j, "n": n, "si": s[i], "sj": s[j], "sij": p[i, j]})
-            for k, v in reversed(list(zip(keys, key))):
-                out.insert(0, k, v)
-            yield out
-
-    part = src.mapInPandas(products, f"{head}i bigint, j bigint, n bigint, si double, sj double, sij double")
-    return part.groupBy(*keys, "i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
+            for key, part in pdf.groupby([*keys, "_d"], sort=False, dropna=False):
+                x = np.stack(part["_v"].to_numpy())
+                mean = x.mean(axis=0)
+                state = len(x), mean, (x - mean).T @ (x - mean)
+                if key in found:
+                    found[key] = _merged(found[key], state)
+                    continue
+                found[key], numbers = state, numbers + len(mean) ** 2
+                if numbers > held:
+                    yield from cells()
+                    found, numbers = {}, 0
+        yield from cells()
+
+    part = src.mapInPandas(states, f"{head}i bigint, j bigint, _n bigint, _mi double, _mj double, _c double")
+    cell = Window.partitionBy(*keys, "i", "j")
+    n = F.sum("_n").over(cell)
+    whole = part.select("*", n.alias("n"), *[(F.sum(F.col("_n") / n * F.col(f"_m{x}")).over(cell)).alias(f"mean_{x}") for x in "ij"])
+    apart = F.col("_n") * (F.col("_mi") - F.col("mean_i")) * (F.col("_mj") - F.col("mean_j"))
+    return whole.groupBy(*keys, "i", "j").agg(
+        F.first("n").alias("n"), F.first("mean_i").alias("mean_i"), F.first("mean_j").alias("mean_j"), F.sum(F.col("_c") + apart).alias("c")
+    )
 
 
 def covariance(df: DataFrame, vec: Column, by=()) -> DataFrame:
-    """Sample covariance (ddof 1) and the two means, for i <= j.
-
-    Sums are taken about one of the vectors, so values far from 0 keep their digits.
-    """
-    one = df.select(vec.cast("array<double>").alias("v")).filter("v is not null").first()
-    origin = np.array(one["v"]) if one else np.zeros(1)
-    p = pair_products(df, vec, by, origin)
-    at = lambda i: F.get(F.array(*[F.lit(float(x)) for x in origin]), F.col(i).cast("int"))
-    return p.select(
-        *by, "i", "j", (at("i") + F.col("si") / F.col("n")).alias("mean_i"), (at("j") + F.col("sj") / F.col("n")).alias("mean_j"),
-        ((F.col("sij") - F.col("si") * F.col("sj") / F.col("n")) / (F.col("n") - 1)).alias("cov"),
-    )
+    """Sample covariance (ddof 1) and the two means, for i <= j; null for a group of one row."""
+    cov = F.try_divide(F.col("c"), F.col("n") - 1).alias("cov")
+    return co_moments(df, vec, by).select(*by, "i", "j", "mean_i", "mean_j", cov)
 
 
 def gram(df: DataFrame, vec: Column, channels: int, by=()) -> DataFrame:
     """sum(x_i * x_j) / (channels * n) over the n rows."""
-    p = pair_products(df, vec, by)
-    return p.select(*by, "i", "j", (F.col("sij") / (F.lit(channels) * F.col("n"))).alias("g"))
+    mean = F.col("c") / F.col("n") + F.col("mean_i") * F.col("mean_j")
+    return co_moments(df, vec, by).select(*by, "i", "j", (mean / F.lit(channels)).alias("g"))
 
 
 def _moments(df: DataFrame, vec: Column):
@@ -172,19 +193,31 @@ def _moments(df: DataFrame, vec: Column):
     return mu, cov
 
 
-def frechet(a: DataFrame, b: DataFrame, vec: Column, eps: float = 1e-6) -> float:
-    """Frechet distance of two vector sets: sums on executors, one d x d eigen-decomposition here."""
+def frechet(a: DataFrame, b: DataFrame, vec: Column) -> float:
+    """Frechet distance of two vector sets: moments on executors, one d x d eigen-decomposition here.
+
+    Singular covariances need no shift: the eigenvalues of s1 @ s2 are those of the symmetric
+    root(s1) @ s2 @ root(s1), whose small negative ones are rounding and count as 0.
+    """
     (m1, s1), (m2, s2) = _moments(a, vec), _moments(b, vec)
-    # the eigenvalues of s1 @ s2 are those of the symmetric root(s1) @ s2 @ root(s1)
     w, v = np.linalg.eigh(s1)
-    if w.min() < eps:
-        w = w + eps
     root = (v * np.sqrt(np.clip(w, 0, None))) @ v.T
     inner = np.linalg.eigvalsh(root @ s2 @ root)
     trace = np.sqrt(np.clip(inner, 0, None)).sum()
     return float(((m1 - m2) ** 2).sum() + np.trace(s1) + np.trace(s2) - 2 * trace)
 
 
+def frechet_diagonal(a: DataFrame, b: DataFrame, vec: Column) -> DataFrame:
+    """One row `distance`: the Frechet distance of two vector sets as if their components did not vary together."""
+    def each(df, side):
+        long = df.select(F.posexplode(vec.cast("array<double>")).alias("i", "x"))
+        return long.groupBy("i").agg(F.avg("x").alias(f"m{side}"), F.stddev_samp("x").alias(f"s{side}"))
+
+    both = each(a, 1).join(each(b, 2), "i")
+    square = lambda x, y: (F.col(x) - F.col(y)) * (F.col(x) - F.col(y))
+    return both.agg(F.sum(square("m1", "m2") + square("s1", "s2")).alias("distance"))
+
+
 def inception_score(df: DataFrame, order, probs: str, splits: int) -> DataFrame:
     """Mean and population deviation over splits of exp(mean KL(p(y|x), p(y))).
 
@@ -209,38 +242,70 @@ def linear_fit(df: DataFrame, x: Column, y: Column, by=()) -> DataFrame:
     )
 
 
-def fit_sums(x: Column, y: Column) -> list[Column]:
-    """Sufficient statistics of a least-squares line."""
-    return [
-        F.count(ONE).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
-        F.sum(x * y).alias("sxy"), F.sum(y * y).alias("syy"),
-    ]
+class _Line:
+    """Count, means and centred products of pairs (x, y); those of two sets add up pairwise."""
+
+    def __init__(self, n=0, mx=0.0, my=0.0, xx=0.0, xy=0.0, yy=0.0):
+        self.n, self.mx, self.my, self.xx, self.xy, self.yy = n, mx, my, xx, xy, yy
+
+    def __add__(self, other: _Line) -> _Line:
+        n = self.n + other.n
+        if not self.n or not other.n:
+            return self if self.n else other
+        dx, dy, w = other.mx - self.mx, other.my - self.my, self.n * other.n / n
+        share = other.n / n
+        return _Line(
+            n, self.mx + dx * share, self.my + dy * share, self.xx + other.xx + dx * dx * w,
+            self.xy + other.xy + dx * dy * w, self.yy + other.yy + dy * dy * w,
+        )
+
+    def error(self, slope: float, mx: float, my: float) -> float | None:
+        """Root mean squared error of the line through (mx, my)."""
+        if not self.n:
+            return None
+        off = (self.my - my) - slope * (self.mx - mx)
+        return max((self.yy - 2 * slope * self.xy + slope * slope * self.xx) / self.n + off * off, 0.0) ** 0.5
 
 
 def kfold_line_errors(folds: DataFrame, x: Column, y: Column, fold: str = "fold") -> DataFrame:
     """Per fold: fit on the other folds, root mean squared error on both sides.
 
-    Only sums per fold leave the executors' partial aggregates: train sums are all sums minus the fold's.
+    Only count, means and centred products per fold leave the partial aggregates; those of the other folds
+    are added up here, without sums about 0. Where the other folds have one x only, the line is null.
     """
-    names = ["n", "sx", "sy", "sxx", "sxy", "syy"]
-    per = folds.groupBy(fold).agg(*fit_sums(x, y))
-    rows = per.collect()  # one row per fold
-    spark = folds.sparkSession
+    pairs = folds.select(fold, x.cast("double").alias("_x"), y.cast("double").alias("_y")).filter("_x is not null and _y is not null")
+    per = pairs.groupBy(fold).agg(
+        F.count(ONE).alias("n"), F.avg("_x").alias("mx"), F.avg("_y").alias("my"),
+        *[(F.covar_pop(a, b) * F.count(ONE)).alias(name) for a, b, name in (("_x", "_x", "xx"), ("_x", "_y", "xy"), ("_y", "_y", "yy"))],
+    )
+    held = {r[fold]: _Line(*(r[c] for c in ("n", "mx", "my", "xx", "xy", "yy"))) for r in per.collect()}  # one row per fold
     out = []
-    for r in sorted(rows, key=lambda r: r[fold]):
-        valid = {k: r[k] for k in names}
-        train = {k: sum(o[k] for o in rows) - r[k] for k in names}
-        slope = (train["n"] * train["sxy"] - train["sx"] * train["sy"]) / (train["n"] * train["sxx"] - train["sx"] ** 2)
-        base = (train["sy"] - slope * train["sx"]) / train["n"]
-        rmse = lambda s: max(
-            (s["syy"] + slope * slope * s["sxx"] + s["n"] * base * base
-             - 2 * slope * s["sxy"] - 2 * base * s["sy"] + 2 * slope * base * s["sx"]) / s["n"], 0.0) ** 0.5
-        out.append((int(r[fold]), slope, base, rmse(train), rmse(valid)))
-    return spark.createDataFrame(
+    for name in sorted(held):
+        train = sum((s for f, s in held.items() if f != name), _Line())
+        if train.xx > 0:
+            slope = train.xy / train.xx
+            line = slope, train.my - slope * train.mx, train.error(slope, train.mx, train.my), held[name].error(slope, train.mx, train.my)
+        else:
+            line = None, None, None, None
+        out.append((int(name), *line))
+    return folds.sparkSession.createDataFrame(
         out, "fold bigint, slope double, intercept double, train_rmse double, valid_rmse double"
     )
 
 
+def fold_means(errors: DataFrame) -> DataFrame:
+    """One row: number of folds with a line, mean train and mean valid error over them."""
+    return errors.filter("slope is not null").agg(
+        F.count(ONE).alias("folds"), F.avg("train_rmse").alias("train_rmse"), F.avg("valid_rmse").alias("valid_rmse")
+    )
+
+
+def split_counts(df: DataFrame, split: str, key: str) -> DataFrame:
+    """(split, n, n_distinct): rows and distinct keys of each split, and of all as `total`."""
+    marked = df.select(F.explode(F.array(F.col(split).cast("string"), F.lit("total"))).alias("split"), F.col(key).alias("_k"))
+    return marked.groupBy("split").agg(F.count(ONE).alias("n"), F.count_distinct("_k").alias("n_distinct"))
+
+
 def throughput(df: DataFrame, by, samples: Column, size: Column, seconds: Column, order: Column) -> DataFrame:
     """Samples, bytes, seconds, samples per second, MB (2**20 bytes) per second, seconds of the first row."""
     out = df.groupBy(*by).agg(

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -145,65 +147,105 @@ def position_in_key(df: DataFrame, keys, order, name: str = "pos", rows: int = B
     return running(df, keys, order, {name: ("count", None)}, rows)
 
 
+def affine_scan(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Compositions of the maps s -> a * s + b, each of all maps up to it: doubling steps over whole arrays."""
+    a, b = a.copy(), b.copy()
+    step = 1
+    while step < len(a):
+        b[step:] += _through(a[step:], b[:-step])
+        a[step:] *= a[:-step]
+        step *= 2
+    return a, b
+
+
+def _through(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b, and 0 where a is 0: an infinite value stays in its key."""
+    with np.errstate(invalid="ignore"):
+        return np.where(a == 0, 0.0, a * b)
+
+
 def running_linear(
     df: DataFrame, keys, order, outputs: dict[str, str], decay: float, gain: float, rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Per key the recurrence s = decay * s + gain * value, starting at 0.
+    """Per key the recurrence s = decay * s + gain * value, starting at 0; a value that is null or no number leaves s as it is.
 
-    `outputs` maps a new column to its value column. A block is folded from zero inside a task. The
-    state that enters a block adds decay**k times itself to the k-th row, so blocks are independent
-    until the short fold over block ends.
+    `outputs` maps a new column to its value column. A row is the map s -> a * s + b; the first row of a key has
+    a = 0, so one scan over all rows in the order of their keys serves all of them. Maps compose in any
+    grouping: each block of `rows` rows is scanned by itself, then the totals of the blocks, again in
+    blocks, until one block is left; what enters a block is added by one join. So neither a row loop nor
+    a key is ever in one task. Jobs run while the frame is built: the sort, and one per level of blocks.
     """
-    numbered = number_rows(df, *keys, *order, name="_pos")
-    numbered = numbered.withColumn("_block", F.floor(F.col("_pos") / rows))
+    numbered = number_rows(df, *keys, *order, name="_pos").withColumn("_block", F.floor(F.col("_pos") / rows))
+    heads = _block_heads(numbered, keys)
     names = list(outputs)
-
-    def fields(schema):
-        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-    def fold(pdf):
-        pdf = pdf.sort_values("_pos")
-        held = pdf[list(keys)].astype(object).where(pdf[list(keys)].notna(), None)
-        heads = [True, *(held.values[1:] != held.values[:-1]).any(axis=1).tolist()]
-        step, steps = 0, []
-        for head in heads:
-            step = 1 if head else step + 1
-            steps.append(step)
-        added = {"_k": steps}
+    made = ", ".join(f"`_a_{n}` double, `_b_{n}` double" for n in names)
+
+    def scan(table):
+        table = table.sort_by("_pos")
+        head = np.zeros(table.num_rows, dtype=bool)
+        head[0] = table.column("_head")[0].as_py()
+        for k in keys:
+            code = table.column(k).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            head[1:] |= code[1:] != code[:-1]
         for name, value in outputs.items():
-            state, states = 0.0, []
-            for head, x in zip(heads, pdf[value].tolist()):
-                state = (0.0 if head else decay * state) + gain * x
-                states.append(state)
-            added[f"_s_{name}"] = states
-        return pdf.assign(**added)
-
-    made = ", ".join(f"`_s_{n}` double" for n in names)
-    local = numbered.groupBy("_block").applyInPandas(fold, f"{fields(numbered.schema)}, `_k` bigint, {made}")
-    local = materialize(local)
-    ends = local.groupBy("_block", *keys).agg(
-        F.min("_pos").alias("_from"), F.max("_pos").alias("_upto"), F.max("_k").alias("_len"),
-        *[F.max_by(f"_s_{n}", "_pos").alias(f"_e_{n}") for n in names],
-    )
-    edges = ends.filter((F.col("_from") % rows == 0) | (F.col("_upto") % rows == rows - 1))
-    groups = list(keys) or [F.lit(0).alias("_all")]
+            x = table.column(value).cast("double").to_numpy()
+            known = ~np.isnan(x)
+            a = np.where(head, 0.0, np.where(known, decay, 1.0))
+            a, b = affine_scan(a, np.where(known, gain * np.where(known, x, 0.0), 0.0))
+            table = table.append_column(f"_a_{name}", pa.array(a)).append_column(f"_b_{name}", pa.array(b))
+        return table
+
+    placed = numbered.join(heads, "_block")
+    local = materialize(placed.groupBy("_block").applyInArrow(scan, f"{_ddl(placed.schema)}, {made}"))
+    entering = _entering(_totals(local, names), names, rows)
+    joined = local.join(entering, "_block")
+    return joined.select(*df.columns, *[_after(n).alias(n) for n in names])
+
 
-    def chain(pdf):
-        pdf = pdf.sort_values("_block")
-        out = pdf[["_block", "_upto"]].rename(columns={"_block": "_cb"})
+def _after(name: str) -> Column:
+    """What the map of a row makes of the state that enters its block."""
+    a, b, c = (F.col(f"_{kind}_{name}") for kind in "abc")
+    return F.when(a == 0, b).otherwise(b + a * c)
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _block_heads(numbered: DataFrame, keys) -> DataFrame:
+    """(_block, _head): whether the first row of a block starts a key. One row per block."""
+    key = F.struct(F.lit(0).alias("_"), *keys)
+    ends = materialize(numbered.groupBy("_block").agg(F.min_by(key, "_pos").alias("_first"), F.max_by(key, "_pos").alias("_last")))
+    before = ends.select((F.col("_block") + 1).alias("_block"), F.col("_last").alias("_before"))
+    same = F.col("_first").eqNullSafe(F.col("_before"))
+    return materialize(ends.join(before, "_block", "left").select("_block", (~same).alias("_head")))
+
+
+def _totals(scanned: DataFrame, names) -> DataFrame:
+    """(_block, _a_*, _b_*): the map of each whole block, that of its last row."""
+    made = [f"_{kind}_{n}" for n in names for kind in "ab"]
+    last = scanned.groupBy("_block").agg(F.max_by(F.struct(*made), "_pos").alias("_t"))
+    return materialize(last.select("_block", *[F.col(f"_t.{c}").alias(c) for c in made]))
+
+
+def _entering(totals: DataFrame, names, rows: int) -> DataFrame:
+    """(_block, _c_*): the state that enters each block, from the maps of the blocks before it."""
+    maps = totals.withColumnRenamed("_block", "_pos").withColumn("_block", F.floor(F.col("_pos") / rows))
+
+    def scan(table):
+        table = table.sort_by("_pos")
+        out = {"_pos": table.column("_pos"), "_block": table.column("_block")}
         for n in names:
-            state, enter = 0.0, []
-            for end, length in zip(pdf[f"_e_{n}"].tolist(), pdf["_len"].tolist()):
-                enter.append(state)
-                state = end + decay ** length * state
-            out[f"_c_{n}"] = enter
-        return out
-
-    entering = ", ".join(f"`_c_{n}` double" for n in names)
-    carry = edges.groupBy(*groups).applyInPandas(chain, f"_cb bigint, _upto bigint, {entering}")
-    # at most two rows per block; stored, so that Spark knows the size when it picks the join
-    carry = materialize(carry.filter(" or ".join(f"`_c_{n}` <> 0" for n in names)))
-    joined = local.join(carry, (F.col("_block") == F.col("_cb")) & (local["_pos"] <= carry["_upto"]), "left")
-    grown = F.pow(F.lit(decay), "_k")
-    result = [(F.col(f"_s_{n}") + F.coalesce(grown * F.col(f"_c_{n}"), F.lit(0.0))).alias(n) for n in names]
-    return joined.select(*df.columns, *result)
+            out[f"_a_{n}"], out[f"_b_{n}"] = affine_scan(*(table.column(f"_{kind}_{n}").to_numpy() for kind in "ab"))
+        return pa.table(out)
+
+    made = ", ".join(f"`_a_{n}` double, `_b_{n}` double" for n in names)
+    local = materialize(maps.groupBy("_block").applyInArrow(scan, f"_pos bigint, _block bigint, {made}"))
+    many = totals.agg(F.max("_block")).first()[0] or 0
+    if many >= rows:
+        local = local.join(_entering(_totals(local, names), names, rows), "_block")
+    else:  # one block of blocks, and nothing enters it
+        local = local.withColumns({f"_c_{n}": F.lit(0.0) for n in names})
+    after = [_after(n).alias(f"_c_{n}") for n in names]
+    first = local.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("_block"), *[F.lit(0.0).alias(f"_c_{n}") for n in names])
+    return materialize(local.select((F.col("_pos") + 1).alias("_block"), *after).unionByName(first))

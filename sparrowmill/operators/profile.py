@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from sparrowmill.functions.rand import portable_rand
 from sparrowmill.functions.text import two_decimals
 from sparrowmill.operators.ordering import number_rows, position_in_key
+from sparrowmill.session import materialize
 
-MAX_PIVOT = 1000
 
 
 def check_fields(df: DataFrame, required: list[str]) -> DataFrame:
@@ -125,6 +125,12 @@ def payload_field(df: DataFrame, column: str) -> str:
     raise ValueError(f"{column}: {kind.simpleString()} holds no known payload")
 
 
+def payload(df: DataFrame, column: str) -> Column:
+    """The payload of a column, where payload_field finds it."""
+    field = payload_field(df, column)
+    return F.col(column)[field.removeprefix("struct.")] if field.startswith("struct.") else F.col(column)
+
+
 def preview(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(portable_rand(key, seed=seed), key).limit(n)
 
@@ -197,24 +203,24 @@ def decode_label(df: DataFrame, index: str, labels: DataFrame) -> DataFrame:
     return df.join(dim, index, "left")
 
 
-def crosstab(df: DataFrame, row: str, col: str, page: int, limit: int = MAX_PIVOT) -> DataFrame:
-    """Two-way counts in pages of `page` columns: (row, page, c0, c1, ...) plus the header per page.
+def crosstab(df: DataFrame, row: str, col: str, page: int) -> DataFrame:
+    """Two-way counts in pages of `page` columns: (row, page, header, c0, c1, ...).
 
-    The distinct column labels are checked against `limit`; more of them is an error.
+    Column labels are numbered in order, a null label, called `null`, last; each row of the table is on every
+    page. Only counts travel: there is no pivot over the labels, and their number has no bound.
     """
-    values = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"{col} has more than {limit} values")
-    values = sorted(values)
-    wide = df.groupBy(row).pivot(col, values).count().na.fill(0)
-    blocks = [values[i:i + page] for i in range(0, len(values), page)]
-    cells = [
-        F.struct(
-            F.lit(i).alias("page"), F.lit(",".join(str(v) for v in b)).alias("header"),
-            *[(F.col(f"`{b[j]}`") if j < len(b) else F.lit(None).cast("bigint")).alias(f"c{j}") for j in range(page)],
-        )
-        for i, b in enumerate(blocks)
-    ]
-    return wide.select(row, F.inline(F.array(*cells)))
-
-
+    counts = materialize(df.groupBy(F.col(row).alias("_row"), F.col(col).alias("_col")).agg(F.count("*").alias("n")))
+    labels = number_rows(counts.select("_col").distinct(), F.col("_col").asc_nulls_last(), name="_i")
+    labels = materialize(labels.select("_col", F.floor(F.col("_i") / page).cast("int").alias("page"), (F.col("_i") % page).cast("int").alias("_slot")))
+    named = F.struct("_slot", F.coalesce(F.col("_col").cast("string"), F.lit("null")).alias("name"))
+    heads = labels.groupBy("page").agg(F.array_sort(F.collect_list(named)).alias("_h"))  # `page` labels each
+    pages = labels.agg(F.coalesce(F.max("page"), F.lit(-1))).scalar()
+    same = counts["_col"].eqNullSafe(labels["_col"])
+    cells = counts.join(labels, same).groupBy("_row", "page").agg(F.map_from_entries(F.collect_list(F.struct("_slot", "n"))).alias("_n"))
+    every = counts.select("_row").distinct().withColumn("_pages", pages).filter("_pages >= 0")
+    grid = every.select("_row", F.explode(F.sequence(F.lit(0), "_pages")).alias("page"))
+    at = [grid["page"] == cells["page"], grid["_row"].eqNullSafe(cells["_row"])]
+    filled = grid.join(cells, at, "left").select(grid["_row"], grid["page"], "_n").join(heads, "page")
+    value = lambda j: F.when(F.size("_h") > j, F.coalesce(F.try_element_at("_n", F.lit(j)), F.lit(0).cast("bigint")))
+    header = F.array_join(F.transform("_h", lambda h: h["name"]), ",").alias("header")
+    return filled.select(F.col("_row").alias(row), "page", header, *[value(j).alias(f"c{j}") for j in range(page)])

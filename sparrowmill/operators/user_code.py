@@ -5,11 +5,16 @@ Native expressions are faster; these are for code that has no expression.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
+from typing import Any, Protocol
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparrowmill.session import materialize
+
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """fn(pandas frame) -> pandas frame over Arrow batches. No shuffle, no group."""
@@ -43,22 +48,77 @@ def filter_rows(df: DataFrame, fn: Callable) -> DataFrame:
     return df.mapInPandas(run, df.schema)
 
 
-def metric(df: DataFrame, by, cells, fn: Callable, name: str = "metric") -> DataFrame:
-    """A user metric fn(pandas frame of distinct cells with counts `n`) per group.
+class Metric(Protocol):
+    """A user metric in parts: a state that starts somewhere, takes in rows, and meets other states.
 
-    The rows are counted per distinct cell value first, so the user function never sees the rows of a
-    large group, only its distinct (prediction, label) cells.
+    The state is anything that pickles. `merge` has to give the same for any order and grouping.
     """
-    counted = df.groupBy(*by, *cells).agg(F.count("*").alias("n"))
-    kinds = dict(counted.dtypes)
-    head = ", ".join(f"`{b}` {kinds[b]}" for b in by)
 
-    def run(pdf):
-        import pandas as pd
+    def init(self) -> Any: ...
+
+    def update(self, state: Any, rows: pd.DataFrame) -> Any: ...
+
+    def merge(self, one: Any, two: Any) -> Any: ...
+
+    def finish(self, state: Any) -> float | None: ...
+
+
+#: States a worker holds before it hands them on, and states that one task merges.
+HELD_STATES, MERGED_STATES = 10_000, 256
 
-        return pd.DataFrame([{**{b: pdf[b].iloc[0] for b in by}, name: float(fn(pdf))}])
 
-    return counted.groupBy(*by).applyInPandas(run, f"{head}, `{name}` double")
+def metric(df: DataFrame, by, columns, user: Metric, name: str = "metric", merged: int = MERGED_STATES) -> DataFrame:
+    """A user metric over `columns` per group, null keys included.
+
+    Tasks update one state per group and Arrow batch; the states, not the rows, are shuffled, and merged
+    `merged` at a time until one is left. So a group of any size is never in one task. A count of the
+    largest number of states runs while the frame is built.
+    """
+    keys = list(by)
+    kept = df.select(*keys, *columns)
+    head = "".join(f"`{k}` {kept.schema[k].dataType.simpleString()}, " for k in keys)
+
+    def frame(found):
+        rows = pd.DataFrame([(*key, pickle.dumps(state)) for key, state in found.items()], columns=[*keys, "_state"])
+        return rows.astype(object)
+
+    def partial(batches):
+        found: dict = {}
+        for pdf in batches:
+            groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
+            for key, rows in groups:
+                key = tuple(None if k is pd.NaT or k != k else k for k in key)
+                state = found[key] if key in found else user.init()
+                found[key] = user.update(state, rows[list(columns)])
+            if len(found) > HELD_STATES:
+                yield frame(found)
+                found = {}
+        yield frame(found)
+
+    def together(pdf):
+        state = user.init()
+        for part in pdf["_state"]:
+            state = user.merge(state, pickle.loads(part))
+        return state
+
+    def merge(pdf):
+        out = pdf[keys].iloc[:1].copy()
+        out["_state"] = [pickle.dumps(together(pdf))]
+        return out
+
+    def finish(pdf):
+        out = pdf[keys].iloc[:1].copy()
+        out[name] = user.finish(together(pdf))
+        return out
+
+    states = materialize(kept.mapInPandas(partial, f"{head}_state binary"))
+    while True:
+        most = states.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= merged:
+            return states.groupBy(*keys).applyInPandas(finish, f"{head}`{name}` double")
+        share = F.pmod(F.xxhash64("_state", F.monotonically_increasing_id()), F.lit(-(-most // merged)))
+        dealt = materialize(states.withColumn("_share", share))
+        states = materialize(dealt.groupBy(*keys, "_share").applyInPandas(merge, f"{head}_state binary"))
 
 
 def ngram_udtf(n: int):
@@ -77,10 +137,6 @@ def ngram_udtf(n: int):
     return Ngrams
 
 
-def with_hook(df: DataFrame, hook: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    return df.transform(hook)
-
-
 def lower_hook(column: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.withColumn(column, F.lower(column))
 

@@ -57,6 +57,20 @@ def l03(spark, sf):
     return a.select("vec_id", "row", "col", "shape", "cx", "cy", *r9("w", "h"))
 
 
+@query("L03_anchor_lists", """
+with e as (select vec_id, [0.2 + 0.05 * label, 0.25 + 0.05 * label, 0.7] as sizes, [1.0, 2.0, 0.5] as ratios from embeddings),
+r as (select *, cast(unnest(range(0, 2)) as int) as "row" from e), c as (select *, cast(unnest(range(0, 3)) as int) as col from r),
+s as (select *, cast(unnest(range(0, 5)) as int) as shape from c),
+p as (select *, case when shape < 3 then sizes[1] else sizes[shape - 1] end as s, case when shape < 3 then ratios[shape + 1] else ratios[1] end as r from s)
+select vec_id, "row", col, shape, round((col + 0.5) / 3, 9)::double as cx, ("row" + 0.5)::double / 2 as cy, round(s * sqrt(r), 9)::double as w, round(s / sqrt(r), 9)::double as h from p
+""")
+def l03_lists(spark, sf):
+    sizes = F.array(F.lit(0.2) + F.col("label") * 0.05, F.lit(0.25) + F.col("label") * 0.05, F.lit(0.7))
+    e = table(spark, sf, "embeddings").select("vec_id", sizes.alias("sizes"), F.array(*map(F.lit, (1.0, 2.0, 0.5))).alias("ratios"))
+    a = op.anchor_lists(e, F.lit(2), F.lit(3), F.col("sizes"), F.col("ratios"))
+    return a.select("vec_id", "row", "col", "shape", *r9("cx"), "cy", *r9("w", "h"))
+
+
 @query("L04_assign", f"""
 with recursive {BOXES_SQL}, p0 as (select a.image, a.box_id as a_id, b.box_id as b_id, {IOU_SQL} as iou from boxes a join boxes b on a.image = b.image where not a.is_truth and b.is_truth),
 p as (select *, row_number() over (partition by image order by iou desc, a_id, b_id) as rn from p0 where iou > 0),
@@ -66,7 +80,10 @@ g(image, rn, used_a, used_b, a_id, b_id, hit) as (
   case when list_contains(g.used_a, p.a_id) or list_contains(g.used_b, p.b_id) then g.used_a else list_append(g.used_a, p.a_id) end,
   case when list_contains(g.used_a, p.a_id) or list_contains(g.used_b, p.b_id) then g.used_b else list_append(g.used_b, p.b_id) end,
   p.a_id, p.b_id, not (list_contains(g.used_a, p.a_id) or list_contains(g.used_b, p.b_id)) from g join p on p.image = g.image and p.rn = g.rn + 1),
-m as (select g.a_id, g.b_id, p.iou from g join p on p.a_id = g.a_id and p.b_id = g.b_id where g.hit),
+m0 as (select g.a_id, g.b_id, p.iou from g join p on p.a_id = g.a_id and p.b_id = g.b_id where g.hit),
+lt as (select image, box_id as b_id, row_number() over (partition by image order by box_id) as k from boxes where is_truth and box_id not in (select b_id from m0)),
+la as (select image, box_id as a_id, row_number() over (partition by image order by box_id) as k from boxes where not is_truth and box_id not in (select a_id from m0)),
+m as (select * from m0 union all select a_id, b_id, 0.0 from la join lt using (image, k)),
 b as (select a_id, arg_max(b_id, (iou, -b_id)) as b_id, max(iou) as iou from p where iou >= 0.5 group by a_id)
 select x.box_id, coalesce(m.b_id, b.b_id) as truth_id, round(coalesce(m.iou, b.iou), 9) as iou,
  case when m.b_id is not null then 'greedy' when b.b_id is not null then 'threshold' else 'background' end as stage

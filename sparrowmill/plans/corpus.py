@@ -209,7 +209,8 @@ SPECIALS = ("<pad>", "<bos>", "<eos>", "<unk>")
 
 
 def turn_pairs(spark, sf):
-    return op.turn_pairs(table(spark, sf, "conversations"))
+    """Stored: vocabularies and encodings read the pairs, not the join again."""
+    return materialize(op.turn_pairs(table(spark, sf, "conversations")))
 
 
 def side_ids(pairs, side, min_freq=3, specials=SPECIALS, unk=3):
@@ -218,8 +219,8 @@ def side_ids(pairs, side, min_freq=3, specials=SPECIALS, unk=3):
     return op.encode_rows(pairs, tokens, vocab, "pair_id", unk)
 
 
-def target_arrays(spark, sf, max_len=24):
-    coded = side_ids(turn_pairs(spark, sf), "target")
+def target_arrays(pairs, max_len=24):
+    coded = side_ids(pairs, "target")
     y = coded.select("pair_id", op.padded(F.col("ids"), max_len, 0, 1, 2).alias("y"))
     return y.withColumn("y_len", op.valid_length(F.col("y")))
 
@@ -234,7 +235,7 @@ with {PAIRS}, {side_sql('target', 4, 3, 3)}, a as (select pair_id, {_PAD24} as y
 select pair_id, {joined_sql('y')} as y, {_VALID.format(a='y')} as y_len from a
 """)
 def j11(spark, sf):
-    return target_arrays(spark, sf).withColumn("y", joined(F.col("y")))
+    return target_arrays(turn_pairs(spark, sf)).withColumn("y", joined(F.col("y")))
 
 
 @query("J12_nmt_examples", f"""
@@ -244,9 +245,10 @@ a as (select s.pair_id, list_resize(s.ids[1:24], 24, 0) as x, list_resize(([1] |
 select pair_id, {joined_sql('x')} as x, {_VALID.format(a='x')} as x_len, {joined_sql('y')} as y, {_VALID.format(a='y')} as y_len from a
 """)
 def j12(spark, sf):
-    x = side_ids(turn_pairs(spark, sf), "source").select("pair_id", op.padded(F.col("ids"), 24).alias("x"))
+    pairs = turn_pairs(spark, sf)
+    x = side_ids(pairs, "source").select("pair_id", op.padded(F.col("ids"), 24).alias("x"))
     x = x.withColumn("x_len", op.valid_length(F.col("x")))
-    both = x.join(target_arrays(spark, sf), "pair_id")
+    both = x.join(target_arrays(pairs), "pair_id")
     return both.withColumn("x", joined(F.col("x"))).withColumn("y", joined(F.col("y")))
 
 
@@ -255,7 +257,7 @@ with {PAIRS}, {side_sql('target', 4, 3, 3)}, a as (select pair_id, {_PAD24} as y
 select pair_id, {joined_sql('y[1:23]')} as y_input, {joined_sql('y[2:24]')} as y_label, {_VALID.format(a='y')} - 1 as y_len from a
 """)
 def j13(spark, sf):
-    y = target_arrays(spark, sf)
+    y = target_arrays(turn_pairs(spark, sf))
     n = F.size("y") - 1
     return y.select(
         "pair_id",
@@ -310,6 +312,24 @@ def j15(spark, sf):
     return out.select("pair_id", *[(c if n == "length" else joined(c)).alias(n) for n, c in cols.items()])
 
 
+@query("J15_encode_single", f"""
+with s as (select conv_id, turn, {WORDS.format(c='text')} as w from conversations),
+t as (select conv_id, turn, unnest(w) as token, generate_subscripts(w, 1) as pos from s),
+v as (select token, 3 + row_number() over (order by n desc, token) as id from (select token, count(*) as n from t group by token having count(*) >= 2)),
+c as (select conv_id, turn, list(coalesce(id, 1) order by pos) as a from t left join v using (token) group by conv_id, turn),
+l as (select s.conv_id, s.turn, coalesce(a, []) as a, least(len(coalesce(a, [])), 18) as n from s left join c using (conv_id, turn))
+select conv_id, turn, {joined_sql('list_resize([2] || a[1:n] || [3], 20, 0)')} as input_ids, {joined_sql('list_transform(range(0, 20), lambda i: 0)')} as token_type_ids,
+ {joined_sql('list_transform(range(0, 20), lambda i: case when i < n + 2 then 1 else 0 end)')} as attention_mask,
+ {joined_sql('list_transform(range(0, 20), lambda i: case when i = 0 or i >= n + 1 then 1 else 0 end)')} as special_tokens_mask, cast(n + 2 as int) as length from l
+""")
+def j15_single(spark, sf):
+    c = table(spark, sf, "conversations").withColumn("k", F.struct("conv_id", "turn"))
+    words = tx.words(F.col("text"))
+    coded = op.encode_rows(c, words, op.build_vocab(c, words, 2, _PAIR_SPECIALS), "k", 1)
+    cols = op.encode_single(F.col("ids"), 20, 2, 3)
+    return coded.select("k.conv_id", "k.turn", *[(x if n == "length" else joined(x)).alias(n) for n, x in cols.items()])
+
+
 @query("J16_add_tokens", f"""
 with {VOC}, v as (select token, id from voc union all select '<unk>', 0),
 new as (select unnest(['granite', 'the', 'ferry', '[TURN]']) as token, unnest([0, 1, 2, 3]) as o),

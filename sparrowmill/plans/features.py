@@ -8,6 +8,7 @@ from sparrowmill.operators.metrics import linear_fit
 from sparrowmill.plans.fixtures import PRICE_SQL, price
 from sparrowmill.plans.registry import list6, normal_sql, query
 from sparrowmill.sources import files as fs
+from sparrowmill.session import scratch_path
 from sparrowmill.tables import table
 
 
@@ -69,6 +70,21 @@ def k05(spark, sf):
     return op.get_dummies(parts(spark, sf).select("p_partkey", "p_type"), ["p_type"])
 
 
+@query("K05_sparse_dummies", """
+with p as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(nullif(l_partkey % 7, 0) as varchar) as a, cast(l_suppkey as varchar) as b from lineitem),
+v as (select distinct 0 as c, a as v from p where a is not null union select distinct 1, b from p where b is not null union all select 0, null union all select 1, null),
+f as (select c, v, row_number() over (order by c, v nulls last) - 1 as i from v)
+select l_orderkey, l_linenumber, l_partkey, x.i || ',' || y.i as features, count(*) as n from p join f x on x.c = 0 and x.v is not distinct from a join f y on y.c = 1 and y.v is not distinct from b group by all
+""")
+def k05_sparse(spark, sf):
+    li = table(spark, sf, "lineitem")
+    a = F.nullif(F.col("l_partkey") % 7, F.lit(0)).cast("string")
+    p = li.select("l_orderkey", "l_linenumber", "l_partkey", a.alias("a"), F.col("l_suppkey").cast("string").alias("b"))
+    made = op.sparse_dummies(p, ["a", "b"], op.dummy_index(p, ["a", "b"]), "l_orderkey")
+    shown = F.array_join(F.col("features").cast("array<string>"), ",").alias("features")
+    return made.groupBy("l_orderkey", "l_linenumber", "l_partkey", shown).agg(F.count("*").alias("n"))
+
+
 @query("K06_numeric_columns", """
 select 'p_partkey' as name, count(p_partkey) as n, round(avg(p_partkey), 6) as mean from part union all
 select 'p_size', count(p_size), round(avg(p_size), 6) from part union all select 'p_retailprice', count(p_retailprice), round(avg(p_retailprice), 6) from part
@@ -93,6 +109,22 @@ def k07(spark, sf):
     return both.withColumn("p_size", F.round("p_size", 8) + 0.0)
 
 
+@query("K07_union_sparse", f"""
+with {PARTS_SQL}, s as (select avg(p_size) as m, stddev_samp(p_size) as d from pt),
+f as (select v, row_number() over (order by v nulls last) - 1 as i from (select distinct p_type as v from pt where p_type is not null union all select null))
+select p_partkey, case when p_retailprice < 950 then 'train' else 'test' end as src, round(coalesce((p_size - m) / d, 0), 8) + 0.0 as p_size, cast(f.i as varchar) as features
+from pt, s, f where f.v is not distinct from pt.p_type
+""")
+def k07_sparse(spark, sf):
+    p = parts(spark, sf).select("p_partkey", "p_size", "p_type", "p_retailprice")
+    train, test, _ = op.fit_transform_union_sparse(
+        p.filter("p_retailprice < 950").drop("p_retailprice"), p.filter("p_retailprice >= 950").drop("p_retailprice"), ["p_size"], ["p_type"], "p_partkey"
+    )
+    both = train.withColumn("src", F.lit("train")).unionByName(test.withColumn("src", F.lit("test")))
+    shown = F.array_join(F.col("features").cast("array<string>"), ",").alias("features")
+    return both.select("p_partkey", "src", (F.round("p_size", 8) + 0.0).alias("p_size"), shown)
+
+
 @query("K08_prediction_export", f"""
 with {PRICE_SQL}, f as (select regr_slope(y, p) as a, regr_intercept(y, p) as b from price) select p_partkey as id, round(p_retailprice * a + b, 4) as sale_price from part, f
 """)
@@ -100,14 +132,14 @@ def k08(spark, sf):
     fit = linear_fit(price(spark, sf), F.col("p"), F.col("y"))
     out = op.predictions(table(spark, sf, "part"), "p_partkey", F.col("p_retailprice"), fit)
     named = out.select(F.col("p_partkey").alias("id"), F.round("prediction", 4).alias("sale_price"))
-    path = fs.scratch_path(spark, "submission")
+    path = scratch_path(spark, "submission")
     fs.write_csv(named, path)
     return fs.read_csv(spark, path, schema="id bigint, sale_price double")
 
 
 @query("K09_linear_targets", f"""
-select o_orderkey, round(4.2::double + (o_totalprice / 100000) * 2.0 + (o_custkey / 1000) * -3.4::double + {normal_sql('o_orderkey', seed=21)} * 0.01::double, 9) as y from orders
+select o_orderkey, round(1.25::double + (o_totalprice / 100000) * 0.75 + (o_custkey / 1000) * -1.5::double + {normal_sql('o_orderkey', seed=21)} * 0.05::double, 9) as y from orders
 """)
 def k09(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 100000).alias("a"), (F.col("o_custkey") / 1000).alias("b"))
-    return op.linear_targets(o, ["a", "b"], [2.0, -3.4], 4.2, 0.01, "o_orderkey", 21).select("o_orderkey", F.round("y", 9).alias("y"))
+    return op.linear_targets(o, ["a", "b"], [0.75, -1.5], 1.25, 0.05, "o_orderkey", 21).select("o_orderkey", F.round("y", 9).alias("y"))

@@ -206,6 +206,15 @@ def e20(spark, sf):
     return spark.createDataFrame([(round(d, 8),)], "distance double")
 
 
+@query("E20_frechet_diagonal", f"""
+with {U}, m as (select i, avg(x) filter (label < 5) as m1, avg(x) filter (label >= 5) as m2, stddev_samp(x) filter (label < 5) as s1, stddev_samp(x) filter (label >= 5) as s2 from u group by i)
+select round(sum((m1 - m2) * (m1 - m2) + (s1 - s2) * (s1 - s2)), 8) as distance from m
+""")
+def e20_diagonal(spark, sf):
+    e = emb(spark, sf)
+    return op.frechet_diagonal(e.filter("label < 5"), e.filter("label >= 5"), F.col("v")).select(F.round("distance", 8).alias("distance"))
+
+
 @query("E21_inception_score", f"""
 with {LOGITS_SQL}, q as (select vec_id, list_transform(z, lambda t: exp(t - list_max(z))) as x from logits),
 p as (select list_transform(x, lambda t: t / list_sum(x)) as p, (row_number() over (order by vec_id) - 1) // (select count(*) // 7 from embeddings) as split from q),
@@ -299,18 +308,41 @@ def e30(spark, sf):
     return ml.softmax_report(model, e, "v", "label")
 
 
+@query("E30_softmax_balance", "select label, count(*) as n, cast(count(*) as double) as expected from embeddings group by label")
+def e30_balance(spark, sf):
+    """At the best fit the probabilities of a class add up to its rows."""
+    e = emb(spark, sf)
+    model = ml.softmax_fit(e, "v", "label", steps=500, reg=0.05, tol=1e-10)
+    return ml.softmax_balance(model, e, "v", "label").select("label", "n", r("expected", 2, "expected"))
+
+
 _FOLD_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"]
 
 
+_FOLDS_SQL = f"""
+r as (select l_quantity as x, l_extendedprice as y, (row_number() over (order by {', '.join(_FOLD_ORDER)}) - 1) // (select count(*) // 5 from lineitem) as fold from lineitem),
+k as (select * from r where fold < 5), f as (select g.fold, regr_slope(k.y, k.x) as a, regr_intercept(k.y, k.x) as b from (select distinct fold from k) g join k on k.fold <> g.fold group by g.fold),
+errors as (select f.fold, any_value(a) as slope, any_value(b) as intercept, sqrt(avg(pow(y - a * x - b, 2.0)) filter (k.fold <> f.fold)) as train_rmse,
+ sqrt(avg(pow(y - a * x - b, 2.0)) filter (k.fold = f.fold)) as valid_rmse from f, k group by f.fold)
+"""
+
+
+def _fold_errors(spark, sf):
+    li = table(spark, sf, "lineitem").select(*_FOLD_ORDER)
+    return op.kfold_line_errors(contiguous_folds(li, _FOLD_ORDER, 5), F.col("l_quantity"), F.col("l_extendedprice"))
+
+
+@query("E31_kfold_means", f"with {_FOLDS_SQL} select count(*) as folds, round(avg(train_rmse), 4) as train_rmse, round(avg(valid_rmse), 4) as valid_rmse from errors")
+def e31_means(spark, sf):
+    m = op.fold_means(_fold_errors(spark, sf))
+    return m.select("folds", *[F.round(c, 4).alias(c) for c in ("train_rmse", "valid_rmse")])
+
+
 @query("E31_kfold_error", f"""
-with r as (select l_quantity as x, l_extendedprice as y, (row_number() over (order by {', '.join(_FOLD_ORDER)}) - 1) // (select count(*) // 5 from lineitem) as fold from lineitem),
-k as (select * from r where fold < 5), f as (select g.fold, regr_slope(k.y, k.x) as a, regr_intercept(k.y, k.x) as b from (select distinct fold from k) g join k on k.fold <> g.fold group by g.fold)
-select f.fold, round(any_value(a), 5) as slope, round(any_value(b), 4) as intercept, round(sqrt(avg(pow(y - a * x - b, 2.0)) filter (k.fold <> f.fold)), 4) as train_rmse,
- round(sqrt(avg(pow(y - a * x - b, 2.0)) filter (k.fold = f.fold)), 4) as valid_rmse from f, k group by f.fold
+with {_FOLDS_SQL} select fold, round(slope, 5) as slope, round(intercept, 4) as intercept, round(train_rmse, 4) as train_rmse, round(valid_rmse, 4) as valid_rmse from errors
 """)
 def e31(spark, sf):
-    li = table(spark, sf, "lineitem").select(*_FOLD_ORDER)
-    k = op.kfold_line_errors(contiguous_folds(li, _FOLD_ORDER, 5), F.col("l_quantity"), F.col("l_extendedprice"))
+    k = _fold_errors(spark, sf)
     return k.select("fold", F.round("slope", 5).alias("slope"), *[F.round(c, 4).alias(c) for c in ("intercept", "train_rmse", "valid_rmse")])
 
 
@@ -320,6 +352,16 @@ def e32(spark, sf):
     return reduce(lambda a, b: a.unionByName(b), one)
 
 
+@query("E32_split_counts", """
+with s as (select case doc_id % 10 when 0 then 'test' when 1 then 'val' else 'train' end as split, doc_id from documents)
+select split, count(*) as n, count(distinct doc_id) as n_distinct from s group by split union all select 'total', count(*), count(distinct doc_id) from s
+""")
+def e32_splits(spark, sf):
+    k = F.col("doc_id") % 10
+    named = table(spark, sf, "documents").withColumn("split", F.when(k == 0, "test").when(k == 1, "val").otherwise("train"))
+    return op.split_counts(named, "split", "doc_id")
+
+
 @query("E33_best_row", "select event_type, max(value) as best, arg_max(event_id, (value, -event_id)) as event_id from events group by event_type")
 def e33(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(

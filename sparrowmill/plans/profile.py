@@ -1,5 +1,7 @@
 """Group B: schema, profiles, reconciliation."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sparrowmill.functions import text as tx
@@ -83,6 +85,30 @@ def b07(spark, sf):
     return both.groupBy("src", op.payload_kind(F.col("b")).alias("kind")).agg(F.count("*").alias("n"))
 
 
+@query("B07_payload_field", """
+select 'html' as name, 'bytes' as field, count(*) as n, cast(sum(octet_length(encode(html))) as bigint) as size from pages union all
+select 'page', 'struct.encoded', count(*), cast(sum(octet_length(encode(html))) as bigint) from pages union all
+select 'embedding', 'array', count(embedding), cast(sum(len(embedding)) as bigint) from embeddings union all
+select 'url', 'refused', count(*), null from pages
+""")
+def b07_field(spark, sf):
+    """The payload of columns of each kind, found by their type and read from there."""
+    pages, vectors = table(spark, sf, "pages"), table(spark, sf, "embeddings")
+    raw = F.col("html").cast("binary")
+    frames = [(pages.select(raw.alias("html")), "html"), (pages.select(F.struct("page_id", raw.alias("encoded")).alias("page")), "page"),
+              (vectors, "embedding"), (pages, "url")]
+    told = []
+    for df, name in frames:
+        try:
+            field, payload = op.payload_field(df, name), op.payload(df, name)
+        except ValueError:
+            told.append(df.agg(F.lit(name).alias("name"), F.lit("refused").alias("field"), F.count("*").alias("n"), F.lit(None).cast("bigint").alias("size")))
+            continue
+        size = F.size(payload) if field == "array" else F.octet_length(payload)
+        told.append(df.agg(F.lit(name).alias("name"), F.lit(field).alias("field"), F.count(payload).alias("n"), F.sum(size.cast("bigint")).alias("size")))
+    return reduce(lambda a, b: a.unionByName(b), told)
+
+
 @query("B08_preview", f"select doc_id, lang, source from documents order by {rand_sql('doc_id', seed=8)}, doc_id limit 12")
 def b08(spark, sf):
     return op.preview(table(spark, sf, "documents"), "doc_id", 12, 8).select("doc_id", "lang", "source")

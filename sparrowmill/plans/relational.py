@@ -12,7 +12,7 @@ from sparrowmill.operators.augment import schedule
 from sparrowmill.plans.corpus import IDS, joined_sql
 from sparrowmill.plans.fixtures import BOXES_SQL, IOU_SQL, SCHEDULE_SQL, STEP_SQL, boxes, step_of
 from sparrowmill.plans.registry import list6, query
-from sparrowmill.session import spread
+from sparrowmill.session import materialize, spread
 from sparrowmill.tables import table
 
 
@@ -104,8 +104,9 @@ select m.p_name, m.p_partkey, l.l_quantity, count(*) as n from lineitem l left j
 def d01(spark, sf):
     li = table(spark, sf, "lineitem").select("l_quantity", F.col("l_quantity").cast("int").alias("p_size"))
     meta = table(spark, sf, "part").select("p_size", "p_name", "p_partkey")
-    found = op.metadata_lookup(li, meta, "p_size", ["p_partkey"])
-    return found.groupBy("p_name", "p_partkey", "l_quantity").agg(F.count("*").alias("n"))
+    counts = li.groupBy("l_quantity", "p_size").agg(F.count("*").alias("n"))  # rows of one key meet the metadata once
+    found = op.metadata_lookup(counts, meta, "p_size", ["p_partkey"])
+    return found.groupBy("p_name", "p_partkey", "l_quantity").agg(F.sum("n").alias("n"))
 
 
 @query("D02_by_class", "select p_partkey, p_name, p_brand from part where p_type = 'ECONOMY'")
@@ -134,10 +135,10 @@ from tok left join v2 using (token) group by all
 """)
 def d05(spark, sf):
     d = spread(table(spark, sf, "documents"))
-    words = tx.words(F.col("text"))
-    coded = cp.encode_tokens(cp.explode_tokens(d, words), cp.build_vocab(d, words, 5))
-    per_token = coded.groupBy("id", "token").agg(F.count("*").alias("n"), F.sum("pos").alias("pos_sum"))
-    return per_token.groupBy("id").agg(
+    totals = materialize(cp.token_totals(d, tx.words(F.col("text"))))  # one reading of the texts, one row per token
+    vocab = cp.vocab_of(totals.select("token", F.col("n").alias("freq")), 5)
+    coded = cp.encode_totals(totals, vocab)
+    return coded.groupBy("id").agg(
         F.sum("n").alias("n"), F.count("*").alias("tokens"), F.sum("pos_sum").alias("pos_sum")
     )
 

@@ -237,6 +237,16 @@ def i22(spark, sf):
     return m.select(F.array_join(entries, ",").alias("vocab"), F.size("vocab").cast("bigint").alias("n_langs"))
 
 
+@query("I22_vocab_pages", """
+with v as (select p_name as v, row_number() over (order by p_name) - 1 as i from (select distinct p_name from part))
+select cast(i // 7 as bigint) as page, string_agg(v || '=' || i, ',' order by v) as vocab from v group by 1
+""")
+def i22_pages(spark, sf):
+    m = sc.vocab_pages(table(spark, sf, "part"), "p_name", 7)
+    entries = F.transform(F.array_sort(F.map_entries("vocab")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return m.select("page", F.array_join(entries, ",").alias("vocab"))
+
+
 @query("I23_solve", """
 with s as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem)
 select 'bias' as term, round(a, 4) as weight from s union all select 'l_quantity', round(b, 4) from s
@@ -246,6 +256,20 @@ def i23(spark, sf):
     return w.select("term", F.round("weight", 4).alias("weight"))
 
 
+@query("I23_solve_residual", """
+select count(*) as n, 0.0::double as bias, 0.0::double as l_quantity, 0.0::double as l_discount, 0.0::double as l_tax from lineitem
+""")
+def i23_residual(spark, sf):
+    """What defines the solution: residuals add up to 0, also against each feature."""
+    li = table(spark, sf, "lineitem")
+    features = ["l_quantity", "l_discount", "l_tax"]
+    w = {r["term"]: r["weight"] for r in sc.normal_solve(li, features, "l_extendedprice").collect()}  # one per feature
+    left = F.col("l_extendedprice") - w["bias"] - sum((F.col(f) * w[f] for f in features), F.lit(0.0))
+    size = F.sqrt(F.sum(left * left))
+    sums = [(F.round(F.sum(left * x) / size / F.sqrt(F.sum(x * x)), 6) + 0.0).alias(n) for n, x in (("bias", F.lit(1.0)), *((f, F.col(f)) for f in features))]
+    return li.agg(F.count("*").alias("n"), *sums)
+
+
 @query("I23_solve_many")
 def i23_many(spark, sf):
     w = sc.normal_solve(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")

@@ -28,10 +28,10 @@ def f01(spark, sf):
     return op.lag_features(events(spark, sf), KEY, ORDER, "value", 4).select("event_id", "user_id", "x1", "x2", "x3", "x4", "y")
 
 
-@query("F02_horizons", "select event_id, user_id, " + ", ".join(f"lead(value, {k}) over {W} as ahead_{k}" for k in (4, 8, 16, 32)) + " from events")
+@query("F02_horizons", "select event_id, user_id, " + ", ".join(f"lead(value, {k}) over {W} as ahead_{k}" for k in (3, 6, 12, 24)) + " from events")
 def f02(spark, sf):
-    h = op.horizons(events(spark, sf), KEY, ORDER, "value", (4, 8, 16, 32))
-    return h.select("event_id", "user_id", *[f"ahead_{k}" for k in (4, 8, 16, 32)])
+    h = op.horizons(events(spark, sf), KEY, ORDER, "value", (3, 6, 12, 24))
+    return h.select("event_id", "user_id", *[f"ahead_{k}" for k in (3, 6, 12, 24)])
 
 
 @query("F03_forecast", f"""

@@ -1,5 +1,7 @@
 """Group A: sources, sinks, manifests. What is written goes to a new path in the shared folder."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,13 +29,13 @@ def a01(spark, sf):
 
 
 @query("A02_shard_inventory", """
-with s as (select lang as split, count(distinct doc_id % 4) as num_shards from documents group by lang)
-select split, num_shards, true as has_bytes from s union all select 'total', cast(sum(num_shards) as bigint), true from s
+with s as (select lang as split, count(distinct doc_id % 4) as num_shards, cast(sum(octet_length(encode(coalesce(text, ''))) + 1) as bigint) as total_size from documents group by lang)
+select * from s union all select 'total', cast(sum(num_shards) as bigint), cast(sum(total_size) as bigint) from s
 """)
 def a02(spark, sf):
     root = scratch_path(spark, "inventory")
-    fs.write_named_shards(table(spark, sf, "documents"), root, F.col("lang"), F.col("doc_id") % 4)
-    return fs.shard_inventory(spark, root).select("split", "num_shards", (F.col("total_size") > 0).alias("has_bytes"))
+    fs.write_named_shards(table(spark, sf, "documents"), root, F.col("lang"), F.col("doc_id") % 4, text="text")
+    return fs.shard_inventory(spark, root, ".txt")
 
 
 _NAMES_SQL = "n as (select case doc_id % 4 when 0 then 'train' when 1 then 'validation' when 2 then 'eval' else source end || '-' || doc_id || '.parquet' as name from documents)"
@@ -150,20 +152,43 @@ def a11(spark, sf):
 
 
 @query("A11_write_shards", f"""
-with s as (select greatest(100, floor(482344 / greatest(avg({_BYTES}), 1.0))) as per from documents), r as (select doc_id, row_number() over (order by doc_id) - 1 as i from documents)
-select cast(floor(i / per) as bigint) as shard_id, count(*) as n, min(doc_id) as first_doc, max(doc_id) as last_doc from r, s group by 1
+with s as (select greatest(100, floor(482344 / greatest(avg({_BYTES}), 1.0))) as per from documents), r as (select doc_id, text, row_number() over (order by doc_id) - 1 as i from documents)
+select cast(floor(i / per) as bigint) as shard_id, count(*) as n, min(doc_id) as first_doc, max(doc_id) as last_doc, min(i) as first_index,
+ md5(string_agg(md5(text), '' order by i)) as content from r, s group by 1
 """)
 def a11_write(spark, sf):
     d = table(spark, sf, "documents")
     per = fs.plan_shards(d, 0.5, 0.92, 100).first()["rows_per_shard"]
     path = scratch_path(spark, "shards")
     fs.write_shards(d, path, ["doc_id"], per)
+    return _shards_back(spark, path)
+
+
+def _shards_back(spark, path):
+    """What the written shards hold: rows, ids, first index and a digest of their texts in order."""
     back = spark.read.parquet(f"{path}/data/split=all")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("source_index", F.md5("text").alias("h")))), lambda r: r["h"])
     return back.groupBy(F.col("shard_id").cast("bigint").alias("shard_id")).agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")
+        F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
+        F.min("source_index").alias("first_index"), F.md5(F.array_join(texts, "")).alias("content"),
     )
 
 
+@query("A11_sized_shards", f"""
+with r as (select doc_id, text, {_BYTES} as size, row_number() over (order by doc_id) - 1 as i, coalesce(sum({_BYTES}) over (order by doc_id rows between unbounded preceding and 1 preceding), 0) as before from documents),
+c as (select greatest(964689 - max(size), 964689 // 2) as cell from r)
+select cast(before // cell as bigint) as shard_id, count(*) as n, min(doc_id) as first_doc, max(doc_id) as last_doc, min(i) as first_index,
+ md5(string_agg(md5(text), '' order by i)) as content, sum(size) <= 964689 as fits from r, c group by 1
+""")
+def a11_sized(spark, sf):
+    d = table(spark, sf, "documents")
+    path = scratch_path(spark, "sized")
+    fs.write_sized_shards(d, path, ["doc_id"], 1.0, 0.92)
+    back = spark.read.parquet(f"{path}/data/split=all")
+    size = back.groupBy(F.col("shard_id").cast("bigint").alias("shard_id")).agg((F.sum(fs.row_bytes(d)) <= 964689).alias("fits"))
+    return _shards_back(spark, path).join(size, "shard_id")
+
+
 @query("A12_dataset_manifest", """
 select 'documents' as dataset_name, 'doc_id:bigint, text:string, lang:string, source:string, n_chars:bigint' as features, 'doc_id_ascending' as order_tag, count(*) as num_examples,
  count(distinct lang) as num_shards, (select string_agg(l, ',' order by l) from (select distinct lang as l from documents)) as shard_names, min(doc_id) as source_index_start, max(doc_id) + 1 as source_index_end_exclusive from documents
@@ -174,6 +199,22 @@ def a12(spark, sf):
     return m.withColumnRenamed("order", "order_tag").withColumn("shard_names", F.array_join("shard_names", ",")).drop("manifest")
 
 
+@query("A12_manifest_files", """
+with d as (select count(*) as n from documents)
+select 'ok' as state, cast(ceil(n / 300.0) as bigint) as files, n as num_rows, n as readable from d union all select 'unlisted', 1, 1, n from d
+""")
+def a12_files(spark, sf):
+    d = table(spark, sf, "documents")
+    root = scratch_path(spark, "dataset")
+    fs.write_shards(d, root, ["doc_id"], 300)
+    mf.commit_manifest(spark, root, "documents")
+    # a file that came later is not part of the dataset
+    stray = spark.read.parquet(f"{root}/data/split=all").filter("source_index = 0").drop("shard_id")
+    stray.coalesce(1).write.parquet(f"{root}/data/split=all/shard_id=999999")
+    states = mf.check_dataset(spark, root).groupBy("state").agg(F.count("*").alias("files"), F.sum("num_rows").alias("num_rows"))
+    return states.withColumn("readable", mf.read_dataset(spark, root).agg(F.count("*")).scalar())
+
+
 @query("A13_write_guard", "select p_brand, count(*) as n, 1 as refused from part group by p_brand")
 def a13(spark, sf):
     p = table(spark, sf, "part")
@@ -205,7 +246,7 @@ def a14_files(spark, sf):
     root = scratch_path(spark, "bundle")
     fs.write_named_shards(table(spark, sf, "documents"), root, F.col("source"), F.col("doc_id") % 5, text="text")
     part = lambda n: F.regexp_extract("path", f"/{n}=([^/]+)/", 1).alias("folder" if n == "split" else "name")
-    files = fs.file_listing(spark, root).select(part("split"), part("shard"), "length")
+    files = fs.file_listing(spark, root).groupBy(part("split"), part("shard")).agg(F.sum("length").alias("length"))
     return mf.bundle_manifest(files, "folder", "name", F.col("length"), 1 << 14).select("folder", "name", "size", "bundle")
 
 
@@ -242,3 +283,28 @@ def a17(spark, sf):
     for o in one[1:]:
         fields = fields.unionByName(o)
     return mf.group_by_length(fields).withColumn("fields", F.array_join("fields", ","))
+
+
+_META = (("lang", "documents", "doc_id"), ("source", "documents", "doc_id"), ("quality", "labels", "doc_id"), ("toxic", "labels", "doc_id"), ("p_brand", "part", "p_partkey"))
+_META_SQL = " union all ".join(
+    f"select '{f}' as field, count(*) as length, coalesce(sum(octet_length(encode(cast({f} as varchar)))), 0) as bytes from {t}" for f, t, _ in _META
+)
+
+
+@query("A17_meta_tables", f"""
+with f as ({_META_SQL}) select length, string_agg(field, ',' order by field) as fields, length as num_rows, cast(sum(bytes) as bigint) as bytes, true as listed from f where length > 0 group by length
+""")
+def a17_tables(spark, sf):
+    root = scratch_path(spark, "meta")
+    fields = {f: (table(spark, sf, t), [key]) for f, t, key in _META}
+    fields["nothing"] = (table(spark, sf, "part").filter("false").withColumn("nothing", F.lit("")), ["p_partkey"])
+    tables = mf.write_length_tables(fields, root)
+    parts = []
+    for length, names in tables.collect():  # one row per table
+        back = spark.read.parquet(f"{root}/meta/meta_l{length}")
+        sizes = sum((F.coalesce(F.sum(F.octet_length(F.col(n).cast("string"))), F.lit(0)) for n in names), F.lit(0))
+        one = back.agg(F.count("*").alias("num_rows"), sizes.cast("bigint").alias("bytes"))
+        parts.append(one.select(F.lit(length).cast("bigint").alias("length"), F.lit(",".join(names)).alias("fields"), "num_rows", "bytes"))
+    read = reduce(lambda a, b: a.unionByName(b), parts)
+    listed = mf.length_tables(spark, root).select("length", (F.col("total_size") > 0).alias("listed"))
+    return read.join(listed, "length")

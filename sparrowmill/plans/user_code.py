@@ -32,12 +32,27 @@ def o02(spark, sf):
     return op.filter_rows(d, lambda p: p.text.str.startswith("A") | (p.n_chars > 5000)).select("doc_id", "lang")
 
 
+class Accuracy:
+    """Right rows and all rows as a state."""
+
+    def init(self):
+        return 0, 0
+
+    def update(self, state, rows):
+        return state[0] + int((rows["pred"] == rows["truth"]).sum()), state[1] + len(rows)
+
+    def merge(self, one, two):
+        return one[0] + two[0], one[1] + two[1]
+
+    def finish(self, state):
+        return state[0] / state[1] if state[1] else None
+
+
 @query("O03_user_metric", f"""
 with {RULE_SQL} select lang, round(count(*) filter (pred = truth) / count(*), 9) as accuracy from rule group by lang
 """)
 def o03(spark, sf):
-    fn = lambda p: p.n[p.pred == p.truth].sum() / p.n.sum()
-    m = op.metric(rule(spark, sf), ["lang"], ["pred", "truth"], fn, "accuracy")
+    m = op.metric(rule(spark, sf), ["lang"], ["pred", "truth"], Accuracy(), "accuracy")
     return m.select("lang", F.round("accuracy", 9).alias("accuracy"))
 
 

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparrowmill.functions.arrays import let
 from sparrowmill.functions.text import split_name
-from sparrowmill.operators.ordering import number_rows
-from sparrowmill.session import scratch_path, shared_root
+from sparrowmill.operators.ordering import number_rows, position_in_key, running
+from sparrowmill.session import materialize
 
-__all__ = ["scratch_path", "shared_root"]
 
-
-def _exists(spark: SparkSession, path: str, pattern: str = "*") -> bool:
+def exists(spark: SparkSession, path: str, pattern: str = "*") -> bool:
     """Whether the path holds a file of the given name pattern, asked of the file source itself."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     try:
@@ -31,10 +30,10 @@ def read_split(spark: SparkSession, root: str, split: str, transform=None) -> Da
     DataFrame -> DataFrame applied on read.
     """
     root = root.rstrip("/")
-    base = f"{root}/data" if _exists(spark, f"{root}/data") else root
-    if _exists(spark, f"{base}/split={split}"):
+    base = f"{root}/data" if exists(spark, f"{root}/data") else root
+    if exists(spark, f"{base}/split={split}"):
         df = spark.read.parquet(f"{base}/split={split}")
-    elif _exists(spark, base, f"{split}-*.parquet"):
+    elif exists(spark, base, f"{split}-*.parquet"):
         df = spark.read.option("pathGlobFilter", f"{split}-*.parquet").parquet(base)
     else:
         raise FileNotFoundError(f"no files of split {split!r} in {base}")
@@ -52,12 +51,12 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def shard_inventory(spark: SparkSession, root: str) -> DataFrame:
+def shard_inventory(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
     """Shards and bytes per split, and a row `total` for all.
 
     The split is that of a folder `split=<name>`, or else of the file name.
     """
-    files = file_listing(spark, root).filter(F.col("name").endswith(".parquet"))
+    files = file_listing(spark, root).filter(F.col("name").endswith(suffix))
     folder = F.regexp_extract("path", "/split=([^/]+)/", 1)
     split = F.when(folder == "", split_name(F.col("name"))).otherwise(folder)
     per = files.groupBy(split.alias("split")).agg(
@@ -95,16 +94,16 @@ def read_matrix(spark: SparkSession, path: str, ncols: int, sep: str = "\t") ->
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value): the lines of each text file, numbered from 0.
 
-    Files are told apart by their path; `file` is the name. Files are split between tasks, so line numbers come from byte-ordered ids, not from one task.
+    Files are told apart by their path; `file` is the name. Files are split between tasks; a line number is the
+    running count of its file over blocks of lines, so a huge file is many blocks and no line meets its file.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     lines = lines.select(
         F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file"), "value", F.col("_metadata.file_block_start").alias("_block")
     )
     placed = lines.withColumn("_at", F.monotonically_increasing_id())
-    numbered = number_rows(placed, "_path", "_block", "_at", name="_i")
-    first = numbered.groupBy("_path").agg(F.min("_i").alias("_first"))
-    return numbered.join(first, "_path").select("file", (F.col("_i") - F.col("_first")).alias("line_no"), "value")
+    numbered = position_in_key(placed, ["_path"], ["_block", "_at"], "_n")
+    return numbered.select("file", (F.col("_n") - 1).alias("line_no"), "value")
 
 
 def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -139,16 +138,13 @@ def read_annotations(df: DataFrame, json: str) -> DataFrame:
 
 def write_guarded(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Write Parquet; refuse a target that holds files unless overwrite is set, and delete nothing then."""
-    if not overwrite and _exists(df.sparkSession, path):
+    if not overwrite and exists(df.sparkSession, path):
         raise FileExistsError(path)
     df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
 
 
-def plan_shards(df: DataFrame, target_mb: float, safety: float = 0.92, min_rows: int = 1024) -> DataFrame:
-    """(rows, avg_bytes, rows_per_shard, shards) from the mean row size over the whole table.
-
-    Strings and binaries count their bytes, arrays 8 bytes per element, other values 8.
-    """
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: strings and binaries count their bytes, arrays 8 bytes per element, other values 8."""
     def size(f):
         kind = f.dataType.typeName()
         if kind in ("string", "binary"):
@@ -157,21 +153,84 @@ def plan_shards(df: DataFrame, target_mb: float, safety: float = 0.92, min_rows:
             return F.coalesce(F.size(f.name) * 8, F.lit(0))
         return F.lit(8)
 
-    row = sum((size(f) for f in df.schema.fields), F.lit(0)).cast("double")
+    return sum((size(f) for f in df.schema.fields), F.lit(0))
+
+
+def plan_shards(df: DataFrame, target_mb: float, safety: float = 0.92, min_rows: int = 1024) -> DataFrame:
+    """(rows, avg_bytes, rows_per_shard, shards) from the mean row size over the whole table."""
+    row = row_bytes(df).cast("double")
     stats = df.agg(F.count("*").alias("rows"), F.greatest(F.avg(row), F.lit(1.0)).alias("avg_bytes"))
     per = F.greatest(F.lit(min_rows), F.floor(F.lit(int(target_mb * 1024 * 1024 * safety)) / F.col("avg_bytes")))
     return stats.select("rows", "avg_bytes", per.alias("rows_per_shard"), F.ceil(F.col("rows") / per).alias("shards"))
 
 
-def write_shards(df: DataFrame, path: str, order, rows_per_shard: int, split: str = "all") -> None:
-    """Shards of exactly rows_per_shard rows (the last one shorter) in source order.
+def write_shards(df: DataFrame, path: str, order: list[str], rows_per_shard: int, split: str = "all") -> None:
+    """Shards of exactly rows_per_shard rows (the last one shorter) in source order, with `source_index`.
+
+    Only the order columns are sorted to find where shards begin. `order` has to tell all rows apart; rows it
+    leaves equal stay together.
+    """
+    numbered = number_rows(df.select(*order), *order, name="first")
+    cuts = numbered.filter(F.col("first") % rows_per_shard == 0)
+    shard = F.floor(F.col("first") / rows_per_shard).alias("shard_id")
+    _write_ranges(df, path, order, cuts.select(shard, F.struct(*order).alias("key"), "first"), split)
+
+
+def write_sized_shards(df: DataFrame, path: str, order: list[str], target_mb: float, safety: float = 0.92, split: str = "all") -> None:
+    """Shards in source order of at most target_mb * safety (row_bytes), with `source_index`.
 
-    Every shard is one folder partition and one file, so shard i holds source_index i * n to (i+1) * n - 1.
+    A shard begins where the bytes before it pass a multiple of the limit less the largest row. (A row of more than
+    half the limit can make its shard larger than the limit.) Only order columns and sizes are sorted.
     """
-    rows = number_rows(df, *order, name="source_index")
-    placed = rows.withColumn("shard_id", F.floor(F.col("source_index") / rows_per_shard))
-    placed = placed.repartition("shard_id").sortWithinPartitions("shard_id", "source_index")
-    placed.write.mode("errorifexists").partitionBy("shard_id").parquet(f"{path}/data/split={split}")
+    limit = int(target_mb * 1024 * 1024 * safety)
+    narrow = df.select(*order, row_bytes(df).cast("bigint").alias("_size"))
+    widest = narrow.agg(F.max("_size")).first()[0] or 0
+    cell = max(limit - widest, limit // 2, 1)
+    run = running(narrow, [], order, {"_before": ("sum_before", F.col("_size")), "_i": ("count_before", None)})
+    shard = F.floor(F.coalesce("_before", F.lit(0)) / cell).alias("shard_id")
+    cuts = run.groupBy(shard).agg(F.min(F.struct(*order)).alias("key"), F.min(F.coalesce("_i", F.lit(0))).alias("first"))
+    _write_ranges(df, path, order, cuts, split)
+
+
+#: Shards whose bounds are compared one by one, and pages of as many.
+_CUT_PAGE = 512
+
+
+def _write_ranges(df: DataFrame, path: str, order: list[str], cuts: DataFrame, split: str) -> None:
+    """Write the rows from each cut (shard_id, key, first) up to the next as one shard: one shuffle, one write.
+
+    There is one cut per shard; a row finds its own in two short steps, among pages of cuts and in its page.
+    """
+    cuts = materialize(cuts)
+    found = lambda entries: F.get(entries, F.size(F.filter(entries, lambda e: e["key"] <= F.struct(*order))) - 1)
+    pages = _literal_pages(df, cuts, order)
+    cut = let(pages, lambda all_: let(found(all_)["cuts"], lambda page: found(page)["at"]))
+    placed = df.withColumn("_cut", cut).repartition(F.col("_cut.shard_id"))
+    placed = placed.select(*df.columns, "_cut.shard_id", "_cut.first")
+    at = F.row_number().over(Window.partitionBy("shard_id").orderBy(*order)) - 1
+    numbered = placed.withColumn("source_index", F.col("first") + at).drop("first")
+    numbered.write.mode("errorifexists").partitionBy("shard_id").parquet(f"{path}/data/split={split}")
+
+
+def _literal_pages(df: DataFrame, cuts: DataFrame, order: list[str]) -> Column:
+    """Cuts (key, at) in pages (key, cuts) as a constant; one short entry per shard passes through the driver."""
+    kinds = dict(df.dtypes)
+    rows = cuts.orderBy("shard_id").select("shard_id", "first", *[F.col("key")[c].cast("string") for c in order]).collect()
+
+    def value(text, kind):
+        quoted = "null" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"cast({quoted} as {kind})"
+
+    keys = ["named_struct(" + ", ".join(f"'{c}', {value(v, kinds[c])}" for c, v in zip(order, r[2:])) + ")" for r in rows]
+    at = lambda shard, first: f"named_struct('shard_id', {shard}L, 'first', {first}L)"
+    entries = [f"named_struct('key', {k}, 'at', {at(r['shard_id'], r['first'])})" for k, r in zip(keys, rows)]
+    pages = [
+        f"named_struct('key', {keys[i]}, 'cuts', array({', '.join(entries[i:i + _CUT_PAGE])}))" for i in range(0, len(rows), _CUT_PAGE)
+    ]
+    if not pages:
+        none = ", ".join(f"'{c}', {value(None, kinds[c])}" for c in order)
+        pages = [f"named_struct('key', named_struct({none}), 'cuts', array(named_struct('key', named_struct({none}), 'at', {at(0, 0)})))"]
+    return F.expr(f"array({', '.join(pages)})")
 
 
 def write_split(df: DataFrame, root: str, split: str) -> None:
@@ -179,13 +238,30 @@ def write_split(df: DataFrame, root: str, split: str) -> None:
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/data/split={split}")
 
 
-def write_named_shards(df: DataFrame, root: str, split: Column, shard: Column, text: str | None = None) -> None:
-    """One file per split and shard, root/split=<split>/shard=<shard>/; Parquet, or the lines of a text column."""
-    rows = df.withColumn("split", split).withColumn("shard", shard).repartition("split", "shard")
+#: A file of a named shard has about so many bytes; larger shards are several files.
+SHARD_FILE_BYTES = 128 << 20
+
+
+def write_named_shards(
+    df: DataFrame, root: str, split: Column, shard: Column, text: str | None = None, file_bytes: int = SHARD_FILE_BYTES
+) -> None:
+    """The rows of each split and shard below root/split=<split>/shard=<shard>/; Parquet, or the lines of a text column.
+
+    The bytes of each shard are added up first; one of more than `file_bytes` is dealt to as many tasks and files
+    as it needs, so a shard of a third of all rows is no single task.
+    """
+    rows = df.withColumn("split", split).withColumn("shard", shard)
+    sizes = rows.groupBy("split", "shard").agg(F.sum(row_bytes(df)).alias("_bytes"))
+    sizes = materialize(sizes.select("split", "shard", F.ceil(F.col("_bytes") / file_bytes).cast("int").alias("_files")))
+    same = rows["split"].eqNullSafe(sizes["split"]) & rows["shard"].eqNullSafe(sizes["shard"])
+    part = F.pmod(F.xxhash64(*df.columns), F.greatest("_files", F.lit(1)))
+    dealt = rows.join(sizes, same).select(*[rows[c] for c in rows.columns], part.alias("_part"))
+    tasks = sizes.agg(F.sum(F.greatest("_files", F.lit(1)))).first()[0] or 1
+    dealt = dealt.repartition(tasks, "split", "shard", "_part")
     if text is None:
-        rows.write.mode("errorifexists").partitionBy("split", "shard").parquet(root)
+        dealt.drop("_part").write.mode("errorifexists").partitionBy("split", "shard").parquet(root)
     else:
-        lines = rows.select("split", "shard", F.coalesce(F.col(text), F.lit("")).alias("value"))
+        lines = dealt.select("split", "shard", F.coalesce(F.col(text), F.lit("")).alias("value"))
         lines.write.mode("errorifexists").option("lineSep", "\n").partitionBy("split", "shard").text(root)
 
 

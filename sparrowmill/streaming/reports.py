@@ -6,10 +6,11 @@ after a failure overwrites its own folder, so every result is written exactly on
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from sparrowmill.operators.ordering import running_linear
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 
 def event_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -40,34 +41,39 @@ def collect_batches(stream: DataFrame, mode: str, home: str) -> DataFrame:
     return stream.sparkSession.read.parquet(out)
 
 
-def last_batch(rows: DataFrame) -> DataFrame:
-    """The final state of a complete-mode stream."""
-    top = rows.agg(F.max("batch_id")).scalar()
-    return rows.filter(F.col("batch_id") == top).drop("batch_id")
-
-
 def ingest(stream: DataFrame, required: list[str], home: str) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): rows with every required field, and the others with the names of what they lack."""
-    spark = stream.sparkSession
-    good, bad = f"{home}/good", f"{home}/bad"
+    """(good, bad): rows with every required field, and the others with the names of what they lack.
+
+    A micro-batch is read once and written once, each row into the folder of its side.
+    """
+    out = f"{home}/rows"
+    schema = f"{_ddl(stream.schema)}, lacking array<string>, side string, batch_id bigint"
 
     def split(df, i):
         lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
-        marked = df.withColumn("lacking", lacking)
-        marked.filter(F.size("lacking") == 0).drop("lacking").write.mode("overwrite").parquet(f"{good}/batch_id={i}")
-        marked.filter(F.size("lacking") > 0).write.mode("overwrite").parquet(f"{bad}/batch_id={i}")
+        marked = df.withColumn("lacking", lacking).withColumn("side", F.when(F.size("lacking") == 0, "good").otherwise("bad"))
+        marked.write.mode("overwrite").partitionBy("side").parquet(f"{out}/batch_id={i}")
 
     run_batches(stream, "append", split, home)
-    return spark.read.parquet(good), spark.read.parquet(bad)
+    rows = stream.sparkSession.read.schema(schema).parquet(out)
+    return rows.filter("side = 'good'").drop("side", "lacking"), rows.filter("side = 'bad'").drop("side")
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def tumbling_throughput(stream: DataFrame, every: str, late: str) -> DataFrame:
-    """Rows and value sum per window; partial sums combine before the shuffle."""
+    """Rows and value sum per window; partial sums combine before the shuffle.
+
+    In append mode a window is emitted once, when the watermark has passed its end, and leaves the state.
+    """
     windows = stream.withWatermark("ts", late).groupBy(F.window("ts", every))
     return windows.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("window.start", "n", "total")
 
 
 def sliding_mean(stream: DataFrame, size: str, slide: str, late: str) -> DataFrame:
+    """Mean and rows per sliding window, emitted like those of tumbling_throughput."""
     windows = stream.withWatermark("ts", late).groupBy(F.window("ts", size, slide))
     return windows.agg(F.avg("value").alias("mean"), F.count("*").alias("n")).select("window.start", "mean", "n")
 
@@ -78,40 +84,97 @@ def running_accuracy(stream: DataFrame, key: str, hit: Column) -> DataFrame:
     return sums.withColumn("accuracy", F.col("hits") / F.col("n"))
 
 
-def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momentum: float, home: str) -> DataFrame:
-    """(key, n, moving): the exponential mean per key after all micro-batches.
+def fold_mean(state: float, values: np.ndarray, momentum: float) -> float:
+    """The exponential mean after these values, oldest first; a missing value leaves it as it is."""
+    known = values[~np.isnan(values)]
+    weights = momentum ** np.arange(len(known) - 1, -1, -1, dtype=float)
+    return float(state * momentum ** len(known) + (1 - momentum) * weights @ known)
+
+
+def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momentum: float, late: str, expire: str | None = None) -> DataFrame:
+    """(key, n, moving, closed): rows and exponential mean per key, a new row with each micro-batch that has the key.
 
-    A micro-batch is folded from zero in blocks, however large one key is. The stored state enters by
-    one multiplication with momentum ** rows, so the state table has one row per key and version.
-    Rows are ordered inside a micro-batch; a later micro-batch has to hold later rows.
+    `order` is the time column, which carries the watermark, and a column that decides among equal times. Rows
+    are folded by time however they are cut into files: those the watermark has not passed wait in Spark's
+    state of their key and are added to the reported mean only; those it has passed are folded for good. A
+    row older than the watermark takes no part. So the state holds one mean and the rows of `late`.
+
+    With `expire`, a key without rows for that long behind the watermark is reported once more, closed, and
+    its state is dropped; a later row of it starts anew.
+
+    Meant for update mode. All rows of a key in one micro-batch are in one task; maxFilesPerTrigger bounds them.
     """
-    spark = stream.sparkSession
-    states = f"{home}/states"
-    schema = f"{key} {dict(stream.dtypes)[key]}, n bigint, moving double"
+    time, tie = order
+    kinds = dict(stream.dtypes)
+    quiet = _seconds(expire) if expire else None
+
+    def advance(keys, batches, state):
+        n, moving, *waiting = state.get if state.exists else (0, 0.0, [], [], [])
+        if state.hasTimedOut:
+            values = np.array(waiting[2], dtype=float)
+            state.remove()
+            yield pd.DataFrame({key: [keys[0]], "n": [n + len(values)], "moving": [fold_mean(moving, values, momentum)], "closed": [True]})
+            return
+        passed = state.getCurrentWatermarkMs() * 1000
+        times, ties, values = list(waiting[0]), list(waiting[1]), list(waiting[2])
+        for pdf in batches:
+            at = pdf["_at"].to_numpy()
+            some = at > passed
+            times += at[some].tolist()
+            ties += pdf[tie].to_numpy()[some].tolist()
+            values += pdf[value].to_numpy(dtype=float)[some].tolist()
+        line = sorted(range(len(times)), key=lambda i: (times[i], ties[i]))
+        times, ties, values = ([column[i] for i in line] for column in (times, ties, values))
+        due = int(np.searchsorted(np.array(times, dtype=np.int64), passed, side="right"))
+        moving = fold_mean(moving, np.array(values[:due], dtype=float), momentum)
+        state.update((n + due, moving, times[due:], ties[due:], values[due:]))
+        if quiet is not None and times:
+            state.setTimeoutTimestamp(int(max(times[-1] // 1000 + quiet * 1000, state.getCurrentWatermarkMs() + 1)))
+        report = fold_mean(moving, np.array(values[due:], dtype=float), momentum)
+        yield pd.DataFrame({key: [keys[0]], "n": [n + len(times)], "moving": [report], "closed": [False]})
+
+    rows = stream.withWatermark(time, late).withColumn("_at", F.unix_micros(time))
+    return rows.groupBy(key).applyInPandasWithState(
+        advance, f"`{key}` {kinds[key]}, n bigint, moving double, closed boolean",
+        f"n bigint, moving double, times array<bigint>, ties array<{kinds[tie]}>, waiting array<double>", "update",
+        GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout,
+    )
+
+
+def _seconds(duration: str) -> int:
+    number, unit = duration.split()
+    return int(float(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")])
 
-    def advance(df, i):
-        folded = running_linear(df.select(key, *order, value), [key], order, {"_s": value}, momentum, 1 - momentum)
-        batch = folded.groupBy(key).agg(F.count("*").alias("_n"), F.max_by("_s", F.struct(*order)).alias("_s"))
-        old = spark.read.schema(schema).parquet(f"{states}/version={i - 1}") if i else spark.createDataFrame([], schema)
-        both = old.join(batch, key, "full")
-        grown = F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))
-        carried = F.coalesce("moving", F.lit(0.0)) * F.pow(F.lit(momentum), F.coalesce("_n", F.lit(0)))
-        new = both.select(key, grown.alias("n"), (carried + F.coalesce("_s", F.lit(0.0))).alias("moving"))
-        new.write.mode("overwrite").parquet(f"{states}/version={i}")
 
-    run_batches(stream, "append", advance, home)
-    return last_batch(spark.read.parquet(states).withColumnRenamed("version", "batch_id"))
+def latest(rows: DataFrame, key: str) -> DataFrame:
+    """The last row an update-mode stream has emitted for each key."""
+    others = [c for c in rows.columns if c not in (key, "batch_id")]
+    last = rows.groupBy(key).agg(F.max_by(F.struct(*others), "batch_id").alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in others])
 
 
-def late_rows(stream: DataFrame, every: str, late: str, home: str) -> tuple[DataFrame, int]:
-    """(window counts, dropped): rows kept per window so far, and late rows the watermark dropped in this run.
+def late_rows(stream: DataFrame, every: str, late: str, home: str, shares: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(rows kept per window so far, one row with `kept` and `late`): every row of every micro-batch is one or the other.
 
-    The rows are deduplicated by event_id within the watermark first, so drops are counted per row and
-    not per partial aggregate.
+    A row is late if the watermark of its micro-batch, which Spark tells the tasks, is not older than it. Each
+    micro-batch writes what it counted, so the counts hold for any number of micro-batches and restarts, and
+    rows with the same event_id are rows of their own. Rows are dealt to `shares` by a hash of all columns.
     """
-    out = f"{home}/out"
-    unique = stream.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-    job = run_batches(unique, "append", lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch_id={i}"), home)
-    dropped = sum(op.numRowsDroppedByWatermark for p in job.recentProgress for op in p.stateOperators)
-    kept = stream.sparkSession.read.parquet(out)
-    return kept.groupBy(F.window("ts", every)).agg(F.count("*").alias("n")).select("window.start", "n"), dropped
+
+    def count(_, batches, state):
+        passed = state.getCurrentWatermarkMs() * 1000
+        for pdf in batches:
+            yield pdf.assign(late=pdf["_at"] <= passed).groupby(["start", "late"], as_index=False).agg(n=("_at", "size"))
+
+    rows = stream.withWatermark("ts", late)
+    marked = rows.select(
+        F.pmod(F.xxhash64(*stream.columns), F.lit(shares)).alias("_share"), F.unix_micros("ts").alias("_at"),
+        F.unix_micros(F.window("ts", every)["start"]).alias("start"), "ts",
+    )
+    counted = marked.groupBy("_share").applyInPandasWithState(
+        count, "start bigint, late boolean, n bigint", "nothing int", "append", GroupStateTimeout.NoTimeout
+    )
+    told = collect_batches(counted, "append", home)
+    windows = told.filter("not late").groupBy(F.timestamp_micros("start").alias("start")).agg(F.sum("n").alias("n"))
+    both = told.agg(F.sum(F.when(~F.col("late"), F.col("n")).otherwise(0)).alias("kept"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("late"))
+    return windows, both

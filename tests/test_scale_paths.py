@@ -130,28 +130,64 @@ def test_suppression_equals_the_greedy_loop(spark):
     assert kept == {b[0] for b in want}
 
 
-def test_assignment_equals_the_greedy_loop(spark):
-    rows = make_boxes(6, 160, True)
-    anchors, truths = rows[:130], rows[130:]
-    got = bx.assign(spark.createDataFrame(anchors, BOX), spark.createDataFrame(truths, BOX), 0.3).collect()
-    pairs = sorted(((iou(a, b), -a[0], -b[0]) for a in anchors for b in truths if a[1] == b[1] and iou(a, b) > 0), reverse=True)
+def assign_loop(anchors, truths, thr):
+    """The pair with the largest overlap first, also if that is none, until every truth has its anchor."""
+    pairs = sorted(((iou(a, b), -a[0], -b[0]) for a in anchors for b in truths if a[1] == b[1]), reverse=True)
     used_a, used_b, want = {}, set(), {}
     for v, na, nb in pairs:
         if -na not in used_a and -nb not in used_b:
             used_a[-na] = -nb
             used_b.add(-nb)
     for a in anchors:
-        if a[0] in used_a:
-            want[a[0]] = used_a[a[0]]
-            continue
         best = max(((v, nb) for v, na, nb in pairs if -na == a[0]), default=(0, 0))
-        want[a[0]] = -best[1] if best[0] >= 0.3 else None
-    assert {r.box_id: r.truth_id for r in got} == want
+        if a[0] in used_a:
+            want[a[0]] = used_a[a[0]], "greedy"
+        else:
+            want[a[0]] = (-best[1], "threshold") if best[0] >= thr else (None, "background")
+    return want
+
+
+@pytest.mark.parametrize("rows,scale", [(1, 1.0), (2, 1.0), (256, 640.0)])
+def test_assignment_with_short_lists_and_pixels(spark, rows, scale):
+    """Lists that are spent and refilled, truths that overlap nothing, more truths than anchors, pixels."""
+    made = [(*r[:3], *[x * scale for x in r[3:7]], r[7]) for r in make_boxes(16, 140, True)]
+    far = [(500 + i, 2, 0, 2.0 * scale, 2.0 * scale, 2.1 * scale, 2.1 * scale, 0.5) for i in range(4)]
+    lonely = [(600, 9, 0, 0.0, 0.0, scale, scale, 0.5), (601, 9, 0, 0.0, 0.0, scale, scale, 0.5), (602, 9, 0, 0.1, 0.1, scale, scale, 0.5)]
+    anchors, truths = made[:90] + [(700, 9, 0, 0.0, 0.0, scale, 0.9 * scale, 0.5)], made[90:] + far + lonely
+    got = bx.assign(spark.createDataFrame(anchors, BOX), spark.createDataFrame(truths, BOX), 0.3, rows).collect()
+    assert {r.box_id: (r.truth_id, r.stage) for r in got} == assign_loop(anchors, truths, 0.3)
+
+
+def test_assignment_of_the_worked_example(spark):
+    box = lambda i, cls, c: (i, 0, cls, *map(float, c), 1.0)
+    truths = [box(0, 0, (0.1, 0.08, 0.52, 0.92)), box(1, 1, (0.55, 0.2, 0.9, 0.88))]
+    corners = [(0, 0.1, 0.2, 0.3), (0.15, 0.2, 0.4, 0.4), (0.63, 0.05, 0.88, 0.98), (0.66, 0.45, 0.8, 0.8), (0.57, 0.3, 0.92, 0.9)]
+    got = bx.assign(spark.createDataFrame([box(i, 0, c) for i, c in enumerate(corners)], BOX), spark.createDataFrame(truths, BOX), 0.5)
+    assert {r.box_id: r.truth_id for r in got.collect()} == {0: None, 1: 0, 2: 1, 3: None, 4: 1}
+
+
+def test_a_chain_takes_a_round_per_tile_not_per_link(spark, monkeypatch):
+    n = 1000
+    rows = [(i, 0, 0, i * 0.4, 0.0, i * 0.4 + 1.0, 1.0, 1.0 - i / n) for i in range(n)]
+    rounds = []
+    real = bx.materialize
+    monkeypatch.setattr(bx, "materialize", lambda df: rounds.append(df.columns) or real(df))
+    kept = {r.box_id for r in bx.suppress(spark.createDataFrame(rows, BOX), 0.4, tile_boxes=250).collect()}
+    assert kept == set(range(0, n, 2))  # every box overlaps the next by 0.43, the one after by 0.11
+    assert sum("kept" in c for c in rounds) <= 6
+
+
+def test_assignment_equals_the_greedy_loop(spark):
+    rows = make_boxes(6, 160, True)
+    anchors, truths = rows[:130], rows[130:]
+    got = bx.assign(spark.createDataFrame(anchors, BOX), spark.createDataFrame(truths, BOX), 0.3).collect()
+    assert {r.box_id: (r.truth_id, r.stage) for r in got} == assign_loop(anchors, truths, 0.3)
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 def test_nearest_equals_brute_force(spark, metric, monkeypatch):
-    monkeypatch.setattr(vx, "MAX_QUERIES", 3)  # several passes over the queries
+    for name, value in (("BLOCK_ROWS", 16), ("SCAN_ROWS", 5), ("SCAN_QUERIES", 3)):  # several blocks, chunks and runs
+        monkeypatch.setattr(vx, name, value)
     rng = np.random.default_rng(8)
     base, q = rng.normal(size=(80, 5)), rng.normal(size=(7, 5))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "id bigint, v array<double>")
