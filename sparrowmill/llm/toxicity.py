@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,39 +94,35 @@ def _telling(rows: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.nda
     with another one stays, whatever it says alone. As these are very many questions, the bound
     grows with their number.
     """
-    flat = np.concatenate(rows).astype(np.int32, copy=False)
-    texts = np.bincount(flat[flat >= 0], minlength=buckets)
-    often = np.flatnonzero(texts >= min(MIN_TEXTS, max(1, len(rows) // 50)))
-    place = np.full(buckets + 1, -1, dtype=np.int32)  # the last one for texts without terms, bucket -1
+    blocks = [rows[at:at + _TEXTS_AT_ONCE] for at in range(0, len(rows), _TEXTS_AT_ONCE)]
+    texts = np.zeros(buckets + 1, dtype=np.int64)  # the first one for texts without terms, bucket -1
+    for block in blocks:
+        texts += np.bincount(np.concatenate(block) + 1, minlength=buckets + 1)
+    often = np.flatnonzero(texts[1:] >= min(MIN_TEXTS, max(1, len(rows) // 50)))
+    place = np.full(buckets + 1, -1, dtype=np.int32)  # the last one for texts without terms
     place[often] = np.arange(len(often))
-    term = place[flat]
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[term >= 0]
-    term = term[term >= 0]
-    del flat
-    starts = np.searchsorted(row, np.arange(len(rows) + 1))
+    terms = [t[t >= 0] for t in (place[r] for r in rows)]
     toxic = labels > 0
 
     def counted(mine: np.ndarray) -> np.ndarray:
         """In how many of these texts each term is, a block of texts at a time."""
         total = np.zeros(len(often), dtype=np.int64)
         for at in range(0, len(mine), _TEXTS_AT_ONCE):
-            total += np.bincount(np.concatenate([term[starts[r]:starts[r + 1]] for r in mine[at:at + _TEXTS_AT_ONCE]]), minlength=len(often))
+            total += np.bincount(np.concatenate([terms[r] for r in mine[at:at + _TEXTS_AT_ONCE]]), minlength=len(often))
         return total
 
     def apart(mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each term is met in these texts, and how many standard deviations its toxic ones are from chance."""
-        met, share = counted(mine).astype(float), toxic[mine].mean()
+        bad = counted(mine[toxic[mine]])
+        met, share = (bad + counted(mine[~toxic[mine]])).astype(float), toxic[mine].mean()
         spread = np.sqrt(np.maximum(met * share * (1 - share) * (1 - met / len(mine)), 1e-9))
-        return met, np.abs(counted(mine[toxic[mine]]) - met * share) / spread
+        return met, np.abs(bad - met * share) / spread
 
     alone = apart(np.arange(len(rows)))[1] >= DEVIATION
     telling = np.flatnonzero(alone)
     bound = max(DEVIATION, float(np.sqrt(2 * np.log(max(1, len(telling) * len(often))))))
-    by_term = np.argsort(term, kind="stable").astype(np.int32)
-    edges = np.searchsorted(term, np.arange(len(often) + 1), sorter=by_term)
     together = np.zeros(len(often), dtype=bool)
-    for t in telling:
-        mine = row[by_term[edges[t]:edges[t + 1]]]
+    for mine in _texts_of(telling, terms, len(often)):
         if toxic[mine].any() and not toxic[mine].all():
             met, off = apart(mine)
             together |= (met >= MIN_TEXTS) & (len(mine) - met >= 1) & (off >= bound)
@@ -134,6 +131,19 @@ def _telling(rows: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.nda
     return kept
 
 
+def _texts_of(asked: np.ndarray, terms: list[np.ndarray], many: int) -> list[np.ndarray]:
+    """The texts that hold each of the terms asked for."""
+    if not len(asked):
+        return []
+    place = np.full(many, -1, dtype=np.int32)
+    place[asked] = np.arange(len(asked))
+    found = [t[t >= 0] for t in (place[t] for t in terms)]
+    text = np.repeat(np.arange(len(terms), dtype=np.int32), [len(f) for f in found])
+    found = np.concatenate(found)
+    order = np.argsort(found, kind="stable")
+    return np.split(text[order], np.searchsorted(found[order], np.arange(1, len(asked))))
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, buckets: int = BUCKETS, factors: int = FACTORS, seed: int = 5) -> Machine:
     """Fit by AdaGrad on the log loss, in batches in seeded random order, with weight decay."""
     rng = np.random.default_rng(seed)
@@ -205,13 +215,14 @@ def training_rows(
         known.join(F.broadcast(chosen), "doc_id")  # at most `limit` rows
         .mapInArrow(terms, f"doc_id {kind}, label double, terms array<int>")
         .toArrow()
-        .sort_by("doc_id")
     )
-    lists = rows.column("terms").combine_chunks()
-    edges, flat, wanted = lists.offsets.to_numpy(), lists.values.to_numpy(), rows.column("label").to_numpy()
-    del rows, lists
-    # views of one array of 32-bit numbers: the sample is held once
-    return [flat[a:b] for a, b in zip(edges, edges[1:])], wanted
+    # views of the 32-bit numbers as they came, put in order by id: the sample is held once
+    views = []
+    for lists in rows.column("terms").chunks:
+        edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        views += [flat[a:b] for a, b in zip(edges, edges[1:])]
+    order = pc.sort_indices(rows.column("doc_id")).to_numpy()
+    return [views[i] for i in order], rows.column("label").to_numpy()[order]
 
 
 def _model(df, labels, key, text, label, limit, buckets, factors):
