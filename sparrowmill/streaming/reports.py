@@ -66,7 +66,9 @@ def _ddl(schema) -> str:
 def tumbling_throughput(stream: DataFrame, every: str, late: str) -> DataFrame:
     """Rows and value sum per window; partial sums combine before the shuffle.
 
-    In append mode a window is emitted once, when the watermark has passed its end, and leaves the state.
+    In append mode a window is emitted once, when the watermark has passed its end, and leaves the state. In
+    update mode it is emitted with every micro-batch that changes it, so windows still open are told too
+    (`latest` picks the last row of each); the watermark evicts closed ones from the state just the same.
     """
     windows = stream.withWatermark("ts", late).groupBy(F.window("ts", every))
     return windows.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("window.start", "n", "total")

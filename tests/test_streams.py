@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparrowmill.plans import streams
 from sparrowmill.session import scratch_path
 from sparrowmill.streaming import reports as st
 
@@ -86,6 +87,25 @@ def test_windows_are_emitted_once_when_closed(spark):
     assert all(r.n == 6 for r in got)
 
 
+def open_windows_case(spark):
+    rows = [(i, 1, START + timedelta(minutes=10 * i), float(i)) for i in range(60)]
+    return rows, stream_of(spark, write_files(spark, [rows[a:a + 11] for a in range(0, 60, 11)]))
+
+
+def test_tumbling_windows_that_are_still_open_are_reported(spark):
+    rows, stream = open_windows_case(spark)
+    out = st.collect_batches(st.tumbling_throughput(stream, "1 hour", "1 hour"), "update", scratch_path(spark, "stream"))
+    got = {r.start: (r.n, r.total) for r in st.latest(out, "start").collect()}
+    assert got == {START + timedelta(hours=h): (6, float(sum(range(6 * h, 6 * h + 6)))) for h in range(10)}
+
+
+def test_n02_reports_every_window(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = streams.n02(spark, sf).agg(F.sum("n"), F.max("start")).first()
+    events = spark.read.parquet(f"{sf}/events.parquet").agg(F.count("*"), F.date_format(F.date_trunc("hour", F.max("ts")), streams.HOUR))
+    assert tuple(rows) == tuple(events.first())
+
+
 def test_ingest_reads_a_batch_once(spark):
     rows = [(i, 1 if i % 3 else None, START, None if i % 4 == 0 else 1.0) for i in range(24)]
     home = scratch_path(spark, "stream")
