@@ -106,6 +106,26 @@ def test_n02_reports_every_window(spark):
     assert tuple(rows) == tuple(events.first())
 
 
+def test_sliding_windows_that_are_still_open_are_reported(spark):
+    rows, stream = open_windows_case(spark)
+    out = st.collect_batches(st.sliding_mean(stream, "1 hour", "30 minutes", "1 hour"), "update", scratch_path(spark, "stream"))
+    got = {r.start: (r.n, r.mean) for r in st.latest(out, "start").collect()}
+    want = {}
+    for _, _, ts, value in rows:
+        for start in (START + timedelta(minutes=30 * k) for k in range(-1, 20)):
+            if start <= ts < start + timedelta(hours=1):
+                want.setdefault(start, []).append(value)
+    assert got == {start: (len(v), sum(v) / len(v)) for start, v in want.items()}
+
+
+def test_n03_reports_every_window(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = streams.n03(spark, sf).agg(F.sum("n"), F.max("start")).first()
+    events = spark.read.parquet(f"{sf}/events.parquet").agg((F.count("*") * 4).alias("n"), F.max(F.col("ts").cast("timestamp")).alias("ts"))
+    last = F.date_format(F.window("ts", "15 minutes")["start"], streams.HOUR)
+    assert tuple(rows) == tuple(events.select("n", last).first())
+
+
 def test_ingest_reads_a_batch_once(spark):
     rows = [(i, 1 if i % 3 else None, START, None if i % 4 == 0 else 1.0) for i in range(24)]
     home = scratch_path(spark, "stream")
