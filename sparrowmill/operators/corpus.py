@@ -13,6 +13,10 @@ from sparrowmill.session import materialize
 HOT_KEYS = 1000
 MAP_SIDE_ROWS = 1_000_000
 MAP_SIDE_BYTES = 64 << 20
+# a vocabulary that each Python worker holds, and the tokens that one of its groups holds
+TASK_ROWS = 1 << 18
+TASK_BYTES = 8 << 20
+BLOCK_TOKENS = 1 << 22
 
 
 def explode_tokens(df: DataFrame, tokens: Column, keep=("doc_id",), name: str = "token") -> DataFrame:
@@ -118,38 +122,117 @@ def encode_totals(totals: DataFrame, vocab: DataFrame, unk: int = 0) -> DataFram
 
 
 def encode_rows(
-    df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0, limit: int = MAP_SIDE_ROWS
+    df: DataFrame, tokens: Column, vocab: DataFrame, key: str, unk: int = 0, limit: int = TASK_ROWS, block: int = BLOCK_TOKENS
 ) -> DataFrame:
     """(key, ids): the ids of a row's tokens in order, one row per input row, also if keys repeat.
 
     Rows without a token get an empty array.
 
-    A vocabulary of at most `limit` entries goes to every task and nothing is shuffled. A larger one
-    is joined to the tokens in long form.
+    A vocabulary of at most `limit` entries goes to every task and nothing is shuffled. With a larger one,
+    blocks of rows meet their own part of it (see _by_blocks).
     """
-    if fits_in_tasks(vocab, ["token", "id"], limit):
-        return _map_arrays(df.select(key, tokens.alias("tokens")), vocab, key, "token", "id", unk)
-    long = df.select(key, tokens.alias("_t")).withColumn("_row", F.monotonically_increasing_id())
-    long = long.select(key, "_row", F.posexplode_outer("_t").alias("pos", "token"))
-    return _gathered(encode_tokens(long, vocab, unk, "_row", limit), key, "id", "ids")
+    rows = df.select(key, tokens.alias("tokens"))
+    if fits_in_tasks(vocab, ["token", "id"], limit, TASK_BYTES):
+        return _map_arrays(rows, vocab, key, "token", "id", unk)
+    return _by_blocks(rows, vocab, key, "token", "id", unk, block)
 
 
-def _gathered(long: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Arrays of the values of each row in order of `pos`; a row without one has an empty array."""
-    pair = F.when(F.col("pos").isNotNull(), F.struct("pos", value))
-    arrays = long.groupBy("_row", key).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
-    return arrays.select(key, F.transform("_p", lambda p: p[value]).alias(name))
+def decode_rows(coded: DataFrame, vocab: DataFrame, key: str, limit: int = TASK_ROWS, block: int = BLOCK_TOKENS) -> DataFrame:
+    """(key, tokens): the inverse of encode_rows, one row per input row."""
+    rows = coded.select(key, "ids")
+    if fits_in_tasks(vocab, ["token", "id"], limit, TASK_BYTES):
+        return _map_arrays(rows, vocab, key, "id", "token", None)
+    return _by_blocks(rows, vocab, key, "id", "token", None, block)
 
 
-def decode_rows(coded: DataFrame, vocab: DataFrame, key: str, limit: int = MAP_SIDE_ROWS) -> DataFrame:
-    """(key, tokens): the inverse of encode_rows, one row per input row."""
-    if fits_in_tasks(vocab, ["token", "id"], limit):
-        return _map_arrays(coded.select(key, "ids"), vocab, key, "id", "token", None)
-    long = coded.select(key, "ids").withColumn("_row", F.monotonically_increasing_id())
-    long = long.select(key, "_row", F.posexplode_outer("ids").alias("pos", "id")).withColumn("id", F.col("id").cast("string"))
-    dim = vocab.withColumn("id", F.col("id").cast("string")).withColumn("freq", F.coalesce("freq", F.lit(0)))
-    named = lookup(long, dim, "id", "token", "freq", F.xxhash64("_row", "pos"), stored=True, limit=limit)
-    return _gathered(named, key, "token", "tokens")
+def _by_blocks(df: DataFrame, vocab: DataFrame, key: str, source: str, target: str, default, block: int) -> DataFrame:
+    """Replace the elements of the array column of (key, array) by a vocabulary of any size.
+
+    Rows are stored in blocks, as numbers into the distinct elements of their block. Only these elements are
+    joined to the vocabulary, so a frequent one is one row per block there, and go back to their block.
+    """
+    import pyarrow as pa
+
+    out, kinds = "ids" if target == "id" else "tokens", dict(vocab.dtypes)
+    made = pa.int64() if target == "id" else pa.string()
+    local = materialize(number_in_blocks(df, kinds[source], block))
+    words = local.filter("_words is not null").select(F.col("_block").alias("_of"), F.posexplode("_words").alias("_code", "_k"))
+    dim = vocab.select(F.col(source).alias("_k"), F.col(target).alias("_v"))
+    found = words.join(dim, "_k", "left").select("_of", "_code", "_v")
+
+    def translate(rows, found):
+        import pyarrow.compute as pc
+
+        ordered = found.sort_by("_code").column("_v").combine_chunks().cast(made)  # every code of the block is there
+        arrays = []
+        for codes in rows.column("_codes").chunks:
+            values = ordered.take(codes.flatten())
+            if default is not None:
+                values = pc.fill_null(values, pa.scalar(default, made))
+            arrays.append(pa.ListArray.from_arrays(_offsets(codes), values))
+        return pa.table([rows.column(key), pa.chunked_array(arrays, pa.list_(made))], names=[key, out])
+
+    rows = local.filter("_codes is not null").select("_block", key, "_codes")
+    return rows.groupBy("_block").cogroup(found.groupBy("_of")).applyInArrow(
+        translate, f"`{key}` {dict(df.dtypes)[key]}, `{out}` array<{kinds[target]}>"
+    )
+
+
+def number_in_blocks(df: DataFrame, kind: str, block: int) -> DataFrame:
+    """(key, _block, _codes, _words): the rows of (key, array) with numbers for their elements, and one row per block with
+    the elements that the numbers stand for. A block is of one task and has some `block` elements, or one longer row."""
+    import pyarrow as pa
+
+    key, column = df.columns
+    element = pa.int64() if kind == "bigint" else pa.string()
+
+    def cut(batches):
+        from pyspark import TaskContext
+
+        at, held, size = TaskContext.get().partitionId() << 33, [], 0
+        for batch in batches:
+            ends = _offsets(batch.column(1)).to_numpy()[1:]
+            start = 0
+            while start < batch.num_rows:
+                before = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(ends.searchsorted(before + block - size, side="right")))
+                held.append(batch.slice(start, stop - start))
+                size += int(ends[stop - 1]) - before
+                start = stop
+                if size >= block or start < batch.num_rows:
+                    yield from numbered(held, at)
+                    at, held, size = at + 1, [], 0
+        if held:
+            yield from numbered(held, at)
+
+    def numbered(held, at):
+        arrays = [piece.column(1) for piece in held]
+        coded = pa.chunked_array([a.flatten().cast(element) for a in arrays], element).combine_chunks().dictionary_encode()
+        done = 0
+        for piece, array in zip(held, arrays):
+            offsets = _offsets(array)
+            n = offsets[-1].as_py()
+            codes = pa.ListArray.from_arrays(offsets, coded.indices.slice(done, n))
+            done += n
+            yield frame(piece.column(0), at, codes, pa.nulls(piece.num_rows, pa.list_(element)))
+        words = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        yield frame(pa.nulls(1, held[0].column(0).type), at, pa.nulls(1, pa.list_(pa.int32())), words)
+
+    def frame(keys, at, codes, words):
+        blocks = pa.array([at] * len(keys), pa.int64())
+        return pa.RecordBatch.from_arrays([keys, blocks, codes, words], names=[key, "_block", "_codes", "_words"])
+
+    return df.mapInArrow(cut, f"`{key}` {dict(df.dtypes)[key]}, _block bigint, _codes array<int>, _words array<{kind}>")
+
+
+def _offsets(arrays):
+    """Where the flattened elements of each array begin, from 0; a null array has none."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+    return pa.array(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32))
 
 
 def _map_arrays(df: DataFrame, vocab: DataFrame, key: str, source: str, target: str, default) -> DataFrame:
@@ -171,10 +254,8 @@ def _map_arrays(df: DataFrame, vocab: DataFrame, key: str, source: str, target:
             found = values.take(at)
             if default is not None:
                 found = pc.fill_null(found, pa.scalar(default, values.type))
-            lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
-            offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(offsets, found)], names=[key, out]
+                [batch.column(0), pa.ListArray.from_arrays(_offsets(arrays), found)], names=[key, out]
             )
 
     return df.mapInArrow(translate, f"`{key}` {dict(df.dtypes)[key]}, `{out}` array<{kinds[target]}>")

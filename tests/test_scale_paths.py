@@ -39,6 +39,26 @@ def test_encode_and_decode_by_join_equal_map_side(docs):
         assert {r.doc_id: r.tokens for r in cp.decode_rows(coded, vocab, "doc_id", limit).collect()} == text
 
 
+def test_only_distinct_tokens_of_a_block_meet_a_large_vocabulary(spark, docs):
+    w = tx.words(F.col("text"))
+    vocab = cp.build_vocab(docs, w)
+    few = docs.coalesce(2)
+    total = few.select(F.sum(F.size(w))).first()[0]
+    local = cp.number_in_blocks(few.select("doc_id", w.alias("tokens")), "string", 100)
+    words = local.filter("_words is not null").select("_block", F.explode("_words").alias("word"))
+    blocks = local.select("_block").distinct().count()
+    assert words.count() == words.distinct().count() <= 11 * blocks < total / 3 and blocks >= total // 100
+    rows = local.filter("_codes is not null").groupBy("_block").agg(F.sum(F.size("_codes")).alias("n"))
+    assert rows.agg(F.max("n")).first()[0] <= 100
+    small = {r.doc_id: r.ids for r in cp.encode_rows(few, w, vocab, "doc_id").collect()}
+    coded = cp.encode_rows(few, w, vocab, "doc_id", limit=0, block=100)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    assert {r.doc_id: r.ids for r in coded.collect()} == small
+    text = {r.doc_id: (r.text or "").split() for r in docs.collect()}
+    assert {r.doc_id: r.tokens for r in cp.decode_rows(coded, vocab, "doc_id", 0, block=7).collect()} == text
+
+
 def test_unknown_tokens(spark, docs):
     w = tx.words(F.col("text"))
     vocab = cp.build_vocab(docs, w).filter("token <> 'the'")
