@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparrowmill.functions.arrays import let, pad
+from sparrowmill.functions.arrays import let, pad, total
 from sparrowmill.functions.rand import portable_rand
 from sparrowmill.operators.ordering import number_rows
 from sparrowmill.session import materialize
@@ -17,6 +17,7 @@ MAP_SIDE_BYTES = 64 << 20
 TASK_ROWS = 1 << 18
 TASK_BYTES = 8 << 20
 BLOCK_TOKENS = 1 << 22
+WORDS_A_ROW = 1 << 15
 
 
 def explode_tokens(df: DataFrame, tokens: Column, keep=("doc_id",), name: str = "token") -> DataFrame:
@@ -42,6 +43,24 @@ def ngram_counts(df: DataFrame, tokens: Column, n: int, by=()) -> DataFrame:
     return grams.groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
+def word_pairs(df: DataFrame, tokens: Column, by=()) -> DataFrame:
+    """Stored counts (by, w1, w2, n) of neighbouring words. The last word of a row comes with w2 null, so w1 counts every
+    word once and one reading of the texts serves words and pairs."""
+    pair = lambda t: F.transform(t, lambda w, i: F.struct(w.alias("w1"), F.get(t, i + 1).alias("w2")))
+    long = df.select(*by, F.explode(let(tokens, pair)).alias("_p")).select(*by, "_p.w1", "_p.w2")
+    return materialize(long.groupBy(*by, "w1", "w2").agg(F.count(F.lit(1)).alias("n")))
+
+
+def words_of_pairs(counts: DataFrame) -> DataFrame:
+    """(gram, n): the words of word_pairs."""
+    return counts.groupBy(F.col("w1").alias("gram")).agg(F.sum("n").alias("n"))
+
+
+def bigrams_of_pairs(counts: DataFrame) -> DataFrame:
+    """(gram, w1, w2, n): the bigrams of word_pairs without groups."""
+    return counts.filter("w2 is not null").select(F.concat_ws(" ", "w1", "w2").alias("gram"), "w1", "w2", "n")
+
+
 def most_common(counts: DataFrame, k: int, item: str = "gram") -> DataFrame:
     return counts.orderBy(F.desc("n"), item).limit(k)
 
@@ -153,10 +172,11 @@ def _by_blocks(df: DataFrame, vocab: DataFrame, key: str, source: str, target: s
     """
     import pyarrow as pa
 
-    out, kinds = "ids" if target == "id" else "tokens", dict(vocab.dtypes)
-    made = pa.int64() if target == "id" else pa.string()
+    out, kinds = {"id": "ids", "token": "tokens"}.get(target, target), dict(vocab.dtypes)
+    made = {"bigint": pa.int64(), "double": pa.float64()}.get(kinds[target], pa.string())
     local = materialize(number_in_blocks(df, kinds[source], block))
-    words = local.filter("_words is not null").select(F.col("_block").alias("_of"), F.posexplode("_words").alias("_code", "_k"))
+    words = local.filter("_words is not null").select(F.col("_block").alias("_of"), "_first", F.posexplode("_words").alias("_at", "_k"))
+    words = words.select("_of", (F.col("_first") + F.col("_at")).alias("_code"), "_k")
     dim = vocab.select(F.col(source).alias("_k"), F.col(target).alias("_v"))
     found = words.join(dim, "_k", "left").select("_of", "_code", "_v")
 
@@ -179,8 +199,8 @@ def _by_blocks(df: DataFrame, vocab: DataFrame, key: str, source: str, target: s
 
 
 def number_in_blocks(df: DataFrame, kind: str, block: int) -> DataFrame:
-    """(key, _block, _codes, _words): the rows of (key, array) with numbers for their elements, and one row per block with
-    the elements that the numbers stand for. A block is of one task and has some `block` elements, or one longer row."""
+    """(key, _block, _codes, _first, _words): the rows of (key, array) with numbers for their elements, and rows with the
+    elements that the numbers from `_first` on stand for. A block is of one task and has at most `block` elements, or one row."""
     import pyarrow as pa
 
     key, column = df.columns
@@ -214,15 +234,18 @@ def number_in_blocks(df: DataFrame, kind: str, block: int) -> DataFrame:
             n = offsets[-1].as_py()
             codes = pa.ListArray.from_arrays(offsets, coded.indices.slice(done, n))
             done += n
-            yield frame(piece.column(0), at, codes, pa.nulls(piece.num_rows, pa.list_(element)))
-        words = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
-        yield frame(pa.nulls(1, held[0].column(0).type), at, pa.nulls(1, pa.list_(pa.int32())), words)
+            yield frame(piece.column(0), at, codes, pa.nulls(piece.num_rows, pa.int32()), pa.nulls(piece.num_rows, pa.list_(element)))
+        for first in range(0, len(coded.dictionary), WORDS_A_ROW):
+            part = coded.dictionary.slice(first, WORDS_A_ROW)
+            words = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+            yield frame(pa.nulls(1, held[0].column(0).type), at, pa.nulls(1, pa.list_(pa.int32())), pa.array([first], pa.int32()), words)
 
-    def frame(keys, at, codes, words):
+    def frame(keys, at, codes, first, words):
         blocks = pa.array([at] * len(keys), pa.int64())
-        return pa.RecordBatch.from_arrays([keys, blocks, codes, words], names=[key, "_block", "_codes", "_words"])
+        return pa.RecordBatch.from_arrays([keys, blocks, codes, first, words], names=[key, "_block", "_codes", "_first", "_words"])
 
-    return df.mapInArrow(cut, f"`{key}` {dict(df.dtypes)[key]}, _block bigint, _codes array<int>, _words array<{kind}>")
+    made = f"`{key}` {dict(df.dtypes)[key]}, _block bigint, _codes array<int>, _first int, _words array<{kind}>"
+    return df.mapInArrow(cut, made)
 
 
 def _offsets(arrays):
@@ -292,9 +315,9 @@ def bigram_probabilities(
     total = unigrams.agg(F.sum("n")).scalar()
     first = unigrams.select(F.col("gram").alias("w1"), F.col("n").alias("n1"), F.col("n").alias("f"))
     second = unigrams.select(F.col("gram").alias("w2"), F.col("n").alias("n2"), F.col("n").alias("f"))
-    pairs = bigrams.select(
-        F.split("gram", " ")[0].alias("w1"), F.split("gram", " ")[1].alias("w2"), F.col("n"), F.col("gram"), *keep
-    )
+    known = "w1" in bigrams.columns
+    w1, w2 = (F.col(f"w{i + 1}") if known else F.split("gram", " ")[i].alias(f"w{i + 1}") for i in range(2))
+    pairs = bigrams.select(w1, w2, F.col("n"), F.col("gram"), *keep)
     pairs = lookup(pairs, first, "w1", "n1", "f", F.xxhash64("gram"), stored=True, limit=limit)
     pairs = lookup(pairs, second, "w2", "n2", "f", F.xxhash64("gram"), stored=True, limit=limit)
     back_off = F.col("n2") / total
@@ -312,15 +335,10 @@ def perplexity(df: DataFrame, tokens: Column, by: str, eps: float, limit: int =
     probability once and meets its counts by a join on the bigram, whatever the number of groups: a
     frequent bigram has one row per group there, not one per occurrence.
     """
-    pair = lambda t: F.concat(
-        F.transform(t, lambda w: F.struct(F.lit(1).alias("k"), w.alias("gram"))),
-        F.transform(ngram_array(t, 2), lambda g: F.struct(F.lit(2).alias("k"), g.alias("gram"))),
-    )
-    grams = df.select(F.col(by).alias("_by"), F.explode(let(tokens, pair)).alias("_g")).select("_by", "_g.k", "_g.gram")
-    counts = materialize(grams.groupBy("_by", "k", "gram").agg(F.count(F.lit(1)).alias("_c")))
-    whole = lambda k: counts.filter(F.col("k") == k).groupBy("gram").agg(F.sum("_c").alias("n"))
-    model = bigram_probabilities(whole(2), whole(1), eps, limit).select("gram", "p_smooth")
-    scored = counts.filter("k = 2").join(model, "gram")
+    counts = word_pairs(df.select(F.col(by).alias("_by"), tokens.alias("_t")), F.col("_t"), ["_by"])
+    whole = counts.groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+    model = bigram_probabilities(bigrams_of_pairs(whole), words_of_pairs(counts), eps, limit).select("w1", "w2", "p_smooth")
+    scored = counts.filter("w2 is not null").withColumnRenamed("n", "_c").join(model, ["w1", "w2"])
     loss = -F.sum(F.col("_c") * F.log("p_smooth")) / F.sum("_c")
     return scored.groupBy(F.col("_by").alias(by)).agg(F.sum("_c").alias("n"), F.exp(loss).alias("perplexity"))
 
@@ -433,14 +451,18 @@ def encode_single(a: Column, max_len: int, cls: int, sep: int, pad_id: int = 0)
     }
 
 
-def sequence_scores(bigrams_by_doc: DataFrame, model: DataFrame, alpha: float = 0.75) -> DataFrame:
-    """Per document sum(ln p) / L**alpha over its bigrams. Input (doc_id, gram, n)."""
-    dim = model.select("gram", "p_smooth", F.col("n").alias("f"))
-    scored = lookup(bigrams_by_doc, dim, "gram", "p_smooth", "f", F.xxhash64("doc_id", "gram"))
-    return scored.groupBy("doc_id").agg(
-        F.sum("n").alias("len"),
-        (F.sum(F.col("n") * F.log("p_smooth")) / F.pow(F.sum("n"), F.lit(alpha))).alias("score"),
-    )
+def sequence_scores(
+    df: DataFrame, grams: Column, model: DataFrame, key: str = "doc_id", alpha: float = 0.75, block: int = BLOCK_TOKENS
+) -> DataFrame:
+    """(key, len, score): sum(ln p) / L**alpha over the bigrams of all rows of a key. The model has (gram, p_smooth).
+
+    A block of rows meets the model with its distinct bigrams, and sums leave it, one per row.
+    """
+    dim = model.select("gram", F.log("p_smooth").alias("lp"))
+    found = _by_blocks(df.select(key, grams.alias("grams")), dim, key, "gram", "lp", None, block)
+    sums = found.select(key, F.size("lp").alias("n"), total("lp").alias("s")).filter("n > 0")
+    scored = sums.groupBy(key).agg(F.sum("n").alias("len"), F.sum("s").alias("_s"))
+    return scored.select(key, "len", (F.col("_s") / F.pow("len", F.lit(alpha))).alias("score"))
 
 
 def top_per_group(df: DataFrame, by, order, k: int) -> DataFrame:

@@ -160,8 +160,8 @@ def j07(spark, sf):
 
 
 def bigram_model(spark, sf, eps=2.0):
-    d, w = docs(spark, sf), doc_words()
-    return op.bigram_probabilities(op.ngram_counts(d, w, 2), op.ngram_counts(d, w, 1), eps)
+    counts = op.word_pairs(docs(spark, sf), doc_words())
+    return op.bigram_probabilities(op.bigrams_of_pairs(counts), op.words_of_pairs(counts), eps)
 
 
 @query("J08_bigram_prob", f"""
@@ -349,10 +349,8 @@ select source, doc_id, len, round(score, 6) as score, cast(rank as int) as rank
 """)
 def j17(spark, sf):
     d = docs(spark, sf)
-    by_doc = materialize(op.ngram_counts(d, doc_words(), 2, by=["doc_id"]))
-    pairs = by_doc.groupBy("gram").agg(F.sum("n").alias("n"))
-    model = op.bigram_probabilities(pairs, op.ngram_counts(d, doc_words(), 1), 2.0)
-    scores = op.sequence_scores(by_doc, model).join(d.select("doc_id", "source"), "doc_id")
+    scores = op.sequence_scores(d, op.ngram_array(doc_words(), 2), bigram_model(spark, sf))
+    scores = scores.join(d.select("doc_id", "source"), "doc_id")
     top = op.top_per_group(scores, ["source"], [F.desc(F.round("score", 8)), "doc_id"], 3)
     return top.select("source", "doc_id", "len", F.round("score", 6).alias("score"), "rank")
 

@@ -1,5 +1,6 @@
 """The ways taken for large inputs, forced on small ones, and the greedy operators, against brute force."""
 
+import math
 import os
 
 import numpy as np
@@ -75,6 +76,33 @@ def test_bigram_model_by_join_equals_broadcast(docs):
     assert a == b and len(a) > 10
 
 
+def test_word_pairs_give_words_and_bigrams(docs):
+    """One reading of the texts: the counts of both, also for rows of one word and of none."""
+    w = tx.words(F.col("text"))
+    counts = cp.word_pairs(docs, w)
+    rows = lambda df: sorted(map(tuple, df.select("gram", "n").collect()))
+    assert rows(cp.words_of_pairs(counts)) == rows(cp.ngram_counts(docs, w, 1))
+    assert rows(cp.bigrams_of_pairs(counts)) == rows(cp.ngram_counts(docs, w, 2))
+
+
+def test_sequence_scores_of_blocks(spark, docs):
+    """A bigram of a block meets the model once; rows of one key add up, whatever the blocks."""
+    w = tx.words(F.col("text"))
+    twice = docs.withColumn("doc_id", F.col("doc_id") % 7).coalesce(2)
+    counts = cp.word_pairs(twice, w)
+    model = cp.bigram_probabilities(cp.bigrams_of_pairs(counts), cp.words_of_pairs(counts), 2.0)
+    p = {r.gram: r.p_smooth for r in model.collect()}
+    want = {}
+    for r in twice.collect():
+        t = (r.text or "").split()
+        want.setdefault(r.doc_id, []).extend(math.log(p[f"{a} {b}"]) for a, b in zip(t, t[1:]))
+    for block in (20, 10**6):
+        scored = cp.sequence_scores(twice, cp.ngram_array(w, 2), model, block=block)
+        got = {r.doc_id: (r.len, round(r.score, 9)) for r in scored.collect()}
+        assert got == {k: (len(v), round(sum(v) / len(v) ** 0.75, 9)) for k, v in want.items()}
+    assert "FlatMapCoGroupsInArrow" in scored._jdf.queryExecution().executedPlan().toString()
+
+
 def test_perplexity_by_join_equals_packed(docs):
     grouped = docs.withColumn("lang", (F.col("doc_id") % 3).cast("string"))
     w = tx.words(F.col("text"))
