@@ -14,6 +14,7 @@ from sparrowmill.operators.corpus import lookup, top_per_group
 from sparrowmill.operators.ordering import (
     BLOCK_ROWS, in_blocks, number_rows, own_rows, position_in_key, running, running_linear, shifted,
 )
+from sparrowmill.session import materialize
 
 
 def lag_features(df: DataFrame, keys, order, value: str, tau: int, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -143,5 +144,20 @@ def rank_frequency(counts: DataFrame, item: str = "gram") -> DataFrame:
     return ranked.select(item, "n", "rank", F.log("rank").alias("log_rank"), F.log("n").alias("log_n"))
 
 
+def rank_counts(counts: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
+    """The n, rank and logarithms of rank_frequency, without the items.
+
+    Items of one count have consecutive ranks in any order, so the ranks follow from the number of items per
+    count and no item is sorted; ranks are written out `rows` at a time.
+    """
+    sizes = materialize(counts.groupBy("n").agg(F.count(F.lit(1)).alias("_m")))
+    upto = running(sizes, [], [F.desc("n")], {"_to": ("sum", F.col("_m"))})
+    starts = F.sequence(F.col("_to") - F.col("_m") + 1, F.col("_to"), F.lit(rows).cast("bigint"))
+    cut = upto.select("n", "_to", F.explode(starts).alias("_from")).repartition("n", "_from")
+    ranks = F.sequence("_from", F.least("_to", F.col("_from") + (rows - 1)))
+    ranked = cut.select("n", F.explode(ranks).alias("rank"))
+    return ranked.select("n", "rank", F.log("rank").alias("log_rank"), F.log("n").alias("log_n"))
+
+
 def zipf_exponent(ranked: DataFrame) -> DataFrame:
     return ranked.agg((-F.regr_slope("log_n", "log_rank")).alias("exponent"), F.count("*").alias("n_items"))

@@ -193,6 +193,8 @@ select k, round(-regr_slope(y, x), 8) as exponent, count(*) as n_items from r gr
 """)
 def f17(spark, sf):
     d, w = spread(table(spark, sf, "documents")), tx.words(F.col("text"))
-    parts = [op.zipf_exponent(op.rank_frequency(cp.ngram_counts(d, w, k))).withColumn("k", F.lit(k)) for k in (1, 2, 3)]
+    pairs = cp.word_pairs(d, w)
+    counts = [cp.words_of_pairs(pairs), cp.bigrams_of_pairs(pairs), cp.ngram_counts(d, w, 3)]
+    parts = [op.zipf_exponent(op.rank_counts(c)).withColumn("k", F.lit(k)) for k, c in enumerate(counts, 1)]
     both = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return both.select("k", F.round("exponent", 8).alias("exponent"), "n_items")

@@ -103,6 +103,18 @@ def test_sequence_scores_of_blocks(spark, docs):
     assert "FlatMapCoGroupsInArrow" in scored._jdf.queryExecution().executedPlan().toString()
 
 
+def test_ranks_of_counts_need_no_sorted_items(docs):
+    from sparrowmill.operators import series as sr
+
+    counts = cp.ngram_counts(docs, tx.words(F.col("text")), 2)
+    want = sr.rank_frequency(counts)
+    for rows in (3, 10**5):
+        got = sr.rank_counts(counts, rows)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.drop("gram").collect()))
+    a, b = sr.zipf_exponent(got).first(), sr.zipf_exponent(want).first()
+    assert math.isclose(a.exponent, b.exponent, rel_tol=1e-9) and a.n_items == b.n_items
+
+
 def test_perplexity_by_join_equals_packed(docs):
     grouped = docs.withColumn("lang", (F.col("doc_id") % 3).cast("string"))
     w = tx.words(F.col("text"))
