@@ -267,6 +267,28 @@ def _pair(x: str, y: str, parts) -> tuple[list[Column], Column]:
     return chosen, sizes
 
 
+def _enough_behind(x: str, y: str, parts) -> Column:
+    """Whether two structs (size, pos) that share the n-gram at `pos`, from 0, can share all they need from there on."""
+    rest = F.least(F.col(f"{x}.size") - F.col(f"{x}.pos"), F.col(f"{y}.size") - F.col(f"{y}.pos"))
+    return rest * (parts[0] + parts[1]) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * parts[0]
+
+
+def _open_pairs(placed: DataFrame, pieces: DataFrame, parts) -> DataFrame:
+    """(x, y) for every n-gram at which two sets of different components meet and could still link.
+
+    The first n-gram that two linking sets share has all their overlap at or behind it, in both. So a meeting with
+    too little behind it in one of them is not made: sets that share much, but too little to link, meet at few of
+    their n-grams, and linking ones at the first at least. `placed` has gram and x (node, size, root, pos).
+    """
+    marked = placed.join(pieces.select("node", "parity"), F.col("x.node") == F.col("node")).drop("node")
+    x = marked.select("gram", "x", F.col("parity").alias("_px"))
+    y = marked.select(F.col("gram").alias("_gram"), F.col("x").alias("y"), F.col("parity").alias("_py"))
+    both = F.col("x.size") + F.col("y.size")
+    return x.join(y, (F.col("gram") == F.col("_gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+                  & _pair("x", "y", parts)[1] & _enough_behind("x", "y", parts)
+                  & _parity_allows(F.col("_px"), F.col("_py"), both, parts)).select("x", "y")
+
+
 def link_components(nodes: DataFrame, parts=PARTS, hubs=STAR_HUBS) -> DataFrame:
     """(node, root) of all nodes with a link; `nodes` has one row per set: node, size,
     grams in order, parity.
@@ -277,12 +299,12 @@ def link_components(nodes: DataFrame, parts=PARTS, hubs=STAR_HUBS) -> DataFrame:
     of the node and of the n-gram's class, so a bucket of g nodes makes g pairs, and buckets of the same
     nodes make as many as there are classes. What is linked then is one component, and pairs within a
     component need no comparison. The last round compares every pair of a bucket whose two
-    nodes are still in different components and whose sizes, parity maps and number of shared prefix
+    nodes are still in different components and whose sizes, parity maps and places of the shared
     n-grams allow a link, so no link between components is missed.
     """
     p, q = parts
     first = materialize(
-        nodes.select("node", "size", F.explode(F.slice("grams", F.lit(1), _prefix("size", parts))).alias("gram"))
+        nodes.select("node", "size", F.posexplode(F.slice("grams", F.lit(1), _prefix("size", parts))).alias("pos", "gram"))
     )
     quarter = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 62).isin(*f))
     pieces = materialize(nodes.select("node", "parity", *[quarter(f).alias(f"grams{i}") for i, f in enumerate(OVERLAP_FRAGMENTS)]))
@@ -294,7 +316,7 @@ def link_components(nodes: DataFrame, parts=PARTS, hubs=STAR_HUBS) -> DataFrame:
             roots = components(links)
             placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         drawn = F.xxhash64(F.lit(round_), F.pmod("gram", F.lit(classes or 1)), "node")
-        me = F.struct(drawn.alias("h"), "node", "size", "root")
+        me = F.struct(drawn.alias("h"), "node", "size", "root", "pos")
         placed = placed.select("gram", "root", me.alias("x"))
         buckets = placed.groupBy("gram").agg(
             F.min("x").alias("y"), F.min("root").alias("_low"), F.max("root").alias("_high")
@@ -302,22 +324,19 @@ def link_components(nodes: DataFrame, parts=PARTS, hubs=STAR_HUBS) -> DataFrame:
         if classes:
             met = placed.join(buckets.select("gram", "y"), "gram")
         else:
-            open_ = placed.join(buckets.select("gram"), "gram", "left_semi")
-            marked = open_.join(pieces.select("node", "parity"), F.col("x.node") == F.col("node")).drop("node")
-            x = marked.select("gram", "x", F.col("parity").alias("_px"))
-            y = marked.select(F.col("gram").alias("_gram"), F.col("x").alias("y"), F.col("parity").alias("_py"))
-            both = F.col("x.size") + F.col("y.size")
-            met = x.join(y, (F.col("gram") == F.col("_gram")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-                         & _pair("x", "y", parts)[1] & _parity_allows(F.col("_px"), F.col("_py"), both, parts))
+            met = _open_pairs(placed.join(buckets.select("gram"), "gram", "left_semi"), pieces, parts)
         columns, sizes = _pair("x", "y", parts)
-        pairs = met.filter("x.root <> y.root").filter(sizes).select(*columns)
+        places = [] if classes else [F.col("x.pos").alias("pos_a"), F.col("y.pos").alias("pos_b")]  # there x is the smaller node
+        pairs = met.filter("x.root <> y.root").filter(sizes).select(*columns, *places)
         if classes:
             pairs = pairs.distinct()
         else:
-            # all n-grams that the two prefixes share were met: they and what is behind a prefix must do
-            most = F.col("shared") + F.greatest(F.col("size_a") - _prefix("size_a", parts), F.col("size_b") - _prefix("size_b", parts))
-            pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared"))
-            pairs = pairs.filter(most * (p + q) >= (F.col("size_a") + F.col("size_b")) * p).drop("shared")
+            # up to the last n-gram at which two sets meet all that they share were met: these and what is behind it must do
+            most = F.col("shared") + F.least(F.col("size_a") - F.col("last_a"), F.col("size_b") - F.col("last_b")) - 1
+            pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(
+                F.count(F.lit(1)).alias("shared"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b")
+            )
+            pairs = pairs.filter(most * (p + q) >= (F.col("size_a") + F.col("size_b")) * p).drop("shared", "last_a", "last_b")
         found = materialize(_linked(pairs, pieces, parts))
         links = found if links is None else links.union(found)
     return components(links)

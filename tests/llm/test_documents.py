@@ -305,6 +305,24 @@ def test_ngram_components_of_a_large_near_group(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_sets_that_share_too_little_do_not_meet_at_every_ngram(spark):
+    """40 sets of 100 whose 88 common n-grams do not link them, one copy of each with a difference that does."""
+    rng = random.Random(3)
+    sets = {}
+    for i in range(40):
+        own = sorted(rng.sample(range(10**6), 12))
+        sets[2 * i] = own + list(range(10**7, 10**7 + 88))
+        sets[2 * i + 1] = sets[2 * i][:-1] + [10**8 + i]
+    rows = [(n, 100, g, ngram_join.parity(np.array(g, dtype=np.uint64)).tolist()) for n, g in sets.items()]
+    nodes = spark.createDataFrame(rows, "node bigint, size int, grams array<bigint>, parity array<bigint>")
+    first = nodes.select("node", "size", F.posexplode(F.slice("grams", 1, 21)).alias("pos", "gram"))
+    placed = first.select("gram", F.struct("node", "size", F.col("node").alias("root"), "pos").alias("x"))
+    met = ngram_join._open_pairs(placed, nodes, ngram_join.PARTS).select("x.node", "y.node").collect()
+    assert {tuple(m) for m in met} == {(2 * i, 2 * i + 1) for i in range(40)}
+    roots = {r.node: r.root for r in ngram_join.link_components(nodes).collect()}
+    assert roots == {n: n - n % 2 for n in sets}
+
+
 def test_parity_never_exceeds_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(200):
