@@ -86,59 +86,94 @@ def running_accuracy(stream: DataFrame, key: str, hit: Column) -> DataFrame:
     return sums.withColumn("accuracy", F.col("hits") / F.col("n"))
 
 
-def fold_mean(state: float, values: np.ndarray, momentum: float) -> float:
-    """The exponential mean after these values, oldest first; a missing value leaves it as it is."""
-    known = values[~np.isnan(values)]
-    weights = momentum ** np.arange(len(known) - 1, -1, -1, dtype=float)
-    return float(state * momentum ** len(known) + (1 - momentum) * weights @ known)
+def fold_means(state: np.ndarray, of: np.ndarray, values: np.ndarray, momentum: float) -> np.ndarray:
+    """The exponential means after these values: values[i] goes to state[of[i]], oldest first and all of one state
+    side by side; a missing value leaves its state as it is."""
+    known = ~np.isnan(values)
+    of, values = of[known], values[known]
+    count = np.bincount(of, minlength=len(state))
+    after = np.cumsum(count)[of] - 1 - np.arange(len(of))  # known values of the same state behind this one
+    sums = np.bincount(of, weights=momentum ** after.astype(float) * values, minlength=len(state))
+    return state * momentum ** count.astype(float) + (1 - momentum) * sums
 
 
-def moving_mean(stream: DataFrame, key: str, order: list[str], value: str, momentum: float, late: str, expire: str | None = None) -> DataFrame:
+#: Groups that the keys of a moving mean are dealt to.
+KEY_SHARES = 1024
+
+
+def moving_mean(
+    stream: DataFrame, key: str, order: list[str], value: str, momentum: float, late: str, expire: str | None = None, shares: int = KEY_SHARES
+) -> DataFrame:
     """(key, n, moving, closed): rows and exponential mean per key, a new row with each micro-batch that has the key.
 
     `order` is the time column, which carries the watermark, and a column that decides among equal times. Rows
     are folded by time however they are cut into files: those the watermark has not passed wait in Spark's
-    state of their key and are added to the reported mean only; those it has passed are folded for good. A
-    row older than the watermark takes no part. So the state holds one mean and the rows of `late`.
+    state and are added to the reported mean only; those it has passed are folded for good. A
+    row older than the watermark takes no part. So the state holds one mean per key and the rows of `late`.
 
     With `expire`, a key without rows for that long behind the watermark is reported once more, closed, and
     its state is dropped; a later row of it starts anew.
 
-    Meant for update mode. All rows of a key in one micro-batch are in one task; maxFilesPerTrigger bounds them.
+    Keys are dealt to `shares` groups by their hash; a group folds all its keys at once and has one state, so the cost
+    goes with the rows and not with calls per key. A group holds its rows of one micro-batch: maxFilesPerTrigger bounds
+    them, and more shares make groups smaller. Meant for update mode.
     """
     time, tie = order
     kinds = dict(stream.dtypes)
-    quiet = _seconds(expire) if expire else None
-
-    def advance(keys, batches, state):
-        n, moving, *waiting = state.get if state.exists else (0, 0.0, [], [], [])
-        if state.hasTimedOut:
-            values = np.array(waiting[2], dtype=float)
+    quiet = _seconds(expire) * 1000 if expire else None
+
+    def advance(_, batches, state):
+        keys, n, moving, due_by, *waiting = state.get if state.exists else ([], [], [], [], [], [], [], [])
+        watermark = state.getCurrentWatermarkMs()
+        passed, at = watermark * 1000, {k: i for i, k in enumerate(keys)}
+        keys, held, seen = list(keys), [pd.DataFrame(dict(zip(("of", "at", "tie", "value"), waiting)))], []
+        for pdf in () if state.hasTimedOut else batches:
+            mine = [None if k != k else k for k in pdf[key].tolist()]
+            for k in dict.fromkeys(mine):
+                if k not in at:
+                    at[k] = len(keys)
+                    keys.append(k)
+            of = np.array([at[k] for k in mine], dtype=np.int64)
+            seen.append(np.unique(of))
+            some = (pdf["_at"] > passed).to_numpy()
+            held.append(pd.DataFrame({"of": of, "at": pdf["_at"], "tie": pdf[tie], "value": pdf[value]})[some])
+        new = len(keys) - len(n)
+        n, moving = np.array([*n, *[0] * new], dtype=np.int64), np.array([*moving, *[0.0] * new])
+        due_by = np.array([*due_by, *[watermark + (quiet or 0)] * new], dtype=np.int64)
+        rows = pd.concat([h for h in held if len(h)] or held[:1]).sort_values(["of", "at", "tie"])
+        of, times, values = rows["of"].to_numpy(np.int64), rows["at"].to_numpy(np.int64), rows["value"].to_numpy(float)
+        told = np.zeros(len(keys), dtype=bool)
+        told[np.concatenate([*seen, np.zeros(0, dtype=np.int64)])] = True
+        if quiet is not None:
+            np.maximum.at(due_by, of, times // 1000 + quiet)
+        closed = ~told & (due_by < watermark) if quiet is not None else np.zeros(len(keys), dtype=bool)
+        due = times <= passed
+        moving = fold_means(moving, of[due], values[due], momentum)
+        n += np.bincount(of[due], minlength=len(n))
+        report = pd.DataFrame({
+            key: pd.Series(keys, dtype=object), "n": n + np.bincount(of[~due], minlength=len(n)),
+            "moving": fold_means(moving, of[~due], values[~due], momentum), "closed": closed,
+        })
+        kept = np.flatnonzero(~closed)
+        if len(kept):
+            rest = rows[~due & ~closed[of]]
+            place = np.cumsum(~closed) - 1
+            state.update((
+                [keys[i] for i in kept], n[kept].tolist(), moving[kept].tolist(), due_by[kept].tolist(),
+                place[rest["of"].to_numpy(np.int64)].tolist(), *[rest[c].tolist() for c in ("at", "tie", "value")],
+            ))
+            if quiet is not None:
+                state.setTimeoutTimestamp(int(max(due_by[kept].min(), watermark + 1)))
+        else:
             state.remove()
-            yield pd.DataFrame({key: [keys[0]], "n": [n + len(values)], "moving": [fold_mean(moving, values, momentum)], "closed": [True]})
-            return
-        passed = state.getCurrentWatermarkMs() * 1000
-        times, ties, values = list(waiting[0]), list(waiting[1]), list(waiting[2])
-        for pdf in batches:
-            at = pdf["_at"].to_numpy()
-            some = at > passed
-            times += at[some].tolist()
-            ties += pdf[tie].to_numpy()[some].tolist()
-            values += pdf[value].to_numpy(dtype=float)[some].tolist()
-        line = sorted(range(len(times)), key=lambda i: (times[i], ties[i]))
-        times, ties, values = ([column[i] for i in line] for column in (times, ties, values))
-        due = int(np.searchsorted(np.array(times, dtype=np.int64), passed, side="right"))
-        moving = fold_mean(moving, np.array(values[:due], dtype=float), momentum)
-        state.update((n + due, moving, times[due:], ties[due:], values[due:]))
-        if quiet is not None and times:
-            state.setTimeoutTimestamp(int(max(times[-1] // 1000 + quiet * 1000, state.getCurrentWatermarkMs() + 1)))
-        report = fold_mean(moving, np.array(values[due:], dtype=float), momentum)
-        yield pd.DataFrame({key: [keys[0]], "n": [n + len(times)], "moving": [report], "closed": [False]})
-
-    rows = stream.withWatermark(time, late).withColumn("_at", F.unix_micros(time))
-    return rows.groupBy(key).applyInPandasWithState(
+        yield report[told | closed]
+
+    share = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(shares)))
+    rows = stream.withWatermark(time, late).withColumns({"_at": F.unix_micros(time), "_share": share})
+    return rows.select("_share", "_at", time, *dict.fromkeys([key, tie, value])).groupBy("_share").applyInPandasWithState(
         advance, f"`{key}` {kinds[key]}, n bigint, moving double, closed boolean",
-        f"n bigint, moving double, times array<bigint>, ties array<{kinds[tie]}>, waiting array<double>", "update",
+        f"keys array<{kinds[key]}>, n array<bigint>, moving array<double>, due_by array<bigint>, "
+        f"waiting_of array<bigint>, times array<bigint>, ties array<{kinds[tie]}>, waiting array<double>", "update",
         GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout,
     )
 

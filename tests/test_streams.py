@@ -62,6 +62,31 @@ def test_silent_keys_are_closed_and_start_anew(spark):
     assert (rows[-1].n, rows[-1].moving) == (1, 15.0)
 
 
+@pytest.mark.parametrize("expire", [None, "1 day"])
+def test_moving_mean_of_many_keys_in_few_groups(spark, expire):
+    """Keys that share a group, one of them null, some silent for whole micro-batches."""
+    rng = np.random.default_rng(8)
+    rows = [(i, None if i % 11 == 0 else int(rng.integers(0, 30)), START + timedelta(minutes=i), float(rng.normal(50, 9))) for i in range(600)]
+    stream = stream_of(spark, write_files(spark, [rows[a:a + 100] for a in range(0, 600, 100)]))
+    means = st.moving_mean(stream, "user_id", ["ts", "event_id"], "value", 0.9, "1 hour", expire, shares=2)
+    out = st.collect_batches(means, "update", scratch_path(spark, "stream"))
+    assert out.groupBy("user_id", "batch_id").count().filter("count > 1").isEmpty()
+    got = {r.user_id: (r.n, r.moving) for r in st.latest(out, "user_id").collect()}
+    want = folded(rows, 0.9)
+    assert {u: n for u, (n, _) in got.items()} == {u: n for u, (n, _) in want.items()}
+    assert all(math.isclose(got[u][1], want[u][1], rel_tol=1e-9) for u in want)
+
+
+def test_silent_keys_of_one_group_are_closed_apart(spark):
+    early = [(i, 1 + i % 2, START + timedelta(minutes=i), 10.0) for i in range(10)]
+    on = [[(100 + n, 2, START + timedelta(hours=n), 1.0)] for n in range(1, 9)]
+    stream = stream_of(spark, write_files(spark, [early, *on]))
+    means = st.moving_mean(stream, "user_id", ["ts", "event_id"], "value", 0.5, "1 hour", expire="2 hours", shares=1)
+    rows = st.collect_batches(means, "update", scratch_path(spark, "stream")).collect()
+    assert [(r.user_id, r.n) for r in rows if r.closed] == [(1, 5)]
+    assert max(r.n for r in rows if r.user_id == 2) == 13
+
+
 def test_late_rows_of_many_batches_are_counted(spark):
     """More micro-batches than progress reports are kept, and repeated event ids."""
     files, total, late = [], 0, 0
