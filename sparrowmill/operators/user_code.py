@@ -137,6 +137,41 @@ def ngram_udtf(n: int):
     return Ngrams
 
 
+#: Bytes of text that one task expands, and values that a worker combines at once.
+TASK_TEXT, COMBINED = 16 << 20, 1 << 20
+
+
+def text_parts(df: DataFrame, text: str, size: int = TASK_TEXT) -> int:
+    """Into how many tasks the texts go so that none has much more than `size` bytes. Reads the lengths of the texts."""
+    volume = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, 1 + volume // size)
+
+
+def count_values(df: DataFrame, column: str, parts: int, held: int = COMBINED) -> DataFrame:
+    """(column, n): how often each value of a string column occurs, in `parts` tasks, so that no task has to hold more
+    than its share of the values however many there are. Workers combine `held` values at a time before the shuffle."""
+
+    def combine(batches):
+        import pyarrow as pa
+
+        def counted(rows):
+            found = pa.table({column: pa.chunked_array(rows)}).group_by(column, use_threads=False).aggregate([([], "count_all")])
+            return found.select([column, "count_all"]).rename_columns([column, "n"]).to_batches()
+
+        rows, size = [], 0
+        for batch in batches:
+            rows.append(batch.column(0))
+            size += len(batch)
+            if size >= held:
+                yield from counted(rows)
+                rows, size = [], 0
+        if rows:
+            yield from counted(rows)
+
+    counts = df.select(column).mapInArrow(combine, f"`{column}` string, n bigint")
+    return counts.repartition(parts, column).groupBy(column).agg(F.sum("n").alias("n"))
+
+
 def lower_hook(column: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.withColumn(column, F.lower(column))
 

@@ -60,8 +60,9 @@ def o03(spark, sf):
 def o04(spark, sf):
     spark.udtf.register("letter_bigrams", op.ngram_udtf(2))
     d = table(spark, sf, "documents").select("text")
-    grams = spark.sql("select g.gram from {d}, lateral letter_bigrams({d}.text) g", d=d)
-    return grams.groupBy("gram").agg(F.count("*").alias("n"))
+    parts = op.text_parts(d, "text")
+    grams = spark.sql("select g.gram from {d}, lateral letter_bigrams({d}.text) g", d=d.repartition(parts))
+    return op.count_values(grams, "gram", parts)
 
 
 @query("O05_read_hook", "select doc_id, md5(lower(text)) as digest from documents")

@@ -375,3 +375,16 @@ def test_covariance_far_from_zero(spark):
     want = np.cov((x - 1e8).T)
     for r in covariance(df, F.col("v")).collect():
         assert abs(r["cov"] - want[r["i"], r["j"]]) < 1e-6 and abs(r["mean_i"] - x[:, r["i"]].mean()) < 1e-6
+
+
+def test_grams_are_counted_in_as_many_tasks_as_the_texts_need(spark):
+    from sparrowmill.operators import user_code
+
+    texts = spark.createDataFrame([(f"w{'abcdefg'[i % 7]} same words again",) for i in range(2000)] + [(None,)], "text string")
+    parts = user_code.text_parts(texts, "text", size=1000)
+    assert parts == 1 + 2000 * 19 // 1000
+    got = user_code.count_values(texts, "text", parts, held=300)
+    assert got.rdd.getNumPartitions() == parts
+    want = texts.groupBy("text").count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert user_code.count_values(texts.limit(0), "text", 3).isEmpty()
