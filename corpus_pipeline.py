@@ -33,9 +33,10 @@ def numbered(docs: DataFrame) -> DataFrame:
     files, a millionth of their bytes, pass through the driver.
     """
     placed = _places(docs)
-    if placed is None or placed.count() != placed.select("_file", "_at").distinct().count():
+    files = None if placed is None else _files(placed)
+    if files is None:
         placed = _places(materialize(docs))
-    files = sorted(r[0] for r in placed.select("_file").distinct().collect())
+        files = sorted(r[0] for r in placed.select("_file").distinct().collect())
     known = docs.sparkSession.createDataFrame([(f, n) for n, f in enumerate(files)], "_file string, _n bigint")
     row = F.shiftleft(F.col("_n"), _FILE_ROWS) + F.col("_at")
     return placed.join(F.broadcast(known), "_file").select("_doc", row.alias("_row"))  # one row per file
@@ -49,6 +50,13 @@ def _places(docs: DataFrame) -> DataFrame | None:
         return None
 
 
+def _files(placed: DataFrame) -> list[str] | None:
+    """The files of the rows, in order; None if a place has more than one row. One query tells both."""
+    rows = placed.groupBy("_file", "_at").agg(F.count(F.lit(1)).alias("_n"))
+    most = rows.groupBy("_file").agg(F.max("_n").alias("_n")).collect()
+    return None if any(r["_n"] > 1 for r in most) else sorted(r["_file"] for r in most)
+
+
 def _order():
     """Order of the rows of a group: by id, null last, and then by row."""
     return F.struct(F.col("_doc.doc_id").isNull().alias("no_id"), F.col("_doc.doc_id").alias("doc_id"), "_row")

@@ -11,6 +11,8 @@ from sparrowmill.session import materialize
 EPOCHS = 3
 RATIOS = (1.0, 2.0, 3.0)
 BLOCKS = 256
+#: So many documents of a source are settled one by one behind the end of a run before all are looked at again.
+LOOK_AHEAD = 1024
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -20,7 +22,7 @@ def uniform(key: Column, seed: int) -> Column:
 
 
 def source_targets(sizes: DataFrame, ratios=RATIOS, epochs: int = EPOCHS) -> DataFrame:
-    """Adds `target` to a table with one row per source (source, source_size).
+    """Adds `target` to a table with one row per source (source, source_size, others that stay).
 
     Sources in code point order, null last, take the ratios in turn and share the total size by them.
     No source gets more than `epochs` times its own size; what is above goes to the others by ratio.
@@ -30,18 +32,17 @@ def source_targets(sizes: DataFrame, ratios=RATIOS, epochs: int = EPOCHS) -> Dat
     ranked = number_rows(sizes, F.col("source").asc_nulls_last(), name="_rank")
     ratio = F.element_at(F.array(*[F.lit(r) for r in ratios]), (F.col("_rank") % len(ratios)).cast("int") + 1)
     ranked = ranked.withColumn("_ratio", ratio).withColumn("_limit", F.col("source_size") * epochs)
-    total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0
-    while total:
+    while True:
         full = F.col("_limit") < F.col("_ratio") * F.lit(level)
-        spent, open_ratio = ranked.agg(
-            F.coalesce(F.sum(F.when(full, F.col("_limit"))), F.lit(0)), F.sum(F.when(~full, F.col("_ratio")))
+        total, spent, open_ratio = ranked.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum(F.when(full, F.col("_limit"))), F.lit(0)), F.sum(F.when(~full, F.col("_ratio")))
         ).first()
-        if not open_ratio or (total - spent) / open_ratio == level:
+        if not total or not open_ratio or (total - spent) / open_ratio == level:
             break
         level = (total - spent) / open_ratio
     target = F.least(F.col("_ratio") * F.lit(level), F.col("_limit").cast("double"))
-    return ranked.select("source", "source_size", target.alias("target"))
+    return ranked.select(*sizes.columns, target.alias("target"))
 
 
 def mix_sources(
@@ -86,20 +87,25 @@ def mix_sources(
             clean.alias("_weight"), *own,
         )
     )
-    usual = F.coalesce(drawn.select(F.avg("_weight")).scalar(), F.lit(1.0))
-    block = F.floor((F.lit(1.0) - F.exp(-F.col("_key") * usual)) * blocks)
+    sizes = materialize(
+        drawn.groupBy("source").agg(
+            F.sum("size").alias("source_size"), F.min("size").alias("_least"), F.sum("_weight").alias("_heavy"), F.count(F.lit(1)).alias("_many")
+        )
+    )
+    usual = sizes.agg(F.sum("_heavy") / F.sum("_many")).first()[0]
+    block = F.floor((F.lit(1.0) - F.exp(-F.col("_key") * F.lit(1.0 if usual is None else usual))) * blocks)
     drawn = drawn.withColumn("_block", block)
-    targets = source_targets(materialize(drawn.groupBy("source").agg(F.sum("size").alias("source_size"))), ratios, epochs)
+    targets = source_targets(sizes.drop("_heavy", "_many"), ratios, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    targets = materialize(
+    targets = (
         targets.withColumn("_whole", whole)
-        .withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
+        .withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size"))
         .withColumnRenamed("source", "_source")
     )
     same = F.col("source").eqNullSafe(F.col("_source"))
     pos = F.struct("_block", *tie)
-    rule = materialize(_filled(drawn, targets, pos, tie))
-    chosen = F.exists(F.coalesce("_runs", F.array().cast(rule.schema["_runs"].dataType)), lambda r: _in_run(pos, r))
+    rule = _filled(drawn, targets, pos, tie)
+    chosen = F.exists("_runs", lambda r: _in_run(pos, r))
     off = F.abs(F.col("_left") - F.col("size"))
     fitting = (
         drawn.join(rule, same).filter(~chosen & (off < F.col("_left")))
@@ -126,45 +132,91 @@ def _filled(drawn: DataFrame, targets: DataFrame, pos: Column, tie: list[str]) -
     A run takes the documents of a source that fit in what is left at its beginning, one after the other, up to the
     first that does not fit any more, or to the end of the room. That one and all larger ones are passed over, and the next run goes on
     behind it. Each run ends with less room than a document it had room for, so there are few.
+
+    A round stores one table: sums per range show where the run ends, and the next documents, LOOK_AHEAD
+    at most, are taken or passed over one by one. What is left behind them, mostly nothing, is for the next round.
     """
-    same = F.col("source").eqNullSafe(F.col("_source"))
-    along = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("source").orderBy(*tie).rowsBetween(Window.unboundedPreceding, 0)
     place = drawn.select(pos.alias("p")).schema["p"].dataType
-    state, runs = targets.select("_source", F.col("_rest").alias("_left"), F.lit(None).cast(place).alias("_from")), None
+    runs = f"array<struct<lo:{place.simpleString()},hi:{place.simpleString()},room:double>>"
+    open_ = (F.col("_left") > 0) & (F.col("_least") <= F.col("_left"))
+    state = targets.withColumns({"_runs": F.array().cast(runs), "_from": F.lit(None).cast(place), "_open": open_})
     while True:
-        open_ = drawn.join(state, same).filter((F.col("_left") > 0) & (F.col("size") <= F.col("_left")) & (F.col("_from").isNull() | (pos > F.col("_from"))))
-        ends = (
-            open_.groupBy("source", "_block").agg(F.sum("size").alias("_size"), F.first("_left").alias("_room"))
-            .withColumn("_before", F.coalesce(F.sum("_size").over(along), F.lit(0)))
-            .filter(F.col("_before") < F.col("_room"))
-            .groupBy("source").agg(F.max_by(F.struct("_block", "_before"), "_block").alias("_end"))
-            .select(F.col("source").alias("_s"), F.col("_end._block").alias("_last"), F.col("_end._before").alias("_before"))
+        step = _step(drawn, state.filter("_open"), pos, tie, place, runs)
+        state = _beside(state.withColumnRenamed("_left", "_room"), step)
+        state = materialize(state.select(
+            *targets.drop("_left").columns, F.coalesce("_state.left", "_room").alias("_left"),
+            F.concat("_runs", F.coalesce("_state.runs", F.array().cast(runs))).alias("_runs"),
+            F.coalesce("_state.upto", "_from").alias("_from"),
+            (F.col("_state").isNotNull() & (F.col("_state.left") > 0) & (F.col("_least") <= F.col("_state.left"))).alias("_open"),
+        ))
+        if state.filter("_open").isEmpty():
+            return state.drop("_from", "_open", "_least")
+
+
+def _step(drawn: DataFrame, state: DataFrame, pos: Column, tie: list[str], place, runs: str) -> DataFrame:
+    """(_source, _state): for the sources that have documents with room for them behind `_from`, the struct of the
+    runs (`runs`), of what is left after them (`left`), and of the place up to which documents are settled (`upto`)."""
+    along = Window.partitionBy("source").orderBy("_block")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    until = along.rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source").orderBy("_block", *tie).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    known = state.select("_source", "_left", "_from")
+    fits = (F.col("size") <= F.col("_left")) & (F.col("_from").isNull() | (pos > F.col("_from")))
+    rows = drawn.join(known, same).filter(fits).drop("_source")
+    before_end = F.col("_before") < F.col("_left")
+    ends = (
+        rows.groupBy("source", "_block").agg(F.sum("size").alias("_size"), F.count(F.lit(1)).alias("_n"), F.first("_left").alias("_left"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .withColumn("_upto", F.sum("_n").over(until))
+        .withColumn("_n_end", F.max(F.when(before_end, F.col("_upto"))).over(Window.partitionBy("source")))
+        .groupBy("source").agg(
+            F.max(F.when(before_end, F.struct("_block", "_before"))).alias("_end"),
+            F.max(F.when(before_end | (F.col("_upto") <= F.col("_n_end") + LOOK_AHEAD), F.col("_block"))).alias("_stop"),
         )
-        ends = materialize(ends)
-        if ends.isEmpty():
-            break
-        reach = (
-            open_.join(ends, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_last")))
-            .withColumn("_sum", F.sum("size").over(inside) + F.col("_before"))
-            .filter((F.col("_sum") <= F.col("_left")) & (F.col("_sum") - F.col("size") < F.col("_left")))
-            .groupBy("source").agg(F.max(F.struct(*tie)).alias("_reach"), F.max("_sum").alias("_sum"))
-            .withColumnRenamed("source", "_r")
+        .select(F.col("source").alias("_s"), F.col("_end._block").alias("_last"), F.col("_end._before").alias("_start"), "_stop")
+    )
+    in_reach = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") >= F.col("_last")) & (F.col("_block") <= F.col("_stop"))
+    first_run = (F.col("_sum") <= F.col("_left")) & (F.col("_sum") - F.col("size") < F.col("_left"))
+    found = (
+        rows.join(ends, in_reach)
+        .withColumn("_sum", F.sum("size").over(inside) + F.col("_start"))
+        .withColumn("_first_run", first_run)
+        .withColumn("_behind", F.sum(F.when(F.col("_first_run"), 0).otherwise(1)).over(inside))
+        .filter(F.col("_first_run") | (F.col("_behind") <= LOOK_AHEAD))
+        .groupBy(F.col("source").alias("_source")).agg(
+            F.first("_left").alias("_left"), F.first("_from").alias("_from"), F.first("_last").alias("_last"), F.first("_start").alias("_start"),
+            F.max(F.when(F.col("_first_run"), pos)).alias("_reach"), F.max(F.when(F.col("_first_run"), F.col("_sum"))).alias("_sum"),
+            F.sort_array(F.collect_list(F.when(~F.col("_first_run"), F.struct(pos.alias("pos"), "size")))).alias("_next"),  # at most LOOK_AHEAD
         )
-        step = ends.join(reach, F.col("_s").eqNullSafe(F.col("_r")), "left").select(
-            "_s", F.struct(F.col("_last").alias("_block"), *[F.col(f"_reach.{c}").alias(c) for c in tie]).cast(place).alias("_hi"),
-            F.coalesce("_sum", "_before").alias("_sum"),
+    )
+    # a run of whole ranges ends before the first document of the next one
+    edge = F.struct(F.col("_last").alias("_block"), *[F.lit(None).alias(c) for c in tie]).cast(place)
+    begin = F.struct(
+        F.col("_from").alias("lo"), F.coalesce("_reach", edge).alias("hi"), F.col("_left").alias("room"),
+        F.coalesce("_sum", "_start").cast("bigint").alias("sum"), F.array().cast(runs).alias("runs"),
+    )
+    ran = lambda s: F.struct(s["lo"].alias("lo"), s["hi"].alias("hi"), s["room"].alias("room"))
+
+    def settle(s: Column, d: Column) -> Column:
+        asked = (d["size"] <= s["room"]) & (s["sum"] < s["room"])
+        taken = asked & (s["sum"] + d["size"] <= s["room"])
+        ended = asked & ~taken
+        return F.struct(
+            F.when(ended, d["pos"]).otherwise(s["lo"]).alias("lo"),
+            F.when(taken, d["pos"]).when(ended, F.lit(None)).otherwise(s["hi"]).alias("hi"),
+            F.when(ended, s["room"] - s["sum"]).otherwise(s["room"]).alias("room"),
+            F.when(taken, s["sum"] + d["size"]).when(ended, F.lit(0)).otherwise(s["sum"]).alias("sum"),
+            F.when(ended, F.array_append(s["runs"], ran(s))).otherwise(s["runs"]).alias("runs"),
         )
-        step = materialize(state.join(step, F.col("_source").eqNullSafe(F.col("_s"))).select("_source", "_from", "_hi", "_left", "_sum"))
-        run = step.select("_source", "_sum", F.struct(F.col("_from").alias("lo"), F.col("_hi").alias("hi"), F.col("_left").alias("room")).alias("run"))
-        runs = run if runs is None else runs.unionByName(run)
-        state = step.select("_source", (F.col("_left") - F.col("_sum")).alias("_left"), F.col("_hi").alias("_from"))
-    if runs is None:
-        kind = f"array<struct<lo:{place.simpleString()},hi:{place.simpleString()},room:double>>"
-        return targets.withColumnRenamed("_rest", "_left").withColumn("_runs", F.lit(None).cast(kind))
-    taken = runs.groupBy("_source").agg(F.collect_list("run").alias("_runs"), F.sum("_sum").alias("_taken"))
-    left = F.col("_rest") - F.coalesce("_taken", F.lit(0))
-    return _beside(targets, taken).withColumn("_left", left).drop("_rest", "_taken")
+
+    def end(s: Column) -> Column:
+        all_runs = F.when(s["hi"].isNull(), s["runs"]).otherwise(F.array_append(s["runs"], ran(s)))
+        return F.struct(all_runs.alias("runs"), (s["room"] - s["sum"]).alias("left"))
+
+    ended = F.aggregate("_next", begin, settle, end)
+    upto = F.coalesce(F.try_element_at(F.col("_next.pos"), F.lit(-1)), F.col("_reach"))
+    return found.withColumn("_e", ended).select("_source", F.struct(F.col("_e.runs").alias("runs"), F.col("_e.left").alias("left"), upto.alias("upto")).alias("_state"))
 
 
 def _beside(left: DataFrame, right: DataFrame) -> DataFrame:

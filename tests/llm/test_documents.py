@@ -138,6 +138,31 @@ def test_mixing_is_the_greedy_pass_along_the_keys(spark):
         assert {r.doc_id: r.copies for r in mine} == want
 
 
+def test_mixing_takes_few_jobs(spark):
+    """Each job costs the driver memory: the rounds along the keys are few, also if many documents are passed over."""
+    rng = random.Random(12)
+    rows = [(i, "abc"[i % 3], rng.choice([0, 1, 2, 5, 20, 70, 300, 900, 3000])) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint")
+    spark.sparkContext.setJobGroup("mix", "mix")
+    try:
+        mixing.mix_sources(df, F.col("n"), F.lit(1.0)).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("mix")) <= 65
+
+
+@pytest.mark.parametrize("ahead", [1, 7])
+def test_mixing_does_not_depend_on_the_look_ahead(spark, monkeypatch, ahead):
+    rng = random.Random(13)
+    rows = [(rng.choice([None, i, i // 3]), "ab"[i % 2], rng.choice([0, 1, 2, 5, 20, 70, 300, 900])) for i in range(200)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row bigint, doc_id bigint, source string, n bigint")
+    mixed = lambda: {r.row: r.copies for r in mixing.mix_sources(df, F.col("n"), F.lit(1.0), blocks=8, row="row").collect()}
+    want = mixed()
+    monkeypatch.setattr(mixing, "LOOK_AHEAD", ahead)
+    assert mixed() == want
+    assert len(set(want.values())) > 1
+
+
 def test_mixing_meets_targets_and_prefers_heavy_weights(spark):
     df = spark.range(6000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") < 4000, "big").when(F.col("id") < 5900, "mid").otherwise("small").alias("source"),
